@@ -63,30 +63,30 @@ def rows_from_log(log: DataFrame, stretch: int = STRETCH) -> DataFrame:
     again = numbered_accesses(log, stretch).filter("k >= 2")
     regular, transition = F.col("k") >= 3, F.col("k") == 2
     one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
-    traffic = again.groupBy("fd_id", F.col("iat").alias("delta_t")).agg(
-        F.sum(F.when(regular, one).otherwise(none)).alias("requests"),
-        F.sum(F.when(regular, F.col("sz")).otherwise(none)).alias("bytes"),
-        F.sum(F.when(transition, F.col("sz")).otherwise(none)).alias("tr_bytes"),
-        F.sum(F.when(transition, one).otherwise(none)).alias("tr_requests"),
-        F.lit(0).cast("bigint").alias("n"),
-        F.lit(0).cast("bigint").alias("s"),
-    )
-    entering = (
-        again.groupBy("fd_id", "obj")
-        .agg(F.min("iat").alias("delta_t"), F.max("sz").alias("s"))
-        .groupBy("fd_id", "delta_t")
-        .agg(F.count("*").alias("n"), F.sum("s").alias("s"))
-        .select("fd_id", "delta_t", *[none.alias(c) for c in
-                ("requests", "bytes", "tr_bytes", "tr_requests")], "n", "s")
+    kinds = ["requests", "bytes", "tr_bytes", "tr_requests"]
+    traffic = again.select(
+        "fd_id",
+        F.col("iat").alias("delta_t"),
+        F.when(regular, one).otherwise(none).alias("requests"),
+        F.when(regular, F.col("sz")).otherwise(none).alias("bytes"),
+        F.when(transition, F.col("sz")).otherwise(none).alias("tr_bytes"),
+        F.when(transition, one).otherwise(none).alias("tr_requests"),
+        none.alias("n"),
+        none.alias("s"),
     )
-    per_iat = traffic.unionByName(entering).groupBy("fd_id", "delta_t").agg(
-        *[F.sum(c).alias(c) for c in ("requests", "bytes", "tr_bytes", "tr_requests", "n", "s")]
+    entering = again.groupBy("fd_id", "obj").agg(
+        F.min("iat").alias("delta_t"), F.max("sz").alias("s")
+    ).select("fd_id", "delta_t", *[none.alias(c) for c in kinds], one.alias("n"), "s")
+    parts = traffic.unionByName(entering)
+    per_iat = parts.groupBy("fd_id", "delta_t").agg(
+        *[F.sum(c).alias(c) for c in [*kinds, "n", "s"]]
     )
     return scan(
         per_iat,
         ["fd_id"],
         ["delta_t"],
         {"mb": Running("sum", F.col("s")), "objcount": Running("sum", F.col("n"))},
+        source=parts,
     ).select(ROW_COLS)
 
 

@@ -219,6 +219,13 @@ def markers(rows: DataFrame, marker_mb: list[int]) -> DataFrame:
     descriptor are found; no rows are collected.
     """
     sizes = sorted({int(c) for c in marker_mb})
+    if len(sizes) == 1:
+        return rows.groupBy("fd_id").agg(
+            F.lit(sizes[0]).cast("bigint").alias("marker_mb"),
+            F.coalesce(
+                F.min(F.when(F.col("mb") > sizes[0], F.col("delta_t"))), F.max("delta_t")
+            ).alias("delta_t"),
+        )
     ranked = scan(
         rows.select("fd_id", "delta_t", "mb"),
         ["fd_id"],

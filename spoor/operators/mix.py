@@ -103,12 +103,18 @@ def _fraction(x: Column, compat_float32: bool = False) -> Column:
 
 
 def _live(found: DataFrame) -> DataFrame:
-    """Members that take part, with the number of members of their mix."""
+    """Members that take part, with the number of members of their mix.
+
+    Written to the shared folder: it is read several times, and as a table its size
+    is known when the join with the rows is planned.  Spark broadcasts it if it is
+    below ``spark.sql.autoBroadcastJoinThreshold`` and shuffles otherwise.
+    """
     of_mix = Window.partitionBy("mix_id")
-    return (
+    return materialize(
         found.filter("status = 'ok'")
         .withColumn("n_members", F.count("*").over(of_mix))
-        .withColumn("mix_duration", F.max("duration").over(of_mix))
+        .withColumn("mix_duration", F.max("duration").over(of_mix)),
+        "members",
     )
 
 
@@ -120,6 +126,10 @@ def prepared_rows(
     rows = _bind(live, d.rows, compat_float32)
     if collision == "last":
         return rows.filter("kept").select("mix_id", "ord", *ROW_COLS)
+    return _merged(rows)
+
+
+def _merged(rows: DataFrame) -> DataFrame:
     return (
         rows.groupBy("mix_id", "ord", "fd_id", "delta_t")
         .agg(
@@ -184,7 +194,7 @@ def mix(
         traffic = {c: F.when(F.col("kept"), F.col(c)).otherwise(F.lit(0)) for c in TRAFFIC_COLS}
     else:
         bound = _merged_steps(
-            prepared_rows(rules, d, collision, compat_float32), live
+            _merged(_bind(live, d.rows, compat_float32)), live
         )
         traffic = {c: F.col(c) for c in TRAFFIC_COLS}
     if equalize_durations:
@@ -199,26 +209,25 @@ def mix(
 
 
 def _sweep(bound: DataFrame, traffic_sums: list[Column]) -> DataFrame:
-    zero = F.lit(0)
+    zero = F.lit(0).cast("bigint")
     leading = F.col("leading")
-    grid = bound.groupBy("mix_id", "delta_t").agg(
+    amounts = ("mb", "objcount")
+    split = bound.withColumns(
+        {f"{c}_base": F.when(leading, F.col(f"{c}_step")).otherwise(zero) for c in amounts}
+        | {f"{c}_grow": F.when(leading, zero).otherwise(F.col(f"{c}_step")) for c in amounts}
+    )
+    parts = [f"{c}_{kind}" for c in amounts for kind in ("base", "grow")]
+    grid = split.groupBy("mix_id", "delta_t").agg(
         F.max("n_members").alias("n_members"),
-        *[F.sum(F.when(leading, F.col(f"{c}_step")).otherwise(zero)).alias(f"{c}_base")
-          for c in ("mb", "objcount")],
-        *[F.sum(F.when(leading, zero).otherwise(F.col(f"{c}_step"))).alias(f"{c}_step")
-          for c in ("mb", "objcount")],
+        *[F.sum(c).alias(c) for c in parts],
         *traffic_sums,
     )
     swept = scan(
         grid,
         ["mix_id"],
         ["delta_t"],
-        {
-            "mb_grown": Running("sum", F.col("mb_step")),
-            "objcount_grown": Running("sum", F.col("objcount_step")),
-            "mb_start": Running("total", F.col("mb_base")),
-            "objcount_start": Running("total", F.col("objcount_base")),
-        },
+        {f"_{c}": Running("sum" if c.endswith("grow") else "total", F.col(c)) for c in parts},
+        source=split,
     )
     silent = (F.col("n_members") > 1) & (
         F.greatest(*[F.abs(F.col(c)) for c in TRAFFIC_COLS]) == 0
@@ -226,8 +235,7 @@ def _sweep(bound: DataFrame, traffic_sums: list[Column]) -> DataFrame:
     return swept.filter(~silent).select(
         F.col("mix_id").alias("fd_id"),
         "delta_t",
-        (F.col("mb_start") + F.col("mb_grown")).alias("mb"),
-        (F.col("objcount_start") + F.col("objcount_grown")).alias("objcount"),
+        *[(F.col(f"_{c}_base") + F.col(f"_{c}_grow")).alias(c) for c in amounts],
         *TRAFFIC_COLS,
     )
 

@@ -2,42 +2,63 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from spoor.functions.numeric import int_div
 from spoor.model import Descriptors
-from spoor.operators.lookup import iat_for_mb, markers, with_cum_bytes
+from spoor.operators.lookup import markers
 from spoor.operators.scan import Running, scan
 from spoor.operators.transform import linked
+from spoor.session import materialize
 
 RESULT_COLS = ["mix_id", "cache_mb", "hit_bytes", "served_bytes", "iat"]
 
 
-def _marker_rows(d: Descriptors, cache_mb: int, marker_mb: list[int] | None) -> DataFrame:
-    known = [cache_mb] if marker_mb is None else marker_mb
+def _bounds(d: Descriptors, cache_mb: int, marker_mb: list[int] | None) -> DataFrame:
+    """Per class the IAT of the marker and that of half the cache, in one pass.
+
+    A list of further markers only matters where several of them lie between the
+    footprints of two rows and so push each other to later rows.
+    """
+    known = sorted(set([cache_mb] if marker_mb is None else marker_mb))
     if cache_mb not in known:
         raise ValueError(f"no marker for a cache of {cache_mb} mb")
-    found = markers(d.rows, known).filter(F.col("marker_mb") == cache_mb)
-    return found.select("fd_id", F.col("delta_t").alias("marker_t"))
+    t, mb = F.col("delta_t"), F.col("mb")
+    own = d.rows.groupBy("fd_id").agg(
+        F.coalesce(F.min(F.when(mb > cache_mb, t)), F.max(t)).alias("marker_t"),
+        F.coalesce(F.max(F.when(mb <= cache_mb // 2, t)), F.min(t)).alias("half_t"),
+    )
+    if len(known) == 1:
+        return own
+    crowded = markers(d.rows, known).filter(F.col("marker_mb") == cache_mb)
+    return own.drop("marker_t").join(
+        crowded.select("fd_id", F.col("delta_t").alias("marker_t")), "fd_id"
+    )
 
 
 def quick_lookup(
     d: Descriptors, cache_mb: int, marker_mb: list[int] | None = None
 ) -> DataFrame:
     """Hit bytes of each class alone in a cache of ``cache_mb``."""
-    at = _marker_rows(d, cache_mb, marker_mb).withColumnRenamed("marker_t", "delta_t")
-    cum = with_cum_bytes(d.rows.select("fd_id", "delta_t", "bytes"))
-    return (
-        cum.join(at, ["fd_id", "delta_t"])
-        .join(d.headers.select("fd_id", "total_served_bytes", "total_mib"), "fd_id")
-        .select(
-            "fd_id",
-            F.lit(cache_mb).cast("bigint").alias("cache_mb"),
-            (F.col("cum_bytes") - F.col("total_mib")).alias("hit_bytes"),
-            F.col("total_served_bytes").alias("served_bytes"),
-            F.col("delta_t").alias("iat"),
-        )
+    return _alone(d, _bounds(d, cache_mb, marker_mb), cache_mb)
+
+
+def _alone(d: Descriptors, bounds: DataFrame, cache_mb: int) -> DataFrame:
+    hits = (
+        d.rows.select("fd_id", "delta_t", "bytes")
+        .join(bounds.select("fd_id", "marker_t"), "fd_id")
+        .filter("delta_t <= marker_t")
+        .groupBy("fd_id")
+        .agg(F.sum("bytes").alias("cum_bytes"), F.max("marker_t").alias("iat"))
+    )
+    return hits.join(
+        d.headers.select("fd_id", "total_served_bytes", "total_mib"), "fd_id"
+    ).select(
+        "fd_id",
+        F.lit(cache_mb).cast("bigint").alias("cache_mb"),
+        (F.col("cum_bytes") - F.col("total_mib")).alias("hit_bytes"),
+        F.col("total_served_bytes").alias("served_bytes"),
+        "iat",
     )
 
 
@@ -51,35 +72,33 @@ def quick_add(
     the smallest IAT at which a class fills half the cache to the smallest at which
     one outgrows it.  A group with one class that has traffic is looked up directly.
     """
-    live = groups.join(
-        d.headers.filter("total_requests <> 0").select(
-            "fd_id", "total_served_bytes", "total_mib"
-        ),
-        "fd_id",
+    of_mix = Window.partitionBy("mix_id")
+    # small next to the rows and read several times: stored, so that its size is known
+    live = materialize(
+        groups.join(
+            d.headers.filter("total_requests <> 0").select(
+                "fd_id", "total_served_bytes", "total_mib"
+            ),
+            "fd_id",
+        )
+        .join(_bounds(d, cache_mb, marker_mb), "fd_id")
+        .withColumn("n_members", F.count("*").over(of_mix)),
+        "sharers",
     )
-    totals = live.groupBy("mix_id").agg(
-        F.count("*").alias("n_members"),
+    bounds = live.groupBy("mix_id").agg(
+        F.max("n_members").alias("n_members"),
         F.sum("total_served_bytes").alias("served_bytes"),
         F.sum("total_mib").alias("mib"),
+        F.min("half_t").alias("left_t"),
+        F.min("marker_t").alias("right_t"),
     )
-    ids = d.headers.select("fd_id")
-    half = iat_for_mb(
-        d.rows, ids.withColumn("target_mb", int_div(F.lit(cache_mb), F.lit(2)).cast("bigint"))
-    ).select("fd_id", F.col("delta_t").alias("half_t"))
-    bounds = (
-        live.select("mix_id", "fd_id")
-        .join(_marker_rows(d, cache_mb, marker_mb), "fd_id")
-        .join(half, "fd_id")
-        .groupBy("mix_id")
-        .agg(F.min("half_t").alias("left_t"), F.min("marker_t").alias("right_t"))
-        .join(totals, "mix_id")
-    )
+    shared = live.filter("n_members > 1")
     leading = F.col("prev_mb").isNull()
     grown = F.col("mb") - F.coalesce("prev_mb", F.lit(0))
     zero = F.lit(0).cast("bigint")
     steps = (
         linked(d.rows)
-        .join(live.select("mix_id", "fd_id"), "fd_id")
+        .join(shared.select("mix_id", "fd_id"), "fd_id")
         .select(
             "mix_id",
             "delta_t",
@@ -90,7 +109,7 @@ def quick_add(
         )
     )
     amounts = ["mb_base", "mb_step", "bytes_base", "bytes_step"]
-    start = bounds.select(
+    start = bounds.filter("n_members > 1").select(
         "mix_id", F.col("left_t").alias("delta_t"), *[zero.alias(c) for c in amounts]
     )
     grid = (
@@ -118,8 +137,7 @@ def quick_add(
     at_left = F.col("delta_t") == F.col("left_t")
     hits = F.col("_bytes0") + F.col("_bytes") - F.col("mib")
     best = (
-        swept.filter("n_members > 1")
-        .filter(fits | at_left)
+        swept.filter(fits | at_left)
         .groupBy("mix_id")
         .agg(
             # a point that fits wins over the left end, which stands in if none does
@@ -142,10 +160,10 @@ def quick_add(
             "_best.iat",
         )
     )
+    single = live.filter("n_members = 1").select("mix_id", "fd_id", "marker_t")
     alone = (
-        quick_lookup(d, cache_mb, marker_mb)
-        .join(live.select("mix_id", "fd_id"), "fd_id")
-        .join(totals.filter("n_members = 1").select("mix_id"), "mix_id")
+        _alone(d, single.select("fd_id", "marker_t").distinct(), cache_mb)
+        .join(single.select("mix_id", "fd_id"), "fd_id")
         .select(RESULT_COLS)
     )
     return best.select(RESULT_COLS).unionByName(alone)

@@ -23,7 +23,9 @@ _SEG = "_segment"
 def segment_of(axis: Column, per_octave: int = SEGMENTS_PER_OCTAVE) -> Column:
     """Segment number of an axis value: never decreases as the value grows."""
     steps = F.floor(F.log2(F.abs(axis).cast("double") + F.lit(1.0)) * F.lit(float(per_octave)))
-    return F.when(axis < 0, -steps).otherwise(steps).cast("int")
+    signed = F.when(axis < 0, -steps).otherwise(steps).cast("int")
+    # never NULL, so joins on it add no filter that would set equal subplans apart
+    return F.coalesce(signed, F.lit(0))
 
 
 @dataclass(frozen=True)
@@ -61,16 +63,23 @@ def scan(
     keys: list[str],
     order: list[str],
     columns: dict[str, Running],
-    segment: Column | None = None,
+    source: DataFrame | None = None,
 ) -> DataFrame:
     """``df`` plus the running ``columns``; ``order[0]`` is the axis.
 
     Columns of kind ``last``, ``next``, ``lag``, ``lead`` and ``first`` expect at
     most one non-null value per key and axis value.  The other columns in
     ``order`` only break ties between rows of equal axis value.
+
+    ``source`` may name the rows that ``df`` was summed up from.  For sums and
+    totals the segments are then summed from it directly, without the shuffle that
+    made ``df``.  It has to hold every key and axis value of ``df``.
     """
+    if source is not None and any(r.kind not in ("sum", "total") for r in columns.values()):
+        raise ValueError("a source is only of use for sums")
     axis = F.col(order[0])
-    split = df.withColumn(_SEG, segment_of(axis) if segment is None else segment)
+    split = df.withColumn(_SEG, segment_of(axis))
+    parts = split if source is None else source.withColumn(_SEG, segment_of(axis))
 
     inside = Window.partitionBy(*keys, _SEG).orderBy(*order)
     upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -116,7 +125,7 @@ def scan(
         carried.append(carry.alias(f"_by_{name}"))
         final.append(merged.alias(name))
 
-    summary = split.groupBy(*keys, _SEG).agg(
+    summary = parts.groupBy(*keys, _SEG).agg(
         *[_summary(r, axis).alias(f"_s_{name}") for name, r in columns.items()]
     )
     carry_rows = summary.select(*keys, _SEG, *carried)
