@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 TRAFFIC_COLS = ["requests", "bytes", "tr_bytes", "tr_requests"]
 ROW_COLS = ["fd_id", "delta_t", "mb", "objcount", *TRAFFIC_COLS]
+# values of the neighbouring rows of the same descriptor, optional in a rows table
+LINK_COLS = ["prev_mb", "prev_objcount", "next_delta_t", "first_delta_t"]
 
 # header fields that follow the traffic volume, and those that count distinct content
 VOLUME_COLS = [
@@ -60,7 +62,10 @@ class Descriptors:
         return Descriptors(self.headers.filter(keep), self.rows.filter(keep))
 
     def union(self, other: Descriptors) -> Descriptors:
+        """Both together; stored neighbour columns stay if both sides have them."""
+        stored = set(self.rows.columns) & set(other.rows.columns)
+        kept = [*ROW_COLS, *[c for c in LINK_COLS if set(LINK_COLS) <= stored]]
         return Descriptors(
             self.headers.select(HEADER_COLS).unionByName(other.headers.select(HEADER_COLS)),
-            self.rows.select(ROW_COLS).unionByName(other.rows.select(ROW_COLS)),
+            self.rows.select(kept).unionByName(other.rows.select(kept)),
         )

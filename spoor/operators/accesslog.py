@@ -14,42 +14,71 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from spoor.model import HEADER_COLS, ROW_COLS, Descriptors
+from spoor.model import HEADER_COLS, ROW_COLS, TRAFFIC_COLS, Descriptors
 from spoor.operators.scan import Running, scan
+from spoor.session import materialize
 
-# Length, in units of `sec`, of the stretches a popular object's history is cut into.
+# An object with more accesses than this has its history cut into stretches of time.
+HOT_ACCESSES = 1_000_000
+# Length of a stretch in units of `sec`.
 STRETCH = 512
 # Length of a peak-traffic slot and bytes per unit of total_mib.
 PEAK_SLOT = 300
 MIB_UNIT = 1000
 
 
-def numbered_accesses(log: DataFrame, stretch: int = STRETCH) -> DataFrame:
+def object_totals(log: DataFrame) -> DataFrame:
+    """Number, bytes and times of the accesses of each object of each class."""
+    return log.groupBy("fd_id", "obj").agg(
+        F.count("*").alias("n"),
+        F.sum("sz").alias("b"),
+        F.min("sec").alias("t0"),
+        F.max("sec").alias("t1"),
+        F.max("sz").alias("size"),
+    )
+
+
+def numbered_accesses(
+    log: DataFrame, objects: DataFrame, hot_accesses: int = HOT_ACCESSES, stretch: int = STRETCH
+) -> DataFrame:
     """``log`` with access number ``k`` and inter-arrival time ``iat`` per object.
 
-    A popular object may own a large part of the log, so its history is cut into
-    stretches of time and only a count and the last access time of each stretch
-    travel along the object.
+    One object may own a large part of the log.  The history of such hot objects is
+    cut into stretches of time that are numbered on their own; a count and the last
+    access time of each stretch travel along the object.  The list of hot objects is
+    short by its definition: at most one per ``hot_accesses`` log lines.
     """
-    cut = log.withColumn("_stretch", F.call_function("div", F.col("sec"), F.lit(stretch)))
-    inside = Window.partitionBy("fd_id", "obj", "_stretch").orderBy("ord1", "ord2", "sz")
-    along = Window.partitionBy("fd_id", "obj").orderBy("_stretch")
-    summary = cut.groupBy("fd_id", "obj", "_stretch").agg(
-        F.count("*").alias("n"), F.max("sec").alias("last_sec")
+    hot = objects.filter(F.col("n") > hot_accesses).select(
+        "fd_id", "obj", F.lit(stretch).alias("_length")
     )
-    carry = summary.select(
-        "fd_id",
-        "obj",
+    cut = log.join(hot, ["fd_id", "obj"], "left").withColumn(
         "_stretch",
-        F.sum("n").over(along.rowsBetween(Window.unboundedPreceding, -1)).alias("_n_before"),
-        F.lag("last_sec").over(along).alias("_sec_before"),
+        F.when(
+            F.col("_length").isNotNull(),
+            F.call_function("div", F.col("sec"), F.col("_length")),
+        ),
+    )
+    inside = Window.partitionBy("fd_id", "obj", "_stretch").orderBy("ord1", "ord2", "sz")
+    along = Window.partitionBy("fd_id", "obj").orderBy("_stretch")
+    carry = (
+        log.join(hot, ["fd_id", "obj"])
+        .groupBy("fd_id", "obj", F.call_function("div", F.col("sec"), F.col("_length"))
+                 .alias("_stretch"))
+        .agg(F.count("*").alias("n"), F.max("sec").alias("last_sec"))
+        .select(
+            "fd_id",
+            "obj",
+            "_stretch",
+            F.sum("n").over(along.rowsBetween(Window.unboundedPreceding, -1)).alias("_n_before"),
+            F.lag("last_sec").over(along).alias("_sec_before"),
+        )
     )
     local = cut.select(
         "*",
         F.row_number().over(inside).alias("_k"),
         F.lag("sec").over(inside).alias("_prev"),
     )
-    return local.join(carry, ["fd_id", "obj", "_stretch"]).select(
+    return local.join(carry, ["fd_id", "obj", "_stretch"], "left").select(
         "fd_id",
         "obj",
         "sec",
@@ -59,11 +88,11 @@ def numbered_accesses(log: DataFrame, stretch: int = STRETCH) -> DataFrame:
     )
 
 
-def rows_from_log(log: DataFrame, stretch: int = STRETCH) -> DataFrame:
-    again = numbered_accesses(log, stretch).filter("k >= 2")
+def traffic_by_iat(numbered: DataFrame) -> DataFrame:
+    """Per class and IAT: traffic, and number and size of the objects entering there."""
+    again = numbered.filter("k >= 2")
     regular, transition = F.col("k") >= 3, F.col("k") == 2
     one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
-    kinds = ["requests", "bytes", "tr_bytes", "tr_requests"]
     traffic = again.select(
         "fd_id",
         F.col("iat").alias("delta_t"),
@@ -71,40 +100,64 @@ def rows_from_log(log: DataFrame, stretch: int = STRETCH) -> DataFrame:
         F.when(regular, F.col("sz")).otherwise(none).alias("bytes"),
         F.when(transition, F.col("sz")).otherwise(none).alias("tr_bytes"),
         F.when(transition, one).otherwise(none).alias("tr_requests"),
-        none.alias("n"),
-        none.alias("s"),
+        none.alias("entering"),
+        none.alias("entering_size"),
+    )
+    entering = (
+        again.groupBy("fd_id", "obj")
+        .agg(F.min("iat").alias("delta_t"), F.max("sz").alias("entering_size"))
+        .select("fd_id", "delta_t", *[none.alias(c) for c in TRAFFIC_COLS],
+                one.alias("entering"), "entering_size")
     )
-    entering = again.groupBy("fd_id", "obj").agg(
-        F.min("iat").alias("delta_t"), F.max("sz").alias("s")
-    ).select("fd_id", "delta_t", *[none.alias(c) for c in kinds], one.alias("n"), "s")
-    parts = traffic.unionByName(entering)
-    per_iat = parts.groupBy("fd_id", "delta_t").agg(
-        *[F.sum(c).alias(c) for c in [*kinds, "n", "s"]]
+    return traffic.unionByName(entering).groupBy("fd_id", "delta_t").agg(
+        *[F.sum(c).alias(c) for c in [*TRAFFIC_COLS, "entering", "entering_size"]]
     )
-    return scan(
+
+
+def rows_from_log(log: DataFrame, objects: DataFrame, **options) -> DataFrame:
+    """Descriptor rows of a log, with the neighbours of each row.
+
+    The traffic per IAT is written out: there the work in the size of the log ends.
+    """
+    return rows_from_traffic(
+        materialize(
+            traffic_by_iat(numbered_accesses(log, objects, **options)), "traffic-by-iat"
+        )
+    )
+
+
+def rows_from_traffic(per_iat: DataFrame) -> DataFrame:
+    """Descriptor rows of a traffic-by-IAT table."""
+    grown = scan(
         per_iat,
         ["fd_id"],
         ["delta_t"],
-        {"mb": Running("sum", F.col("s")), "objcount": Running("sum", F.col("n"))},
-        source=parts,
-    ).select(ROW_COLS)
+        {
+            "mb": Running("sum", F.col("entering_size")),
+            "objcount": Running("sum", F.col("entering")),
+            "next_delta_t": Running("lead", F.col("delta_t")),
+            "first_delta_t": Running("first", F.col("delta_t")),
+        },
+    )
+    later = F.col("delta_t") > F.col("first_delta_t")
+    return grown.select(
+        *ROW_COLS,
+        F.when(later, F.col("mb") - F.col("entering_size")).alias("prev_mb"),
+        F.when(later, F.col("objcount") - F.col("entering")).alias("prev_objcount"),
+        "next_delta_t",
+        "first_delta_t",
+    )
 
 
-def headers_from_log(log: DataFrame, seconds_per_unit: int = 1) -> DataFrame:
-    """One header per class; ``total_mib`` is the volume of first accesses."""
-    per_object = log.groupBy("fd_id", "obj").agg(
-        F.count("*").alias("n"),
-        F.sum("sz").alias("b"),
-        F.min("sec").alias("t0"),
-        F.max("sec").alias("t1"),
-        F.max("sz").alias("size"),
-        F.min(F.struct("ord1", "ord2", "sz")).getField("sz").alias("cold"),
-    )
-    totals = per_object.groupBy("fd_id").agg(
+def headers_from_log(
+    log: DataFrame, objects: DataFrame, rows: DataFrame, seconds_per_unit: int = 1
+) -> DataFrame:
+    """One header per class; ``total_mib`` is the volume of first accesses, that is
+    what is not in the descriptor's ``rows``."""
+    totals = objects.groupBy("fd_id").agg(
         F.sum("n").alias("total_requests"),
         F.sum("b").alias("total_served_bytes"),
         ((F.max("t1") - F.min("t0")) * seconds_per_unit).cast("bigint").alias("duration"),
-        F.call_function("div", F.sum("cold"), F.lit(MIB_UNIT)).alias("total_mib"),
         F.count("*").alias("unique_objects"),
         F.sum("size").alias("unique_bytes"),
     )
@@ -114,8 +167,19 @@ def headers_from_log(log: DataFrame, seconds_per_unit: int = 1) -> DataFrame:
         .groupBy("fd_id")
         .agg(F.max("n").alias("peak_requests_300s"), F.max("b").alias("peak_bytes_300s"))
     )
-    return totals.join(peaks, "fd_id").select(HEADER_COLS)
+    repeated = rows.groupBy("fd_id").agg(F.sum(F.col("bytes") + F.col("tr_bytes")).alias("again"))
+    cold = F.col("total_served_bytes") - F.coalesce("again", F.lit(0))
+    return (
+        totals.join(peaks, "fd_id")
+        .join(repeated, "fd_id", "left")
+        .withColumn("total_mib", F.call_function("div", cold, F.lit(MIB_UNIT)))
+        .select(HEADER_COLS)
+    )
 
 
-def descriptors_from_log(log: DataFrame, seconds_per_unit: int = 1) -> Descriptors:
-    return Descriptors(headers_from_log(log, seconds_per_unit), rows_from_log(log))
+def descriptors_from_log(log: DataFrame, seconds_per_unit: int = 1, **options) -> Descriptors:
+    """Descriptors of a log, stored as tables in the shared folder."""
+    objects = materialize(object_totals(log), "objects")
+    rows = materialize(rows_from_log(log, objects, **options), "rows")
+    headers = materialize(headers_from_log(log, objects, rows, seconds_per_unit), "headers")
+    return Descriptors(headers, rows)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from spoor.functions.numeric import int_div, times
 from spoor.model import HEADER_COLS, ROW_COLS, TRAFFIC_COLS, UNIQUE_COLS, VOLUME_COLS, Descriptors
 from spoor.operators.scan import Running, scan
+from spoor.session import materialize
 
 # Fixed value: default limit of the cache of one machine, in mb (4 TB).
 DEFAULT_CMAX = 4 * 1024 * 1024
@@ -56,7 +57,6 @@ def read_scaled(
         )
         .groupBy("concat_id", "ord", "delta_t")
         .agg(
-            F.max("mb").alias("_largest_mb"),
             F.max_by("mb", "_old_t").alias("mb"),
             F.max_by("objcount", "_old_t").alias("objcount"),
             *[F.sum(c).alias(c) for c in TRAFFIC_COLS],
@@ -85,40 +85,51 @@ def concat(
         weight.cast(_WIDE).alias("w"),
         F.count("*").over(Window.partitionBy("concat_id")).alias("n"),
     )
-    largest = rows.groupBy("concat_id", "ord").agg(F.max("_largest_mb").alias("max_mb"))
-    within = rows.filter(F.col("mb") <= cmax) if cmax > 0 else rows
-    at_size = (
-        within.groupBy("concat_id", "ord", "mb")
+    at_size = materialize(
+        rows.groupBy("concat_id", "ord", "mb")
         .agg(
             F.sum("delta_t").alias("t_sum"),
             F.count("*").alias("t_count"),
             *[F.sum(c).alias(c) for c in TRAFFIC_COLS],
         )
-        .join(heads.join(largest, ["concat_id", "ord"]), ["concat_id", "ord"])
-        .withColumn("t_mean", int_div(F.col("t_sum"), F.col("t_count")))
+        .withColumn("t_mean", int_div(F.col("t_sum"), F.col("t_count"))),
+        "concat-sizes",
     )
-    stepped = scan(
+    placed = scan(
         at_size,
         ["concat_id", "ord"],
         ["mb"],
-        {"prev_mean": Running("lag", F.col("t_mean"))},
+        {
+            "prev_mean": Running("lag", F.col("t_mean")),
+            "next_mb": Running("lead", F.col("mb")),
+        },
     )
-    ends = F.col("mb") == F.col("max_mb")
+    if cmax > 0:
+        placed = placed.filter(F.col("mb") <= cmax)
     none = F.lit(0).cast("bigint")
-    grid = stepped.groupBy("concat_id", "mb").agg(
-        F.max("n").alias("n"),
-        F.sum((F.col("t_mean") - F.coalesce("prev_mean", none)) * F.col("w"))
+    wide_none = F.lit(0).cast(_WIDE)
+    ends = F.col("next_mb").isNull()
+    parts = placed.join(heads, ["concat_id", "ord"]).select(
+        "concat_id",
+        "mb",
+        "n",
+        ((F.col("t_mean") - F.coalesce("prev_mean", none)) * F.col("w"))
         .cast(_WIDE).alias("mean_step"),
-        F.sum(F.when(F.col("prev_mean").isNull(), F.col("w")).otherwise(none))
-        .cast(_WIDE).alias("w_step"),
-        F.sum(
+        F.when(F.col("prev_mean").isNull(), F.col("w")).otherwise(wide_none).alias("w_step"),
+        (
             F.col("w").cast("double")
             * (F.col("t_sum") - F.col("t_mean") * F.col("t_count"))
             / F.col("t_count")
         ).alias("fraction"),
-        F.sum(F.when(ends, 1).otherwise(0)).alias("ending"),
-        F.sum(F.when(ends, F.col("mb")).otherwise(none)).alias("ending_mb"),
-        *[F.sum(c).alias(c) for c in TRAFFIC_COLS],
+        F.when(ends, F.lit(1).cast("bigint")).otherwise(none).alias("ending"),
+        F.when(ends, F.col("mb")).otherwise(none).alias("ending_mb"),
+        *TRAFFIC_COLS,
+    )
+    steps = ["mean_step", "w_step", "ending", "ending_mb"]
+    grid = parts.groupBy("concat_id", "mb").agg(
+        F.max("n").alias("n"),
+        F.sum("fraction").alias("fraction"),
+        *[F.sum(c).cast(parts.schema[c].dataType).alias(c) for c in [*steps, *TRAFFIC_COLS]],
     )
     swept = scan(
         grid,
@@ -130,6 +141,7 @@ def concat(
             "ended": Running("sum", F.col("ending")),
             "ended_mb": Running("sum", F.col("ending_mb")),
         },
+        source=parts,
     )
     weights = F.col("weights").cast("double")
     body = (

@@ -303,15 +303,14 @@ def mix_in_levels(
 ) -> Descriptors:
     """Rule tables applied one after the other; a level sees the descriptors given
     and the results of the levels before it.  Returns the last level's mixes."""
-    known, result = d, d
+    known, result = Descriptors(d.headers, linked(d.rows)), d
     for number, rules in enumerate(levels):
         result = mix(rules, known, **options)
         if number + 1 < len(levels):
-            result = Descriptors(
-                materialize(result.headers, f"level{number}-headers"),
-                materialize(result.rows, f"level{number}-rows"),
-            )
-            known = known.union(result)
+            headers = materialize(result.headers, f"level{number}-headers")
+            rows = materialize(result.rows, f"level{number}-rows")
+            result = Descriptors(headers, rows)
+            known = known.union(Descriptors(headers, linked(rows)))
     return result
 
 

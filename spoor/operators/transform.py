@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from spoor.functions.numeric import int_div, over, times
 from spoor.model import (
     HEADER_COLS,
+    LINK_COLS,
     ROW_COLS,
     TRAFFIC_COLS,
     UNIQUE_COLS,
@@ -21,8 +22,6 @@ from spoor.model import (
 )
 from spoor.operators.scan import Running, scan
 
-LINK_COLS = ["prev_mb", "prev_objcount", "next_delta_t", "first_delta_t"]
-
 
 def linked(rows: DataFrame) -> DataFrame:
     """``rows`` plus the neighbouring values of each row; a table that carries

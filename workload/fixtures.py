@@ -6,9 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spoor.model import RULE_SCHEMA, Descriptors
-from spoor.operators.accesslog import headers_from_log, rows_from_log
-from spoor.operators.transform import linked
-from spoor.session import materialize
+from spoor.operators.accesslog import descriptors_from_log
 
 MICROS = "timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', CAST({} AS TIMESTAMP_NTZ))"
 SECONDS_PER_DAY = 86400
@@ -62,10 +60,7 @@ def descriptors(spark: SparkSession, sf_dir: str, source: str) -> Descriptors:
     key = (spark.sparkContext.applicationId, sf_dir, source)
     if key not in _built:
         make_log, unit = LOGS[source]
-        log = make_log(spark, sf_dir)
-        headers = materialize(headers_from_log(log, unit), f"{source}-headers")
-        rows = materialize(rows_from_log(log), f"{source}-rows")
-        _built[key] = Descriptors(headers, materialize(linked(rows), f"{source}-linked"))
+        _built[key] = descriptors_from_log(make_log(spark, sf_dir), unit)
     return _built[key]
 
 
@@ -99,14 +94,25 @@ SHARED_CACHE = [("pair", "click"), ("pair", "view"), ("all", "click"), ("all", "
                 ("all", "error"), ("all", "signup"), ("all", "purchase"), ("one", "error")]
 
 
+def literal(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A small table written out in the plan itself."""
+    names, types = zip(*[c.split() for c in schema.split(", ")])
+    tuples = ", ".join("(" + ", ".join(repr(v) for v in r) + ")" for r in rows)
+    return spark.sql(f"SELECT * FROM VALUES {tuples} AS t({', '.join(names)})").select(
+        *[F.col(n).cast(t).alias(n) for n, t in zip(names, types)]
+    )
+
+
 def rules(spark: SparkSession, *sets: list[tuple]) -> DataFrame:
-    return spark.createDataFrame([r for s in sets for r in s], RULE_SCHEMA)
+    return literal(spark, [r for s in sets for r in s], RULE_SCHEMA)
 
 
 def concat_rules(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        CONCAT, "concat_id string, ord int, fd_id string, scale double"
-    )
+    return literal(spark, CONCAT, "concat_id string, ord int, fd_id string, scale double")
+
+
+def sharers(spark: SparkSession) -> DataFrame:
+    return literal(spark, SHARED_CACHE, "mix_id string, fd_id string")
 
 
 def customer_map(spark: SparkSession, sf_dir: str) -> DataFrame:

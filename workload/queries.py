@@ -44,12 +44,17 @@ def _all_headers(spark: SparkSession, sf: str) -> DataFrame:
 
 def _built(spark: SparkSession, sf: str, name: str) -> DataFrame:
     """The descriptor rows computed from the log, not the stored table."""
-    make_log, _ = fx.LOGS[name]
-    return accesslog.rows_from_log(make_log(spark, sf))
+    log = fx.LOGS[name][0](spark, sf)
+    return accesslog.rows_from_log(log, accesslog.object_totals(log)).select(ROW_COLS)
 
 
 def _built_headers(spark: SparkSession, sf: str) -> DataFrame:
-    parts = [accesslog.headers_from_log(make(spark, sf), unit) for make, unit in fx.LOGS.values()]
+    parts = []
+    for name, (make_log, unit) in fx.LOGS.items():
+        log, rows = make_log(spark, sf), fx.descriptors(spark, sf, name).rows
+        parts.append(
+            accesslog.headers_from_log(log, accesslog.object_totals(log), rows, unit)
+        )
     return parts[0].unionByName(parts[1])
 
 
@@ -144,8 +149,7 @@ def all_queries() -> dict[str, Query]:
     q["stack_distances"] = _lines(lambda d: lookup.stack_distances(d.rows))
     q["markers"] = _events(lambda d: lookup.markers(d.rows, SIZES))
     q["quick_add"] = lambda s, sf: quickadd.quick_add(
-        s.createDataFrame(fx.SHARED_CACHE, "mix_id string, fd_id string"),
-        fx.descriptors(s, sf, "events"), 1000000)
+        fx.sharers(s), fx.descriptors(s, sf, "events"), 1000000)
     q["quick_lookup"] = _events(lambda d: quickadd.quick_lookup(d, 500000))
     q["concat"] = _concat_of("rows")
     q["concat_weighted"] = _concat_of("rows", weigh_by_traffic=True, cmax=1200000)
