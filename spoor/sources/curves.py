@@ -10,6 +10,7 @@ from spoor.sources.lines import (
     COUNT_PREFIX,
     SPACE_PREFIX,
     base_name,
+    folder_value,
     integer,
     read_lines,
     strip_key,
@@ -78,8 +79,8 @@ def read_curve(
 ) -> DataFrame:
     """Points of curve files; percentages come back with the one digit written."""
     lines = read_lines(spark, path).filter(~F.col("value").startswith("#"))
-    holder = F.regexp_extract("file", r"^(.*)/[^/]*$", 1) if folders else F.col("file")
-    name = strip_key(F.regexp_replace(base_name(holder), r"^[^=]*=", ""))
+    folder = F.regexp_extract("file", r"^(.*)/[^/]*$", 1)
+    name = strip_key(folder_value(folder) if folders else base_name(F.col("file")))
     words = tokens(F.col("value"))
     return lines.select(
         F.regexp_replace(name, r"^std(space|count)\.", "").alias("fd_id"),

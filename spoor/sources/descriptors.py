@@ -19,6 +19,7 @@ from spoor.operators.transform import coalesce_rows, validity
 from spoor.sources.lines import (
     DESCRIPTOR_PREFIX,
     base_name,
+    folder_value,
     integer,
     key_index,
     listed_files,
@@ -76,7 +77,7 @@ def read_descriptors(
             "value",
         )
         seen = seen.select(parent.alias("file")).distinct()
-        named = F.regexp_replace(base_name(F.col("file")), r"^[^=]*=", "")
+        named = folder_value(F.col("file"))
     else:
         named = base_name(F.col("file"))
 

@@ -13,14 +13,26 @@ KEY_SUFFIX = r"(?i)\.key(\d+)$"
 
 
 def decoded(path: Column) -> Column:
-    """File paths arrive URL-encoded; class names may contain ``^`` or ``+``."""
-    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    """File paths arrive URL-encoded; class names may contain ``^`` or ``+``.  Local
+    paths come with one slash or with three."""
+    plain = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(plain, "^file:/+", "file:/")
 
 
 def base_name(path: Column) -> Column:
     return F.regexp_extract(path, r"([^/]*)/*$", 1)
 
 
+def folder_value(path: Column) -> Column:
+    """What a partition folder ``column=value`` stands for; its value is escaped the
+    same way as a URL."""
+    name = base_name(path)
+    value = F.regexp_extract(name, r"^[^=]+=(.*)$", 1)
+    return F.when(
+        name.contains("="), F.url_decode(F.replace(value, F.lit("+"), F.lit("%2B")))
+    ).otherwise(name)
+
+
 def strip_key(name: Column) -> Column:
     """File name without its encryption-key suffix."""
     return F.regexp_replace(name, KEY_SUFFIX, "")

@@ -17,7 +17,7 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "4g")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.sql.shuffle.partitions", "2")
         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="spoor-test-"))
         .getOrCreate()
     )
