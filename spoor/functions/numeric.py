@@ -1,9 +1,9 @@
-"""Integer arithmetic shared by the operators.
+"""Integer arithmetic shared by the operators, as SQL expressions.
 
 Every counter is a BIGINT.  Products and quotients with a real factor are
 computed in double precision and cut toward zero, which is what CAST does.
-``compat_float32`` rounds through FLOAT first, for comparison with results that
-were produced in single precision.
+``single`` rounds through FLOAT first, for comparison with results that were
+produced in single precision.
 """
 
 from __future__ import annotations
@@ -12,23 +12,38 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _real(x: Column, compat_float32: bool) -> Column:
-    return x.cast("float") if compat_float32 else x.cast("double")
+def _real(x: str, single: bool) -> str:
+    return f"CAST({x} AS {'FLOAT' if single else 'DOUBLE'})"
 
 
-def times(x: Column, factor: Column, compat_float32: bool = False) -> Column:
-    return (_real(x, compat_float32) * _real(factor, compat_float32)).cast("bigint")
+def times(x: str, factor: str | float, single: bool = False) -> str:
+    return f"CAST({_real(x, single)} * {_real(str(factor), single)} AS BIGINT)"
 
 
-def over(x: Column, divisor: Column, compat_float32: bool = False) -> Column:
-    return (_real(x, compat_float32) / _real(divisor, compat_float32)).cast("bigint")
+def over(x: str, divisor: str | float, single: bool = False) -> str:
+    return f"CAST({_real(x, single)} / {_real(str(divisor), single)} AS BIGINT)"
 
 
-def int_div(x: Column, divisor: Column) -> Column:
+def int_div(x: str, divisor: str | int) -> str:
     """Integer quotient cut toward zero; NULL for a zero divisor."""
-    return F.when(divisor != 0, F.call_function("div", x, divisor))
+    return f"CASE WHEN ({divisor}) <> 0 THEN ({x}) div ({divisor}) END"
 
 
-def percent(x: Column, total: Column) -> Column:
+def percent(x: str, total: str) -> str:
     """``x`` in percent of ``total``; NULL where the total is 0."""
-    return F.when(total != 0, x * F.lit(100.0) / total)
+    return f"CASE WHEN ({total}) <> 0 THEN ({x}) * 100.0D / ({total}) END"
+
+
+def named(expressions: dict[str, str]) -> list[str]:
+    """``{name: expression}`` as a select list."""
+    return [f"{e} AS {name}" for name, e in expressions.items()]
+
+
+def aggregates(expressions: dict[str, str]) -> list[Column]:
+    """``{name: expression}`` for ``agg``."""
+    return [F.expr(e) for e in named(expressions)]
+
+
+def sums(names: list[str]) -> dict[str, str]:
+    """Each column summed under its own name."""
+    return {c: f"sum({c})" for c in names}

@@ -11,9 +11,10 @@ not exceed it.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from spoor.functions.numeric import aggregates, named, sums
 from spoor.model import HEADER_COLS, ROW_COLS, TRAFFIC_COLS, Descriptors
 from spoor.operators.scan import Running, scan
 from spoor.session import materialize
@@ -30,11 +31,8 @@ MIB_UNIT = 1000
 def object_totals(log: DataFrame) -> DataFrame:
     """Number, bytes and times of the accesses of each object of each class."""
     return log.groupBy("fd_id", "obj").agg(
-        F.count("*").alias("n"),
-        F.sum("sz").alias("b"),
-        F.min("sec").alias("t0"),
-        F.max("sec").alias("t1"),
-        F.max("sz").alias("size"),
+        *aggregates({"n": "count(*)", "b": "sum(sz)", "t0": "min(sec)", "t1": "max(sec)",
+                     "size": "max(sz)"})
     )
 
 
@@ -48,69 +46,55 @@ def numbered_accesses(
     access time of each stretch travel along the object.  The list of hot objects is
     short by its definition: at most one per ``hot_accesses`` log lines.
     """
-    hot = objects.filter(F.col("n") > hot_accesses).select(
-        "fd_id", "obj", F.lit(stretch).alias("_length")
+    key = ["fd_id", "obj"]
+    hot = objects.filter(F.col("n") > hot_accesses).selectExpr(*key, f"{stretch} AS _length")
+    cut = log.join(hot, key, "left").selectExpr(
+        "*", "CASE WHEN _length IS NOT NULL THEN sec div _length END AS _stretch"
     )
-    cut = log.join(hot, ["fd_id", "obj"], "left").withColumn(
-        "_stretch",
-        F.when(
-            F.col("_length").isNotNull(),
-            F.call_function("div", F.col("sec"), F.col("_length")),
-        ),
-    )
-    inside = Window.partitionBy("fd_id", "obj", "_stretch").orderBy("ord1", "ord2", "sz")
-    along = Window.partitionBy("fd_id", "obj").orderBy("_stretch")
+    along = "OVER (PARTITION BY fd_id, obj ORDER BY _stretch"
     carry = (
-        log.join(hot, ["fd_id", "obj"])
-        .groupBy("fd_id", "obj", F.call_function("div", F.col("sec"), F.col("_length"))
-                 .alias("_stretch"))
-        .agg(F.count("*").alias("n"), F.max("sec").alias("last_sec"))
-        .select(
-            "fd_id",
-            "obj",
+        log.join(hot, key)
+        .groupBy(*key, F.expr("sec div _length AS _stretch"))
+        .agg(*aggregates({"n": "count(*)", "last_sec": "max(sec)"}))
+        .selectExpr(
+            *key,
             "_stretch",
-            F.sum("n").over(along.rowsBetween(Window.unboundedPreceding, -1)).alias("_n_before"),
-            F.lag("last_sec").over(along).alias("_sec_before"),
+            f"sum(n) {along} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS _n_before",
+            f"lag(last_sec) {along}) AS _sec_before",
         )
     )
-    local = cut.select(
-        "*",
-        F.row_number().over(inside).alias("_k"),
-        F.lag("sec").over(inside).alias("_prev"),
-    )
-    return local.join(carry, ["fd_id", "obj", "_stretch"], "left").select(
-        "fd_id",
-        "obj",
+    inside = "OVER (PARTITION BY fd_id, obj, _stretch ORDER BY ord1, ord2, sz)"
+    local = cut.selectExpr("*", f"row_number() {inside} AS _k", f"lag(sec) {inside} AS _prev")
+    return local.join(carry, [*key, "_stretch"], "left").selectExpr(
+        *key,
         "sec",
         "sz",
-        (F.col("_k") + F.coalesce("_n_before", F.lit(0))).cast("bigint").alias("k"),
-        (F.col("sec") - F.coalesce("_prev", "_sec_before")).alias("iat"),
+        "CAST(_k + coalesce(_n_before, 0) AS BIGINT) AS k",
+        "sec - coalesce(_prev, _sec_before) AS iat",
     )
 
 
 def traffic_by_iat(numbered: DataFrame) -> DataFrame:
     """Per class and IAT: traffic, and number and size of the objects entering there."""
     again = numbered.filter("k >= 2")
-    regular, transition = F.col("k") >= 3, F.col("k") == 2
-    one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
-    traffic = again.select(
+    traffic = again.selectExpr(
         "fd_id",
-        F.col("iat").alias("delta_t"),
-        F.when(regular, one).otherwise(none).alias("requests"),
-        F.when(regular, F.col("sz")).otherwise(none).alias("bytes"),
-        F.when(transition, F.col("sz")).otherwise(none).alias("tr_bytes"),
-        F.when(transition, one).otherwise(none).alias("tr_requests"),
-        none.alias("entering"),
-        none.alias("entering_size"),
+        "iat AS delta_t",
+        "if(k >= 3, 1L, 0L) AS requests",
+        "if(k >= 3, sz, 0L) AS bytes",
+        "if(k = 2, sz, 0L) AS tr_bytes",
+        "if(k = 2, 1L, 0L) AS tr_requests",
+        "0L AS entering",
+        "0L AS entering_size",
     )
     entering = (
         again.groupBy("fd_id", "obj")
-        .agg(F.min("iat").alias("delta_t"), F.max("sz").alias("entering_size"))
-        .select("fd_id", "delta_t", *[none.alias(c) for c in TRAFFIC_COLS],
-                one.alias("entering"), "entering_size")
+        .agg(*aggregates({"delta_t": "min(iat)", "entering_size": "max(sz)"}))
+        .selectExpr("fd_id", "delta_t", *[f"0L AS {c}" for c in TRAFFIC_COLS],
+                    "1L AS entering", "entering_size")
     )
     return traffic.unionByName(entering).groupBy("fd_id", "delta_t").agg(
-        *[F.sum(c).alias(c) for c in [*TRAFFIC_COLS, "entering", "entering_size"]]
+        *aggregates(sums([*TRAFFIC_COLS, "entering", "entering_size"]))
     )
 
 
@@ -133,17 +117,16 @@ def rows_from_traffic(per_iat: DataFrame) -> DataFrame:
         ["fd_id"],
         ["delta_t"],
         {
-            "mb": Running("sum", F.col("entering_size")),
-            "objcount": Running("sum", F.col("entering")),
-            "next_delta_t": Running("lead", F.col("delta_t")),
-            "first_delta_t": Running("first", F.col("delta_t")),
+            "mb": Running("sum", "entering_size"),
+            "objcount": Running("sum", "entering"),
+            "next_delta_t": Running("lead", "delta_t"),
+            "first_delta_t": Running("first", "delta_t"),
         },
     )
-    later = F.col("delta_t") > F.col("first_delta_t")
-    return grown.select(
+    return grown.selectExpr(
         *ROW_COLS,
-        F.when(later, F.col("mb") - F.col("entering_size")).alias("prev_mb"),
-        F.when(later, F.col("objcount") - F.col("entering")).alias("prev_objcount"),
+        "if(delta_t > first_delta_t, mb - entering_size, NULL) AS prev_mb",
+        "if(delta_t > first_delta_t, objcount - entering, NULL) AS prev_objcount",
         "next_delta_t",
         "first_delta_t",
     )
@@ -155,24 +138,26 @@ def headers_from_log(
     """One header per class; ``total_mib`` is the volume of first accesses, that is
     what is not in the descriptor's ``rows``."""
     totals = objects.groupBy("fd_id").agg(
-        F.sum("n").alias("total_requests"),
-        F.sum("b").alias("total_served_bytes"),
-        ((F.max("t1") - F.min("t0")) * seconds_per_unit).cast("bigint").alias("duration"),
-        F.count("*").alias("unique_objects"),
-        F.sum("size").alias("unique_bytes"),
+        *aggregates({
+            "total_requests": "sum(n)",
+            "total_served_bytes": "sum(b)",
+            "duration": f"CAST((max(t1) - min(t0)) * {seconds_per_unit} AS BIGINT)",
+            "unique_objects": "count(*)",
+            "unique_bytes": "sum(size)",
+        })
     )
     peaks = (
-        log.groupBy("fd_id", F.call_function("div", F.col("sec"), F.lit(PEAK_SLOT)).alias("slot"))
-        .agg(F.count("*").alias("n"), F.sum("sz").alias("b"))
+        log.groupBy("fd_id", F.expr(f"sec div {PEAK_SLOT} AS slot"))
+        .agg(*aggregates({"n": "count(*)", "b": "sum(sz)"}))
         .groupBy("fd_id")
-        .agg(F.max("n").alias("peak_requests_300s"), F.max("b").alias("peak_bytes_300s"))
+        .agg(*aggregates({"peak_requests_300s": "max(n)", "peak_bytes_300s": "max(b)"}))
     )
-    repeated = rows.groupBy("fd_id").agg(F.sum(F.col("bytes") + F.col("tr_bytes")).alias("again"))
-    cold = F.col("total_served_bytes") - F.coalesce("again", F.lit(0))
+    repeated = rows.groupBy("fd_id").agg(*aggregates({"again": "sum(bytes + tr_bytes)"}))
+    mib = {"total_mib": f"(total_served_bytes - coalesce(again, 0)) div {MIB_UNIT}"}
     return (
         totals.join(peaks, "fd_id")
         .join(repeated, "fd_id", "left")
-        .withColumn("total_mib", F.call_function("div", cold, F.lit(MIB_UNIT)))
+        .selectExpr("*", *named(mib))
         .select(HEADER_COLS)
     )
 

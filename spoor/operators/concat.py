@@ -7,17 +7,18 @@ footprint axis, so the work is linear in the rows, not members times footprints.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spoor.functions.numeric import int_div, times
+from spoor.functions.numeric import aggregates, int_div, sums, times
 from spoor.model import HEADER_COLS, ROW_COLS, TRAFFIC_COLS, UNIQUE_COLS, VOLUME_COLS, Descriptors
 from spoor.operators.scan import Running, scan
+from spoor.operators.transform import changed
 from spoor.session import materialize
 
 # Fixed value: default limit of the cache of one machine, in mb (4 TB).
 DEFAULT_CMAX = 4 * 1024 * 1024
-_WIDE = "decimal(38,0)"
+_WIDE = "DECIMAL(38, 0)"
 
 
 def read_scaled(
@@ -31,40 +32,44 @@ def read_scaled(
     """
     absent = rules.join(d.headers.select("fd_id"), "fd_id", "left_anti").select("concat_id")
     broken = absent.unionByName(rules.filter("scale = 0").select("concat_id")).distinct()
-    factor = F.col("scale")
     complete = rules.join(broken, "concat_id", "left_anti")
-    headers = complete.join(d.headers, "fd_id").select(
-        "concat_id",
-        "ord",
-        "fd_id",
-        "scale",
-        *[
-            times(F.col(c), factor, compat_float32).alias(c) if c in VOLUME_COLS else c
-            for c in HEADER_COLS[1:]
-        ],
+
+    def scaled(c: str) -> str:
+        return times(c, "scale", compat_float32)
+
+    headers = changed(
+        complete.join(d.headers, "fd_id"),
+        ["concat_id", "ord", "fd_id", "scale", *HEADER_COLS[1:]],
+        dict.fromkeys(VOLUME_COLS, scaled),
     )
     rows = (
         d.rows.select(ROW_COLS)
         .join(complete, "fd_id")
-        .select(
+        .selectExpr(
             "concat_id",
             "ord",
-            F.col("delta_t").alias("_old_t"),
-            times(F.col("delta_t"), factor, compat_float32).alias("delta_t"),
+            "delta_t AS _old_t",
             "mb",
             "objcount",
-            *[times(F.col(c), factor, compat_float32).alias(c) for c in TRAFFIC_COLS],
+            *[f"{scaled(c)} AS {c}" for c in ["delta_t", *TRAFFIC_COLS]],
         )
         .groupBy("concat_id", "ord", "delta_t")
-        .agg(
-            F.max_by("mb", "_old_t").alias("mb"),
-            F.max_by("objcount", "_old_t").alias("objcount"),
-            *[F.sum(c).alias(c) for c in TRAFFIC_COLS],
-        )
+        .agg(*aggregates({"mb": "max_by(mb, _old_t)", "objcount": "max_by(objcount, _old_t)",
+                          **sums(TRAFFIC_COLS)}))
     )
     return headers, rows
 
 
+def concat_headers(headers: DataFrame, min_ghost: int = 1) -> DataFrame:
+    """Totals of the scaled member ``headers`` per ``concat_id``."""
+    shared = {c: int_div(f"sum({c})", max(min_ghost, 1)) for c in UNIQUE_COLS}
+    return (
+        headers.groupBy(F.col("concat_id").alias("fd_id"))
+        .agg(*aggregates({**sums(VOLUME_COLS), "duration": "max(duration)", **shared}))
+        .select(HEADER_COLS)
+    )
+
+
 def concat(
     rules: DataFrame,
     d: Descriptors,
@@ -75,105 +80,75 @@ def concat(
 ) -> Descriptors:
     """All concat rule sets ``(concat_id, ord, fd_id, scale)``; the result's ``fd_id`` is
     the ``concat_id``.  Footprints above ``cmax`` are dropped (<= 0: no limit)."""
-    ghosts = max(min_ghost, 1)
     headers, rows = read_scaled(rules, d, compat_float32)
+    return Descriptors(
+        concat_headers(headers, min_ghost), _concat_rows(headers, rows, weigh_by_traffic, cmax)
+    )
+
 
-    weight = F.col("total_served_bytes") if weigh_by_traffic else F.lit(1).cast("bigint")
-    heads = headers.select(
+def _concat_rows(
+    headers: DataFrame, rows: DataFrame, weigh_by_traffic: bool, cmax: int
+) -> DataFrame:
+    heads = headers.selectExpr(
         "concat_id",
         "ord",
-        weight.cast(_WIDE).alias("w"),
-        F.count("*").over(Window.partitionBy("concat_id")).alias("n"),
+        f"CAST({'total_served_bytes' if weigh_by_traffic else 1} AS {_WIDE}) AS w",
+        "count(*) OVER (PARTITION BY concat_id) AS n",
     )
     at_size = materialize(
         rows.groupBy("concat_id", "ord", "mb")
-        .agg(
-            F.sum("delta_t").alias("t_sum"),
-            F.count("*").alias("t_count"),
-            *[F.sum(c).alias(c) for c in TRAFFIC_COLS],
-        )
-        .withColumn("t_mean", int_div(F.col("t_sum"), F.col("t_count"))),
+        .agg(*aggregates({"t_sum": "sum(delta_t)", "t_count": "count(*)", **sums(TRAFFIC_COLS)}))
+        .selectExpr("*", "t_sum div t_count AS t_mean"),
         "concat-sizes",
     )
     placed = scan(
         at_size,
         ["concat_id", "ord"],
         ["mb"],
-        {
-            "prev_mean": Running("lag", F.col("t_mean")),
-            "next_mb": Running("lead", F.col("mb")),
-        },
+        {"prev_mean": Running("lag", "t_mean"), "next_mb": Running("lead", "mb")},
     )
     if cmax > 0:
-        placed = placed.filter(F.col("mb") <= cmax)
-    none = F.lit(0).cast("bigint")
-    wide_none = F.lit(0).cast(_WIDE)
-    ends = F.col("next_mb").isNull()
-    parts = placed.join(heads, ["concat_id", "ord"]).select(
+        placed = placed.filter(f"mb <= {cmax}")
+    # what a member adds where one of its footprints lies: to the sum of the mean IATs,
+    # to the weights (at its first), to the members past their last footprint
+    parts = placed.join(heads, ["concat_id", "ord"]).selectExpr(
         "concat_id",
         "mb",
         "n",
-        ((F.col("t_mean") - F.coalesce("prev_mean", none)) * F.col("w"))
-        .cast(_WIDE).alias("mean_step"),
-        F.when(F.col("prev_mean").isNull(), F.col("w")).otherwise(wide_none).alias("w_step"),
-        (
-            F.col("w").cast("double")
-            * (F.col("t_sum") - F.col("t_mean") * F.col("t_count"))
-            / F.col("t_count")
-        ).alias("fraction"),
-        F.when(ends, F.lit(1).cast("bigint")).otherwise(none).alias("ending"),
-        F.when(ends, F.col("mb")).otherwise(none).alias("ending_mb"),
+        f"CAST((t_mean - coalesce(prev_mean, 0L)) * w AS {_WIDE}) AS mean_step",
+        f"if(prev_mean IS NULL, w, CAST(0 AS {_WIDE})) AS w_step",
+        "CAST(w AS DOUBLE) * (t_sum - t_mean * t_count) / t_count AS fraction",
+        "if(next_mb IS NULL, 1L, 0L) AS ending",
+        "if(next_mb IS NULL, mb, 0L) AS ending_mb",
         *TRAFFIC_COLS,
     )
-    steps = ["mean_step", "w_step", "ending", "ending_mb"]
+    wide = {c: f"CAST(sum({c}) AS {_WIDE})" for c in ("mean_step", "w_step")}
     grid = parts.groupBy("concat_id", "mb").agg(
-        F.max("n").alias("n"),
-        F.sum("fraction").alias("fraction"),
-        *[F.sum(c).cast(parts.schema[c].dataType).alias(c) for c in [*steps, *TRAFFIC_COLS]],
+        *aggregates({"n": "max(n)", **wide,
+                     **sums(["fraction", "ending", "ending_mb", *TRAFFIC_COLS])})
     )
     swept = scan(
         grid,
         ["concat_id"],
         ["mb"],
         {
-            "weighted": Running("sum", F.col("mean_step")),
-            "weights": Running("sum", F.col("w_step")),
-            "ended": Running("sum", F.col("ending")),
-            "ended_mb": Running("sum", F.col("ending_mb")),
+            "weighted": Running("sum", "mean_step"),
+            "weights": Running("sum", "w_step"),
+            "ended": Running("sum", "ending"),
+            "ended_mb": Running("sum", "ending_mb"),
         },
         source=parts,
     )
-    weights = F.col("weights").cast("double")
-    body = (
-        swept.select(
-            F.col("concat_id").alias("fd_id"),
-            F.when(
-                weights > 0,
-                ((F.col("weighted").cast("double") + F.col("fraction")) / weights)
-                .cast("bigint"),
-            ).otherwise(none).alias("delta_t"),
-            F.col("mb").alias("_size"),
-            (
-                F.col("mb") * (F.col("n") - (F.col("ended") - F.col("ending")))
-                + F.col("ended_mb") - F.col("ending_mb")
-            ).alias("mb"),
+    mean = "CAST((CAST(weighted AS DOUBLE) + fraction) / CAST(weights AS DOUBLE) AS BIGINT)"
+    return (
+        swept.selectExpr(
+            "concat_id AS fd_id",
+            f"if(weights > 0, {mean}, 0L) AS delta_t",
+            "mb AS _size",
+            "mb * (n - (ended - ending)) + ended_mb - ending_mb AS mb",
             *TRAFFIC_COLS,
         )
         .groupBy("fd_id", "delta_t")
-        .agg(
-            F.max_by("mb", "_size").alias("mb"),
-            F.lit(0).cast("bigint").alias("objcount"),
-            *[F.sum(c).alias(c) for c in TRAFFIC_COLS],
-        )
+        .agg(*aggregates({"mb": "max_by(mb, _size)", "objcount": "0L", **sums(TRAFFIC_COLS)}))
         .select(ROW_COLS)
     )
-    total = (
-        headers.groupBy(F.col("concat_id").alias("fd_id"))
-        .agg(
-            *[F.sum(c).alias(c) for c in VOLUME_COLS],
-            F.max("duration").alias("duration"),
-            *[int_div(F.sum(c), F.lit(ghosts)).alias(c) for c in UNIQUE_COLS],
-        )
-        .select(HEADER_COLS)
-    )
-    return Descriptors(total, body)

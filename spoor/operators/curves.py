@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from spoor.functions.numeric import percent
+from spoor.functions.numeric import aggregates, named, percent
 from spoor.model import Descriptors
 from spoor.operators.scan import Running, scan
 
@@ -21,51 +20,44 @@ class Quota:
     max_count: int = 0
     min_count: int = 0
 
-    def admits(self, mb: Column, count: Column) -> Column:
-        ok = F.lit(True)
-        if self.max_mb > 0:
-            ok = ok & (mb <= self.max_mb)
-        if self.min_mb > 0:
-            ok = ok & (mb >= self.min_mb)
-        if self.max_count > 0:
-            ok = ok & (count <= self.max_count)
-        if self.min_count > 0:
-            ok = ok & (count >= self.min_count)
-        return ok
+    def admits(self) -> str:
+        limits = [
+            ("mb <= {}", self.max_mb),
+            ("mb >= {}", self.min_mb),
+            ("objcount <= {}", self.max_count),
+            ("objcount >= {}", self.min_count),
+        ]
+        return " AND ".join(["true", *[text.format(v) for text, v in limits if v > 0]])
 
 
 def within_quota(rows: DataFrame, quota: Quota) -> DataFrame:
-    return rows.filter(quota.admits(F.col("mb"), F.col("objcount")))
+    return rows.filter(quota.admits())
 
 
 def _curve(d: Descriptors, axis: str, include_transitions: bool, quota: Quota) -> DataFrame:
-    requests, served = F.col("requests"), F.col("bytes")
-    if include_transitions:
-        requests = requests + F.col("tr_requests")
-        served = served + F.col("tr_bytes")
+    extra = {"requests": " + tr_requests", "bytes": " + tr_bytes"} if include_transitions else {}
     at_size = (
         within_quota(d.rows, quota)
         .groupBy("fd_id", axis)
-        .agg(F.sum(requests).alias("requests"), F.sum(served).alias("bytes"))
+        .agg(*aggregates({c: f"sum({c}{extra.get(c, '')})" for c in ("requests", "bytes")}))
     )
     running = scan(
         at_size,
         ["fd_id"],
         [axis],
-        {
-            "hit_requests": Running("sum", F.col("requests")),
-            "hit_bytes": Running("sum", F.col("bytes")),
-        },
+        {"hit_requests": Running("sum", "requests"), "hit_bytes": Running("sum", "bytes")},
     )
     totals = d.headers.select("fd_id", "total_requests", "total_served_bytes", "total_mib")
-    hit = F.col("hit_bytes") - F.col("total_mib")
-    return running.join(totals, "fd_id").select(
+    hit = "hit_bytes - total_mib"
+    return running.join(totals, "fd_id").selectExpr(
         "fd_id",
         axis,
-        F.col("hit_requests").alias("requests"),
-        percent(F.col("hit_requests"), F.col("total_requests")).alias("request_pct"),
-        hit.alias("bytes"),
-        percent(hit, F.col("total_served_bytes")).alias("byte_pct"),
+        *named({
+            "requests": "hit_requests",
+            "request_pct": percent("hit_requests", "total_requests"),
+            "bytes": hit,
+            "byte_pct": percent(hit, "total_served_bytes"),
+        }),
     )
 
 
@@ -85,10 +77,8 @@ def count_curve(
 
 def max_hit_rate(curve: DataFrame, headers: DataFrame) -> DataFrame:
     """Byte hit rate (%) at the largest size of each space curve, 0 without traffic."""
-    top = curve.groupBy("fd_id").agg(F.max_by("bytes", "mb").alias("bytes"))
-    total = F.col("total_served_bytes")
-    return top.join(headers.select("fd_id", "total_served_bytes"), "fd_id").select(
-        "fd_id",
-        F.when(total > 0, percent(F.col("bytes"), total)).otherwise(F.lit(0.0))
-        .alias("max_hit_rate"),
+    top = curve.groupBy("fd_id").agg(*aggregates({"bytes": "max_by(bytes, mb)"}))
+    rate = percent("bytes", "total_served_bytes")
+    return top.join(headers.select("fd_id", "total_served_bytes"), "fd_id").selectExpr(
+        "fd_id", f"if(total_served_bytes > 0, {rate}, 0D) AS max_hit_rate"
     )

@@ -7,91 +7,72 @@ a rows-times-probes product occurs.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from spoor.functions.numeric import percent
+from spoor.functions.numeric import aggregates, percent
 from spoor.model import TRAFFIC_COLS
 from spoor.operators.curves import Quota
 from spoor.operators.scan import Running, scan
 
+_PAYLOAD = ["mb", "objcount", *TRAFFIC_COLS]
+
+
+def _others(probes: DataFrame, *taken: str) -> list[str]:
+    return [c for c in probes.columns if c not in taken]
+
 
 def _floor_join(
-    rows: DataFrame,
-    probes: DataFrame,
-    key: str,
-    axis: str,
-    probe: str,
-    payload: list[str],
-    fallback: str = "first",
+    rows: DataFrame, probes: DataFrame, axis: str, probe: str, payload: list[str]
 ) -> DataFrame:
     """For each probe the payload of the row with the largest ``axis`` <= ``probe``;
-    before the first row that row itself (or nothing with ``fallback=''``)."""
-    value = F.struct(F.col(axis).alias("_axis"), *payload)
-    held = rows.select(
-        key, F.col(axis).alias("_at"), F.lit(0).alias("_kind"), value.alias("_row")
+    before the first row that row itself."""
+    fields = ", ".join([f"'_axis', {axis}", *[f"'{c}', {c}" for c in payload]])
+    held = rows.selectExpr(
+        "fd_id", f"{axis} AS _at", "0 AS _kind", f"named_struct({fields}) AS _row"
     )
-    extra = [c for c in probes.columns if c not in (key, probe)]
-    asked = probes.select(
-        key,
-        F.col(probe).cast("bigint").alias("_at"),
-        F.lit(1).alias("_kind"),
-        F.lit(None).cast(held.schema["_row"].dataType).alias("_row"),
-        *extra,
+    extra = _others(probes, "fd_id", probe)
+    asked = probes.selectExpr("fd_id", f"CAST({probe} AS BIGINT) AS _at", "1 AS _kind", *extra)
+    found = scan(
+        held.unionByName(asked, allowMissingColumns=True),
+        ["fd_id"],
+        ["_at", "_kind"],
+        {"_hit": Running("last", "_row"), "_head": Running("first", "_row")},
     )
-    wanted = {"_hit": Running("last", F.col("_row"))}
-    if fallback == "first":
-        wanted["_head"] = Running("first", F.col("_row"))
-    merged = scan(
-        held.unionByName(asked, allowMissingColumns=True), [key], ["_at", "_kind"], wanted
-    ).filter("_kind = 1")
-    got = F.coalesce(F.col("_hit"), F.col("_head")) if fallback == "first" else F.col("_hit")
     return (
-        merged.withColumn("_got", got)
+        found.filter("_kind = 1")
+        .selectExpr("*", "coalesce(_hit, _head) AS _got")
         .filter("_got IS NOT NULL")
-        .select(
-            key,
-            F.col("_at").alias(probe),
+        .selectExpr(
+            "fd_id",
+            f"_at AS {probe}",
             *extra,
-            F.col("_got._axis").alias(axis),
-            *[F.col(f"_got.{c}").alias(c) for c in payload],
+            f"_got._axis AS {axis}",
+            *[f"_got.{c} AS {c}" for c in payload],
         )
     )
 
 
 def _best_below(
-    rows: DataFrame,
-    probes: DataFrame,
-    axis: str,
-    probe: str,
-    answer: str,
+    rows: DataFrame, probes: DataFrame, axis: str, probe: str, answer: str
 ) -> DataFrame:
     """Per probe the largest ``answer`` among the rows with ``axis`` <= ``probe``,
     the descriptor's smallest ``answer`` if there is none."""
-    best = rows.groupBy("fd_id", axis).agg(
-        F.max(answer).alias("_best"), F.min(answer).alias("_least")
-    )
-    held = best.select(
-        "fd_id", F.col(axis).alias("_at"), F.lit(0).alias("_kind"), "_best", "_least"
-    )
-    none = F.lit(None).cast("bigint")
-    extra = [c for c in probes.columns if c not in ("fd_id", probe)]
-    asked = probes.select(
-        "fd_id", F.col(probe).cast("bigint").alias("_at"), F.lit(1).alias("_kind"),
-        none.alias("_best"), none.alias("_least"), *extra,
+    held = (
+        rows.groupBy("fd_id", axis)
+        .agg(*aggregates({"_best": f"max({answer})"}))
+        .selectExpr("fd_id", f"{axis} AS _at", "0 AS _kind", "_best")
     )
-    merged = scan(
+    extra = _others(probes, "fd_id", probe)
+    asked = probes.selectExpr("fd_id", f"CAST({probe} AS BIGINT) AS _at", "1 AS _kind", *extra)
+    found = scan(
         held.unionByName(asked, allowMissingColumns=True),
         ["fd_id"],
         ["_at", "_kind"],
-        {"_found": Running("max", F.col("_best"))},
+        {"_found": Running("max", "_best")},
     ).filter("_kind = 1")
-    least = rows.groupBy("fd_id").agg(F.min(answer).alias("_floor"))
-    return merged.join(least, "fd_id").select(
-        "fd_id",
-        F.col("_at").alias(probe),
-        *extra,
-        F.coalesce("_found", "_floor").alias(answer),
+    least = rows.groupBy("fd_id").agg(*aggregates({"_floor": f"min({answer})"}))
+    return found.join(least, "fd_id").selectExpr(
+        "fd_id", f"_at AS {probe}", *extra, f"coalesce(_found, _floor) AS {answer}"
     )
 
 
@@ -100,7 +81,7 @@ def _best_below(
 
 def asof(rows: DataFrame, probes: DataFrame) -> DataFrame:
     """Probes ``(fd_id, t)`` -> the row at the largest ``delta_t`` <= t, else the first row."""
-    return _floor_join(rows, probes, "fd_id", "delta_t", "t", ["mb", "objcount", *TRAFFIC_COLS])
+    return _floor_join(rows, probes, "delta_t", "t", _PAYLOAD)
 
 
 def matching(rows: DataFrame, probes: DataFrame) -> DataFrame:
@@ -109,14 +90,8 @@ def matching(rows: DataFrame, probes: DataFrame) -> DataFrame:
 
 
 def _exact_traffic(found: DataFrame) -> DataFrame:
-    exact = F.col("t") == F.col("delta_t")
-    return found.select(
-        *[
-            F.when(exact, F.col(c)).otherwise(F.lit(0)).cast("bigint").alias(c)
-            if c in TRAFFIC_COLS
-            else c
-            for c in found.columns
-        ]
+    return found.selectExpr(
+        *[f"if(t = delta_t, {c}, 0L) AS {c}" if c in TRAFFIC_COLS else c for c in found.columns]
     )
 
 
@@ -137,35 +112,31 @@ def asof_within(
     An unset limit admits everything; with ``unset_is_zero`` an unset limit next to
     a set one of the same side counts as a limit of 0.
     """
-    upper = _limits(quota.max_mb, quota.max_count, F.col("mb"), F.col("objcount"), "<=",
-                    unset_is_zero)
-    lower = _limits(quota.min_mb, quota.min_count, F.col("mb"), F.col("objcount"), ">=",
-                    unset_is_zero)
+    upper = _limits("<=", quota.max_mb, quota.max_count, unset_is_zero)
+    lower = _limits(">=", quota.min_mb, quota.min_count, unset_is_zero)
     if upper is None and lower is None:
         return asof(rows, probes)
-    at = F.col("delta_t")
-    marks = {"_head": Running("first", at), "_tail": Running("max", at)}
+    marks = {"_head": Running("first", "delta_t")}
     if upper is not None:
-        marks["_back"] = Running("last", F.when(upper, at))
+        marks["_back"] = Running("last", f"if({upper}, delta_t, NULL)")
     if lower is not None:
-        marks["_ahead"] = Running("next", F.when(lower, at))
-    payload = ["mb", "objcount", *TRAFFIC_COLS]
-    base = scan(rows.select("fd_id", "delta_t", *payload), ["fd_id"], ["delta_t"], marks)
-    # where the walk back from a row ends: a delta_t of the same descriptor
-    back = F.coalesce("_back", "_head") if upper is not None else at
-    steps = base.select("fd_id", "delta_t", back.alias("_from"))
-    landed = _floor_join(steps, probes, "fd_id", "delta_t", "t", ["_from"])
+        marks["_ahead"] = Running("next", f"if({lower}, delta_t, NULL)")
+    base = scan(rows.select("fd_id", "delta_t", *_PAYLOAD), ["fd_id"], ["delta_t"], marks)
+    # where the walk back from a row ends: an IAT of the same descriptor
+    back = "coalesce(_back, _head)" if upper is not None else "delta_t"
+    landed = _floor_join(
+        base.selectExpr("fd_id", "delta_t", f"{back} AS _from"), probes, "delta_t", "t", ["_from"]
+    )
     if lower is not None:
-        whole = base.groupBy("fd_id").agg(F.max("delta_t").alias("_last"))
-        onward = base.select("fd_id", F.col("delta_t").alias("_from"), "_ahead")
+        ends = rows.groupBy("fd_id").agg(*aggregates({"_last": "max(delta_t)"}))
         landed = (
-            landed.join(onward, ["fd_id", "_from"])
-            .join(whole, "fd_id")
-            .withColumn("_from", F.coalesce("_ahead", "_last"))
+            landed.join(base.selectExpr("fd_id", "delta_t AS _from", "_ahead"), ["fd_id", "_from"])
+            .join(ends, "fd_id")
+            .selectExpr("fd_id", "t", "coalesce(_ahead, _last) AS _from")
         )
-    target = rows.select("fd_id", F.col("delta_t").alias("_from"), *payload)
-    return landed.select("fd_id", "t", "_from").join(target, ["fd_id", "_from"]).select(
-        "fd_id", "t", F.col("_from").alias("delta_t"), *payload
+    target = rows.selectExpr("fd_id", "delta_t AS _from", *_PAYLOAD)
+    return landed.select("fd_id", "t", "_from").join(target, ["fd_id", "_from"]).selectExpr(
+        "fd_id", "t", "_from AS delta_t", *_PAYLOAD
     )
 
 
@@ -175,18 +146,11 @@ def matching_within(
     return _exact_traffic(asof_within(rows, probes, quota, unset_is_zero))
 
 
-def _limits(
-    mb_limit: int, count_limit: int, mb: Column, count: Column, sign: str, unset_is_zero: bool
-) -> Column | None:
-    if mb_limit == 0 and count_limit == 0:
+def _limits(sign: str, mb: int, count: int, unset_is_zero: bool) -> str | None:
+    if mb == 0 and count == 0:
         return None
-
-    def one(value: Column, limit: int) -> Column:
-        if limit == 0 and not unset_is_zero:
-            return F.lit(True)
-        return value <= limit if sign == "<=" else value >= limit
-
-    return one(mb, mb_limit) & one(count, count_limit)
+    given = [("mb", mb), ("objcount", count)]
+    return " AND ".join(f"{c} {sign} {v}" for c, v in given if v or unset_is_zero)
 
 
 # ---------------------------------------------------------------- by footprint
@@ -220,36 +184,31 @@ def markers(rows: DataFrame, marker_mb: list[int]) -> DataFrame:
     """
     sizes = sorted({int(c) for c in marker_mb})
     if len(sizes) == 1:
+        above = f"min(if(mb > {sizes[0]}, delta_t, NULL))"
         return rows.groupBy("fd_id").agg(
-            F.lit(sizes[0]).cast("bigint").alias("marker_mb"),
-            F.coalesce(
-                F.min(F.when(F.col("mb") > sizes[0], F.col("delta_t"))), F.max("delta_t")
-            ).alias("delta_t"),
+            *aggregates({"marker_mb": f"CAST({sizes[0]} AS BIGINT)",
+                         "delta_t": f"coalesce({above}, max(delta_t))"})
         )
     ranked = scan(
         rows.select("fd_id", "delta_t", "mb"),
         ["fd_id"],
         ["delta_t"],
-        {"_n": Running("sum", F.lit(1))},
+        {"_n": Running("sum", "1L")},
     )
     # row number of the first row above each size
     firsts = ranked.groupBy("fd_id").agg(
-        F.max("_n").alias("_rows"),
-        *[F.min(F.when(F.col("mb") > c, F.col("_n"))).alias(f"_f{j}")
-          for j, c in enumerate(sizes)],
+        *aggregates({"_rows": "max(_n)", **{f"_f{j}": f"min(if(mb > {c}, _n, NULL))"
+                                            for j, c in enumerate(sizes)}})
     )
     # each size needs a row of its own: the (j-i)-th row after that of size i at least
     picks = []
     for j, c in enumerate(sizes):
-        own = [F.col(f"_f{i}") + F.lit(j - i) for i in range(j + 1)]
-        reach = F.when(F.col(f"_f{j}").isNotNull(), own[0] if j == 0 else F.greatest(*own))
+        reach = ", ".join(["0L", *[f"_f{i} + {j - i}" for i in range(j + 1)]])
         picks.append(
-            F.struct(
-                F.lit(c).cast("bigint").alias("marker_mb"),
-                F.least(F.coalesce(reach, F.col("_rows")), F.col("_rows")).alias("_n"),
-            )
+            f"named_struct('marker_mb', {c}L, '_n', least(coalesce("
+            f"if(_f{j} IS NOT NULL, greatest({reach}), NULL), _rows), _rows))"
         )
-    wanted = firsts.select("fd_id", F.inline(F.array(*picks)))
+    wanted = firsts.selectExpr("fd_id", f"inline(array({', '.join(picks)}))")
     return wanted.join(ranked.select("fd_id", "_n", "delta_t"), ["fd_id", "_n"]).select(
         "fd_id", "marker_mb", "delta_t"
     )
@@ -260,7 +219,7 @@ def markers(rows: DataFrame, marker_mb: list[int]) -> DataFrame:
 
 def with_cum_bytes(rows: DataFrame) -> DataFrame:
     """``rows`` plus the running sum of bytes along the IAT axis."""
-    return scan(rows, ["fd_id"], ["delta_t"], {"cum_bytes": Running("sum", F.col("bytes"))})
+    return scan(rows, ["fd_id"], ["delta_t"], {"cum_bytes": Running("sum", "bytes")})
 
 
 # ---------------------------------------------------------------- on curves
@@ -268,41 +227,31 @@ def with_cum_bytes(rows: DataFrame) -> DataFrame:
 
 def curve_lookup(curve: DataFrame, probes: DataFrame) -> DataFrame:
     """Probes ``(fd_id, cache_mb)`` -> the space curve's point at the largest size <= it."""
-    return _floor_join(curve, probes, "fd_id", "mb", "cache_mb", ["requests", "bytes"])
+    return _floor_join(curve, probes, "mb", "cache_mb", ["requests", "bytes"])
 
 
 def count_lookup(curve: DataFrame, probes: DataFrame) -> DataFrame:
     """Probes ``(fd_id, cache_objects)`` -> the count curve's point."""
-    return _floor_join(
-        curve, probes, "fd_id", "objcount", "cache_objects", ["requests", "bytes"]
-    )
+    return _floor_join(curve, probes, "objcount", "cache_objects", ["requests", "bytes"])
 
 
 def hit_rate_at(curve: DataFrame, headers: DataFrame, probes: DataFrame) -> DataFrame:
     """Byte hit rate (%) at a cache size."""
     found = curve_lookup(curve, probes)
-    return found.join(headers.select("fd_id", "total_served_bytes"), "fd_id").select(
-        "fd_id",
-        "cache_mb",
-        percent(F.col("bytes"), F.col("total_served_bytes")).alias("byte_hit_pct"),
+    return found.join(headers.select("fd_id", "total_served_bytes"), "fd_id").selectExpr(
+        "fd_id", "cache_mb", f"{percent('bytes', 'total_served_bytes')} AS byte_hit_pct"
     )
 
 
 def size_for_hit_rate(curve: DataFrame, headers: DataFrame, probes: DataFrame) -> DataFrame:
     """Probes ``(fd_id, hit_pct)`` -> the largest size whose hit bytes stay within that
     share of the served bytes; the first size if none does."""
-    wanted = probes.join(headers.select("fd_id", "total_served_bytes"), "fd_id").select(
+    wanted = probes.join(headers.select("fd_id", "total_served_bytes"), "fd_id").selectExpr(
         "fd_id",
         "hit_pct",
-        (F.col("total_served_bytes") * F.col("hit_pct") / F.lit(100.0))
-        .cast("bigint")
-        .alias("_hit_bytes"),
+        "CAST(total_served_bytes * hit_pct / 100D AS BIGINT) AS _hit_bytes",
+    )
+    points = curve.selectExpr("fd_id", "mb", "bytes AS _bytes")
+    return _best_below(points, wanted, "_bytes", "_hit_bytes", "mb").select(
+        "fd_id", "hit_pct", "mb"
     )
-    return _best_below(
-        curve.select("fd_id", "mb", F.col("bytes").alias("_bytes")),
-        wanted,
-        "_bytes",
-        "_hit_bytes",
-        "mb",
-    ).select("fd_id", "hit_pct", "mb")
-

@@ -8,16 +8,23 @@ running sum along the IAT axis give every mix, whatever the number of members.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from spoor.functions.numeric import int_div, over, times
+from spoor.functions.numeric import aggregates, int_div, over, sums, times
 from spoor.model import HEADER_COLS, ROW_COLS, TRAFFIC_COLS, UNIQUE_COLS, VOLUME_COLS, Descriptors
 from spoor.operators.scan import Running, scan
-from spoor.operators.transform import linked, scaled_iat, traffic_factor
+from spoor.operators.transform import (
+    changed,
+    linked,
+    merge_collisions,
+    scaled_iat,
+    traffic_factor,
+)
 from spoor.session import materialize
 
-_WIDE = "decimal(38,0)"
+AMOUNTS = ["mb", "objcount"]
+_WIDE = "DECIMAL(38, 0)"
 
 
 def missing_members(rules: DataFrame, headers: DataFrame) -> DataFrame:
@@ -27,78 +34,48 @@ def missing_members(rules: DataFrame, headers: DataFrame) -> DataFrame:
     )
 
 
+def _fraction(x: str, single: bool = False) -> str:
+    """A number of shards of ``x``, cut after each step; 1 means nothing to do."""
+    one = f"if(shard_by = 1, {x}, {over(x, 'shard_by', single)})"
+    return f"if(shard_times = 1, {one}, {times(one, 'shard_times', single)})"
+
+
 def members(rules: DataFrame, headers: DataFrame, compat_float32: bool = False) -> DataFrame:
     """Rules joined to headers, with the factor to apply and the prepared header.
 
     ``status`` is ``ok``, ``empty`` (nothing left after scaling), ``no_rate`` (scaled
     to a traffic volume without having one) or ``zero_scale``.
     """
-    n, m = F.coalesce("num_shards", F.lit(0)), F.coalesce("total_shards", F.lit(0))
-    sharded = (m > 1) & (n != m)
-    bound = rules.join(headers, "fd_id").select(
-        "mix_id",
-        "ord",
-        "fd_id",
-        "op",
-        "scale",
-        "scale_type",
-        "duration",
-        F.when(sharded, m).otherwise(F.lit(1)).alias("shard_by"),
-        F.when(sharded & (n > 1), n).otherwise(F.lit(1)).alias("shard_times"),
-        *VOLUME_COLS,
-        *UNIQUE_COLS,
+    single = compat_float32
+    n, m = "coalesce(num_shards, 0)", "coalesce(total_shards, 0)"
+    sharded = f"{m} > 1 AND {n} <> {m}"
+    kept = ["mix_id", "ord", "fd_id", "op", "duration", "shard_by", "shard_times"]
+    bound = rules.join(headers, "fd_id").selectExpr(
+        "mix_id", "ord", "fd_id", "op", "duration", "scale_type",
+        "CAST(CAST(scale AS FLOAT) AS DOUBLE) AS scale" if single else "scale",
+        f"if({sharded}, {m}, 1) AS shard_by",
+        f"if({sharded} AND {n} > 1, {n}, 1) AS shard_times",
+        *VOLUME_COLS, *UNIQUE_COLS,
     )
-    part = bound.select(
-        *[
-            _fraction(F.col(c), compat_float32).alias(c)
-            if c in VOLUME_COLS or c in UNIQUE_COLS
-            else c
-            for c in bound.columns
-        ]
+    part = changed(bound, bound.columns,
+                   dict.fromkeys([*VOLUME_COLS, *UNIQUE_COLS], lambda c: _fraction(c, single)))
+    by_traffic = traffic_factor("scale", "total_served_bytes", "duration")
+    scaled = part.selectExpr(
+        *kept, *VOLUME_COLS, *UNIQUE_COLS,
+        f"if(scale_type = 'traffic', {by_traffic}, scale) * if(op = 'sub', -1D, 1D) AS factor",
+        # a `concat` line can only open a mix; it is never added to one
+        "row_number() OVER (PARTITION BY mix_id ORDER BY ord) = 1 AS opens",
     )
-    amount = F.col("scale")
-    if compat_float32:
-        amount = amount.cast("float").cast("double")
-    factor = F.when(
-        F.col("scale_type") == "traffic",
-        traffic_factor(amount, F.col("total_served_bytes"), F.col("duration")),
-    ).otherwise(amount) * F.when(F.col("op") == "sub", -1.0).otherwise(1.0)
-    scaled = part.withColumn("factor", factor)
-    usable = F.col("factor").isNotNull() & (F.col("factor") != 0)
-    prepared = scaled.select(
-        "mix_id",
-        "ord",
-        "fd_id",
-        "op",
-        "duration",
-        "shard_by",
-        "shard_times",
+    prepared = scaled.filter("op IN ('add', 'sub') OR opens").selectExpr(
+        *kept,
         "factor",
-        *[F.when(usable, times(F.col(c), F.col("factor"))).alias(c) for c in VOLUME_COLS],
+        *[f"if(factor <> 0, {times(c, 'factor')}, NULL) AS {c}" for c in VOLUME_COLS],
         *UNIQUE_COLS,
     )
-    # A `concat` line can only open a mix; it is never added to one.
-    opens = F.row_number().over(Window.partitionBy("mix_id").orderBy("ord")) == 1
-    return (
-        prepared.withColumn("opens", opens)
-        .filter("op IN ('add', 'sub') OR opens")
-        .drop("opens")
-        .withColumn(
-            "status",
-            F.when(F.col("factor").isNull(), "no_rate")
-            .when(F.col("factor") == 0, "zero_scale")
-            .when(F.col("total_requests") == 0, "empty")
-            .otherwise("ok"),
-        )
-    )
-
-
-def _fraction(x: Column, compat_float32: bool = False) -> Column:
-    one = F.when(F.col("shard_by") == 1, x).otherwise(
-        over(x, F.col("shard_by"), compat_float32)
-    )
-    return F.when(F.col("shard_times") == 1, one).otherwise(
-        times(one, F.col("shard_times"), compat_float32)
+    return prepared.selectExpr(
+        "*",
+        "CASE WHEN factor IS NULL THEN 'no_rate' WHEN factor = 0 THEN 'zero_scale'"
+        " WHEN total_requests = 0 THEN 'empty' ELSE 'ok' END AS status",
     )
 
 
@@ -109,11 +86,12 @@ def _live(found: DataFrame) -> DataFrame:
     is known when the join with the rows is planned.  Spark broadcasts it if it is
     below ``spark.sql.autoBroadcastJoinThreshold`` and shuffles otherwise.
     """
-    of_mix = Window.partitionBy("mix_id")
     return materialize(
-        found.filter("status = 'ok'")
-        .withColumn("n_members", F.count("*").over(of_mix))
-        .withColumn("mix_duration", F.max("duration").over(of_mix)),
+        found.filter("status = 'ok'").selectExpr(
+            "*",
+            "count(*) OVER (PARTITION BY mix_id) AS n_members",
+            "max(duration) OVER (PARTITION BY mix_id) AS mix_duration",
+        ),
         "members",
     )
 
@@ -125,51 +103,34 @@ def prepared_rows(
     live = _live(members(rules, d.headers, compat_float32))
     rows = _bind(live, d.rows, compat_float32)
     if collision == "last":
-        return rows.filter("kept").select("mix_id", "ord", *ROW_COLS)
-    return _merged(rows)
-
-
-def _merged(rows: DataFrame) -> DataFrame:
-    return (
-        rows.groupBy("mix_id", "ord", "fd_id", "delta_t")
-        .agg(
-            F.max("mb").alias("mb"),
-            F.max("objcount").alias("objcount"),
-            *[F.sum(c).alias(c) for c in TRAFFIC_COLS],
-        )
-        .select("mix_id", "ord", *ROW_COLS)
-    )
+        rows = rows.filter("kept")
+    else:
+        rows = merge_collisions(rows, ["mix_id", "ord", "fd_id"])
+    return rows.select("mix_id", "ord", *ROW_COLS)
 
 
-def _bind(live: DataFrame, rows: DataFrame, compat_float32: bool) -> DataFrame:
+def _bind(live: DataFrame, rows: DataFrame, single: bool) -> DataFrame:
     """Rules to rows by class name.  No broadcast is forced: Spark picks one where
     the rule table is known to be small, else it shuffles and splits skewed classes."""
-    factor = F.col("factor")
-    new_t = scaled_iat(F.col("delta_t"), factor)
-    joined = linked(rows).join(
-        live.select(
-            "mix_id", "ord", "fd_id", "shard_by", "shard_times", "factor",
-            "n_members", "duration", "mix_duration",
-        ),
-        "fd_id",
-    )
-    before = {c: F.coalesce(_fraction(F.col(f"prev_{c}"), compat_float32), F.lit(0))
-              for c in ("mb", "objcount")}
-    at = {c: _fraction(F.col(c), compat_float32) for c in ("mb", "objcount")}
-    return joined.select(
-        "mix_id",
-        "ord",
-        "fd_id",
-        "n_members",
-        "duration",
-        "mix_duration",
-        new_t.alias("delta_t"),
-        *[at[c].alias(c) for c in at],
-        *[(at[c] - before[c]).alias(f"{c}_step") for c in at],
-        *[times(_fraction(F.col(c), compat_float32), factor).alias(c) for c in TRAFFIC_COLS],
-        # several old IATs may fall on one new IAT: the last one stands for them
-        F.coalesce(scaled_iat(F.col("next_delta_t"), factor) != new_t, F.lit(True)).alias("kept"),
-        (scaled_iat(F.col("first_delta_t"), factor) == new_t).alias("leading"),
+    new_t = scaled_iat("delta_t", "factor")
+    return (
+        linked(rows)
+        .join(
+            live.select("mix_id", "ord", "fd_id", "shard_by", "shard_times", "factor",
+                        "n_members", "duration", "mix_duration"),
+            "fd_id",
+        )
+        .selectExpr(
+            "mix_id", "ord", "fd_id", "n_members", "duration", "mix_duration",
+            f"{new_t} AS delta_t",
+            *[f"{_fraction(c, single)} AS {c}" for c in AMOUNTS],
+            *[f"{_fraction(c, single)} - coalesce({_fraction('prev_' + c, single)}, 0)"
+              f" AS {c}_step" for c in AMOUNTS],
+            *[f"{times(_fraction(c, single), 'factor')} AS {c}" for c in TRAFFIC_COLS],
+            # several old IATs may fall on one new IAT: the last one stands for them
+            f"coalesce({scaled_iat('next_delta_t', 'factor')} <> {new_t}, true) AS kept",
+            f"{scaled_iat('first_delta_t', 'factor')} = {new_t} AS leading",
+        )
     )
 
 
@@ -188,54 +149,48 @@ def mix(
     traffic are left out.
     """
     live = _live(members(rules, d.headers, compat_float32))
-    headers = _mix_headers(live, equalize_durations)
+    bound = _bind(live, d.rows, compat_float32)
     if collision == "last":
-        bound = _bind(live, d.rows, compat_float32)
-        traffic = {c: F.when(F.col("kept"), F.col(c)).otherwise(F.lit(0)) for c in TRAFFIC_COLS}
+        traffic = {c: f"if(kept, {c}, 0L)" for c in TRAFFIC_COLS}
     else:
-        bound = _merged_steps(
-            _merged(_bind(live, d.rows, compat_float32)), live
-        )
-        traffic = {c: F.col(c) for c in TRAFFIC_COLS}
+        bound = _merged_steps(merge_collisions(bound, ["mix_id", "ord", "fd_id"]), live)
+        traffic = {c: c for c in TRAFFIC_COLS}
     if equalize_durations:
-        share = {c: F.sum(traffic[c].cast(_WIDE) * F.col("duration")) for c in TRAFFIC_COLS}
-        sums = [
-            int_div(share[c].cast(_WIDE), F.first("mix_duration")).cast("bigint").alias(c)
-            for c in TRAFFIC_COLS
-        ]
+        traffic = {c: _shared(x, "max(mix_duration)") for c, x in traffic.items()}
     else:
-        sums = [F.sum(traffic[c]).alias(c) for c in TRAFFIC_COLS]
-    return Descriptors(headers, _sweep(bound, sums))
+        traffic = {c: f"sum({x})" for c, x in traffic.items()}
+    return Descriptors(_mix_headers(live, equalize_durations), _sweep(bound, traffic))
+
 
+def _shared(x: str, longest: str) -> str:
+    """Sum of ``x`` weighted by each member's part of the longest duration, exact."""
+    weighted = f"CAST(sum(CAST({x} AS {_WIDE}) * duration) AS {_WIDE})"
+    return f"CAST({int_div(weighted, longest)} AS BIGINT)"
 
-def _sweep(bound: DataFrame, traffic_sums: list[Column]) -> DataFrame:
-    zero = F.lit(0).cast("bigint")
-    leading = F.col("leading")
-    amounts = ("mb", "objcount")
-    split = bound.withColumns(
-        {f"{c}_base": F.when(leading, F.col(f"{c}_step")).otherwise(zero) for c in amounts}
-        | {f"{c}_grow": F.when(leading, zero).otherwise(F.col(f"{c}_step")) for c in amounts}
+
+def _sweep(bound: DataFrame, traffic: dict[str, str]) -> DataFrame:
+    """Footprint steps summed per IAT and along it; ``traffic`` are the aggregates."""
+    split = bound.selectExpr(
+        "*",
+        *[f"if(leading, {c}_step, 0L) AS {c}_base" for c in AMOUNTS],
+        *[f"if(leading, 0L, {c}_step) AS {c}_grow" for c in AMOUNTS],
     )
-    parts = [f"{c}_{kind}" for c in amounts for kind in ("base", "grow")]
+    parts = [f"{c}_{kind}" for c in AMOUNTS for kind in ("base", "grow")]
     grid = split.groupBy("mix_id", "delta_t").agg(
-        F.max("n_members").alias("n_members"),
-        *[F.sum(c).alias(c) for c in parts],
-        *traffic_sums,
+        *aggregates({"n_members": "max(n_members)", **sums(parts), **traffic})
     )
     swept = scan(
         grid,
         ["mix_id"],
         ["delta_t"],
-        {f"_{c}": Running("sum" if c.endswith("grow") else "total", F.col(c)) for c in parts},
+        {f"_{c}": Running("sum" if c.endswith("grow") else "total", c) for c in parts},
         source=split,
     )
-    silent = (F.col("n_members") > 1) & (
-        F.greatest(*[F.abs(F.col(c)) for c in TRAFFIC_COLS]) == 0
-    )
-    return swept.filter(~silent).select(
-        F.col("mix_id").alias("fd_id"),
+    heard = " OR ".join(f"{c} <> 0" for c in TRAFFIC_COLS)
+    return swept.filter(f"n_members = 1 OR {heard}").selectExpr(
+        "mix_id AS fd_id",
         "delta_t",
-        *[(F.col(f"_{c}_base") + F.col(f"_{c}_grow")).alias(c) for c in amounts],
+        *[f"_{c}_base + _{c}_grow AS {c}" for c in AMOUNTS],
         *TRAFFIC_COLS,
     )
 
@@ -246,40 +201,24 @@ def _merged_steps(rows: DataFrame, live: DataFrame) -> DataFrame:
         rows,
         ["mix_id", "ord"],
         ["delta_t"],
-        {
-            "prev_mb": Running("lag", F.col("mb")),
-            "prev_objcount": Running("lag", F.col("objcount")),
-        },
+        {f"prev_{c}": Running("lag", c) for c in AMOUNTS},
     )
-    return linked_rows.join(live.select("mix_id", "ord", "n_members", "duration",
-                                        "mix_duration"), ["mix_id", "ord"]).select(
+    heads = live.select("mix_id", "ord", "n_members", "duration", "mix_duration")
+    return linked_rows.join(heads, ["mix_id", "ord"]).selectExpr(
         "*",
-        *[(F.col(c) - F.coalesce(f"prev_{c}", F.lit(0))).alias(f"{c}_step")
-          for c in ("mb", "objcount")],
-        F.col("prev_mb").isNull().alias("leading"),
+        *[f"{c} - coalesce(prev_{c}, 0L) AS {c}_step" for c in AMOUNTS],
+        "prev_mb IS NULL AS leading",
     )
 
 
-def _mix_headers(live: DataFrame, equalize_durations: bool) -> DataFrame:
+def _mix_headers(live: DataFrame, equalize_durations: bool = False) -> DataFrame:
+    total = sums([*VOLUME_COLS, *UNIQUE_COLS])
     if equalize_durations:
-        shared = ("total_requests", "total_served_bytes", "total_mib")
-        volumes = [
-            int_div(
-                F.sum(F.col(c).cast(_WIDE) * F.col("duration")).cast(_WIDE), F.max("duration")
-            ).cast("bigint").alias(c)
-            if c in shared
-            else F.sum(c).alias(c)
-            for c in VOLUME_COLS
-        ]
-    else:
-        volumes = [F.sum(c).alias(c) for c in VOLUME_COLS]
+        for c in ("total_requests", "total_served_bytes", "total_mib"):
+            total[c] = _shared(c, "max(duration)")
     return (
         live.groupBy(F.col("mix_id").alias("fd_id"))
-        .agg(
-            *volumes,
-            F.max("duration").alias("duration"),
-            *[F.sum(c).alias(c) for c in UNIQUE_COLS],
-        )
+        .agg(*aggregates({**total, "duration": "max(duration)"}))
         .select(HEADER_COLS)
     )
 
@@ -377,6 +316,6 @@ def _add_round(
     )
     bound = _merged_steps(both, heads)
     return (
-        _sweep(bound, [F.sum(c).alias(c) for c in TRAFFIC_COLS]),
-        _mix_headers(heads, False),
+        _sweep(bound, sums(TRAFFIC_COLS)),
+        _mix_headers(heads),
     )

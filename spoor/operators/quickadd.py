@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from spoor.functions.numeric import aggregates, sums
 from spoor.model import Descriptors
 from spoor.operators.lookup import markers
 from spoor.operators.scan import Running, scan
@@ -23,10 +24,11 @@ def _bounds(d: Descriptors, cache_mb: int, marker_mb: list[int] | None) -> DataF
     known = sorted(set([cache_mb] if marker_mb is None else marker_mb))
     if cache_mb not in known:
         raise ValueError(f"no marker for a cache of {cache_mb} mb")
-    t, mb = F.col("delta_t"), F.col("mb")
     own = d.rows.groupBy("fd_id").agg(
-        F.coalesce(F.min(F.when(mb > cache_mb, t)), F.max(t)).alias("marker_t"),
-        F.coalesce(F.max(F.when(mb <= cache_mb // 2, t)), F.min(t)).alias("half_t"),
+        *aggregates({
+            "marker_t": f"coalesce(min(if(mb > {cache_mb}, delta_t, NULL)), max(delta_t))",
+            "half_t": f"coalesce(max(if(mb <= {cache_mb // 2}, delta_t, NULL)), min(delta_t))",
+        })
     )
     if len(known) == 1:
         return own
@@ -93,72 +95,45 @@ def quick_add(
         F.min("marker_t").alias("right_t"),
     )
     shared = live.filter("n_members > 1")
-    leading = F.col("prev_mb").isNull()
-    grown = F.col("mb") - F.coalesce("prev_mb", F.lit(0))
-    zero = F.lit(0).cast("bigint")
+    amounts = ["mb_base", "mb_step", "bytes_base", "bytes_step"]
     steps = (
         linked(d.rows)
         .join(shared.select("mix_id", "fd_id"), "fd_id")
-        .select(
+        .selectExpr(
             "mix_id",
             "delta_t",
-            F.when(leading, grown).otherwise(zero).alias("mb_base"),
-            F.when(leading, zero).otherwise(grown).alias("mb_step"),
-            F.when(leading, F.col("bytes")).otherwise(zero).alias("bytes_base"),
-            F.when(leading, zero).otherwise(F.col("bytes")).alias("bytes_step"),
+            "if(prev_mb IS NULL, mb, 0L) AS mb_base",
+            "if(prev_mb IS NULL, 0L, mb - prev_mb) AS mb_step",
+            "if(prev_mb IS NULL, bytes, 0L) AS bytes_base",
+            "if(prev_mb IS NULL, 0L, bytes) AS bytes_step",
         )
     )
-    amounts = ["mb_base", "mb_step", "bytes_base", "bytes_step"]
-    start = bounds.filter("n_members > 1").select(
-        "mix_id", F.col("left_t").alias("delta_t"), *[zero.alias(c) for c in amounts]
-    )
-    grid = (
-        steps.unionByName(start)
-        .groupBy("mix_id", "delta_t")
-        .agg(*[F.sum(c).alias(c) for c in amounts])
+    start = bounds.filter("n_members > 1").selectExpr(
+        "mix_id", "left_t AS delta_t", *[f"0L AS {c}" for c in amounts]
     )
+    grid = steps.unionByName(start).groupBy("mix_id", "delta_t").agg(*aggregates(sums(amounts)))
     swept = scan(
         grid,
         ["mix_id"],
         ["delta_t"],
         {
-            "_mb": Running("sum", F.col("mb_step")),
-            "_bytes": Running("sum", F.col("bytes_step")),
-            "_mb0": Running("total", F.col("mb_base")),
-            "_bytes0": Running("total", F.col("bytes_base")),
-            "_next": Running("lead", F.col("delta_t")),
+            "_mb": Running("sum", "mb_step"),
+            "_bytes": Running("sum", "bytes_step"),
+            "_mb0": Running("total", "mb_base"),
+            "_bytes0": Running("total", "bytes_base"),
+            "_next": Running("lead", "delta_t"),
         },
-    ).join(bounds, "mix_id")
-    fits = (
-        (F.col("delta_t") >= F.col("left_t"))
-        & (F.col("delta_t") < F.col("right_t"))
-        & (F.col("_mb0") + F.col("_mb") <= cache_mb)
+    ).join(bounds, "mix_id").selectExpr(
+        "*", f"delta_t >= left_t AND delta_t < right_t AND _mb0 + _mb <= {cache_mb} AS fits"
     )
-    at_left = F.col("delta_t") == F.col("left_t")
-    hits = F.col("_bytes0") + F.col("_bytes") - F.col("mib")
+    # a point that fits wins over the left end, which stands in if none does
+    point = ("named_struct('hit_bytes', _bytes0 + _bytes - mib, 'served_bytes', served_bytes, "
+             "'iat', if(fits, least(_next, right_t) - 1, left_t))")
     best = (
-        swept.filter(fits | at_left)
+        swept.filter("fits OR delta_t = left_t")
         .groupBy("mix_id")
-        .agg(
-            # a point that fits wins over the left end, which stands in if none does
-            F.max_by(
-                F.struct(
-                    hits.alias("hit_bytes"),
-                    "served_bytes",
-                    F.when(fits, F.least(F.col("_next"), F.col("right_t")) - 1)
-                    .otherwise(F.col("left_t"))
-                    .alias("iat"),
-                ),
-                F.when(fits, F.col("delta_t")).otherwise(F.lit(-1)),
-            ).alias("_best")
-        )
-        .select(
-            "mix_id",
-            F.lit(cache_mb).cast("bigint").alias("cache_mb"),
-            "_best.hit_bytes",
-            "_best.served_bytes",
-            "_best.iat",
-        )
+        .agg(*aggregates({"_best": f"max_by({point}, if(fits, delta_t, -1L))"}))
+        .selectExpr("mix_id", f"{cache_mb}L AS cache_mb", "_best.*")
     )
     single = live.filter("n_members = 1").select("mix_id", "fd_id", "marker_t")
     alone = (

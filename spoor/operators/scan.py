@@ -1,6 +1,6 @@
 """Running values along an ordered axis, split so that no key is one task.
 
-A plain ``Window.partitionBy(key)`` sends all rows of a key to one task.  Here
+A plain window partitioned by the key sends all rows of a key to one task.  Here
 the axis of each key is cut into segments: the running value is computed inside
 a segment, one summary row per segment is carried along the key in a second,
 tiny window, and both are joined.  The summary has at most 32 rows per octave of
@@ -13,24 +13,33 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
+
+from spoor.functions.numeric import aggregates, named
 
 SEGMENTS_PER_OCTAVE = 32
 _SEG = "_segment"
 
+_UPTO = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+_ONWARD = "ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING"
+_BEFORE = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+_AFTER = "ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING"
+_ALL = "ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING"
+
+
+def segment_of(axis: str, per_octave: int = SEGMENTS_PER_OCTAVE) -> str:
+    """Segment number of an axis value: never decreases as the value grows.
 
-def segment_of(axis: Column, per_octave: int = SEGMENTS_PER_OCTAVE) -> Column:
-    """Segment number of an axis value: never decreases as the value grows."""
-    steps = F.floor(F.log2(F.abs(axis).cast("double") + F.lit(1.0)) * F.lit(float(per_octave)))
-    signed = F.when(axis < 0, -steps).otherwise(steps).cast("int")
-    # never NULL, so joins on it add no filter that would set equal subplans apart
-    return F.coalesce(signed, F.lit(0))
+    It is never NULL, so joins on it add no filter that would set equal subplans
+    apart and keep their shuffles from being shared.
+    """
+    steps = f"floor(log2(abs({axis}) + 1.0D) * {per_octave}.0D)"
+    return f"coalesce(CAST(CASE WHEN {axis} < 0 THEN -{steps} ELSE {steps} END AS INT), 0)"
 
 
 @dataclass(frozen=True)
 class Running:
-    """One output column of :func:`scan`.
+    """One output column of :func:`scan`; ``value`` is a SQL expression.
 
     ``kind``
       ``sum``    running sum up to and including the row
@@ -44,18 +53,43 @@ class Running:
     """
 
     kind: str
-    value: Column
+    value: str
 
 
-def _summary(r: Running, axis: Column) -> Column:
-    if r.kind in ("sum", "total"):
-        return F.sum(r.value)
-    if r.kind == "max":
-        return F.max(r.value)
-    at = F.when(r.value.isNotNull(), axis)
-    if r.kind in ("last", "lag"):
-        return F.max_by(r.value, at)
-    return F.min_by(r.value, at)
+@dataclass(frozen=True)
+class _Parts:
+    """SQL for the steps of a kind: inside a segment, of a segment, along the segments
+    of a key, and put together.  ``{v}`` value, ``{a}`` axis, ``{s}`` segment summary,
+    ``{inside}`` and ``{along}`` windows, ``{here}`` and ``{brought}`` the two results."""
+
+    inside: str | None
+    summary: str
+    along: str
+    merged: str
+
+
+_KINDS = {
+    "sum": _Parts(f"sum({{v}}) OVER ({{inside}} {_UPTO})", "sum({v})",
+                  f"sum({{s}}) OVER ({{along}} {_BEFORE})",
+                  "coalesce({here}, 0) + coalesce({brought}, 0)"),
+    "max": _Parts(f"max({{v}}) OVER ({{inside}} {_UPTO})", "max({v})",
+                  f"max({{s}}) OVER ({{along}} {_BEFORE})", "greatest({here}, {brought})"),
+    "last": _Parts(f"last({{v}}) IGNORE NULLS OVER ({{inside}} {_UPTO})",
+                   "max_by({v}, CASE WHEN ({v}) IS NOT NULL THEN {a} END)",
+                   f"last({{s}}) IGNORE NULLS OVER ({{along}} {_BEFORE})",
+                   "coalesce({here}, {brought})"),
+    "next": _Parts(f"first({{v}}) IGNORE NULLS OVER ({{inside}} {_ONWARD})",
+                   "min_by({v}, CASE WHEN ({v}) IS NOT NULL THEN {a} END)",
+                   f"first({{s}}) IGNORE NULLS OVER ({{along}} {_AFTER})",
+                   "coalesce({here}, {brought})"),
+    "lag": _Parts("lag({v}) OVER ({inside})", "max_by({v}, {a})", "lag({s}) OVER ({along})",
+                  "coalesce({here}, {brought})"),
+    "lead": _Parts("lead({v}) OVER ({inside})", "min_by({v}, {a})", "lead({s}) OVER ({along})",
+                   "coalesce({here}, {brought})"),
+    "first": _Parts(None, "min_by({v}, CASE WHEN ({v}) IS NOT NULL THEN {a} END)",
+                    f"first({{s}}) IGNORE NULLS OVER ({{along}} {_ALL})", "{brought}"),
+    "total": _Parts(None, "sum({v})", f"sum({{s}}) OVER ({{along}} {_ALL})", "{brought}"),
+}
 
 
 def scan(
@@ -77,57 +111,28 @@ def scan(
     """
     if source is not None and any(r.kind not in ("sum", "total") for r in columns.values()):
         raise ValueError("a source is only of use for sums")
-    axis = F.col(order[0])
-    split = df.withColumn(_SEG, segment_of(axis))
-    parts = split if source is None else source.withColumn(_SEG, segment_of(axis))
-
-    inside = Window.partitionBy(*keys, _SEG).orderBy(*order)
-    upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    onward = inside.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    along = Window.partitionBy(*keys).orderBy(_SEG)
-    before = along.rowsBetween(Window.unboundedPreceding, -1)
-    after = along.rowsBetween(1, Window.unboundedFollowing)
-    everything = along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-
-    local, carried, final = [], [], []
+    axis, key = order[0], ", ".join(keys)
+    words = {
+        "a": axis,
+        "inside": f"PARTITION BY {key}, {_SEG} ORDER BY {', '.join(order)}",
+        "along": f"PARTITION BY {key} ORDER BY {_SEG}",
+    }
+    segment = f"{segment_of(axis)} AS {_SEG}"
+
+    local, summed, carried, final = {}, {}, {}, {}
     for name, r in columns.items():
-        here, brought, s = F.col(f"_in_{name}"), F.col(f"_by_{name}"), F.col(f"_s_{name}")
-        if r.kind == "sum":
-            value, carry = F.sum(r.value).over(upto), F.sum(s).over(before)
-            merged = F.coalesce(here, F.lit(0)) + F.coalesce(brought, F.lit(0))
-        elif r.kind == "max":
-            value, carry = F.max(r.value).over(upto), F.max(s).over(before)
-            merged = F.greatest(here, brought)
-        elif r.kind == "last":
-            value = F.last(r.value, ignorenulls=True).over(upto)
-            carry = F.last(s, ignorenulls=True).over(before)
-            merged = F.coalesce(here, brought)
-        elif r.kind == "next":
-            value = F.first(r.value, ignorenulls=True).over(onward)
-            carry = F.first(s, ignorenulls=True).over(after)
-            merged = F.coalesce(here, brought)
-        elif r.kind == "lag":
-            value, carry = F.lag(r.value).over(inside), F.lag(s).over(along)
-            merged = F.coalesce(here, brought)
-        elif r.kind == "lead":
-            value, carry = F.lead(r.value).over(inside), F.lead(s).over(along)
-            merged = F.coalesce(here, brought)
-        elif r.kind == "first":
-            value, carry = None, F.first(s, ignorenulls=True).over(everything)
-            merged = brought
-        elif r.kind == "total":
-            value, carry = None, F.sum(s).over(everything)
-            merged = brought
-        else:
-            raise ValueError(f"unknown running column kind {r.kind!r}")
-        if value is not None:
-            local.append(value.alias(f"_in_{name}"))
-        carried.append(carry.alias(f"_by_{name}"))
-        final.append(merged.alias(name))
-
-    summary = parts.groupBy(*keys, _SEG).agg(
-        *[_summary(r, axis).alias(f"_s_{name}") for name, r in columns.items()]
-    )
-    carry_rows = summary.select(*keys, _SEG, *carried)
-    joined = split.select("*", *local).join(carry_rows, [*keys, _SEG])
-    return joined.select(*df.columns, *final)
+        parts, here, brought = _KINDS[r.kind], f"_in_{name}", f"_by_{name}"
+        words |= {"v": r.value, "s": f"_s_{name}", "here": here, "brought": brought}
+        if parts.inside is not None:
+            local[here] = parts.inside.format(**words)
+        summed[f"_s_{name}"] = parts.summary.format(**words)
+        carried[brought] = parts.along.format(**words)
+        final[name] = parts.merged.format(**words)
+
+    split = df.selectExpr("*", segment)
+    pieces = split if source is None else source.selectExpr("*", segment)
+    summary = pieces.groupBy(*keys, _SEG).agg(*aggregates(summed))
+    carry = summary.selectExpr(*keys, _SEG, *named(carried))
+    joined = split.selectExpr("*", *named(local)).join(carry, [*keys, _SEG])
+    return joined.selectExpr(*df.columns, *named(final))
+

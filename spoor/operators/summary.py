@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spoor.functions.numeric import int_div
+from spoor.functions.numeric import int_div, named
 from spoor.model import HEADER_COLS
 
 # Fixed value: length in seconds of the slot that peaks are counted in.
@@ -29,15 +29,16 @@ def order_curves(curve: DataFrame, descending: bool = False) -> DataFrame:
 
 def traffic_summary(headers: DataFrame) -> DataFrame:
     """Average and peak rates; averages are NULL for a duration of 0."""
-    duration = F.col("duration")
-    avg_bits = int_div(F.col("total_served_bytes") * 8, duration)
-    peak_bits = int_div(F.col("peak_bytes_300s") * 8, F.lit(PEAK_SECONDS))
-    return headers.select(
+    avg_bits = int_div("total_served_bytes * 8", "duration")
+    peak_bits = int_div("peak_bytes_300s * 8", PEAK_SECONDS)
+    return headers.selectExpr(
         "fd_id",
-        int_div(F.col("total_requests"), duration).alias("avg_hits_per_s"),
-        int_div(F.col("peak_requests_300s"), F.lit(PEAK_SECONDS)).alias("peak_hits_per_s"),
-        (avg_bits / F.lit(1e9)).cast("bigint").alias("avg_gbps"),
-        (peak_bits / F.lit(1e9)).alias("peak_gbps"),
+        *named({
+            "avg_hits_per_s": int_div("total_requests", "duration"),
+            "peak_hits_per_s": int_div("peak_requests_300s", PEAK_SECONDS),
+            "avg_gbps": f"CAST({avg_bits} / 1e9D AS BIGINT)",
+            "peak_gbps": f"{peak_bits} / 1e9D",
+        }),
     )
 
 

@@ -7,10 +7,11 @@ move rows along the IAT axis keep their order, so neighbours computed once by
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from collections.abc import Callable
 
-from spoor.functions.numeric import int_div, over, times
+from pyspark.sql import DataFrame
+
+from spoor.functions.numeric import aggregates, int_div, named, over, sums, times
 from spoor.model import (
     HEADER_COLS,
     LINK_COLS,
@@ -33,30 +34,50 @@ def linked(rows: DataFrame) -> DataFrame:
         ["fd_id"],
         ["delta_t"],
         {
-            "prev_mb": Running("lag", F.col("mb")),
-            "prev_objcount": Running("lag", F.col("objcount")),
-            "next_delta_t": Running("lead", F.col("delta_t")),
-            "first_delta_t": Running("first", F.col("delta_t")),
+            "prev_mb": Running("lag", "mb"),
+            "prev_objcount": Running("lag", "objcount"),
+            "next_delta_t": Running("lead", "delta_t"),
+            "first_delta_t": Running("first", "delta_t"),
         },
     )
 
 
-def scaled_iat(delta_t: Column, factor: Column) -> Column:
-    return (delta_t / F.abs(factor)).cast("bigint")
+def changed(df: DataFrame, columns: list[str], change: dict[str, Callable[[str], str]]):
+    """``columns`` of ``df``, some of them replaced by an expression of themselves."""
+    return df.selectExpr(*[f"{change[c](c)} AS {c}" if c in change else c for c in columns])
+
 
+def scaled_iat(delta_t: str, factor: str) -> str:
+    return f"CAST({delta_t} / abs({factor}) AS BIGINT)"
 
-def _merge_collisions(rows: DataFrame, keys: list[str]) -> DataFrame:
+
+def merge_collisions(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per IAT: largest footprint, traffic added up."""
     return rows.groupBy(*keys, "delta_t").agg(
-        F.max("mb").alias("mb"),
-        F.max("objcount").alias("objcount"),
-        *[F.sum(c).alias(c) for c in TRAFFIC_COLS],
+        *aggregates({"mb": "max(mb)", "objcount": "max(objcount)", **sums(TRAFFIC_COLS)})
     )
 
 
-def _scale_header(h: DataFrame, factor: Column) -> DataFrame:
-    return h.select(
-        *[times(F.col(c), factor).alias(c) if c in VOLUME_COLS else c for c in HEADER_COLS]
-    )
+def _scale_header(headers: DataFrame, factor: str) -> DataFrame:
+    return changed(headers, HEADER_COLS, dict.fromkeys(VOLUME_COLS, lambda c: times(c, factor)))
+
+
+def _scale_rows(rows: DataFrame, factor: str, collision: str) -> DataFrame:
+    """``rows`` has to be linked for ``collision='last'``."""
+    new_t = scaled_iat("delta_t", factor)
+    if collision == "last":
+        rows = rows.filter(f"next_delta_t IS NULL OR {scaled_iat('next_delta_t', factor)} <> {new_t}")
+    elif collision != "merge":
+        raise ValueError(f"unknown collision rule {collision!r}")
+    change = dict.fromkeys(TRAFFIC_COLS, lambda c: times(c, factor))
+    moved = changed(rows, ROW_COLS, {**change, "delta_t": lambda _: new_t})
+    return moved if collision == "last" else merge_collisions(moved, ["fd_id"])
+
+
+def real(value: float, single: bool = False) -> str:
+    """A number as a SQL literal, rounded to single precision if asked."""
+    literal = f"CAST({float(value)!r} AS DOUBLE)"
+    return f"CAST(CAST({literal} AS FLOAT) AS DOUBLE)" if single else literal
 
 
 def scale(
@@ -69,79 +90,41 @@ def scale(
     """
     if factor == 0:
         raise ValueError("a scale of 0 is not defined")
-    f = F.lit(float(factor))
-    if compat_float32:
-        f = f.cast("float").cast("double")
-    headers = _scale_header(d.headers, f)
-    return Descriptors(headers, _scale_rows(d.rows, f, collision, ["fd_id"]))
+    f = real(factor, compat_float32)
+    rows = linked(d.rows) if collision == "last" else d.rows
+    return Descriptors(_scale_header(d.headers, f), _scale_rows(rows, f, collision))
 
 
-def _scale_rows(rows: DataFrame, factor: Column, collision: str, keys: list[str]) -> DataFrame:
-    new_t = scaled_iat(F.col("delta_t"), factor)
-    if collision == "last":
-        rows = linked(rows)
-        alone = F.col("next_delta_t").isNull() | (
-            scaled_iat(F.col("next_delta_t"), factor) != new_t
-        )
-        rows = rows.filter(alone)
-    elif collision != "merge":
-        raise ValueError(f"unknown collision rule {collision!r}")
-    moved = rows.select(
-        *keys,
-        new_t.alias("delta_t"),
-        "mb",
-        "objcount",
-        *[times(F.col(c), factor).alias(c) for c in TRAFFIC_COLS],
-    )
-    return moved if collision == "last" else _merge_collisions(moved, keys)
-
-
-def traffic_factor(target_bps: Column, served_bytes: Column, duration: Column) -> Column:
+def traffic_factor(target_bps: str, served_bytes: str, duration: str) -> str:
     """Factor that brings a class to ``target_bps`` bits/s; NULL if it has no rate."""
-    rate = int_div(served_bytes * 8, duration)
-    return F.when(rate != 0, target_bps / rate.cast("double"))
+    rate = int_div(f"{served_bytes} * 8", duration)
+    return f"{target_bps} / nullif(CAST({rate} AS DOUBLE), 0D)"
 
 
 def scale_to_traffic(d: Descriptors, target_bps: float, collision: str = "last") -> Descriptors:
     """Scale every descriptor to ``target_bps`` bits/s; those without a rate drop out."""
-    with_factor = d.headers.withColumn(
-        "_factor",
-        traffic_factor(
-            F.lit(float(target_bps)), F.col("total_served_bytes"), F.col("duration")
-        ),
-    ).filter("_factor IS NOT NULL AND _factor <> 0")
-    headers = _scale_header(with_factor, F.col("_factor"))
-    rows = d.rows if collision == "merge" else linked(d.rows)
-    rows = rows.join(with_factor.select("fd_id", "_factor"), "fd_id")
-    return Descriptors(headers, _scale_rows(rows, F.col("_factor"), collision, ["fd_id"]))
-
-
-def _each(d: Descriptors, change) -> Descriptors:
-    headers = d.headers.select(
-        *[
-            change(F.col(c)).alias(c) if c in VOLUME_COLS or c in UNIQUE_COLS else c
-            for c in HEADER_COLS
-        ]
-    )
-    rows = d.rows.select(
-        "fd_id", "delta_t", *[change(F.col(c)).alias(c) for c in ROW_COLS if c not in
-                              ("fd_id", "delta_t")]
+    factor = traffic_factor(real(target_bps), "total_served_bytes", "duration")
+    heads = d.headers.selectExpr("*", f"{factor} AS _factor").filter("_factor <> 0")
+    rows = linked(d.rows) if collision == "last" else d.rows
+    rows = rows.join(heads.select("fd_id", "_factor"), "fd_id")
+    return Descriptors(_scale_header(heads, "_factor"), _scale_rows(rows, "_factor", collision))
+
+
+def _each(d: Descriptors, change: Callable[[str], str]) -> Descriptors:
+    amounts = dict.fromkeys([*VOLUME_COLS, *UNIQUE_COLS, *ROW_COLS[2:]], change)
+    return Descriptors(
+        changed(d.headers, HEADER_COLS, amounts), changed(d.rows, ROW_COLS, amounts)
     )
-    return Descriptors(headers, rows)
 
 
 def shard(d: Descriptors, n: float, compat_float32: bool = False) -> Descriptors:
     """One of ``n`` equal shards: every amount divided, IATs kept; 0 changes nothing."""
-    if n == 0:
-        return d
-    return _each(d, lambda x: over(x, F.lit(float(n)), compat_float32))
+    return _each(d, lambda c: over(c, real(n), compat_float32)) if n else d
 
 
 def unshard(d: Descriptors, n: float, compat_float32: bool = False) -> Descriptors:
     """The whole of which the descriptor is one of ``n`` shards; 0 changes nothing."""
-    if n == 0:
-        return d
-    return _each(d, lambda x: times(x, F.lit(float(n)), compat_float32))
+    return _each(d, lambda c: times(c, real(n), compat_float32)) if n else d
 
 
 def shard_fraction(
@@ -157,77 +140,58 @@ def shard_fraction(
 def stretch_duration(d: Descriptors, duration: int, compat_float32: bool = False) -> Descriptors:
     """The same class observed for another ``duration``; transitions are not stretched.
     Descriptors of duration 0 have no rate to stretch and drop out."""
-    h = d.headers.filter("duration <> 0").withColumn(
-        "_f", F.lit(float(duration)) / F.col("duration")
+    heads = d.headers.filter("duration <> 0").selectExpr(
+        "*", f"{real(duration)} / duration AS _f"
     )
-    headers = h.select(
-        *[
-            F.lit(duration).cast("bigint").alias(c) if c == "duration"
-            else times(F.col(c), F.col("_f"), compat_float32).alias(c) if c in VOLUME_COLS
-            else c
-            for c in HEADER_COLS
-        ]
+
+    def stretched(c: str) -> str:
+        return times(c, "_f", compat_float32)
+
+    change = dict.fromkeys(VOLUME_COLS, stretched)
+    headers = changed(
+        heads, HEADER_COLS, {**change, "duration": lambda _: f"CAST({duration} AS BIGINT)"}
     )
-    rows = d.rows.join(h.select("fd_id", "_f"), "fd_id").select(
-        *[
-            times(F.col(c), F.col("_f"), compat_float32).alias(c)
-            if c in ("requests", "bytes") else c
-            for c in ROW_COLS
-        ]
+    rows = d.rows.join(heads.select("fd_id", "_f"), "fd_id")
+    return Descriptors(
+        headers, changed(rows, ROW_COLS, {"requests": stretched, "bytes": stretched})
     )
-    return Descriptors(headers, rows)
 
 
 def split_virtual(d: Descriptors, n: int) -> Descriptors:
     """One of ``n`` virtual parts with 1/n of the footprint and traffic, IATs n times
     as long; unique counts are kept."""
-    parts = F.lit(n)
-    headers = d.headers.select(
-        *[int_div(F.col(c), parts).alias(c) if c in VOLUME_COLS else c for c in HEADER_COLS]
-    )
-    rows = d.rows.select(
-        "fd_id",
-        (F.col("delta_t") * parts).alias("delta_t"),
-        *[int_div(F.col(c), parts).alias(c) for c in ROW_COLS[2:]],
+    share = dict.fromkeys([*VOLUME_COLS, *ROW_COLS[2:]], lambda c: int_div(c, n))
+    return Descriptors(
+        changed(d.headers, HEADER_COLS, share),
+        changed(d.rows, ROW_COLS, {**share, "delta_t": lambda c: f"{c} * {n}"}),
     )
-    return Descriptors(headers, rows)
 
 
 def coalesce_rows(lines: DataFrame, order: str = "line_no") -> DataFrame:
     """One row per IAT from rows in file order: traffic adds up, the last footprint counts."""
     return lines.groupBy("fd_id", "delta_t").agg(
-        F.max_by("mb", order).alias("mb"),
-        F.max_by("objcount", order).alias("objcount"),
-        *[F.sum(c).alias(c) for c in TRAFFIC_COLS],
+        *aggregates({"mb": f"max_by(mb, {order})", "objcount": f"max_by(objcount, {order})",
+                     **sums(TRAFFIC_COLS)})
     )
 
 
 def float32_traffic(d: Descriptors) -> Descriptors:
     """Traffic and volume counters as a single-precision reader would store them."""
-    one = F.lit(1.0)
-    headers = d.headers.select(
-        *[times(F.col(c), one, True).alias(c) if c in VOLUME_COLS else c for c in HEADER_COLS]
+    rounded = dict.fromkeys([*VOLUME_COLS, *TRAFFIC_COLS, "delta_t"],
+                            lambda c: times(c, "1", True))
+    return Descriptors(
+        changed(d.headers, HEADER_COLS, rounded), changed(d.rows, ROW_COLS, rounded)
     )
-    rows = d.rows.select(
-        *[times(F.col(c), one, True).alias(c) if c in TRAFFIC_COLS + ["delta_t"] else c
-          for c in ROW_COLS]
-    )
-    return Descriptors(headers, rows)
-
-
-def is_empty(headers: DataFrame) -> DataFrame:
-    return headers.select("fd_id", (F.col("total_requests") == 0).alias("is_empty"))
 
 
 def validity(d: Descriptors) -> DataFrame:
     """Per descriptor: has it no traffic, and is it fit to be written?"""
-    bodies = d.rows.groupBy("fd_id").agg(F.count("*").alias("body_rows"))
-    return d.headers.join(bodies, "fd_id", "left").select(
+    bodies = d.rows.groupBy("fd_id").agg(*aggregates({"body_rows": "count(*)"}))
+    return d.headers.join(bodies, "fd_id", "left").selectExpr(
         "fd_id",
-        (F.col("total_requests") == 0).alias("is_empty"),
-        (
-            (F.coalesce("body_rows", F.lit(0)) > 0)
-            & (F.col("total_requests") > 0)
-            & (F.col("total_served_bytes") > 0)
-        ).alias("is_valid"),
+        *named({
+            "is_empty": "total_requests = 0",
+            "is_valid": "coalesce(body_rows, 0) > 0 AND total_requests > 0"
+                        " AND total_served_bytes > 0",
+        }),
     )

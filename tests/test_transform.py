@@ -96,7 +96,7 @@ def test_validity(spark):
 def test_segments_never_decrease(spark):
     values = sorted({s * (2**e + d) for e in range(0, 62) for d in (-1, 0, 1) for s in (1, -1)})
     got = spark.createDataFrame([(v,) for v in values], "x long").select(
-        "x", segment_of(F.col("x")).alias("s")).orderBy("x").collect()
+        "x", F.expr(segment_of("x")).alias("s")).orderBy("x").collect()
     numbers = [r.s for r in got]
     assert numbers == sorted(numbers) and None not in numbers
 
@@ -109,10 +109,10 @@ def test_scan_equals_a_plain_loop(spark):
             data.append((key, at, rng.randint(-5, 9), rng.choice([None, 1, 2, 3])))
     df = spark.createDataFrame(data, "k string, at long, v long, o long")
     got = scan(df, ["k"], ["at"], {
-        "sum": Running("sum", F.col("v")), "max": Running("max", F.col("v")),
-        "last": Running("last", F.col("o")), "next": Running("next", F.col("o")),
-        "lag": Running("lag", F.col("v")), "lead": Running("lead", F.col("v")),
-        "first": Running("first", F.col("o")), "total": Running("total", F.col("v")),
+        "sum": Running("sum", "v"), "max": Running("max", "v"),
+        "last": Running("last", "o"), "next": Running("next", "o"),
+        "lag": Running("lag", "v"), "lead": Running("lead", "v"),
+        "first": Running("first", "o"), "total": Running("total", "v"),
     }).orderBy("k", "at").collect()
     want = []
     for key in "xyz":

@@ -397,10 +397,9 @@ runmax as (select fd_id, mb, max(delta_t) over (partition by fd_id order by mb)
 select p.fd_id, p.target as target_mb, coalesce(r.delta_t, l.delta_t) as delta_t
 from probes p asof left join runmax r on p.fd_id=r.fd_id and p.target>=r.mb
 join (select fd_id, min(delta_t) as delta_t from fd group by fd_id) l on l.fd_id=p.fd_id"""
-    sql["iats_with_mb"] = f"""{LINES}, asked as (select distinct 'g'||(s_suppkey % 20) as fd_id,
-  p_size*10 as mb from supplier cross join (select distinct cast(p_partkey % 500 as bigint)
-  as p_size from part)) select f.fd_id, f.mb, f.delta_t from fd f
-  join asked a on a.fd_id=f.fd_id and a.mb=f.mb"""
+    sql["iats_with_mb"] = f"""{LINES}, asked as (select distinct 'g' || (p_partkey % 20) as fd_id,
+  ((p_partkey*7)//20 % 500)*10 as mb from part)
+select f.fd_id, f.mb, f.delta_t from fd f join asked a on a.fd_id=f.fd_id and a.mb=f.mb"""
     sql["stack_distances"] = f"{LINES} select distinct fd_id, mb from fd"
     sql["markers"] = f"{EVENTS}, {marker_cte(SIZES)} select * from mk"
     sql["quick_add"] = quick_add_sql(1000000)

@@ -5,11 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from spoor.model import HEADER_COLS, ROW_COLS
 from spoor.operators import accesslog, curves, lookup, mix, quickadd, summary, thin, transform
-from spoor.operators.concat import concat
+from spoor.operators.concat import concat, concat_headers, read_scaled
 from spoor.sources.rules import rules_from_customer_map
 from workload import fixtures as fx
 from workload.oracle import SIZES, THIN_PCT
@@ -85,14 +84,9 @@ def _object_probes(spark, sf):
 
 
 def _asked_sizes(spark: SparkSession, sf: str) -> DataFrame:
-    groups = fx.table(spark, sf, "supplier").selectExpr("concat('g', s_suppkey % 20) AS fd_id")
-    sizes = fx.table(spark, sf, "part").selectExpr("(p_partkey % 500) * 10 AS mb").distinct()
-    # 20 groups, each asked for every size: the list of sizes travels with the group
-    return (
-        groups.distinct()
-        .withColumn("one", F.lit(1))
-        .join(sizes.agg(F.collect_set("mb").alias("mbs")).withColumn("one", F.lit(1)), "one")
-        .select("fd_id", F.explode("mbs").alias("mb"))
+    """One footprint to look up per part."""
+    return fx.table(spark, sf, "part").selectExpr(
+        "concat('g', p_partkey % 20) AS fd_id", "((p_partkey * 7) div 20 % 500) * 10 AS mb"
     )
 
 
@@ -153,7 +147,8 @@ def all_queries() -> dict[str, Query]:
     q["quick_lookup"] = _events(lambda d: quickadd.quick_lookup(d, 500000))
     q["concat"] = _concat_of("rows")
     q["concat_weighted"] = _concat_of("rows", weigh_by_traffic=True, cmax=1200000)
-    q["concat_headers"] = _concat_of("headers", min_ghost=2)
+    q["concat_headers"] = lambda s, sf: concat_headers(
+        read_scaled(fx.concat_rules(s), fx.descriptors(s, sf, "events"))[0], min_ghost=2)
     q["curve_lookup"] = _probed(
         lambda d, p: lookup.curve_lookup(curves.space_curve(d), p), _size_probes)
     q["hit_rate_at"] = _probed(
