@@ -38,17 +38,23 @@ def shared_folder(spark: SparkSession) -> str | None:
     return folder
 
 
+def new_path(spark: SparkSession, label: str) -> str | None:
+    """An unused path in the shared folder, None if there is no such folder."""
+    folder = shared_folder(spark)
+    return None if folder is None else f"{folder.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Cuts the lineage with files that outlive an executor, so a table read by
-    several later steps is computed once.  Without a shared folder the frame is
-    returned as it is: same result, longer lineage.
+    several later steps is computed once, and its size is known when they are
+    planned.  Without a shared folder the frame is returned as it is: same result,
+    longer lineage.
     """
     spark = df.sparkSession
-    folder = shared_folder(spark)
-    if folder is None:
+    path = new_path(spark, label)
+    if path is None:
         return df
-    path = f"{folder.rstrip('/')}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -84,6 +84,7 @@ MIXED_OPS = [
     rule("mixed_ops", 4, "absent"),
 ]
 GROUPS = [rule(f"m{i % 4}", i // 4, f"g{i}", scale=0.5) for i in range(20)]
+SHRUNK = [rule(f"s{i % 3}", i // 3, f"g{i}", scale=3.0) for i in range(20)]
 FLAT = [rule("flat", i, f"m{i}") for i in range(4)]
 SUBTRACT = [rule("difference", 0, "click"), rule("difference", 1, "view", "sub", 0.5)]
 PAIR = [rule("pair", 0, "click"), rule("pair", 1, "view")]

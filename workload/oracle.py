@@ -32,12 +32,12 @@ def _cut(x: str) -> str:
     return f"cast(trunc({x}) as bigint)"
 
 
-def source(name: str, prefix: str = "") -> str:
+def source(name: str, prefix: str = "", order: str = "ord1, ord2, sz") -> str:
     """CTEs ``fd`` (rows) and ``hd`` (headers) of a log."""
     p = prefix
     return f"""{p}log as ({LOGS[name]}),
 {p}seqd as (select *, row_number() over w as k, sec - lag(sec) over w as iat
-  from {p}log window w as (partition by fd_id, obj order by ord1, ord2, sz)),
+  from {p}log window w as (partition by fd_id, obj order by {order})),
 {p}traf as (select fd_id, iat as delta_t,
     {_sum('case when k>=3 then 1 else 0 end')} as requests,
     {_sum('case when k>=3 then sz else 0 end')} as bytes,
@@ -88,13 +88,21 @@ def rule_values(*sets: list[tuple]) -> str:
     )
 
 
-def mixing(rules: str, fd: str = "fd", hd: str = "hd", p: str = "", equalize: bool = False) -> str:
+def mixing(
+    rules: str, fd: str = "fd", hd: str = "hd", p: str = "", equalize: bool = False,
+    merge: bool = False,
+) -> str:
     """CTEs ``mixfd`` and ``mixhd``: each member read off on the full grid of its mix."""
     def frac(c):
         one = f"case when m>1 and n<>m then {_cut(f'{c}/cast(m as double)')} else {c} end"
         return (f"case when m>1 and n<>m and n>1 then {_cut(f'({one})*cast(n as double)')} "
                 f"else {one} end")
 
+    if merge:
+        settled = ["max(mb) as mb", "max(objcount) as objcount"]
+        settled += [f"{_sum(c)} as {c}" for c in TRAFFIC]
+    else:
+        settled = [f"arg_max({c}, t0) as {c}" for c in ["mb", "objcount"] + TRAFFIC]
     both = VOLUMES + UNIQUES
     eq = "r.duration" if equalize else "1"
 
@@ -118,7 +126,7 @@ def mixing(rules: str, fd: str = "fd", hd: str = "hd", p: str = "", equalize: bo
     {', '.join(f'{_cut(f"({frac(chr(120)+chr(46)+c)})*m.f")} as {c}' for c in TRAFFIC)}
   from {p}mem m join {fd} x on x.fd_id=m.fd_id),
 {p}prep as (select mix_id, ord, delta_t, any_value(duration) as duration,
-    {', '.join(f'arg_max({c}, t0) as {c}' for c in ['mb', 'objcount'] + TRAFFIC)}
+    {', '.join(settled)}
   from {p}prep0 group by mix_id, ord, delta_t),
 {p}grid as (select distinct mix_id, delta_t from {p}prep),
 {p}heads as (select mix_id, ord, arg_min(mb, delta_t) as mb0,
@@ -146,6 +154,31 @@ def mixing(rules: str, fd: str = "fd", hd: str = "hd", p: str = "", equalize: bo
   from {p}mem r group by mix_id)"""
 
 
+def chained(mix_id: str, members: int) -> str:
+    """CTEs ``s1`` .. ``sN``: the prepared members of one mix added two at a time."""
+    cols = ["mb", "objcount"]
+    parts = [f"s1 as (select * from prep where mix_id='{mix_id}' and ord=0)"]
+    for k in range(1, members):
+        a, b = f"s{k}", f"m{k}"
+        parts.append(f"{b} as (select * from prep where mix_id='{mix_id}' and ord={k})")
+        parts.append(f"g{k} as (select delta_t from {a} union select delta_t from {b})")
+
+        def side(t):
+            return (f"select g.delta_t, coalesce(x.mb, h.mb) as mb, "
+                    f"coalesce(x.objcount, h.objcount) as objcount, "
+                    + ", ".join(f"case when x.delta_t=g.delta_t then x.{c} else 0 end as {c}"
+                                for c in TRAFFIC)
+                    + f" from g{k} g asof left join {t} x on g.delta_t>=x.delta_t "
+                    f"cross join (select arg_min(mb, delta_t) as mb, "
+                    f"arg_min(objcount, delta_t) as objcount from {t}) h")
+
+        parts.append(f"s{k + 1} as (select u.delta_t, "
+                     + ", ".join(f"u.{c}+v.{c} as {c}" for c in cols + TRAFFIC)
+                     + f" from ({side(a)}) u join ({side(b)}) v on u.delta_t=v.delta_t where "
+                     + " or ".join(f"u.{c}+v.{c}<>0" for c in TRAFFIC) + ")")
+    return ", ".join(parts)
+
+
 ROWS = "fd_id, delta_t, mb, objcount, requests, bytes, tr_bytes, tr_requests"
 HEADER = ("fd_id, total_requests, total_served_bytes, duration, total_mib, unique_objects, "
           "unique_bytes, peak_requests_300s, peak_bytes_300s")
@@ -184,6 +217,7 @@ def per_amount(expr: str, also: str = "") -> str:
             f"from fd{also}")
 
 
+MIXES = [fx.HALF_ALL, fx.MIXED_OPS]
 IAT_PROBES = """probes as (select distinct event_type as fd_id, (event_id*7919) % 3000000 as t
   from events)"""
 MB_PROBES = """probes as (select distinct event_type as fd_id,
@@ -353,6 +387,15 @@ def statements() -> dict[str, str]:
     }.items():
         sql[name] = f"{EVENTS}, {mixing(rule_values(*sets))} select {ROWS} from mixfd"
     every = [fx.HALF_ALL, fx.ONE_ALL, fx.MIXED_OPS, fx.SUBTRACT]
+    plain = ", ".join(["mix_id", "ord", "delta_t", *FULL])
+    sql["prepared_members"] = f"{EVENTS}, {mixing(rule_values(*MIXES))} select {plain} from prep"
+    sql["mix_merged_collisions"] = (
+        f"{LINES}, {mixing(rule_values(fx.SHRUNK), merge=True)} select {ROWS} from mixfd")
+    sql["mix_in_rule_order"] = (
+        f"{EVENTS}, {mixing(rule_values(fx.HALF_ALL))}, {chained('half_all', 5)} "
+        f"select 'half_all' as fd_id, {', '.join(['delta_t', *FULL])} from s5")
+    sql["text_round_trip"] = f"{LINES} select {ROWS} from fd"
+    sql["fd_from_stream"] = (f"with {source('events', order='sec, sz')} select {ROWS} from fd")
     sql["mix_headers"] = f"{EVENTS}, {mixing(rule_values(*every))} select {HEADER} from mixhd"
     sql["mix_equalized"] = (f"{EVENTS}, {mixing(rule_values(fx.ONE_ALL), equalize=True)} "
                             f"select {ROWS} from mixfd")

@@ -9,7 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from spoor.model import HEADER_COLS, ROW_COLS
 from spoor.operators import accesslog, curves, lookup, mix, quickadd, summary, thin, transform
 from spoor.operators.concat import concat, concat_headers, read_scaled
+from spoor.session import materialize, new_path
+from spoor.sources.descriptors import read_descriptors, write_descriptors
 from spoor.sources.rules import rules_from_customer_map
+from spoor.streaming import accesslog as live
 from workload import fixtures as fx
 from workload.oracle import SIZES, THIN_PCT
 
@@ -96,6 +99,34 @@ def _concat_of(part: str, **options) -> Query:
     )
 
 
+def _prepared(spark: SparkSession, sf: str) -> DataFrame:
+    table = fx.rules(spark, fx.HALF_ALL, fx.MIXED_OPS)
+    return mix.prepared_rows(table, fx.descriptors(spark, sf, "events")).drop("fd_id")
+
+
+def _round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    """Descriptors written as text to the shared folder and read again."""
+    path = new_path(spark, "text")
+    if path is None:
+        raise ValueError("a shared folder is needed: set spark.checkpoint.dir")
+    write_descriptors(fx.descriptors(spark, sf, "lineitem"), path, form="text")
+    return read_descriptors(spark, path, folders=True).descriptors.rows
+
+
+def _streamed(spark: SparkSession, sf: str) -> DataFrame:
+    """The events log as lines, pushed through the streaming build."""
+    path = new_path(spark, "stream")
+    if path is None:
+        raise ValueError("a shared folder is needed: set spark.checkpoint.dir")
+    fx.events_log(spark, sf).selectExpr(
+        "concat_ws(':', ord2, sec, obj, sz, sz, 0, fd_id, 0) AS value"
+    ).write.text(f"{path}/lines")
+    lines = live.parse_lines(spark.readStream.text(f"{path}/lines"))
+    live.start(lines, f"{path}/changes", f"{path}/checkpoint").awaitTermination()
+    changes = materialize(live.finished(spark, f"{path}/changes"), "finished")
+    return accesslog.rows_from_traffic(changes).select(ROW_COLS)
+
+
 def _run_summary(spark: SparkSession, sf: str) -> DataFrame:
     table = fx.rules(spark, fx.HALF_ALL, fx.MIXED_OPS)
     d = fx.descriptors(spark, sf, "events")
@@ -118,6 +149,13 @@ def all_queries() -> dict[str, Query]:
     q["subtract"] = lambda s, sf: _mixed(fx.SUBTRACT)(s, sf).rows
     q["add_two"] = _events(lambda d: mix.add(d.named("click"), d.named("view"), "pair").rows)
     q["mix_nway"] = lambda s, sf: _mixed(fx.HALF_ALL, fx.ONE_ALL, fx.MIXED_OPS)(s, sf).rows
+    q["prepared_members"] = _prepared
+    q["mix_merged_collisions"] = lambda s, sf: mix.mix(
+        fx.rules(s, fx.SHRUNK), fx.descriptors(s, sf, "lineitem"), collision="merge").rows
+    q["mix_in_rule_order"] = lambda s, sf: mix.mix_in_rule_order(
+        fx.rules(s, fx.HALF_ALL), fx.descriptors(s, sf, "events")).rows
+    q["text_round_trip"] = _round_trip
+    q["fd_from_stream"] = _streamed
     q["mix_headers"] = lambda s, sf: _mixed(
         fx.HALF_ALL, fx.ONE_ALL, fx.MIXED_OPS, fx.SUBTRACT)(s, sf).headers
     q["mix_equalized"] = lambda s, sf: _mixed(fx.ONE_ALL, equalize_durations=True)(s, sf).rows
