@@ -26,28 +26,25 @@ def _floor_join(
 ) -> DataFrame:
     """For each probe the payload of the row with the largest ``axis`` <= ``probe``;
     before the first row that row itself."""
-    fields = ", ".join([f"'_axis', {axis}", *[f"'{c}', {c}" for c in payload]])
+    columns = [axis, *payload]
     held = rows.selectExpr(
-        "fd_id", f"{axis} AS _at", "0 AS _kind", f"named_struct({fields}) AS _row"
+        "fd_id", f"{axis} AS _at", "0 AS _kind", *[f"{c} AS _{c}" for c in columns]
     )
     extra = _others(probes, "fd_id", probe)
     asked = probes.selectExpr("fd_id", f"CAST({probe} AS BIGINT) AS _at", "1 AS _kind", *extra)
+    # column by column: numbers are aggregated by hashing, structs would be sorted
+    wanted = {f"_last_{c}": Running("last", f"_{c}") for c in columns}
+    wanted |= {f"_head_{c}": Running("first", f"_{c}") for c in columns}
     found = scan(
-        held.unionByName(asked, allowMissingColumns=True),
-        ["fd_id"],
-        ["_at", "_kind"],
-        {"_hit": Running("last", "_row"), "_head": Running("first", "_row")},
+        held.unionByName(asked, allowMissingColumns=True), ["fd_id"], ["_at", "_kind"], wanted
     )
     return (
-        found.filter("_kind = 1")
-        .selectExpr("*", "coalesce(_hit, _head) AS _got")
-        .filter("_got IS NOT NULL")
+        found.filter(f"_kind = 1 AND _head_{axis} IS NOT NULL")
         .selectExpr(
             "fd_id",
             f"_at AS {probe}",
             *extra,
-            f"_got._axis AS {axis}",
-            *[f"_got.{c} AS {c}" for c in payload],
+            *[f"coalesce(_last_{c}, _head_{c}) AS {c}" for c in columns],
         )
     )
 

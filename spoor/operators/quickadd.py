@@ -127,13 +127,16 @@ def quick_add(
         "*", f"delta_t >= left_t AND delta_t < right_t AND _mb0 + _mb <= {cache_mb} AS fits"
     )
     # a point that fits wins over the left end, which stands in if none does
-    point = ("named_struct('hit_bytes', _bytes0 + _bytes - mib, 'served_bytes', served_bytes, "
-             "'iat', if(fits, least(_next, right_t) - 1, left_t))")
+    found = {
+        "hit_bytes": "_bytes0 + _bytes - mib",
+        "served_bytes": "served_bytes",
+        "iat": "if(fits, least(_next, right_t) - 1, left_t)",
+    }
     best = (
         swept.filter("fits OR delta_t = left_t")
         .groupBy("mix_id")
-        .agg(*aggregates({"_best": f"max_by({point}, if(fits, delta_t, -1L))"}))
-        .selectExpr("mix_id", f"{cache_mb}L AS cache_mb", "_best.*")
+        .agg(*aggregates({c: f"max_by({e}, if(fits, delta_t, -1L))" for c, e in found.items()}))
+        .selectExpr("mix_id", f"{cache_mb}L AS cache_mb", *found)
     )
     single = live.filter("n_members = 1").select("mix_id", "fd_id", "marker_t")
     alone = (

@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from spoor.functions.numeric import aggregates
 from spoor.model import HEADER_COLS, ROW_COLS, Descriptors
 from spoor.operators.thin import thin
 from spoor.operators.transform import coalesce_rows, validity
@@ -42,6 +43,9 @@ HEADER_FIELDS = [
 BODY_FIELDS = ["delta_t", "mb", "objcount", "requests", "bytes", "tr_bytes", "tr_requests"]
 HEADER_REQUIRED = 3
 
+# Positions of a part file start here times its number (see sources/lines.py).
+PART_STEP = 10**32
+
 
 @dataclass(frozen=True)
 class Scanned:
@@ -70,50 +74,61 @@ def read_descriptors(
     lines = read_lines(spark, path, glob)
     seen = listed_files(spark, path, glob)
     if folders:
-        parent = F.regexp_extract("file", r"^(.*)/[^/]*$", 1)
-        lines = lines.select(
-            parent.alias("file"),
-            F.struct(base_name(F.col("file")).alias("part"), "pos").alias("pos"),
+        # the part files of a folder follow each other in number order
+        part = r"coalesce(try_cast(regexp_extract(file, '/part-(\\d+)[^/]*$', 1) AS INT), 0)"
+        lines = lines.selectExpr(
+            "regexp_extract(file, '^(.*)/[^/]*$', 1) AS file",
+            f"if({part} = 0, block, NULL) AS block",
+            f"CAST({part} AS DECIMAL(6, 0)) * {PART_STEP}BD + pos AS pos",
             "value",
         )
-        seen = seen.select(parent.alias("file")).distinct()
+        seen = seen.selectExpr("regexp_extract(file, '^(.*)/[^/]*$', 1) AS file").distinct()
         named = folder_value(F.col("file"))
     else:
         named = base_name(F.col("file"))
 
     words = tokens(F.col("value"))
-    is_head = F.col("value").startswith("#")
     body = [integer(F.get(words, F.lit(i))).alias(c) for i, c in enumerate(BODY_FIELDS)]
-    parsed = lines.select("file", "pos", "value", is_head.alias("is_head"), *body)
-    whole = F.lit(True)
-    for c in BODY_FIELDS:
-        whole = whole & F.col(c).isNotNull()
-    parsed = parsed.withColumn("ok", F.col("is_head") | whole)
-
-    # the first line of each file is its header
-    per_file = parsed.groupBy("file").agg(
-        F.min_by("value", "pos").alias("head"),
-        F.count_if(~F.col("is_head")).alias("body_rows"),
-        F.count_if(~F.col("ok")).alias("bad_rows"),
+    parsed = lines.select(
+        "file", "block", "pos", "value", F.col("value").startswith("#").alias("is_head"), *body
+    )
+    whole = " AND ".join(f"{c} IS NOT NULL" for c in BODY_FIELDS)
+    counts = parsed.groupBy("file").agg(
+        *aggregates({
+            "body_rows": "count_if(NOT is_head)",
+            "bad_rows": f"count_if(NOT is_head AND NOT ({whole}))",
+            # both within the first block of the file, where its first line is
+            "first_pos": "min(if(block = 0, pos, NULL))",
+            "first_head": "min(if(block = 0 AND is_head, pos, NULL))",
+        })
     )
-    numbers = F.transform(tokens(F.substring("head", 2, 1 << 20)), integer)
-    per_file = per_file.withColumn("numbers", numbers).withColumn(
-        "given",
-        F.when(
-            F.exists("numbers", lambda x: x.isNull()),
-            F.array_position(F.transform("numbers", lambda x: x.isNull()), True) - 1,
-        ).otherwise(F.size("numbers")),
+    # the first line of each file is its header
+    heads = (
+        parsed.filter("is_head")
+        .groupBy("file")
+        .agg(*aggregates({"head": "min_by(value, pos)"}))
+        .select("file", F.transform(tokens(F.substring("head", 2, 1 << 20)), integer)
+                .alias("numbers"))
+        .selectExpr(
+            "file",
+            "numbers",
+            "coalesce(nullif(array_position(transform(numbers, x -> x IS NULL), true), 0) - 1, "
+            "size(numbers)) AS given",
+        )
+        .selectExpr(
+            "file",
+            "given",
+            *[f"if(given > {i}, get(numbers, {i}), 0L) AS {c}"
+              for i, c in enumerate(HEADER_FIELDS)],
+        )
     )
-    per_file = per_file.select(
+    per_file = counts.join(heads, "file", "left").selectExpr(
         "file",
-        F.col("head").startswith("#").alias("marked"),
-        "given",
         "body_rows",
         "bad_rows",
-        *[
-            F.when(F.col("given") > i, F.get("numbers", F.lit(i))).otherwise(F.lit(0)).alias(c)
-            for i, c in enumerate(HEADER_FIELDS)
-        ],
+        "coalesce(first_pos = first_head, false) AS marked",
+        "coalesce(given, 0) AS given",
+        *HEADER_FIELDS,
     )
     judged = (
         seen.join(per_file, "file", "left")

@@ -11,6 +11,10 @@ SPACE_PREFIX = "stdspace."
 COUNT_PREFIX = "stdcount."
 KEY_SUFFIX = r"(?i)\.key(\d+)$"
 
+# A position is block * 10^19 + line (a line number has at most 19 digits).
+POSITION = "DECIMAL(18, 0)"
+BLOCK_STEP = 10**19
+
 
 def decoded(path: Column) -> Column:
     """File paths arrive URL-encoded; class names may contain ``^`` or ``+``.  Local
@@ -46,23 +50,25 @@ def key_index(name: Column, default: str = "1") -> Column:
 def read_lines(
     spark: SparkSession, path: str | list[str], name_glob: str | None = None
 ) -> DataFrame:
-    """``(file, pos, value)`` for every line below ``path``.
+    """``(file, block, pos, value)`` for every line below ``path``.
 
-    ``pos`` orders the lines of a file: start of the file block, then the running
-    number inside the task that reads the block.  A file larger than
-    ``spark.sql.files.maxPartitionBytes`` is read by several tasks.
+    A file larger than ``spark.sql.files.maxPartitionBytes`` is read by several
+    tasks.  ``pos`` orders the lines of a file: start of the file block, then the
+    running number inside the task that reads the block, as one number, so that
+    aggregates can order by it without sorting.
     """
     reader = spark.read.option("recursiveFileLookup", True)
     if name_glob:
         reader = reader.option("pathGlobFilter", name_glob)
-    return reader.text(path).select(
+    lines = reader.text(path).select(
         decoded(F.col("_metadata.file_path")).alias("file"),
-        F.struct(
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("line"),
-        ).alias("pos"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line"),
         "value",
     )
+    return lines.selectExpr(
+        "file", "block", f"CAST(block AS {POSITION}) * {BLOCK_STEP}BD + line AS pos", "value"
+    )
 
 
 def listed_files(
