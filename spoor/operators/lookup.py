@@ -7,6 +7,8 @@ a rows-times-probes product occurs.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 
 from spoor.functions.numeric import aggregates, percent
@@ -17,8 +19,20 @@ from spoor.operators.scan import Running, scan
 _PAYLOAD = ["mb", "objcount", *TRAFFIC_COLS]
 
 
-def _others(probes: DataFrame, *taken: str) -> list[str]:
-    return [c for c in probes.columns if c not in taken]
+def _answer(
+    probes: DataFrame, probe: str, look_up: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    """Looks up every distinct ``(fd_id, probe)`` once and gives the answer to all probes
+    that ask for it, so a value that is asked very often is no hot spot."""
+    asked = probes.withColumn(probe, probes[probe].cast("bigint"))
+    return asked.join(look_up(asked.select("fd_id", probe).distinct()), ["fd_id", probe])
+
+
+def _merged(held: DataFrame, asked: DataFrame, probe: str, wanted: dict[str, Running]):
+    """The ``wanted`` running values of the ``held`` rows, ordered by ``_at``, at each probe."""
+    points = asked.selectExpr("fd_id", f"{probe} AS _at", "1 AS _kind")
+    both = held.selectExpr("*", "0 AS _kind").unionByName(points, allowMissingColumns=True)
+    return scan(both, ["fd_id"], ["_at", "_kind"], wanted).filter("_kind = 1")
 
 
 def _floor_join(
@@ -27,26 +41,20 @@ def _floor_join(
     """For each probe the payload of the row with the largest ``axis`` <= ``probe``;
     before the first row that row itself."""
     columns = [axis, *payload]
-    held = rows.selectExpr(
-        "fd_id", f"{axis} AS _at", "0 AS _kind", *[f"{c} AS _{c}" for c in columns]
-    )
-    extra = _others(probes, "fd_id", probe)
-    asked = probes.selectExpr("fd_id", f"CAST({probe} AS BIGINT) AS _at", "1 AS _kind", *extra)
+    held = rows.selectExpr("fd_id", f"{axis} AS _at", *[f"{c} AS _{c}" for c in columns])
     # column by column: numbers are aggregated by hashing, structs would be sorted
     wanted = {f"_last_{c}": Running("last", f"_{c}") for c in columns}
     wanted |= {f"_head_{c}": Running("first", f"_{c}") for c in columns}
-    found = scan(
-        held.unionByName(asked, allowMissingColumns=True), ["fd_id"], ["_at", "_kind"], wanted
-    )
-    return (
-        found.filter(f"_kind = 1 AND _head_{axis} IS NOT NULL")
-        .selectExpr(
+
+    def look_up(asked: DataFrame) -> DataFrame:
+        found = _merged(held, asked, probe, wanted).filter(f"_head_{axis} IS NOT NULL")
+        return found.selectExpr(
             "fd_id",
             f"_at AS {probe}",
-            *extra,
             *[f"coalesce(_last_{c}, _head_{c}) AS {c}" for c in columns],
         )
-    )
+
+    return _answer(probes, probe, look_up)
 
 
 def _best_below(
@@ -56,21 +64,17 @@ def _best_below(
     the descriptor's smallest ``answer`` if there is none."""
     held = (
         rows.groupBy("fd_id", axis)
-        .agg(*aggregates({"_best": f"max({answer})"}))
-        .selectExpr("fd_id", f"{axis} AS _at", "0 AS _kind", "_best")
-    )
-    extra = _others(probes, "fd_id", probe)
-    asked = probes.selectExpr("fd_id", f"CAST({probe} AS BIGINT) AS _at", "1 AS _kind", *extra)
-    found = scan(
-        held.unionByName(asked, allowMissingColumns=True),
-        ["fd_id"],
-        ["_at", "_kind"],
-        {"_found": Running("max", "_best")},
-    ).filter("_kind = 1")
-    least = rows.groupBy("fd_id").agg(*aggregates({"_floor": f"min({answer})"}))
-    return found.join(least, "fd_id").selectExpr(
-        "fd_id", f"_at AS {probe}", *extra, f"coalesce(_found, _floor) AS {answer}"
+        .agg(*aggregates({"_best": f"max({answer})", "_worst": f"min({answer})"}))
+        .withColumnRenamed(axis, "_at")
     )
+    wanted = {"_found": Running("max", "_best"), "_floor": Running("least", "_worst")}
+
+    def look_up(asked: DataFrame) -> DataFrame:
+        return _merged(held, asked, probe, wanted).filter("_floor IS NOT NULL").selectExpr(
+            "fd_id", f"_at AS {probe}", f"coalesce(_found, _floor) AS {answer}"
+        )
+
+    return _answer(probes, probe, look_up)
 
 
 # ---------------------------------------------------------------- by IAT
@@ -118,6 +122,7 @@ def asof_within(
         marks["_back"] = Running("last", f"if({upper}, delta_t, NULL)")
     if lower is not None:
         marks["_ahead"] = Running("next", f"if({lower}, delta_t, NULL)")
+        marks["_tail"] = Running("most", "delta_t")
     base = scan(rows.select("fd_id", "delta_t", *_PAYLOAD), ["fd_id"], ["delta_t"], marks)
     # where the walk back from a row ends: an IAT of the same descriptor
     back = "coalesce(_back, _head)" if upper is not None else "delta_t"
@@ -125,12 +130,8 @@ def asof_within(
         base.selectExpr("fd_id", "delta_t", f"{back} AS _from"), probes, "delta_t", "t", ["_from"]
     )
     if lower is not None:
-        ends = rows.groupBy("fd_id").agg(*aggregates({"_last": "max(delta_t)"}))
-        landed = (
-            landed.join(base.selectExpr("fd_id", "delta_t AS _from", "_ahead"), ["fd_id", "_from"])
-            .join(ends, "fd_id")
-            .selectExpr("fd_id", "t", "coalesce(_ahead, _last) AS _from")
-        )
+        onward = base.selectExpr("fd_id", "delta_t AS _from", "coalesce(_ahead, _tail) AS _to")
+        landed = landed.join(onward, ["fd_id", "_from"]).selectExpr("fd_id", "t", "_to AS _from")
     target = rows.selectExpr("fd_id", "delta_t AS _from", *_PAYLOAD)
     return landed.select("fd_id", "t", "_from").join(target, ["fd_id", "_from"]).selectExpr(
         "fd_id", "t", "_from AS delta_t", *_PAYLOAD

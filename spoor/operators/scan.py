@@ -50,6 +50,8 @@ class Running:
       ``lead``   value of the next row (NULL on the key's last row)
       ``first``  value of the key's first non-null row
       ``total``  sum over the whole key
+      ``least``  minimum over the whole key
+      ``most``   maximum over the whole key
     """
 
     kind: str
@@ -89,6 +91,8 @@ _KINDS = {
     "first": _Parts(None, "min_by({v}, CASE WHEN ({v}) IS NOT NULL THEN {a} END)",
                     f"first({{s}}) IGNORE NULLS OVER ({{along}} {_ALL})", "{brought}"),
     "total": _Parts(None, "sum({v})", f"sum({{s}}) OVER ({{along}} {_ALL})", "{brought}"),
+    "least": _Parts(None, "min({v})", f"min({{s}}) OVER ({{along}} {_ALL})", "{brought}"),
+    "most": _Parts(None, "max({v})", f"max({{s}}) OVER ({{along}} {_ALL})", "{brought}"),
 }
 
 

@@ -40,6 +40,16 @@ def test_asof_and_matching(spark, bodies, d):
         (r[0], r[1], r[3]) for r in want]
 
 
+def test_a_value_asked_often_is_answered_as_often(spark, bodies, d):
+    p = spark.createDataFrame([("c0", 17, i) for i in range(500)] + [("c1", 3, -1)],
+                              "fd_id string, t int, who long")
+    got = k.asof(d.rows, p)
+    assert got.count() == 501
+    assert sorted(r.who for r in got.collect())[:2] == [-1, 0]
+    assert {r.delta_t for r in got.filter("fd_id = 'c0'").collect()} == {
+        floor_row(bodies["c0"], 17)[0]}
+
+
 def walk(body, t, max_mb, min_mb, max_n, min_n, unset_is_zero):
     """Definition of the lookup within a quota, row by row."""
     i = max([j for j, r in enumerate(body) if r[0] <= t], default=0)

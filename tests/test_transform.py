@@ -113,6 +113,7 @@ def test_scan_equals_a_plain_loop(spark):
         "last": Running("last", "o"), "next": Running("next", "o"),
         "lag": Running("lag", "v"), "lead": Running("lead", "v"),
         "first": Running("first", "o"), "total": Running("total", "v"),
+        "least": Running("least", "v"), "most": Running("most", "v"),
     }).orderBy("k", "at").collect()
     want = []
     for key in "xyz":
@@ -127,5 +128,6 @@ def test_scan_equals_a_plain_loop(spark):
                 seen[-1] if seen else None, ahead[0] if ahead else None,
                 part[i - 1][2] if i else None, part[i + 1][2] if i + 1 < len(part) else None,
                 some[0], sum(x[2] for x in part),
+                min(x[2] for x in part), max(x[2] for x in part),
             ))
     assert [tuple(r) for r in got] == want

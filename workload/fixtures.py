@@ -132,7 +132,6 @@ def iat_probes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         table(spark, sf_dir, "events")
         .selectExpr("event_type AS fd_id", "(event_id * 7919) % 3000000 AS t")
-        .distinct()
     )
 
 
@@ -141,5 +140,4 @@ def mb_probes(spark: SparkSession, sf_dir: str, name: str = "target_mb") -> Data
     return (
         table(spark, sf_dir, "events")
         .selectExpr("event_type AS fd_id", f"(event_id * 104729) % 4000000 AS {name}")
-        .distinct()
     )

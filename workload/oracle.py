@@ -218,9 +218,9 @@ def per_amount(expr: str, also: str = "") -> str:
 
 
 MIXES = [fx.HALF_ALL, fx.MIXED_OPS]
-IAT_PROBES = """probes as (select distinct event_type as fd_id, (event_id*7919) % 3000000 as t
+IAT_PROBES = """probes as (select event_type as fd_id, (event_id*7919) % 3000000 as t
   from events)"""
-MB_PROBES = """probes as (select distinct event_type as fd_id,
+MB_PROBES = """probes as (select event_type as fd_id,
   (event_id*104729) % 4000000 as target from events)"""
 
 
@@ -468,7 +468,7 @@ from mk m join cum c on c.fd_id=m.fd_id and c.delta_t=m.delta_t join hd h on h.f
     sql["max_hit_rate"] = (f"{LINES}, {space} select fd_id, arg_max(byte_pct, mb) as max_hit_rate "
                            f"from crv group by fd_id")
     sql["size_for_hit_rate"] = f"""{EVENTS}, {space},
-asked as (select distinct event_type as fd_id, cast(event_id % 1000 as double)/10.0::double
+asked as (select event_type as fd_id, cast(event_id % 1000 as double)/10.0::double
   as hit_pct from events),
 probes as (select a.fd_id, a.hit_pct, {_cut('h.total_served_bytes*a.hit_pct/100.0::double')} as hb
   from asked a join hd h on h.fd_id=a.fd_id),
@@ -478,7 +478,7 @@ select p.fd_id, p.hit_pct, coalesce(r.mb, l.mb) as mb
 from probes p asof left join runmax r on p.fd_id=r.fd_id and p.hb>=r.bytes
 join (select fd_id, min(mb) as mb from crv group by fd_id) l on l.fd_id=p.fd_id"""
     sql["count_lookup"] = (
-        f"{EVENTS}, crv as ({curve('objcount')}), probes as (select distinct event_type as fd_id, "
+        f"{EVENTS}, crv as ({curve('objcount')}), probes as (select event_type as fd_id, "
         f"user_id as cache_objects from events) "
         f"{floor_lookup('crv', 'objcount', 'cache_objects', ['requests', 'bytes'])}"
     )

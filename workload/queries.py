@@ -77,13 +77,13 @@ def _size_probes(spark, sf):
 def _rate_probes(spark, sf):
     return fx.table(spark, sf, "events").selectExpr(
         "event_type AS fd_id", "CAST(event_id % 1000 AS DOUBLE) / 10D AS hit_pct"
-    ).distinct()
+    )
 
 
 def _object_probes(spark, sf):
     return fx.table(spark, sf, "events").selectExpr(
         "event_type AS fd_id", "user_id AS cache_objects"
-    ).distinct()
+    )
 
 
 def _asked_sizes(spark: SparkSession, sf: str) -> DataFrame:
@@ -127,6 +127,15 @@ def _streamed(spark: SparkSession, sf: str) -> DataFrame:
     return accesslog.rows_from_traffic(changes).select(ROW_COLS)
 
 
+def _space(d) -> DataFrame:
+    """A stored space curve, as the lookups find it."""
+    return materialize(curves.space_curve(d), "space-curve")
+
+
+def _count(d) -> DataFrame:
+    return materialize(curves.count_curve(d), "count-curve")
+
+
 def _run_summary(spark: SparkSession, sf: str) -> DataFrame:
     table = fx.rules(spark, fx.HALF_ALL, fx.MIXED_OPS)
     d = fx.descriptors(spark, sf, "events")
@@ -188,14 +197,14 @@ def all_queries() -> dict[str, Query]:
     q["concat_headers"] = lambda s, sf: concat_headers(
         read_scaled(fx.concat_rules(s), fx.descriptors(s, sf, "events"))[0], min_ghost=2)
     q["curve_lookup"] = _probed(
-        lambda d, p: lookup.curve_lookup(curves.space_curve(d), p), _size_probes)
+        lambda d, p: lookup.curve_lookup(_space(d), p), _size_probes)
     q["hit_rate_at"] = _probed(
-        lambda d, p: lookup.hit_rate_at(curves.space_curve(d), d.headers, p), _size_probes)
+        lambda d, p: lookup.hit_rate_at(_space(d), d.headers, p), _size_probes)
     q["max_hit_rate"] = _lines(lambda d: curves.max_hit_rate(curves.space_curve(d), d.headers))
     q["size_for_hit_rate"] = _probed(
-        lambda d, p: lookup.size_for_hit_rate(curves.space_curve(d), d.headers, p), _rate_probes)
+        lambda d, p: lookup.size_for_hit_rate(_space(d), d.headers, p), _rate_probes)
     q["count_lookup"] = _probed(
-        lambda d, p: lookup.count_lookup(curves.count_curve(d), p), _object_probes)
+        lambda d, p: lookup.count_lookup(_count(d), p), _object_probes)
     q["stretch_duration"] = _events(lambda d: transform.stretch_duration(d, 604800).rows)
     q["split_virtual"] = _events(lambda d: transform.split_virtual(d, 4).rows)
     q["traffic_summary"] = lambda s, sf: summary.traffic_summary(_all_headers(s, sf))
