@@ -10,13 +10,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spoor.functions.numeric import aggregates
 from spoor.model import HEADER_COLS, ROW_COLS, Descriptors
 from spoor.operators.thin import thin
 from spoor.operators.transform import coalesce_rows, validity
+from spoor.session import materialize
 from spoor.sources.lines import (
     DESCRIPTOR_PREFIX,
     base_name,
@@ -78,7 +79,6 @@ def read_descriptors(
         part = r"coalesce(try_cast(regexp_extract(file, '/part-(\\d+)[^/]*$', 1) AS INT), 0)"
         lines = lines.selectExpr(
             "regexp_extract(file, '^(.*)/[^/]*$', 1) AS file",
-            f"if({part} = 0, block, NULL) AS block",
             f"CAST({part} AS DECIMAL(6, 0)) * {PART_STEP}BD + pos AS pos",
             "value",
         )
@@ -90,16 +90,15 @@ def read_descriptors(
     words = tokens(F.col("value"))
     body = [integer(F.get(words, F.lit(i))).alias(c) for i, c in enumerate(BODY_FIELDS)]
     parsed = lines.select(
-        "file", "block", "pos", "value", F.col("value").startswith("#").alias("is_head"), *body
+        "file", "pos", "value", F.col("value").startswith("#").alias("is_head"), *body
     )
     whole = " AND ".join(f"{c} IS NOT NULL" for c in BODY_FIELDS)
     counts = parsed.groupBy("file").agg(
         *aggregates({
             "body_rows": "count_if(NOT is_head)",
             "bad_rows": f"count_if(NOT is_head AND NOT ({whole}))",
-            # both within the first block of the file, where its first line is
-            "first_pos": "min(if(block = 0, pos, NULL))",
-            "first_head": "min(if(block = 0 AND is_head, pos, NULL))",
+            "first_pos": "min(pos)",
+            "first_head": "min(if(is_head, pos, NULL))",
         })
     )
     # the first line of each file is its header
@@ -130,32 +129,31 @@ def read_descriptors(
         "coalesce(given, 0) AS given",
         *HEADER_FIELDS,
     )
-    judged = (
-        seen.join(per_file, "file", "left")
-        .withColumn("file_name", named)
-        .withColumn(
-            "fd_id",
-            F.regexp_replace(strip_key(F.col("file_name")), r"^stdtime\.", ""),
-        )
+    files = (
+        seen.withColumn("file_name", named)
+        .withColumn("fd_id", F.regexp_replace(strip_key(F.col("file_name")), r"^stdtime\.", ""))
         .withColumn("key_index", key_index(F.col("file_name"), default_key))
-        .withColumn(
-            "reason",
-            F.when(F.col("marked").isNull(), "empty")
-            .when(~F.col("marked") | (F.col("given") < HEADER_REQUIRED), "bad header")
-            .when(
-                (F.col("total_requests") <= 0) | (F.col("total_served_bytes") <= 0), "no traffic"
-            )
-            .when(F.col("bad_rows") > 0, "bad line")
-            .when(F.col("body_rows") == 0, "no body"),
-        )
     )
-    latest = F.row_number().over(Window.partitionBy("fd_id").orderBy(F.col("file").desc()))
-    judged = judged.withColumn("_latest", latest).withColumn(
-        "reason", F.when(F.col("_latest") > 1, "superseded").otherwise(F.col("reason"))
+    latest = files.groupBy("fd_id").agg(F.max("file").alias("latest"))
+    # stored: the headers, the rejects and the rows all refer to it, and it takes a pass
+    # over the text to make
+    judged = materialize(
+        files.join(latest, "fd_id")
+        .join(per_file, "file", "left")
+        .selectExpr(
+            "*",
+            "CASE WHEN file <> latest THEN 'superseded'"
+            " WHEN body_rows IS NULL THEN 'empty'"
+            f" WHEN NOT marked OR given < {HEADER_REQUIRED} THEN 'bad header'"
+            " WHEN total_requests <= 0 OR total_served_bytes <= 0 THEN 'no traffic'"
+            " WHEN bad_rows > 0 THEN 'bad line'"
+            " WHEN body_rows = 0 THEN 'no body' END AS reason",
+        ),
+        "descriptor-files",
     )
     good = judged.filter("reason IS NULL")
     rows = coalesce_rows(
-        parsed.filter(~F.col("is_head")).join(good.select("file", "fd_id"), "file"), "pos"
+        parsed.filter("NOT is_head").join(good.select("file", "fd_id"), "file"), "pos"
     ).select(ROW_COLS)
     return Scanned(
         Descriptors(good.select(HEADER_COLS), rows),

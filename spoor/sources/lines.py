@@ -50,7 +50,7 @@ def key_index(name: Column, default: str = "1") -> Column:
 def read_lines(
     spark: SparkSession, path: str | list[str], name_glob: str | None = None
 ) -> DataFrame:
-    """``(file, block, pos, value)`` for every line below ``path``.
+    """``(file, pos, value)`` for every line below ``path``.
 
     A file larger than ``spark.sql.files.maxPartitionBytes`` is read by several
     tasks.  ``pos`` orders the lines of a file: start of the file block, then the
@@ -67,7 +67,7 @@ def read_lines(
         "value",
     )
     return lines.selectExpr(
-        "file", "block", f"CAST(block AS {POSITION}) * {BLOCK_STEP}BD + line AS pos", "value"
+        "file", f"CAST(block AS {POSITION}) * {BLOCK_STEP}BD + line AS pos", "value"
     )
 
 

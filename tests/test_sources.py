@@ -82,8 +82,17 @@ def test_shards_in_one_file_add_up(spark, tmp):
             spark.conf.set("spark.sql.files.maxPartitionBytes", old)
 
 
+@pytest.fixture
+def uncoalesced(spark):
+    """Keeps small range partitions apart, as large ones are."""
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(name, "false")
+    yield
+    spark.conf.unset(name)
+
+
 @pytest.mark.parametrize("form", ["text", "parquet"])
-def test_round_trip(spark, tmp, form):
+def test_round_trip(spark, tmp, form, uncoalesced):
     d = make(spark, {"a^b^c": [(t, t, t, 1, 2, 3, 4) for t in range(0, 3000, 7)],
                      "z": [(5, 1, 1, 1, 1, 1, 1)], "skip": [(5, 1, 1, 1, 1, 1, 1)],
                      "bad": [(5, 1, 1, 1, 1, 1, 1)]},
@@ -91,6 +100,9 @@ def test_round_trip(spark, tmp, form):
     rejects = write_descriptors(d, f"{tmp}/out", form=form)
     assert rows_of(rejects, "fd_id") == [("bad",)]
     if form == "text":
+        parts = {x[:10] for _, _, names in os.walk(f"{tmp}/out") for x in names
+                 if x.startswith("part-")}
+        assert len(parts) > 1
         got = read_descriptors(spark, f"{tmp}/out", folders=True)
         assert got.rejects.count() == 0
         got = got.descriptors
