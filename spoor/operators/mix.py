@@ -8,7 +8,9 @@ running sum along the IAT axis give every mix, whatever the number of members.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spoor.functions.numeric import aggregates, int_div, over, sums, times
@@ -260,62 +262,73 @@ def mix_in_rule_order(
 
     Differs from :func:`mix` only where an intermediate sum has rows without
     traffic: those drop out at once and their footprint step with them until the
-    next row.  All mixes advance together, one round per rule position, each round
-    written to the shared folder; use it to reproduce such results, not for speed.
+    next row.  A sum whose requests cancel to 0 counts as empty and is replaced by
+    the next member.
+
+    All mixes advance together, one round per rule position; a round reads the
+    members of that position and the sums of the round before.  Use it to reproduce
+    such results, not for speed.
     """
-    found = members(rules, d.headers, compat_float32)
-    ranked = materialize(
-        found.filter("status = 'ok'").withColumn(
-            "step", F.row_number().over(Window.partitionBy("mix_id").orderBy("ord"))
+    chain = materialize(
+        members(rules, d.headers, compat_float32)
+        .filter("status = 'ok'")
+        .selectExpr(
+            "*",
+            "row_number() OVER (PARTITION BY mix_id ORDER BY ord) AS step",
+            "count(*) OVER (PARTITION BY mix_id) AS steps",
+            "sum(total_requests) OVER (PARTITION BY mix_id ORDER BY ord) AS so_far",
+        )
+        .selectExpr(
+            "*",
+            "coalesce(lag(so_far) OVER (PARTITION BY mix_id ORDER BY ord), 0) = 0 AS alone",
+        )
+        .selectExpr(
+            "*",
+            "if(alone, 1, 2) AS n_members",
+            "duration AS mix_duration",
+            # sums that came out empty leave no trace: only the last start counts
+            "count_if(alone) OVER (PARTITION BY mix_id ORDER BY ord) AS start",
         ),
-        "chain-members",
+        "chain",
     )
-    rounds = ranked.agg(F.max("step")).first()[0] or 0
-    rows = linked(d.rows)
+    last_start = chain.groupBy("mix_id").agg(*aggregates({"start": "max(start)"}))
+    headers = _mix_headers(chain.join(last_start, ["mix_id", "start"]))
+
+    parts = ["mix_id", "delta_t", *[f"{c}_step" for c in AMOUNTS], "leading", *TRAFFIC_COLS]
+    turns = materialize(
+        _bind(chain, d.rows, compat_float32)
+        .join(chain.select("mix_id", "ord", "step", "steps"), ["mix_id", "ord"])
+        .selectExpr(
+            "step", "steps", "n_members", *parts[:5],
+            *[f"if(kept, {c}, 0L) AS {c}" for c in TRAFFIC_COLS],
+        ),
+        "turns",
+        by=("step",),
+    )
+    rounds = chain.agg(F.max("step")).first()[0] or 0
+    finished = [d.rows.select(ROW_COLS).limit(0)]
     answer: DataFrame | None = None
-    totals: DataFrame | None = None
     for step in range(1, rounds + 1):
-        now = ranked.filter(F.col("step") == step)
-        turn = _bind(
-            now.withColumn("n_members", F.lit(1)).withColumn("mix_duration", F.col("duration")),
-            rows,
-            compat_float32,
-        ).filter("kept").select(
-            F.col("mix_id").alias("fd_id"), *ROW_COLS[1:]
-        )
-        mine = now.select(F.col("mix_id").alias("fd_id"), *HEADER_COLS[1:])
-        if answer is None:
-            answer, totals = turn, mine
-        else:
-            answer, totals = _add_round(answer, totals, turn, mine)
-        answer = materialize(answer, f"chain-rows-{step}")
-        totals = materialize(totals, f"chain-headers-{step}")
-    if answer is None:
-        empty = d.rows.select(ROW_COLS).limit(0)
-        return Descriptors(d.headers.select(HEADER_COLS).limit(0), empty)
-    return Descriptors(totals, answer)
-
-
-def _add_round(
-    rows: DataFrame, totals: DataFrame, turn: DataFrame, mine: DataFrame
-) -> tuple[DataFrame, DataFrame]:
-    def side(frame: DataFrame, header: DataFrame, number: int) -> DataFrame:
-        live = header.filter("total_requests <> 0").select("fd_id")
-        return frame.join(live, "fd_id", "left_semi").select(
-            F.col("fd_id").alias("mix_id"), F.lit(number).alias("ord"), *ROW_COLS[1:]
+        turn = turns.filter(F.col("step") == step).select("n_members", *parts)
+        if answer is not None:
+            going_on = chain.filter((F.col("step") == step) & ~F.col("alone"))
+            before = (
+                linked(answer)
+                .join(going_on.selectExpr("mix_id AS fd_id"), "fd_id", "left_semi")
+                .selectExpr(
+                    "2 AS n_members",
+                    "fd_id AS mix_id",
+                    "delta_t",
+                    *[f"{c} - coalesce(prev_{c}, 0L) AS {c}_step" for c in AMOUNTS],
+                    "prev_mb IS NULL AS leading",
+                    *TRAFFIC_COLS,
+                )
+            )
+            turn = before.unionByName(turn)
+        answer = materialize(_sweep(turn, sums(TRAFFIC_COLS)), f"chain-{step}")
+        ending = chain.filter((F.col("step") == step) & (F.col("steps") == step))
+        finished.append(
+            answer.join(ending.selectExpr("mix_id AS fd_id"), "fd_id", "left_semi")
+            .select(ROW_COLS)
         )
-
-    both = side(rows, totals, 0).unionByName(side(turn, mine, 1))
-    heads = (
-        totals.withColumn("ord", F.lit(0))
-        .unionByName(mine.withColumn("ord", F.lit(1)))
-        .filter("total_requests <> 0")
-        .withColumn("n_members", F.count("*").over(Window.partitionBy("fd_id")))
-        .withColumn("mix_duration", F.col("duration"))
-        .withColumnRenamed("fd_id", "mix_id")
-    )
-    bound = _merged_steps(both, heads)
-    return (
-        _sweep(bound, sums(TRAFFIC_COLS)),
-        _mix_headers(heads),
-    )
+    return Descriptors(headers, reduce(DataFrame.unionByName, finished))

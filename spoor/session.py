@@ -44,17 +44,18 @@ def new_path(spark: SparkSession, label: str) -> str | None:
     return None if folder is None else f"{folder.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
+def materialize(df: DataFrame, label: str, by: tuple[str, ...] = ()) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Cuts the lineage with files that outlive an executor, so a table read by
     several later steps is computed once, and its size is known when they are
-    planned.  Without a shared folder the frame is returned as it is: same result,
+    planned.  ``by`` names columns to lay the files out by, for steps that read a
+    part each.  Without a shared folder the frame is returned as it is: same result,
     longer lineage.
     """
     spark = df.sparkSession
     path = new_path(spark, label)
     if path is None:
         return df
-    df.write.parquet(path)
+    df.write.partitionBy(*by).parquet(path) if by else df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

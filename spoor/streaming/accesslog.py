@@ -51,8 +51,6 @@ def _changes_of_object():
         import numpy as np
         import pandas as pd
 
-        columns = ["fd_id", "delta_t", "requests", "bytes", "tr_bytes", "tr_requests",
-                   "entering", "entering_size"]
         n, last, shortest, size = state.get if state.exists else (0, 0, -1, 0)
         before = (shortest, size)
         held = [(c["sec"].to_numpy(), c["sz"].to_numpy()) for c in chunks]
@@ -67,29 +65,32 @@ def _changes_of_object():
         k = n + 1 + np.arange(len(sec))
         n, last = int(k[-1]), int(sec[-1])
         again = k >= 2
-        if again.any():
-            least, most = int(iat[again].min()), int(sz[again].max())
+        t, size_of, second = iat[again], sz[again], (k == 2)[again]
+        if len(t):
+            least, most = int(t.min()), int(size_of.max())
             shortest = least if shortest < 0 else min(shortest, least)
             size = max(size, most)
-            regular, second = (k >= 3)[again], (k == 2)[again]
-            yield pd.DataFrame(
-                {
-                    "fd_id": key[0],
-                    "delta_t": iat[again],
-                    "requests": regular.astype("int64"),
-                    "bytes": np.where(regular, sz[again], 0),
-                    "tr_bytes": np.where(second, sz[again], 0),
-                    "tr_requests": second.astype("int64"),
-                    "entering": 0,
-                    "entering_size": 0,
-                }
-            ).groupby(["fd_id", "delta_t"], as_index=False).sum()[columns]
         state.update((n, last, shortest, size))
-        if (shortest, size) != before:
-            moved = [(key[0], shortest, 0, 0, 0, 0, 1, size)]
-            if before[0] >= 0:
-                moved.append((key[0], before[0], 0, 0, 0, 0, -1, -before[1]))
-            yield pd.DataFrame(moved, columns=columns)
+        # the object leaves its old place on the axis and enters at the new one
+        moved = (shortest, size) != before
+        leave = [before[0]] if moved and before[0] >= 0 else []
+        enter = [shortest] if moved else []
+        extra = np.zeros(len(leave) + len(enter), dtype="int64")
+        yield pd.DataFrame(
+            {
+                "fd_id": key[0],
+                "delta_t": np.r_[t, leave, enter].astype("int64"),
+                "requests": np.r_[~second, extra].astype("int64"),
+                "bytes": np.r_[np.where(second, 0, size_of), extra],
+                "tr_bytes": np.r_[np.where(second, size_of, 0), extra],
+                "tr_requests": np.r_[second, extra].astype("int64"),
+                "entering": np.r_[np.zeros(len(t)), [-1] * len(leave), [1] * len(enter)]
+                .astype("int64"),
+                "entering_size": np.r_[
+                    np.zeros(len(t)), [-before[1]] * len(leave), [size] * len(enter)
+                ].astype("int64"),
+            }
+        )
 
     return update
 
