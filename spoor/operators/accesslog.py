@@ -21,6 +21,8 @@ from spoor.session import materialize
 
 # An object with more accesses than this has its history cut into stretches of time.
 HOT_ACCESSES = 1_000_000
+# A list of hot objects up to this length is broadcast.
+HOT_BROADCAST = 1_000_000
 # Length of a stretch in units of `sec`.
 STRETCH = 512
 # Length of a peak-traffic slot and bytes per unit of total_mib.
@@ -44,12 +46,28 @@ def numbered_accesses(
     One object may own a large part of the log.  The history of such hot objects is
     cut into stretches of time that are numbered on their own; a count and the last
     access time of each stretch travel along the object.  The list of hot objects is
-    short by its definition: at most one per ``hot_accesses`` log lines.
+    short by its definition, at most one per ``hot_accesses`` log lines; its size is
+    checked all the same before it is broadcast.
     """
     key = ["fd_id", "obj"]
-    hot = objects.filter(F.col("n") > hot_accesses).selectExpr(*key, f"{stretch} AS _length")
-    cut = log.join(hot, key, "left").selectExpr(
-        "*", "CASE WHEN _length IS NOT NULL THEN sec div _length END AS _stretch"
+    hot = materialize(
+        objects.filter(F.col("n") > hot_accesses).selectExpr(*key, f"{stretch} AS _length"),
+        "hot-objects",
+    )
+    n_hot = hot.count()
+    if n_hot == 0:
+        inside = "OVER (PARTITION BY fd_id, obj ORDER BY ord1, ord2, sz)"
+        return log.selectExpr(
+            *key, "sec", "sz", f"CAST(row_number() {inside} AS BIGINT) AS k",
+            f"sec - lag(sec) {inside} AS iat",
+        )
+    if n_hot <= HOT_BROADCAST:
+        hot = F.broadcast(hot)
+    cut = (
+        log.join(hot, key, "left")
+        .selectExpr("*", "CASE WHEN _length IS NOT NULL THEN sec div _length END AS _stretch")
+        # spelled out: if the join shuffled by object, hot ones still have to be spread
+        .repartition(*key, "_stretch")
     )
     along = "OVER (PARTITION BY fd_id, obj ORDER BY _stretch"
     carry = (

@@ -106,12 +106,13 @@ def _concat_rows(
         ["concat_id", "ord"],
         ["mb"],
         {"prev_mean": Running("lag", "t_mean"), "next_mb": Running("lead", "mb")},
+        beside=heads,
     )
     if cmax > 0:
         placed = placed.filter(f"mb <= {cmax}")
     # what a member adds where one of its footprints lies: to the sum of the mean IATs,
     # to the weights (at its first), to the members past their last footprint
-    parts = placed.join(heads, ["concat_id", "ord"]).selectExpr(
+    parts = placed.selectExpr(
         "concat_id",
         "mb",
         "n",

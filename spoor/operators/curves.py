@@ -46,10 +46,10 @@ def _curve(d: Descriptors, axis: str, include_transitions: bool, quota: Quota) -
         ["fd_id"],
         [axis],
         {"hit_requests": Running("sum", "requests"), "hit_bytes": Running("sum", "bytes")},
+        beside=d.headers.select("fd_id", "total_requests", "total_served_bytes", "total_mib"),
     )
-    totals = d.headers.select("fd_id", "total_requests", "total_served_bytes", "total_mib")
     hit = "hit_bytes - total_mib"
-    return running.join(totals, "fd_id").selectExpr(
+    return running.selectExpr(
         "fd_id",
         axis,
         *named({

@@ -204,9 +204,9 @@ def _merged_steps(rows: DataFrame, live: DataFrame) -> DataFrame:
         ["mix_id", "ord"],
         ["delta_t"],
         {f"prev_{c}": Running("lag", c) for c in AMOUNTS},
+        beside=live.select("mix_id", "ord", "n_members", "duration", "mix_duration"),
     )
-    heads = live.select("mix_id", "ord", "n_members", "duration", "mix_duration")
-    return linked_rows.join(heads, ["mix_id", "ord"]).selectExpr(
+    return linked_rows.selectExpr(
         "*",
         *[f"{c} - coalesce(prev_{c}, 0L) AS {c}_step" for c in AMOUNTS],
         "prev_mb IS NULL AS leading",

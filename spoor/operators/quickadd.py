@@ -123,7 +123,8 @@ def quick_add(
             "_bytes0": Running("total", "bytes_base"),
             "_next": Running("lead", "delta_t"),
         },
-    ).join(bounds, "mix_id").selectExpr(
+        beside=bounds,
+    ).selectExpr(
         "*", f"delta_t >= left_t AND delta_t < right_t AND _mb0 + _mb <= {cache_mb} AS fits"
     )
     # a point that fits wins over the left end, which stands in if none does

@@ -102,6 +102,7 @@ def scan(
     order: list[str],
     columns: dict[str, Running],
     source: DataFrame | None = None,
+    beside: DataFrame | None = None,
 ) -> DataFrame:
     """``df`` plus the running ``columns``; ``order[0]`` is the axis.
 
@@ -112,6 +113,9 @@ def scan(
     ``source`` may name the rows that ``df`` was summed up from.  For sums and
     totals the segments are then summed from it directly, without the shuffle that
     made ``df``.  It has to hold every key and axis value of ``df``.
+
+    ``beside`` may hold one row per key whose columns are wanted with every row; keys
+    without one drop out.  It is joined to the few segment rows, not to ``df``.
     """
     if source is not None and any(r.kind not in ("sum", "total") for r in columns.values()):
         raise ValueError("a source is only of use for sums")
@@ -137,6 +141,12 @@ def scan(
     pieces = split if source is None else source.selectExpr("*", segment)
     summary = pieces.groupBy(*keys, _SEG).agg(*aggregates(summed))
     carry = summary.selectExpr(*keys, _SEG, *named(carried))
-    joined = split.selectExpr("*", *named(local)).join(carry, [*keys, _SEG])
-    return joined.selectExpr(*df.columns, *named(final))
+    extra = []
+    if beside is not None:
+        carry = carry.join(beside, keys)
+        extra = [c for c in beside.columns if c not in keys]
+    # spelled out: rows that come partitioned by the key alone must not stay together
+    spread = split.repartition(*keys, _SEG)
+    joined = spread.selectExpr("*", *named(local)).join(carry, [*keys, _SEG])
+    return joined.selectExpr(*df.columns, *named(final), *extra)
 
