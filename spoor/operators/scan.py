@@ -21,9 +21,7 @@ SEGMENTS_PER_OCTAVE = 32
 _SEG = "_segment"
 
 _UPTO = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
-_ONWARD = "ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING"
 _BEFORE = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
-_AFTER = "ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING"
 _ALL = "ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING"
 
 
@@ -62,7 +60,7 @@ class Running:
 class _Parts:
     """SQL for the steps of a kind: inside a segment, of a segment, along the segments
     of a key, and put together.  ``{v}`` value, ``{a}`` axis, ``{s}`` segment summary,
-    ``{inside}`` and ``{along}`` windows, ``{here}`` and ``{brought}`` the two results."""
+    ``{inside}`` and ``{along}`` windows (``_back``: in falling order), ``{here}`` and ``{brought}`` the two results."""
 
     inside: str | None
     summary: str
@@ -80,9 +78,10 @@ _KINDS = {
                    "max_by({v}, CASE WHEN ({v}) IS NOT NULL THEN {a} END)",
                    f"last({{s}}) IGNORE NULLS OVER ({{along}} {_BEFORE})",
                    "coalesce({here}, {brought})"),
-    "next": _Parts(f"first({{v}}) IGNORE NULLS OVER ({{inside}} {_ONWARD})",
+    # read backwards: a frame up to the last row is evaluated anew for every row
+    "next": _Parts(f"last({{v}}) IGNORE NULLS OVER ({{inside_back}} {_UPTO})",
                    "min_by({v}, CASE WHEN ({v}) IS NOT NULL THEN {a} END)",
-                   f"first({{s}}) IGNORE NULLS OVER ({{along}} {_AFTER})",
+                   f"last({{s}}) IGNORE NULLS OVER ({{along_back}} {_BEFORE})",
                    "coalesce({here}, {brought})"),
     "lag": _Parts("lag({v}) OVER ({inside})", "max_by({v}, {a})", "lag({s}) OVER ({along})",
                   "coalesce({here}, {brought})"),
@@ -123,7 +122,9 @@ def scan(
     words = {
         "a": axis,
         "inside": f"PARTITION BY {key}, {_SEG} ORDER BY {', '.join(order)}",
+        "inside_back": f"PARTITION BY {key}, {_SEG} ORDER BY {', '.join(f'{c} DESC' for c in order)}",
         "along": f"PARTITION BY {key} ORDER BY {_SEG}",
+        "along_back": f"PARTITION BY {key} ORDER BY {_SEG} DESC",
     }
     segment = f"{segment_of(axis)} AS {_SEG}"
 

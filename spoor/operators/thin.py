@@ -3,60 +3,59 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
+from spoor.functions.numeric import aggregates, sums
 from spoor.model import ROW_COLS, TRAFFIC_COLS
+from spoor.operators.scan import Running, scan
+from spoor.session import materialize
 
 
-def _stretches(pct: float):
-    """Numbers the stretch each row belongs to; a stretch ends with a kept row.
+def _kept_points(pct: float):
+    """Picks the IATs to keep from ``(fd_id, delta_t, mb)`` sorted by descriptor and IAT.
 
-    Whether a row is kept depends on the row kept before it, so the rows of a
+    Whether a row is kept depends on the row kept before it, so the points of a
     descriptor are visited in order.  Batches stream through; between batches only
     the last kept point of the current descriptor is remembered.
     """
 
     def visit(batches):
         import numpy as np
+        import pyarrow as pa
 
-        current, kept_t, kept_mb, stretch = None, None, None, 0
-        for pdf in batches:
-            if len(pdf) == 0:
+        current, kept_t, kept_mb = None, None, None
+        for batch in batches:
+            size = batch.num_rows
+            if size == 0:
                 continue
-            t = pdf["delta_t"].to_numpy()
-            mb = pdf["mb"].to_numpy()
-            names = pdf["fd_id"].to_numpy()
-            number = np.zeros(len(pdf), dtype="int64")
-            keep = np.zeros(len(pdf), dtype=bool)
-            starts = np.flatnonzero(np.r_[True, names[1:] != names[:-1]])
-            for lo, hi in zip(starts, np.r_[starts[1:], len(pdf)]):
-                if names[lo] != current:
-                    current, kept_t, kept_mb, stretch = names[lo], None, None, 0
-                at = lo
+            names = batch.column(0).dictionary_encode()
+            code = names.indices.to_numpy(zero_copy_only=False)
+            t, mb = batch.column(1).to_numpy(), batch.column(2).to_numpy()
+            keep = []
+            starts = np.flatnonzero(np.r_[True, code[1:] != code[:-1]])
+            for lo, hi in zip(starts, np.r_[starts[1:], size]):
+                name = names.dictionary[code[lo]].as_py()
+                if name != current:
+                    current, kept_t, kept_mb = name, None, None
+                at, look = lo, 32
                 while at < hi:
                     if kept_t is None:
                         hit = at if pct <= 100 else hi
                     else:
-                        hit, look = hi, 64
-                        probe = at
-                        while probe < hi:
-                            end = min(probe + look, hi)
-                            with np.errstate(divide="ignore", invalid="ignore"):
-                                moved = (
-                                    np.abs((t[probe:end] - kept_t) * 100.0 / kept_t) >= pct
-                                ) | (np.abs((mb[probe:end] - kept_mb) * 100.0 / kept_mb) >= pct)
-                            where = np.flatnonzero(moved)
-                            if len(where):
-                                hit = probe + where[0]
-                                break
-                            probe, look = end, look * 2
-                    number[at : min(hit + 1, hi)] = stretch
+                        end = min(at + look, hi)
+                        with np.errstate(divide="ignore", invalid="ignore"):
+                            moved = (np.abs((t[at:end] - kept_t) * 100.0 / kept_t) >= pct) | (
+                                np.abs((mb[at:end] - kept_mb) * 100.0 / kept_mb) >= pct
+                            )
+                        first = int(moved.argmax())
+                        if not moved[first]:
+                            at, look = end, look * 2
+                            continue
+                        hit = at + first
                     if hit < hi:
-                        keep[hit] = True
+                        keep.append(hit)
                         kept_t, kept_mb = t[hit], mb[hit]
-                        stretch += 1
-                    at = hit + 1
-            yield pdf.assign(_stretch=number, _kept=keep)
+                    at, look = hit + 1, 32
+            yield batch.select([0, 1]).take(pa.array(keep, pa.int64()))
 
     return visit
 
@@ -65,23 +64,33 @@ def thin(rows: DataFrame, pct: float) -> DataFrame:
     """Rows that differ from the last kept row by at least ``pct`` percent in IAT or
     footprint; the traffic of the rows between goes to the next kept row.  What is
     left at the end goes to the descriptor's last row if it has any requests.
+
+    Only two numbers per row pass through the ordered visit, which holds one batch at
+    a time; the traffic is then handed out segment by segment.
     """
     rows = rows.select(ROW_COLS)
     if pct <= 0:
         return rows
-    schema = ", ".join(f"{c} {t}" for c, t in rows.dtypes) + ", _stretch bigint, _kept boolean"
-    numbered = (
-        rows.repartition("fd_id")
+    kept = materialize(
+        rows.select("fd_id", "delta_t", "mb")
+        .repartition("fd_id")
         .sortWithinPartitions("fd_id", "delta_t")
-        .mapInPandas(_stretches(float(pct)), schema)
+        .mapInArrow(_kept_points(float(pct)), "fd_id string, delta_t bigint"),
+        "kept",
     )
-    ended = numbered.groupBy("fd_id", "_stretch").agg(
-        F.max("delta_t").alias("delta_t"),
-        F.max_by("mb", "delta_t").alias("mb"),
-        F.max_by("objcount", "delta_t").alias("objcount"),
-        *[F.sum(c).alias(c) for c in TRAFFIC_COLS],
-        F.max("_kept").alias("_kept"),
+    marked = rows.join(kept.selectExpr("*", "true AS _kept"), ["fd_id", "delta_t"], "left")
+    ended = (
+        scan(marked, ["fd_id"], ["delta_t"], {"_end": Running("next", "if(_kept, delta_t, NULL)")})
+        .groupBy("fd_id", "_end")
+        .agg(
+            *aggregates({
+                "last_t": "max(delta_t)",
+                "mb": "max_by(mb, delta_t)",
+                "objcount": "max_by(objcount, delta_t)",
+                **sums(TRAFFIC_COLS),
+            })
+        )
+        .withColumnRenamed("last_t", "delta_t")
     )
-    # a tail at IAT 0 with nothing kept before it cannot be told from the start
-    tail = (F.col("requests") > 0) & ~((F.col("_stretch") == 0) & (F.col("delta_t") == 0))
-    return ended.filter(F.col("_kept") | tail).select(ROW_COLS)
+    # a tail at IAT 0 cannot be told from the start of the axis
+    return ended.filter("_end IS NOT NULL OR (requests > 0 AND delta_t <> 0)").select(ROW_COLS)
