@@ -60,7 +60,8 @@ class Running:
 class _Parts:
     """SQL for the steps of a kind: inside a segment, of a segment, along the segments
     of a key, and put together.  ``{v}`` value, ``{a}`` axis, ``{s}`` segment summary,
-    ``{inside}`` and ``{along}`` windows (``_back``: in falling order), ``{here}`` and ``{brought}`` the two results."""
+    ``{inside}`` and ``{along}`` windows (``_back``: in falling order), ``{here}`` and
+    ``{brought}`` the two results."""
 
     inside: str | None
     summary: str
@@ -119,10 +120,11 @@ def scan(
     if source is not None and any(r.kind not in ("sum", "total") for r in columns.values()):
         raise ValueError("a source is only of use for sums")
     axis, key = order[0], ", ".join(keys)
+    falling = ", ".join(f"{c} DESC" for c in order)
     words = {
         "a": axis,
         "inside": f"PARTITION BY {key}, {_SEG} ORDER BY {', '.join(order)}",
-        "inside_back": f"PARTITION BY {key}, {_SEG} ORDER BY {', '.join(f'{c} DESC' for c in order)}",
+        "inside_back": f"PARTITION BY {key}, {_SEG} ORDER BY {falling}",
         "along": f"PARTITION BY {key} ORDER BY {_SEG}",
         "along_back": f"PARTITION BY {key} ORDER BY {_SEG} DESC",
     }

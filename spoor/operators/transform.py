@@ -66,7 +66,8 @@ def _scale_rows(rows: DataFrame, factor: str, collision: str) -> DataFrame:
     """``rows`` has to be linked for ``collision='last'``."""
     new_t = scaled_iat("delta_t", factor)
     if collision == "last":
-        rows = rows.filter(f"next_delta_t IS NULL OR {scaled_iat('next_delta_t', factor)} <> {new_t}")
+        next_t = scaled_iat("next_delta_t", factor)
+        rows = rows.filter(f"next_delta_t IS NULL OR {next_t} <> {new_t}")
     elif collision != "merge":
         raise ValueError(f"unknown collision rule {collision!r}")
     change = dict.fromkeys(TRAFFIC_COLS, lambda c: times(c, factor))

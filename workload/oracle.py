@@ -111,6 +111,10 @@ def mixing(
             return f"cast(sum(cast({x} as hugeint)*{share})//max({top}) as bigint)"
         return _sum(x)
 
+    def head_total(c: str) -> str:
+        shared = c.startswith("total")
+        return total("r." + c, eq, "r.duration") if shared else _sum("r." + c)
+
     return f"""{p}part as (select r.mix_id, r.ord, r.fd_id, r.op, r.scale, r.scale_type, r.n, r.m,
     h.duration, {', '.join(f'{frac("h."+c)} as {c}' for c in both)}
   from {rules} r join {hd} h on r.fd_id=h.fd_id),
@@ -148,7 +152,7 @@ def mixing(
   join {p}size s on s.mix_id=f.mix_id
   where s.members=1 or requests<>0 or bytes<>0 or tr_bytes<>0 or tr_requests<>0),
 {p}mixhd as (select mix_id as fd_id,
-    {', '.join(f'{total("r."+c, eq, "r.duration") if c.startswith("total") else _sum("r."+c)} as {c}' for c in VOLUMES)},
+    {', '.join(f'{head_total(c)} as {c}' for c in VOLUMES)},
     cast(max(duration) as bigint) as duration,
     {', '.join(f'{_sum(c)} as {c}' for c in UNIQUES)}
   from {p}mem r group by mix_id)"""
@@ -306,7 +310,8 @@ ch as (select r.concat_id, r.ord, h.duration, h.unique_objects, h.unique_bytes,
     {', '.join(f'{_cut(f"h.{c}*r.scale")} as {c}' for c in VOLUMES)}
   from cr r join hd h on h.fd_id=r.fd_id),
 rd as (select r.concat_id, r.ord, {_cut('f.delta_t*r.scale')} as delta_t,
-    arg_max(f.mb, f.delta_t) as mb, {', '.join(f'{_sum(_cut(f"f.{c}*r.scale"))} as {c}' for c in TRAFFIC)}
+    arg_max(f.mb, f.delta_t) as mb,
+    {', '.join(f'{_sum(_cut(f"f.{c}*r.scale"))} as {c}' for c in TRAFFIC)}
   from cr r join fd f on f.fd_id=r.fd_id group by r.concat_id, r.ord, 3),
 per as (select concat_id, ord, mb, sum(delta_t) as ts, count(*) as tc,
     {', '.join(f'{_sum(c)} as {c}' for c in TRAFFIC)}
