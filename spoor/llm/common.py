@@ -59,13 +59,6 @@ def covered(starts: np.ndarray, lengths: np.ndarray | int, n: int) -> np.ndarray
     return np.cumsum(edge[:n]) > 0
 
 
-def flattened(lists: list) -> tuple[np.ndarray, list]:
-    """Offsets (one more than lists) and the items of all lists in a row."""
-    ends = np.zeros(len(lists) + 1, np.int64)
-    np.cumsum([len(x) for x in lists], out=ends[1:])
-    return ends, [y for x in lists for y in x]
-
-
 def gathered(offsets: np.ndarray, flat: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     """flat[offsets[i]:offsets[i + 1]] for every i of ``wanted``, in a row."""
     n = offsets[wanted + 1] - offsets[wanted]

@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spoor.llm import chat, decontaminate, hmm, pieces, quality, secrets, token_counts, urls
+from spoor.llm import (
+    chat, decontaminate, hmm, ngram_join, pieces, quality, secrets, token_counts, urls,
+)
 from spoor.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +37,10 @@ def op1_chat_format(spark: SparkSession, sf: str) -> DataFrame:
         F.sha2("reply", 256).alias("loss_sha256"), "formatted_chars")
 
 
+def op2_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
+    return ngram_join.similar(table(spark, sf, "documents"))
+
+
 def op3_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return token_counts.token_counts(
         table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
@@ -84,6 +90,7 @@ def op10_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
 def all_queries() -> dict[str, Query]:
     return {
         "op1_chat_format": op1_chat_format,
+        "op2_ngram_join": op2_ngram_join,
         "op3_token_counts": op3_token_counts,
         "op5_quality_rules": op5_quality_rules,
         "op6_pieces": op6_pieces,
