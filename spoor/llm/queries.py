@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spoor.llm import (
-    chat, decontaminate, hmm, ngram_join, pieces, quality, secrets, token_counts, urls,
+    chat, decontaminate, hmm, html_text, ngram_join, pieces, quality, secrets, token_counts, urls,
 )
 from spoor.llm.common import table
 
@@ -46,6 +46,11 @@ def op3_token_counts(spark: SparkSession, sf: str) -> DataFrame:
         table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op4_html_text(spark: SparkSession, sf: str) -> DataFrame:
+    pages = table(spark, sf, "pages")
+    return html_text.extracted(pages, html_text.fitted(pages))
+
+
 def op5_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return quality.quality(table(spark, sf, "documents"))
 
@@ -92,6 +97,7 @@ def all_queries() -> dict[str, Query]:
         "op1_chat_format": op1_chat_format,
         "op2_ngram_join": op2_ngram_join,
         "op3_token_counts": op3_token_counts,
+        "op4_html_text": op4_html_text,
         "op5_quality_rules": op5_quality_rules,
         "op6_pieces": op6_pieces,
         "op7_decontamination": op7_decontamination,
