@@ -132,20 +132,21 @@ def quality(docs: DataFrame, rules: HostRules = HostRules(), id_col: str = "doc_
         (~F.col("base_failed") & F.col("host_kept")).alias("kept"), "host", "shrunk")
 
 
-def filtered(docs: DataFrame, rules: HostRules = HostRules(), text_col: str = "text",
-             host_col: str = "source") -> DataFrame:
+def filtered(docs: DataFrame, rules: HostRules = HostRules(), id_col: str = "doc_id",
+             text_col: str = "text", host_col: str = "source") -> DataFrame:
     """The documents that ``quality`` keeps, with all their columns.
 
-    Texts are measured where they are read; only the host table meets them again.
+    Texts are measured twice, for their hosts and for themselves, and so never moved or
+    stored beside their measures; only the rejected hosts meet them.
     """
+    hosts = host_verdicts(measured(docs, id_col, text_col, host_col), rules)
+    rejected = materialize(hosts.where("NOT host_kept").select(F.col("host").alias("of_host")),
+                           "rejected-hosts")
     df = docs.select(packed(docs).alias("row"), F.col(f"`{host_col}`").cast("string").alias("host"),
                      F.col(f"`{text_col}`").cast("string").alias("text"))
     row = df.schema["row"].dataType.simpleString()
     stats = in_arrow(df, lambda: _measured,
                      f"row {row}, host string, " + ", ".join(f"{m} long" for m in MEASURES))
-    stats = materialize(stats, "measured")
-    hosts = host_verdicts(stats.drop("row"), rules).select(
-        F.col("host").alias("of_host"), "host_kept")
     kept = judged(stats, rules).where(~F.col("base_failed")).join(
-        hosts.where("host_kept"), F.col("host").eqNullSafe(F.col("of_host")), "left_semi")
+        rejected, F.col("host").eqNullSafe(F.col("of_host")), "left_anti")
     return kept.select(*[F.col("row")[c].alias(c) for c in docs.columns])

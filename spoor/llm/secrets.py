@@ -199,3 +199,8 @@ def identifier_samples(docs: DataFrame, labels: DataFrame, n: int = 2000) -> Dat
         .alias("text"))
     return words.where(~F.col("text").rlike(r"[0-9a-f]{24}|AKIA|[0-9].*[0-9].*[0-9]")).select(
         "text", F.lit(False).alias("random"))
+
+
+def trained(docs: DataFrame, labels: DataFrame) -> list[float]:
+    """The log-likelihood ratios from random strings and words of labelled documents."""
+    return train(random_samples(docs.sparkSession).unionByName(identifier_samples(docs, labels)))

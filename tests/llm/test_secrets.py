@@ -1,7 +1,7 @@
 import hashlib
 import re
 
-from spoor.llm import queries, secrets
+from spoor.llm import secrets
 
 ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?"
                     r"([A-Za-z0-9+/_.=-]+)", re.I | re.A)
@@ -54,7 +54,7 @@ def test_untrained_model_adds_nothing(spark):
 
 
 def test_method_on_held_out_strings(spark, docs, small):
-    ratios = queries.secret_model(docs, spark.read.parquet(f"{small}/labels.parquet"))
+    ratios = secrets.trained(docs, spark.read.parquet(f"{small}/labels.parquet"))
     token = "Zk3XqP9vTb7LmW2cR8sY4hJd"
     frame = spark.createDataFrame(
         [(1, f"see {token} now"), (2, "internationalization_of_otherthings"),
