@@ -1,10 +1,10 @@
 """Distinct tokens of blocks of documents, looked up once each over the whole corpus.
 
 A row per token would be far larger than the texts.  Instead each task cuts its
-documents into blocks of bounded size and writes, per document, the numbers of its
-tokens in the block's own list of distinct tokens, and that list dealt over buckets by
-the token's hash.  A bucket meets the lists of all blocks, so a distinct token is seen
-by one place only, which can count it or work it out once; the answers go back to the
+documents into blocks of bounded size and writes, per block, its documents as numbers
+into the block's own list of distinct tokens, and that list dealt over buckets by the
+token's hash.  A bucket meets the lists of all blocks, so a distinct token is seen by
+one place only, which can count it or work it out once; the answers go back to the
 blocks and are put in the places of the tokens.
 
 Each block names a token once, however often its documents repeat it, so no token is
@@ -16,108 +16,150 @@ from __future__ import annotations
 import uuid
 import zlib
 from collections.abc import Callable
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from spoor.llm.common import Batches, in_arrow, texts
 from spoor.session import materialize
 
 #: Bytes of text in a block (one text at least).
-BLOCK_BYTES = 16_000_000
+BLOCK_BYTES = 32_000_000
 
-SCHEMA = "block string, bucket int, doc_id long, flag boolean, payload binary"
+SCHEMA = "block string, bucket int, payload binary"
+
+_LEVEL = 3
+
+
+def _planes(numbers: np.ndarray) -> bytes:
+    """Unsigned numbers by sevens of bits: the low bits of all, then the next of those
+    that have more, and so on."""
+    rest, out = numbers.astype(np.uint64), []
+    while True:
+        more = rest >= 128
+        out.append(((rest & np.uint64(127)) | (more.astype(np.uint64) << np.uint64(7))).astype(np.uint8))
+        if not more.any():
+            return b"".join(p.tobytes() for p in out)
+        rest = rest[more] >> np.uint64(7)
+
+
+def _numbers(data: bytes, n: int) -> np.ndarray:
+    raw = np.frombuffer(data, np.uint8)
+    out, at, which, shift = np.zeros(n, np.int64), 0, np.arange(n), 0
+    while len(which):
+        plane = raw[at : at + len(which)].astype(np.int64)
+        at += len(which)
+        out[which] |= (plane & 127) << shift
+        which, shift = which[plane > 127], shift + 7
+    return out
 
 
 def pack(*parts: np.ndarray | bytes) -> bytes:
-    """Arrays (their bytes by significance) and byte strings as one compressed string."""
+    """Arrays of numbers from 0 and byte strings as one compressed string."""
     out = []
     for p in parts:
         if isinstance(p, np.ndarray):
-            kind = p.dtype.str.encode()
-            body = p.view(np.uint8).reshape(len(p), p.dtype.itemsize).T.tobytes()
+            body = _planes(p)
+            out.append(b"n %d %d\n" % (len(p), len(body)) + body)
         else:
-            kind, body = b"", bytes(p)
-        out.append(b"%s %d\n" % (kind, len(body)) + body)
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(out))
+            out.append(b"b 0 %d\n" % len(p) + p)
+    return zstandard.ZstdCompressor(level=_LEVEL).compress(b"".join(out))
 
 
 def unpack(data: bytes) -> list:
     raw, at, out = zstandard.ZstdDecompressor().decompress(data), 0, []
     while at < len(raw):
         end = raw.index(b"\n", at)
-        kind, size = raw[at:end].split(b" ")
+        kind, n, size = raw[at:end].split(b" ")
         body, at = raw[end + 1 : end + 1 + int(size)], end + 1 + int(size)
-        if kind:
-            dtype = np.dtype(kind.decode())
-            body = np.frombuffer(body, np.uint8).reshape(dtype.itemsize, -1).T.copy().view(
-                dtype).ravel()
-        out.append(body)
+        out.append(_numbers(body, int(n)) if kind == b"n" else body)
     return out
 
 
 def pack_words(words: list[bytes], *more: np.ndarray) -> bytes:
-    sizes = np.fromiter(map(len, words), np.uint32, len(words))
+    sizes = np.fromiter(map(len, words), np.int64, len(words))
     return pack(sizes, b"".join(words), *more)
 
 
 def unpack_words(data: bytes) -> tuple[list[bytes], list[np.ndarray]]:
     sizes, blob, *more = unpack(data)
-    ends = np.cumsum(sizes, dtype=np.int64).tolist()
-    starts = [0, *ends[:-1]]
-    return [blob[a:b] for a, b in zip(starts, ends)], more
+    ends = np.cumsum(sizes).tolist()
+    return [blob[a:b] for a, b in zip([0, *ends[:-1]], ends)], more
+
+
+@dataclass
+class Documents:
+    """The documents of a block: ids (None: null), flags, the tokens' numbers of each, and
+    the bucket of each number."""
+
+    ids: list[int | None]
+    flags: list[bool]
+    tokens: list[np.ndarray]
+    buckets: np.ndarray
+
+    def packed(self) -> bytes:
+        null = np.array([i is None for i in self.ids], bool)
+        ids = np.array([0 if i is None else i for i in self.ids], np.int64).view(np.uint64)
+        sizes = np.fromiter(map(len, self.tokens), np.int64, len(self.tokens))
+        return pack(null, ids, np.array(self.flags, bool), sizes, np.concatenate(self.tokens), self.buckets)
+
+    @classmethod
+    def unpacked(cls, data: bytes) -> Documents:
+        null, ids, flags, sizes, flat, buckets = unpack(data)
+        return cls([None if n else i for n, i in zip(null.tolist(), ids.tolist())],
+                   (flags > 0).tolist(), np.split(flat, np.cumsum(sizes)[:-1]), buckets)
 
 
 class _Block:
     def __init__(self):
         self.number: dict[bytes, int] = {}
-        self.docs: list[tuple[int | None, bool | None, np.ndarray]] = []
-        self.size = 0
+        self.ids, self.flags, self.tokens, self.size = [], [], [], 0
 
     def add(self, doc_id, flag, size: int, tokens: list[bytes]) -> None:
         number = self.number
-        ids = np.fromiter((number.setdefault(t, len(number)) for t in tokens), np.uint32,
-                          len(tokens))
-        self.docs.append((doc_id, flag, ids))
+        self.tokens.append(np.fromiter((number.setdefault(t, len(number)) for t in tokens), np.int64,
+                                       len(tokens)))
+        self.ids.append(doc_id)
+        self.flags.append(bool(flag))
         self.size += size
 
-    def rows(self, buckets: int):
-        """Documents, then per bucket its tokens: the words, their numbers in the block,
-        and how often flagged documents and all documents hold them."""
-        name = uuid.uuid4().hex
-        words = list(self.number)
-        counts = [np.zeros(len(words), np.int64) for _ in range(2)]
-        for doc_id, flag, ids in self.docs:
-            yield name, -1, doc_id, flag, pack(ids)
-            n = np.bincount(ids, minlength=0)
-            counts[1][: len(n)] += n
-            if flag:
-                counts[0][: len(n)] += n
+    def rows(self, buckets: int, counted: bool):
+        """The documents, with frequent tokens numbered low, then the tokens of each bucket
+        by number; ``counted``: with how often flagged documents hold them."""
+        name, words = uuid.uuid4().hex, list(self.number)
+        flat = np.concatenate(self.tokens)
+        order = np.argsort(-np.bincount(flat, minlength=len(words)), kind="stable")
+        rank = np.empty(len(words), np.int64)
+        rank[order] = np.arange(len(words))
+        words = [words[i] for i in order]
         where = np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % buckets
+        tokens = [rank[t] for t in self.tokens]
+        yield name, -1, Documents(self.ids, self.flags, tokens, where).packed()
+        more = []
+        if counted:
+            seen = [t for t, flag in zip(tokens, self.flags) if flag]
+            more = [np.bincount(np.concatenate([np.empty(0, np.int64), *seen]), minlength=len(words))]
         order = np.argsort(where, kind="stable")
         edges = np.searchsorted(where[order], np.arange(buckets + 1))
         for b in range(buckets):
             part = order[edges[b] : edges[b + 1]]
             if len(part):
-                yield name, b, None, None, pack_words(
-                    [words[i] for i in part], part.astype(np.uint32),
-                    counts[0][part], counts[1][part])
+                yield name, b, pack_words([words[i] for i in part], *[m[part] for m in more])
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.string(), pa.int32(), pa.int64(), pa.bool_(), pa.binary()]
-    columns = list(zip(*rows)) if rows else [()] * 5
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],
+    columns = zip(zip(*rows), (pa.string(), pa.int32(), pa.binary()))
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in columns],
                                       [c.split()[0] for c in SCHEMA.split(", ")])
 
 
 def cut(docs: DataFrame, tokens: Callable[[], Callable[[bytes], list[bytes]]],
-        size: int = BLOCK_BYTES) -> DataFrame:
+        counted: bool = False, size: int = BLOCK_BYTES) -> DataFrame:
     """The table of blocks of ``docs(doc_id, flag, text)``; ``tokens`` makes the function
-    that parts a text."""
+    that parts a text; ``counted``: tokens come with their count in flagged documents."""
     buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def make():
@@ -131,31 +173,28 @@ def cut(docs: DataFrame, tokens: Callable[[], Callable[[bytes], list[bytes]]],
                 for doc_id, flag, text in zip(ids, flags, texts(batch, "text")):
                     held.add(doc_id, flag, len(text), parted(text))
                     if held.size >= size:
-                        yield _batch(list(held.rows(buckets)))
+                        yield _batch(list(held.rows(buckets, counted)))
                         held = _Block()
-            if held.docs:
-                yield _batch(list(held.rows(buckets)))
+            if held.ids:
+                yield _batch(list(held.rows(buckets, counted)))
 
         return run
 
     return materialize(in_arrow(docs.select("doc_id", "flag", "text"), make, SCHEMA), "blocks")
 
 
-def document_rows(table: DataFrame) -> DataFrame:
-    return table.where("bucket < 0").select("block", "doc_id", "flag", "payload")
-
-
 def answered(table: DataFrame, answer: Callable[[list[list[bytes]], list[list[np.ndarray]]], list],
-             schema: str = "block string, payload binary") -> DataFrame:
-    """``answer`` gets the word lists of a bucket and their arrays (numbers in the block,
-    flagged counts, all counts), a list each per block, and returns a payload each."""
+             schema: str = "block string, bucket int, payload binary") -> DataFrame:
+    """``answer`` gets the word lists of a bucket and their counts, a list each per block,
+    and returns a payload each whose arrays follow the order of the words."""
 
     def run(t: pa.Table) -> pa.Table:
         lists = [unpack_words(x) for x in t.column("payload").to_pylist()]
         out = answer([w for w, _ in lists], [a for _, a in lists])
-        return pa.table({"block": t.column("block"), "payload": pa.array(out, pa.binary())})
+        return pa.table({"block": t.column("block"), "bucket": t.column("bucket"),
+                         "payload": pa.array(out, pa.binary())})
 
-    words = table.where("bucket >= 0").select("bucket", "block", "payload")
+    words = table.where("bucket >= 0")
     return words.groupBy("bucket").applyInArrow(run, schema)
 
 
@@ -168,34 +207,40 @@ def distinct(lists: list[list[bytes]]) -> tuple[list[bytes], list[np.ndarray]]:
 
 
 def finished(table: DataFrame, answers: DataFrame,
-             finish: Callable[[pa.Table, list[list]], pa.Table], schema: str) -> DataFrame:
-    """``finish`` gets the documents of a block and its unpacked answers, and returns rows."""
+             finish: Callable[[Documents, Answers], pa.Table], schema: str) -> DataFrame:
+    """``finish`` gets the documents of a block and their answers, and returns rows."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        return finish(left, [unpack(x) for x in right.column("payload").to_pylist()])
-
-    return document_rows(table).groupBy("block").cogroup(
-        answers.groupBy("block")).applyInArrow(run, schema)
-
-
-def placed(answers: list[list], column: int, dtype) -> np.ndarray:
-    """One value per word of the block from its answers: their first array is the words'
-    numbers, ``column`` the array of values."""
-    total = sum(len(a[0]) for a in answers)
-    out = np.zeros(total, dtype)
-    for a in answers:
-        out[a[0]] = a[column]
-    return out
-
-
-def placed_lists(answers: list[list], sizes: int, flat: int) -> tuple[np.ndarray, np.ndarray]:
-    """Offsets by word and items, where each word of the block has a list of items."""
-    n = placed(answers, sizes, np.int64)
-    offsets = np.concatenate([[0], np.cumsum(n)])
-    kind = answers[0][flat].dtype if answers else np.uint8
-    out = np.zeros(int(offsets[-1]), kind)
-    for a in answers:
-        count = a[sizes].astype(np.int64)
-        first = np.cumsum(count) - count
-        out[np.repeat(offsets[a[0]] - first, count) + np.arange(int(count.sum()))] = a[flat]
-    return offsets, out
+        docs = Documents.unpacked(left.column("payload")[0].as_py())
+        buckets, payloads = (right.column(c).to_pylist() for c in ("bucket", "payload"))
+        return finish(docs, Answers(docs.buckets, {b: unpack(x) for b, x in zip(buckets, payloads)}))
+
+    docs = table.where("bucket < 0").select("block", "payload")
+    return docs.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, schema)
+
+
+class Answers:
+    """What the buckets said about the words of a block, in the order of their numbers."""
+
+    def __init__(self, buckets: np.ndarray, parts: dict[int, list]):
+        self.size, self.parts = len(buckets), parts
+        order = np.argsort(buckets, kind="stable")
+        cuts = np.cumsum(np.bincount(buckets, minlength=1))[:-1]
+        self.numbers = dict(enumerate(np.split(order, cuts)))
+
+    def values(self, column: int) -> np.ndarray:
+        """One number per word."""
+        out = np.zeros(self.size, np.int64)
+        for b, arrays in self.parts.items():
+            out[self.numbers[b]] = arrays[column]
+        return out
+
+    def lists(self, sizes: int, flat: int) -> tuple[np.ndarray, np.ndarray]:
+        """Offsets and numbers, where each word has a list of numbers."""
+        offsets = np.concatenate([[0], np.cumsum(self.values(sizes))])
+        out = np.zeros(int(offsets[-1]), np.int64)
+        for b, arrays in self.parts.items():
+            count = arrays[sizes]
+            first = np.cumsum(count) - count
+            out[np.repeat(offsets[self.numbers[b]] - first, count) + np.arange(int(count.sum()))] = arrays[flat]
+        return offsets, out

@@ -85,12 +85,12 @@ def input_rows(docs: DataFrame, held_out: Column, id_col: str, text_col: str) ->
 def _totals(lists, arrays) -> tuple[list[bytes], list[np.ndarray], np.ndarray]:
     distinct, places = blocks.distinct(lists)
     total = np.zeros(len(distinct), np.int64)
-    for p, more in zip(places, arrays):
-        total[p] += more[1]
+    for p, (count,) in zip(places, arrays):
+        total[p] += count
     return distinct, places, total
 
 
-def vocabulary(table: DataFrame, most: int = SYMBOLS) -> Vocabulary:
+def vocabulary(table: DataFrame, docs: DataFrame, most: int = SYMBOLS) -> Vocabulary:
     def run(t: pa.Table) -> pa.Table:
         lists = [blocks.unpack_words(x) for x in t.column("payload").to_pylist()]
         found, _, total = _totals([w for w, _ in lists], [a for _, a in lists])
@@ -100,7 +100,7 @@ def vocabulary(table: DataFrame, most: int = SYMBOLS) -> Vocabulary:
 
     counts = materialize(table.where("bucket >= 0").select("bucket", "payload").groupBy(
         "bucket").applyInArrow(run, "word binary, n long"), "word-counts")
-    texts = blocks.document_rows(table).where("flag").count()
+    texts = docs.where("flag").count()
     row = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     tokens = row["n"] + texts
     # At most `most` words hold 1/most of the tokens each.
@@ -130,26 +130,23 @@ def sequences(table: DataFrame, v: Vocabulary) -> DataFrame:
         first = len(voc.symbol)
         found, places, total = _totals(lists, arrays)
         symbol = np.fromiter((voc.symbol.get(w, first + length_class(w)) for w in found),
-                             np.uint16, len(found))
-        return [blocks.pack(more[0], total[p], symbol[p]) for p, more in zip(places, arrays)]
+                             np.int64, len(found))
+        return [blocks.pack(total[p], symbol[p]) for p in places]
 
-    def finish(docs: pa.Table, answers: list[list]) -> pa.Table:
+    def finish(docs: blocks.Documents, answers: blocks.Answers) -> pa.Table:
         voc = sent.value
-        count = blocks.placed(answers, 1, np.int64)
-        symbol = blocks.placed(answers, 2, np.uint16)
+        count, symbol = answers.values(0), answers.values(1)
         whole = voc.tokens + voc.types + 1
         base = np.log10((count + 1) / whole)
-        of_class = symbol.astype(np.int64) - len(voc.symbol)
+        of_class = symbol - len(voc.symbol)
         room = np.array(voc.class_tokens) + np.array(voc.class_types) + 1
         rare = np.where(of_class >= 0, np.log10((count + 1) / room[np.maximum(of_class, 0)]), 0.0)
         out = {c.split()[0]: [] for c in _SEQUENCES.split(", ")}
         end_score = np.log10((voc.texts + 1) / whole)
-        for doc_id, flag, data in zip(*(docs.column(c).to_pylist() for c in
-                                        ("doc_id", "flag", "payload"))):
-            at = blocks.unpack(data)[0]
+        for doc_id, flag, at in zip(docs.ids, docs.flags, docs.tokens):
             row = (doc_id, flag, len(at) + 1, int((count[at] > 0).sum()) + (voc.texts > 0),
                    float(base[at].sum() + end_score), float(rare[at].sum()),
-                   blocks.pack(np.append(symbol[at], np.uint16(voc.end))))
+                   blocks.pack(np.append(symbol[at], voc.end)))
             for name, value in zip(out, row):
                 out[name].append(value)
         kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(),
@@ -237,7 +234,7 @@ def _grouped(batches: Batches, piece: int | None = None):
     for batch in batches:
         held, size = [], 0
         for i, data in enumerate(batch.column("payload").to_pylist()):
-            symbols = blocks.unpack(data)[0].astype(np.int64)
+            symbols = blocks.unpack(data)[0]
             for at in range(0, len(symbols), piece or len(symbols)):
                 part = symbols[at : at + piece] if piece else symbols
                 if held and size + len(part) > BATCH_TOKENS:
@@ -293,8 +290,9 @@ def scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col:
            states: int = STATES, rounds: int = ROUNDS) -> DataFrame:
     """Learns from the documents where ``held_out`` is false and scores all: doc_id,
     held_out, n_tokens, n_known, train_tokens, base_score, score (log10)."""
-    table = blocks.cut(input_rows(docs, held_out, id_col, text_col), words)
-    v = vocabulary(table)
+    rows = input_rows(docs, held_out, id_col, text_col)
+    table = blocks.cut(rows, words, counted=True)
+    v = vocabulary(table, rows)
     seqs = sequences(table, v)
     sent = docs.sparkSession.sparkContext.broadcast(learned(seqs, v, states, rounds))
 

@@ -438,12 +438,13 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """The documents that are the least of their component, with all their columns; of
     rows repeated in all columns one stays.  Documents without id or words all stay."""
     found = materialize(similar(docs, id_col, text_col), "similar")
-    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_other")).distinct()
-    twice = found.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("_other")).count().where(
-        "count > 1").select("_other")
-    same = F.col(f"`{id_col}`") == F.col("_other")
-    kept = docs.join(gone, same, "left_anti")
+    ids = docs[id_col]
+    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
+    twice = found.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("_twice")).count().where(
+        "count > 1").select("_twice")
+    kept = docs.join(gone, ids == gone["_gone"], "left_anti")
     if twice.isEmpty():
         return kept
-    return kept.join(twice, same, "left_anti").unionByName(
-        kept.join(twice, same, "left_semi").dropDuplicates())
+    again = kept[id_col] == twice["_twice"]
+    return kept.join(twice, again, "left_anti").unionByName(
+        kept.join(twice, again, "left_semi").dropDuplicates())

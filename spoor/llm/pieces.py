@@ -3,8 +3,9 @@
 Where no piece has a whitespace marker behind another character, and none has a line
 feed, no merge crosses the start of a marked word or a line feed.  A text then falls
 into chunks that can be encoded apart: runs of markers with the word behind them, and
-line feeds.  Each distinct chunk of the corpus is encoded and decoded once by the
-library (see ``blocks``), and the ids are joined back by the chunks' positions.  For
+line feeds.  Each distinct chunk of the corpus is encoded once by the library (see
+``blocks``), and the ids are joined back by the chunks' positions; the library's text of
+each id gives the decoded text.  For
 models where this doesn't hold, ``encoded`` raises; ``whole_texts`` is there for them.
 
 Cases: a null or empty text has the begin and end ids only; repeated rows give a row
@@ -60,29 +61,33 @@ def _chunks(path: str):
 
 
 def _encode(path: str):
-    """Ids and decoded bytes of every chunk of a bucket, each distinct chunk once."""
+    """Ids of every chunk of a bucket, each distinct chunk encoded once."""
 
-    def answer(lists, arrays):
-        sp = model(path)
+    def answer(lists, _):
         words, places = blocks.distinct(lists)
-        shielded = sp.encode(["\n" + w.decode() for w in words], num_threads=1)
-        feed = shielded[0][1:2] if words else []
-        ids = [x[2:] for x in shielded]
-        back = [x.encode()[1:] for x in sp.decode([feed + x for x in ids], num_threads=1)]
-        n_ids = np.fromiter(map(len, ids), np.int64, len(ids))
-        at = np.concatenate([[0], np.cumsum(n_ids)])
-        flat = np.fromiter((i for x in ids for i in x), np.uint32, int(at[-1]))
-        n_back = np.fromiter(map(len, back), np.int64, len(back))
-        back_at = np.concatenate([[0], np.cumsum(n_back)])
-        text = np.frombuffer(b"".join(back), np.uint8)
-        return [blocks.pack(
-            more[0], n_ids[p].astype(np.uint32), gathered(at, flat, p),
-            n_back[p].astype(np.uint32), gathered(back_at, text, p))
-            for p, more in zip(places, arrays)]
+        ids = [x[2:] for x in model(path).encode(["\n" + w.decode() for w in words], num_threads=1)]
+        n = np.fromiter(map(len, ids), np.int64, len(ids))
+        at = np.concatenate([[0], np.cumsum(n)])
+        flat = np.fromiter((i for x in ids for i in x), np.int64, int(at[-1]))
+        return [blocks.pack(n[p], gathered(at, flat, p)) for p in places]
 
     return answer
 
 
+@lru_cache(maxsize=2)
+def piece_texts(path: str) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets by id and the bytes that each id stands for behind a line feed."""
+    sp = model(path)
+    feed = sp.encode("\n")[1]
+    out = []
+    for i in range(sp.get_piece_size()):
+        piece = sp.id_to_piece(i)
+        out.append(bytes([int(piece[1:-1], 16)]) if sp.is_byte(i) else
+                   sp.decode([feed, i]).encode()[1:])
+    return (np.concatenate([[0], np.cumsum([len(x) for x in out])]),
+            np.frombuffer(b"".join(out), np.uint8))
+
+
 _OUT = "doc_id long, n_tokens long, ids binary, text string"
 
 
@@ -94,20 +99,19 @@ def _rows(ids: list, n: list[int], packed: list[bytes], texts: list[bytes]) -> p
 
 
 def _finish(path: str):
-    def finish(docs: pa.Table, answers: list[list]) -> pa.Table:
+    def finish(docs: blocks.Documents, answers: blocks.Answers) -> pa.Table:
         sp = model(path)
-        begin, end = (np.array([i], "<u4") for i in (sp.bos_id(), sp.eos_id()))
-        id_at, id_flat = blocks.placed_lists(answers, 1, 2)
-        text_at, text_flat = blocks.placed_lists(answers, 3, 4)
+        begin, end = np.array([sp.bos_id()]), np.array([sp.eos_id()])
+        id_at, id_flat = answers.lists(0, 1)
+        text_at, text_flat = piece_texts(path)
         n, packed, texts = [], [], []
-        for data in docs.column("payload").to_pylist():
-            chunks = blocks.unpack(data)[0].astype(np.int64)
-            ids = np.concatenate([begin, gathered(id_at, id_flat, chunks), end]).astype("<u4")
-            text = gathered(text_at, text_flat, chunks).tobytes()
-            n.append(len(ids))
-            packed.append(ids.tobytes())
+        for chunks in docs.tokens:
+            ids = gathered(id_at, id_flat, chunks)
+            text = gathered(text_at, text_flat, ids).tobytes()
+            n.append(len(ids) + 2)
+            packed.append(np.concatenate([begin, ids, end]).astype("<u4").tobytes())
             texts.append(text[1:] if text[:1] == b" " else text)  # the marker put before it
-        return _rows(docs.column("doc_id").to_pylist(), n, packed, texts)
+        return _rows(docs.ids, n, packed, texts)
 
     return finish
 

@@ -47,7 +47,7 @@ def op4_html_text(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op5_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.quality(table(spark, sf, "documents"))
+    return quality.quality(table(spark, sf, "documents")).drop("host", "shrunk")
 
 
 def op6_pieces(spark: SparkSession, sf: str) -> DataFrame:
@@ -59,7 +59,7 @@ def op6_pieces(spark: SparkSession, sf: str) -> DataFrame:
 
 def op7_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return decontaminate.contamination(
-        table(spark, sf, "documents"), table(spark, sf, "benchmark")).drop("matches")
+        table(spark, sf, "documents"), table(spark, sf, "benchmark")).drop("longest", "matches")
 
 
 #: Fixed rules on hosts and paths.

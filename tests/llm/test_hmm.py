@@ -93,8 +93,9 @@ def test_expected_counts_of_all_paths(model):
 
 
 def test_rounds_raise_the_likelihood(docs):
-    table = blocks.cut(hmm.input_rows(docs, held(), "doc_id", "text"), hmm.words)
-    v = hmm.vocabulary(table, most=256)
+    rows = hmm.input_rows(docs, held(), "doc_id", "text")
+    table = blocks.cut(rows, hmm.words, counted=True)
+    v = hmm.vocabulary(table, rows, most=256)
     seqs = hmm.sequences(table, v)
     texts = [blocks.unpack(bytes(r[0]))[0].astype(int) for r in seqs.where("flag").select("payload").collect()]
     found = [hmm.likelihood(hmm.learned(seqs, v, rounds=n), texts).sum() for n in (0, 1, 3)]

@@ -57,6 +57,15 @@ def test_packing():
     words = [b"", b"a\nb", "é".encode()]
     got, (n,) = blocks.unpack_words(blocks.pack_words(words, np.array([1, 2, 3 << 40])))
     assert got == words and n.tolist() == [1, 2, 3 << 40]
-    assert [x.tolist() if isinstance(x, np.ndarray) else x
-            for x in blocks.unpack(blocks.pack(np.empty(0, np.uint32), b"x\n", np.array([7], "<u2")))] == [
-        [], b"x\n", [7]]
+    parts = [np.empty(0, np.int64), b"x\n", np.array([0, 127, 128, 1 << 63], np.uint64), b""]
+    assert [x.tolist() if isinstance(x, np.ndarray) else x for x in blocks.unpack(blocks.pack(*parts))] == [
+        [], b"x\n", [0, 127, 128, -(1 << 63)], b""]
+    docs = blocks.Documents([None, -5, 7], [True, False, True], [np.array([0, 2]), np.empty(0, np.int64),
+                                                               np.array([1])], np.array([3, 0, 3]))
+    back = blocks.Documents.unpacked(docs.packed())
+    assert (back.ids, back.flags) == (docs.ids, docs.flags)
+    assert [t.tolist() for t in back.tokens] == [[0, 2], [], [1]] and back.buckets.tolist() == [3, 0, 3]
+    answers = blocks.Answers(back.buckets, {0: [np.array([2]), np.array([8, 9])], 3: [np.array([1, 0]), np.array([7])]})
+    assert answers.values(0).tolist() == [1, 2, 0]
+    offsets, flat = answers.lists(0, 1)
+    assert offsets.tolist() == [0, 1, 3, 3] and flat.tolist() == [7, 8, 9]
