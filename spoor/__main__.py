@@ -6,7 +6,6 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from spoor.operators.concat import DEFAULT_CMAX
 from spoor.plans import jobs
 
 
@@ -19,6 +18,10 @@ def parser() -> argparse.ArgumentParser:
         p.add_argument("--input", required=True, help="descriptor file or folder")
         p.add_argument("--output", required=True)
         p.add_argument("--form", choices=["parquet", "text"], default="text")
+        p.add_argument("--folders", action="store_true", help="a folder per descriptor, as the "
+                       "text form is written")
+        p.add_argument("--shared", help="folder that all executors share, for intermediate "
+                       "tables (default: spark.checkpoint.dir)")
         return p
 
     p = job("mix", "mix descriptors by rules")
@@ -38,7 +41,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--rules", required=True)
     p.add_argument("--name", default="mix")
     p.add_argument("--weigh-by-traffic", action="store_true")
-    p.add_argument("--cmax", type=int, default=DEFAULT_CMAX, help="mb, 0 for no limit")
+    p.add_argument("--cmax", type=int, default=0, help="mb, 0 for no limit")
     p.add_argument("--min-ghost", type=int, default=1)
     p.add_argument("--thin", type=float, default=0.0, metavar="PERCENT")
     return top
@@ -48,24 +51,26 @@ def run(spark: SparkSession, a: argparse.Namespace) -> jobs.Outcome:
     if a.job == "mix":
         return jobs.mix_job(
             spark, a.input, a.output, a.rules, a.customer_map, a.name, a.thin, a.form,
-            a.in_rule_order, a.compat_float32,
+            a.in_rule_order, a.compat_float32, a.folders,
         )
     if a.job in ("t2s", "t2c"):
         axis = "mb" if a.job == "t2s" else "objcount"
-        return jobs.curve_job(spark, a.input, a.output, axis, a.icp, form=a.form)
+        return jobs.curve_job(spark, a.input, a.output, axis, a.icp, form=a.form, folders=a.folders)
     if a.job == "unshard":
         return jobs.unshard_job(
-            spark, a.input, a.output, a.factor, a.form, a.compat_float32
+            spark, a.input, a.output, a.factor, a.form, a.compat_float32, folders=a.folders,
         )
     return jobs.concat_job(
         spark, a.input, a.rules, a.output, a.name, a.weigh_by_traffic, a.cmax, a.min_ghost,
-        a.thin, a.form,
+        a.thin, a.form, folders=a.folders,
     )
 
 
 def main() -> None:
     args = parser().parse_args()
     spark = SparkSession.builder.appName(f"spoor-{args.job}").getOrCreate()
+    if args.shared:
+        spark.conf.set("spark.checkpoint.dir", args.shared)
     try:
         outcome = run(spark, args)
         outcome.summary.show()

@@ -25,7 +25,7 @@ HOT_ACCESSES = 1_000_000
 HOT_BROADCAST = 1_000_000
 # Length of a stretch in units of `sec`.
 STRETCH = 512
-# Length of a peak-traffic slot and bytes per unit of total_mib.
+# Length of a peak-traffic slot in seconds and bytes per unit of total_mib.
 PEAK_SLOT = 300
 MIB_UNIT = 1000
 
@@ -165,7 +165,7 @@ def headers_from_log(
         })
     )
     peaks = (
-        log.groupBy("fd_id", F.expr(f"sec div {PEAK_SLOT} AS slot"))
+        log.groupBy("fd_id", F.expr(f"sec * {seconds_per_unit} div {PEAK_SLOT} AS slot"))
         .agg(*aggregates({"n": "count(*)", "b": "sum(sz)"}))
         .groupBy("fd_id")
         .agg(*aggregates({"peak_requests_300s": "max(n)", "peak_bytes_300s": "max(b)"}))

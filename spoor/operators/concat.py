@@ -16,8 +16,6 @@ from spoor.operators.scan import Running, scan
 from spoor.operators.transform import changed
 from spoor.session import materialize
 
-# Fixed value: default limit of the cache of one machine, in mb (4 TB).
-DEFAULT_CMAX = 4 * 1024 * 1024
 _WIDE = "DECIMAL(38, 0)"
 
 
@@ -74,18 +72,29 @@ def concat(
     rules: DataFrame,
     d: Descriptors,
     weigh_by_traffic: bool = False,
-    cmax: int = DEFAULT_CMAX,
+    cmax: int = 0,
     min_ghost: int = 1,
     compat_float32: bool = False,
 ) -> Descriptors:
     """All concat rule sets ``(concat_id, ord, fd_id, scale)``; the result's ``fd_id`` is
-    the ``concat_id``.  Footprints above ``cmax`` are dropped (<= 0: no limit)."""
+    the ``concat_id``.  Members' footprints above ``cmax`` mb, the cache of one machine,
+    are left out (0: no limit); :func:`above_limit` tells how much that is."""
     headers, rows = read_scaled(rules, d, compat_float32)
     return Descriptors(
         concat_headers(headers, min_ghost), _concat_rows(headers, rows, weigh_by_traffic, cmax)
     )
 
 
+def above_limit(
+    rules: DataFrame, d: Descriptors, cmax: int, compat_float32: bool = False
+) -> DataFrame:
+    """Rows and bytes per ``concat_id`` that a limit of ``cmax`` mb leaves out."""
+    _, rows = read_scaled(rules, d, compat_float32)
+    return rows.filter(f"mb > {cmax}").groupBy("concat_id").agg(
+        *aggregates({"rows": "count(*)", "bytes": "sum(bytes + tr_bytes)"})
+    )
+
+
 def _concat_rows(
     headers: DataFrame, rows: DataFrame, weigh_by_traffic: bool, cmax: int
 ) -> DataFrame:

@@ -1,6 +1,7 @@
 """User-level jobs: text files in, tables or text files out, rejects reported.
 
-Every job handles all files of its input in one Spark plan.  ``Outcome.summary``
+Every job handles all files of its input in one Spark plan; with ``folders`` each folder
+of part files is one descriptor, as the text writer leaves them.  ``Outcome.summary``
 counts results and failures; ``Outcome.failures`` names them.
 """
 
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 
 from spoor.model import HEADER_COLS, Descriptors
 from spoor.operators import curves, mix, transform
-from spoor.operators.concat import DEFAULT_CMAX, concat
+from spoor.operators.concat import above_limit, concat
 from spoor.operators.summary import run_summary
 from spoor.operators.transform import linked
 from spoor.session import materialize
@@ -63,11 +64,13 @@ def mix_job(
     form: str = "parquet",
     in_rule_order: bool = False,
     compat_float32: bool = False,
+    folders: bool = False,
 ) -> Outcome:
     """Mix the descriptors below ``input_path`` by rule files or by a customer map.
 
-    A rule file with a bad line fails; an unreadable or missing member is reported
-    and left out of its mixes; a mix without traffic is not written.
+    A rule file with a bad line fails; a member that is unreadable, missing, without a
+    rate to scale, scaled by 0 or empty is reported and left out of its mixes; a mix
+    without traffic is not written.
     """
     if (rules_path is None) == (customer_map is None):
         raise ValueError("give either rule files or a customer map")
@@ -77,7 +80,7 @@ def mix_job(
     else:
         given = read_mix_rules(spark, rules_path, mix_id)
     rules = materialize(given.rules, "rules")
-    scanned = read_descriptors(spark, input_path)
+    scanned = read_descriptors(spark, input_path, folders=folders)
     d = _stored(scanned.descriptors, "scanned")
     if compat_float32:
         d = transform.float32_traffic(d)
@@ -93,6 +96,10 @@ def mix_job(
             F.concat_ws("/", "mix_id", "fd_id").alias("name"),
             F.lit("no such descriptor").alias("reason"),
         )
+    ).unionByName(
+        mix.members(rules, d.headers, compat_float32).filter("status <> 'ok'").select(
+            F.concat_ws("/", "mix_id", "fd_id").alias("name"), F.col("status").alias("reason")
+        )
     )
     if given.rejects is not None:
         failures = failures.unionByName(_named_failures(given.rejects, "mix_id"))
@@ -108,10 +115,11 @@ def curve_job(
     quota: curves.Quota = curves.Quota(),
     form: str = "parquet",
     strict: bool = True,
+    folders: bool = False,
 ) -> Outcome:
     """Hit-rate curves by size (``mb``) or object count (``objcount``) of one descriptor
     file or of all below a folder.  Results are written before failures raise."""
-    scanned = read_descriptors(spark, input_path, default_key="2")
+    scanned = read_descriptors(spark, input_path, folders=folders, default_key="2")
     d = _stored(scanned.descriptors, "scanned")
     make = curves.space_curve if axis == "mb" else curves.count_curve
     curve = materialize(make(d, include_transitions, quota), "curve")
@@ -130,9 +138,10 @@ def unshard_job(
     form: str = "parquet",
     compat_float32: bool = False,
     strict: bool = True,
+    folders: bool = False,
 ) -> Outcome:
     """Multiply every amount of the descriptors below ``input_path``."""
-    scanned = read_descriptors(spark, input_path)
+    scanned = read_descriptors(spark, input_path, folders=folders)
     result = transform.unshard(_stored(scanned.descriptors, "scanned"), factor, compat_float32)
     refused = write_descriptors(result, output_path, form=form)
     failures = _named_failures(refused, "fd_id").unionByName(
@@ -148,16 +157,17 @@ def concat_job(
     output_path: str,
     concat_id: str = "mix",
     weigh_by_traffic: bool = False,
-    cmax: int = DEFAULT_CMAX,
+    cmax: int = 0,
     min_ghost: int = 1,
     thin_pct: float = 0.0,
     form: str = "parquet",
     strict: bool = True,
+    folders: bool = False,
 ) -> Outcome:
     """Concatenate the descriptors named in a rule file."""
     rules = read_concat_rules(spark, rules_path, concat_id)
     table = materialize(rules.rules, "concat-rules")
-    scanned: Scanned = read_descriptors(spark, input_path)
+    scanned: Scanned = read_descriptors(spark, input_path, folders=folders)
     d = _stored(scanned.descriptors, "scanned")
     result = _stored(concat(table, d, weigh_by_traffic, cmax, min_ghost), "concatenated")
     refused = write_descriptors(result, output_path, thin_pct, form)
@@ -168,6 +178,17 @@ def concat_job(
     failures = (
         _named_failures(refused, "fd_id")
         .unionByName(absent)
+        .unionByName(_named_failures(scanned.rejects, "fd_id"))
         .unionByName(_named_failures(rules.rejects, "concat_id"))
     )
+    if cmax > 0:
+        cut = above_limit(table, d, cmax).select(
+            F.col("concat_id").alias("name"),
+            F.format_string("above the limit of %d mb: %d rows, %d bytes", F.lit(cmax), "rows",
+                            "bytes").alias("reason"),
+        )
+        # what the caller asked to be left out is told, and fails nothing
+        outcome = _finish(result.headers, failures, strict)
+        told = materialize(outcome.failures.unionByName(cut), "failures-and-cuts")
+        return Outcome(outcome.summary, told)
     return _finish(result.headers, failures, strict)

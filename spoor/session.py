@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -25,23 +26,24 @@ def local_session(cores: str | int = "*", partitions: int = 8) -> SparkSession:
     return spark
 
 
-def shared_folder(spark: SparkSession) -> str | None:
+def shared_folder(spark: SparkSession) -> str:
     """Folder for intermediate tables: the one the cluster names in
-    ``spark.checkpoint.dir``; a fresh temporary one only for a local master."""
+    ``spark.checkpoint.dir``; a fresh temporary one only where driver and executors are
+    one process.  Raises if a cluster names none."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
-    if not spark.sparkContext.master.startswith("local"):
-        return None
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError(
+            "intermediate tables need a folder that all executors share: set spark.checkpoint.dir")
     folder = tempfile.mkdtemp(prefix="spoor-")
     spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
 
-def new_path(spark: SparkSession, label: str) -> str | None:
-    """An unused path in the shared folder, None if there is no such folder."""
-    folder = shared_folder(spark)
-    return None if folder is None else f"{folder.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+def new_path(spark: SparkSession, label: str) -> str:
+    """An unused path in the shared folder."""
+    return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, label: str, by: tuple[str, ...] = ()) -> DataFrame:
@@ -50,12 +52,9 @@ def materialize(df: DataFrame, label: str, by: tuple[str, ...] = ()) -> DataFram
     Cuts the lineage with files that outlive an executor, so a table read by
     several later steps is computed once, and its size is known when they are
     planned.  ``by`` names columns to lay the files out by, for steps that read a
-    part each.  Without a shared folder the frame is returned as it is: same result,
-    longer lineage.
+    part each.
     """
     spark = df.sparkSession
     path = new_path(spark, label)
-    if path is None:
-        return df
     df.write.partitionBy(*by).parquet(path) if by else df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

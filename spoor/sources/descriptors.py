@@ -44,9 +44,6 @@ HEADER_FIELDS = [
 BODY_FIELDS = ["delta_t", "mb", "objcount", "requests", "bytes", "tr_bytes", "tr_requests"]
 HEADER_REQUIRED = 3
 
-# Positions of a part file start here times its number (see sources/lines.py).
-PART_STEP = 10**32
-
 
 @dataclass(frozen=True)
 class Scanned:
@@ -76,10 +73,10 @@ def read_descriptors(
     seen = listed_files(spark, path, glob)
     if folders:
         # the part files of a folder follow each other in number order
-        part = r"coalesce(try_cast(regexp_extract(file, '/part-(\\d+)[^/]*$', 1) AS INT), 0)"
+        part = r"coalesce(try_cast(regexp_extract(file, '/part-(\\d+)[^/]*$', 1) AS BIGINT), 0)"
         lines = lines.selectExpr(
             "regexp_extract(file, '^(.*)/[^/]*$', 1) AS file",
-            f"CAST({part} AS DECIMAL(6, 0)) * {PART_STEP}BD + pos AS pos",
+            f"named_struct('part', {part}, 'at', pos) AS pos",
             "value",
         )
         seen = seen.selectExpr("regexp_extract(file, '^(.*)/[^/]*$', 1) AS file").distinct()
@@ -106,7 +103,7 @@ def read_descriptors(
         parsed.filter("is_head")
         .groupBy("file")
         .agg(*aggregates({"head": "min_by(value, pos)"}))
-        .select("file", F.transform(tokens(F.substring("head", 2, 1 << 20)), integer)
+        .select("file", F.transform(tokens(F.regexp_replace("head", "^#", "")), integer)
                 .alias("numbers"))
         .selectExpr(
             "file",
@@ -215,10 +212,16 @@ def write_descriptors(
 
 
 def write_lines(lines: DataFrame, path: str, prefix: str, mode: str) -> None:
+    """One folder per descriptor, its part files following each other.
+
+    The order is by the column the folders are made of: an order by another one would
+    not be kept by the write.
+    """
     (
-        lines.repartitionByRange("fd_id", "at")
-        .sortWithinPartitions("fd_id", "at")
-        .select(F.concat(F.lit(prefix), "fd_id").alias("name"), "value")
+        lines.select(F.concat(F.lit(prefix), "fd_id").alias("name"), "at", "value")
+        .repartitionByRange("name", "at")
+        .sortWithinPartitions("name", "at")
+        .select("name", "value")
         .write.mode(mode)
         .partitionBy("name")
         .text(path)

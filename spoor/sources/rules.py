@@ -80,7 +80,8 @@ def read_mix_rules(
 ) -> Rules:
     """Rule files below ``path`` (a file, a folder or a glob).  The mix is called like
     its file without ``.keyN``; a single file may be given another name, and else
-    loses a trailing ``.config`` as well."""
+    loses a trailing ``.config`` as well.  Where two files have one name, the last one by
+    path counts and the others are reported."""
     lines = read_lines(spark, path)
     name = strip_key(base_name(F.col("file")))
     single = isinstance(path, str) and not any(c in path for c in "*?[{")
@@ -88,11 +89,18 @@ def read_mix_rules(
         name = F.lit(mix_id)
     elif single:
         name = F.regexp_replace(name, r"\.config$", "")
-    return parse_mix_rules(
-        lines.filter(base_name(F.col("file")) != "MANIFEST").select(
-            name.alias("mix_id"), "pos", "value"
-        )
+    lines = lines.filter(base_name(F.col("file")) != "MANIFEST").select(
+        name.alias("mix_id"), "file", "pos", "value"
     )
+    files = lines.select("mix_id", "file").distinct()
+    latest = files.groupBy("mix_id").agg(F.max("file").alias("latest"))
+    older = files.join(latest, "mix_id").filter("file <> latest").select(
+        "mix_id", F.col("file").alias("value"), F.lit("superseded").alias("reason")
+    )
+    parsed = parse_mix_rules(
+        lines.join(latest, "mix_id").filter("file = latest").select("mix_id", "pos", "value")
+    )
+    return Rules(parsed.rules, parsed.rejects.unionByName(older))
 
 
 def write_mix_rules(rules: DataFrame, path: str, mode: str = "errorifexists") -> None:

@@ -71,7 +71,7 @@ def test_headers(spark):
             first.setdefault(r[1], r[5])
         slots = {}
         for r in mine:
-            slots.setdefault(r[2] // 300, []).append(r[5])
+            slots.setdefault(r[2] * 2 // 300, []).append(r[5])
         assert h.total_requests == len(mine)
         assert h.total_served_bytes == sum(r[5] for r in mine)
         assert h.duration == 2 * (max(r[2] for r in mine) - min(r[2] for r in mine))

@@ -83,9 +83,13 @@ MIXED_OPS = [
     rule("mixed_ops", 3, "signup", n=2, m=16),
     rule("mixed_ops", 4, "absent"),
 ]
+JOB_RULES = [*[(("job"), *r[1:]) for r in MIXED_OPS], rule("job", 5, "purchase", scale=0.0)]
 GROUPS = [rule(f"m{i % 4}", i // 4, f"g{i}", scale=0.5) for i in range(20)]
 SHRUNK = [rule(f"s{i % 3}", i // 3, f"g{i}", scale=3.0) for i in range(20)]
 FLAT = [rule("flat", i, f"m{i}") for i in range(4)]
+# the first class is taken away again: its IATs fall silent half way
+CANCELLING = [rule("cancelling", 0, "click"), rule("cancelling", 1, "view"),
+              rule("cancelling", 2, "click", "sub"), rule("cancelling", 3, "error", scale=0.5)]
 SUBTRACT = [rule("difference", 0, "click"), rule("difference", 1, "view", "sub", 0.5)]
 PAIR = [rule("pair", 0, "click"), rule("pair", 1, "view")]
 CONCAT = [("three", 0, "click", 1.0), ("three", 1, "view", 1.0), ("three", 2, "error", 1.0),
@@ -122,7 +126,7 @@ def customer_map(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr(
             "concat_ws(' ', c_custkey, c_nationkey, lower(c_mktsegment), CASE WHEN c_custkey % 9"
             " = 0 THEN concat('plain', c_custkey) ELSE concat('n', c_nationkey, '^',"
-            " lower(substring(c_mktsegment, 1, 1)), '^VCD_', c_custkey) END)"
+            " lower(substring(c_mktsegment, 1, 1)), '^cls_', c_custkey) END)"
         ).alias("value")
     )
 

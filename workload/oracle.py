@@ -63,7 +63,7 @@ def source(name: str, prefix: str = "", order: str = "ord1, ord2, sz") -> str:
           cast(sum(case when k=1 then sz else 0 end)//1000 as bigint) as total_mib
         from {p}seqd group by fd_id) a
   join (select fd_id, max(n) as peak_requests_300s, max(b) as peak_bytes_300s
-        from (select fd_id, sec//300 as slot, cast(count(*) as bigint) as n, {_sum('sz')} as b
+        from (select fd_id, (sec*{UNITS[name]})//300 as slot, cast(count(*) as bigint) as n, {_sum('sz')} as b
               from {p}log group by 1, 2) group by fd_id) b on a.fd_id=b.fd_id
   join (select fd_id, cast(count(*) as bigint) as unique_objects, {_sum('s')} as unique_bytes
         from (select fd_id, obj, max(sz) as s from {p}log group by 1, 2) group by fd_id) c
@@ -299,7 +299,7 @@ join cum c on c.fd_id=m.fd_id and c.delta_t=m.delta_t join hd h on h.fd_id=g.fd_
 where s.members=1"""
 
 
-def concat_sql(weighted: bool, cmax: int, ghosts: int, headers: bool = False) -> str:
+def concat_sql(weighted: bool, cmax: str, ghosts: int, headers: bool = False) -> str:
     rules = values(fx.CONCAT, ["concat_id", "ord", "fd_id", "scale"], ("scale",))
     w = _cut("h.total_served_bytes*r.scale") if weighted else "1"
     base = f"""{EVENTS}, rl as {rules},
@@ -315,7 +315,7 @@ rd as (select r.concat_id, r.ord, {_cut('f.delta_t*r.scale')} as delta_t,
   from cr r join fd f on f.fd_id=r.fd_id group by r.concat_id, r.ord, 3),
 per as (select concat_id, ord, mb, sum(delta_t) as ts, count(*) as tc,
     {', '.join(f'{_sum(c)} as {c}' for c in TRAFFIC)}
-  from rd where mb <= {cmax} group by concat_id, ord, mb),
+  from rd {f'where mb <= {cmax}' if cmax else ''} group by concat_id, ord, mb),
 mx as (select concat_id, ord, max(mb) as mx from rd group by concat_id, ord),
 sizes as (select distinct concat_id, mb from per),
 pts as (select s.concat_id, s.mb, m.ord, m.mx, h.w from sizes s
@@ -363,6 +363,55 @@ from walk w join ends e on e.fd_id=w.fd_id
 where w.kept or (w.i=e.i and w.o_requests>0)"""
 
 
+def file_statements(sql: dict[str, str]) -> dict[str, str]:
+    """Statements of the queries in ``workload.files``."""
+    doubled = ", ".join(f"2*{c} as {c}" for c in TRAFFIC)
+    digit = "(cast(round_even({}, 1) as double) + 0.0::double)"
+    curve_row = "fd_id, {a}, requests, " + digit.format("request_pct") + " as request_pct, bytes, "
+    curve_row += digit.format("byte_pct") + " as byte_pct"
+    n = "cast(substr(fd_id, 2) as integer)"
+    kind = "s_suppkey % 5"
+    return {
+        "read_shards": f"{LINES} select fd_id, delta_t, mb, objcount, {doubled} from fd",
+        "read_rejects": f"""{LINES} select fd_id, case {n} when 0 then 'bad header' when 1 then
+  'no traffic' when 2 then 'bad line' when 3 then 'no body' when 4 then 'bad header' end as reason
+  from hd where {n} < 5""",
+        "read_key_names": f"{LINES} select fd_id, case when {n} % 2 = 0 then cast({n} as varchar) "
+                          f"else '1' end as key_index from hd",
+        "curve_files_space": f"{EVENTS}, crv as ({curve('mb')}) select {curve_row.format(a='mb')} from crv",
+        "curve_files_count": f"{LINES}, crv as ({curve('objcount')}) select "
+                             f"{curve_row.format(a='objcount')} from crv",
+        "mix_rules_parsed": f"""select 'm' || (s_suppkey % 3) as mix_id,
+  cast(row_number() over (partition by s_suppkey % 3 order by s_suppkey) - 1 as integer) as ord,
+  'g' || s_nationkey as fd_id, case when {kind} = 1 then 'sub' else 'add' end as op,
+  cast(case {kind} when 0 then 0.5 when 1 then 2e9 when 2 then 3e6 else 1.5 end as double) as scale,
+  case when {kind} in (1, 2) then 'traffic' else 'absolute' end as scale_type,
+  cast(case when {kind} = 2 then 2 else 0 end as integer) as num_shards,
+  cast(case when {kind} = 2 then 16 else 0 end as integer) as total_shards,
+  cast(case when {kind} = 3 then 100 else 0 end as bigint) as max_mb,
+  cast(case when {kind} = 3 then 5 else 0 end as bigint) as min_mb,
+  cast(case when {kind} = 3 then 7 else 0 end as bigint) as max_count,
+  cast(case when {kind} = 3 then 2 else 0 end as bigint) as min_count
+  from supplier where {kind} <> 4 and s_suppkey % 7 <> 0""",
+        "mix_rules_rejects": """select 'bad' as mix_id, 'g' || s_nationkey ||
+  case when s_suppkey % 2 = 0 then ' multiply 2' else ' add much' end as value,
+  case when s_suppkey % 2 = 0 then 'bad action' else 'bad scale' end as reason
+  from supplier where s_suppkey % 7 = 0""",
+        "concat_rules_parsed": """select 'all' as concat_id,
+  cast(row_number() over (order by s_suppkey) - 1 as integer) as ord, 'g' || s_nationkey as fd_id,
+  cast(s_suppkey as double) / 4 as scale from supplier""",
+        "preview": f"{LINES} select {HEADER} from hd order by total_served_bytes, fd_id limit 5",
+        "unshard_job": sql["unshard"],
+        "t2s_job": f"{EVENTS} {curve('mb')}",
+        "t2c_job": f"{LINES} {curve('objcount')}",
+        "concat_job": f"select * from ({concat_sql(False, '', 1)}) where fd_id = 'three'",
+        "mix_job": f"{EVENTS}, {mixing(rule_values(fx.JOB_RULES[:-1]))} select {ROWS} from mixfd",
+        "mix_job_failures": f"""{EVENTS} select mix_id || '/' || fd_id as name,
+  case when fd_id in (select fd_id from hd) then 'zero_scale' else 'no such descriptor' end as reason
+  from {rule_values(fx.JOB_RULES)} r where scale = 0 or fd_id not in (select fd_id from hd)""",
+    }
+
+
 THIN_PCT = 4.0
 QUOTA_WHERE = "mb <= 900000 and objcount >= 3"
 LIMIT = "mb <= 700000"
@@ -399,6 +448,24 @@ def statements() -> dict[str, str]:
     sql["mix_in_rule_order"] = (
         f"{EVENTS}, {mixing(rule_values(fx.HALF_ALL))}, {chained('half_all', 5)} "
         f"select 'half_all' as fd_id, {', '.join(['delta_t', *FULL])} from s5")
+    sql["mix_order_cancelling"] = (
+        f"{EVENTS}, {mixing(rule_values(fx.CANCELLING))}, {chained('cancelling', 4)} "
+        f"select 'cancelling' as fd_id, {', '.join(['delta_t', *FULL])} from s4")
+    stretched = "604800.0::double/duration"
+    rate = "50.0::double/cast((total_served_bytes*8)//duration as double)"
+    for name, change, kinds in (
+        ("scale_absolute", "{c}*2.0::double", VOLUMES),
+        ("scale_to_traffic", "{c}*(" + rate + ")", VOLUMES),
+        ("shard", "{c}/3.0::double", VOLUMES + UNIQUES),
+        ("unshard", "{c}*2.5::double", VOLUMES + UNIQUES),
+        ("shard_fraction", _cut("{c}/7.0::double") + "*3.0::double", VOLUMES + UNIQUES),
+        ("stretch_duration", "{c}*(" + stretched + ")", VOLUMES),
+        ("split_virtual", "{c}//4", VOLUMES),
+    ):
+        parts = [f"{_cut(change.format(c=c))} as {c}" if c in kinds else c for c in VOLUMES + UNIQUES]
+        length = "cast(604800 as bigint) as duration" if name == "stretch_duration" else "duration"
+        sql[f"{name}_headers"] = f"{EVENTS} select fd_id, {length}, {', '.join(parts)} from hd"
+    sql |= file_statements(sql)
     sql["text_round_trip"] = f"{LINES} select {ROWS} from fd"
     sql["fd_from_stream"] = (f"with {source('events', order='sec, sz')} select {ROWS} from fd")
     sql["mix_headers"] = f"{EVENTS}, {mixing(rule_values(*every))} select {HEADER} from mixhd"
@@ -457,9 +524,10 @@ cum as (select *, cast(sum(bytes) over (partition by fd_id order by delta_t) as
 select m.fd_id, cast(500000 as bigint) as cache_mb, c.cb-h.total_mib as hit_bytes,
   h.total_served_bytes as served_bytes, m.delta_t as iat
 from mk m join cum c on c.fd_id=m.fd_id and c.delta_t=m.delta_t join hd h on h.fd_id=m.fd_id"""
-    sql["concat"] = concat_sql(False, 4 * 1024 * 1024, 1)
-    sql["concat_weighted"] = concat_sql(True, 1200000, 1)
-    sql["concat_headers"] = concat_sql(False, 4 * 1024 * 1024, 2, headers=True)
+    sql["concat"] = concat_sql(False, "", 1)
+    sql["concat_weighted"] = concat_sql(True, "", 1)
+    sql["concat_limited"] = concat_sql(False, "(select max(mb)//2 from fd)", 1)
+    sql["concat_headers"] = concat_sql(False, "", 2, headers=True)
     size_probe = MB_PROBES.replace("target", "cache_mb")
     space = f"crv as ({curve('mb')})"
     sql["curve_lookup"] = (f"{EVENTS}, {space}, {size_probe} "
@@ -503,15 +571,17 @@ select fd_id, total_requests//duration as avg_hits_per_s,
   ((peak_bytes_300s*8)//300)/1e9::double as peak_gbps from both_"""
     sql["extents"] = (f"{LINES} select fd_id, max(delta_t) as max_delta_t, max(mb) as max_mb, "
                       f"max(objcount) as max_objcount from fd group by fd_id")
-    sql["order_fds"] = f"{LINES} select {HEADER} from hd"
-    sql["order_curves"] = (f"{LINES}, {space} select fd_id, max(mb) as max_mb from crv "
-                           f"group by fd_id")
+    sql["order_fds"] = (f"{LINES} select {HEADER}, row_number() over "
+                        f"(order by total_served_bytes, fd_id) as rank from hd")
+    sql["order_curves"] = (f"{LINES}, {space}, top as (select fd_id, max(mb) as max_mb from crv "
+                           f"group by fd_id) select fd_id, max_mb, row_number() over "
+                           f"(order by max_mb desc, fd_id) as rank from top")
     sql["validity"] = f"""{EVENTS} select h.fd_id, h.total_requests=0 as is_empty,
   coalesce(n,0)>0 and total_requests>0 and total_served_bytes>0 as is_valid
   from hd h left join (select fd_id, count(*) as n from fd group by fd_id) b on b.fd_id=h.fd_id"""
     sql["customer_map_rules"] = """with m as (select 'n' || c_nationkey || '^' ||
     lower(substr(c_mktsegment,1,1)) as mix_id, c_custkey from customer where c_custkey % 9 <> 0),
-e as (select mix_id, mix_id || '^VCD_' || c_custkey as fd_id from m)
+e as (select mix_id, mix_id || '^cls_' || c_custkey as fd_id from m)
 select mix_id, cast(row_number() over (partition by mix_id order by fd_id) - 1 as integer) as ord,
   fd_id, 'add' as op, cast(1.0 as double) as scale, 'absolute' as scale_type from e"""
     missing = rule_values(fx.HALF_ALL, fx.MIXED_OPS)

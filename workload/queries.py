@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from spoor.model import HEADER_COLS, ROW_COLS
 from spoor.operators import accesslog, curves, lookup, mix, quickadd, summary, thin, transform
@@ -13,6 +14,7 @@ from spoor.session import materialize, new_path
 from spoor.sources.descriptors import read_descriptors, write_descriptors
 from spoor.sources.rules import rules_from_customer_map
 from spoor.streaming import accesslog as live
+from workload import files
 from workload import fixtures as fx
 from workload.oracle import SIZES, THIN_PCT
 
@@ -99,6 +101,19 @@ def _concat_of(part: str, **options) -> Query:
     )
 
 
+def _concat_limited(spark: SparkSession, sf: str) -> DataFrame:
+    """With a limit of half the largest footprint."""
+    d = fx.descriptors(spark, sf, "events")
+    limit = d.rows.agg(F.max("mb")).first()[0] // 2
+    return concat(fx.concat_rules(spark), d, cmax=limit).rows
+
+
+def _ranked(ordered: DataFrame) -> DataFrame:
+    """The place of each row of a report (a row per class) in the order it came in."""
+    placed = ordered.withColumn("_at", F.monotonically_increasing_id())
+    return placed.withColumn("rank", F.row_number().over(Window.orderBy("_at")).cast("long")).drop("_at")
+
+
 def _prepared(spark: SparkSession, sf: str) -> DataFrame:
     table = fx.rules(spark, fx.HALF_ALL, fx.MIXED_OPS)
     return mix.prepared_rows(table, fx.descriptors(spark, sf, "events")).drop("fd_id")
@@ -107,8 +122,6 @@ def _prepared(spark: SparkSession, sf: str) -> DataFrame:
 def _round_trip(spark: SparkSession, sf: str) -> DataFrame:
     """Descriptors written as text to the shared folder and read again."""
     path = new_path(spark, "text")
-    if path is None:
-        raise ValueError("a shared folder is needed: set spark.checkpoint.dir")
     write_descriptors(fx.descriptors(spark, sf, "lineitem"), path, form="text")
     return read_descriptors(spark, path, folders=True).descriptors.rows
 
@@ -116,8 +129,6 @@ def _round_trip(spark: SparkSession, sf: str) -> DataFrame:
 def _streamed(spark: SparkSession, sf: str) -> DataFrame:
     """The events log as lines, pushed through the streaming build."""
     path = new_path(spark, "stream")
-    if path is None:
-        raise ValueError("a shared folder is needed: set spark.checkpoint.dir")
     fx.events_log(spark, sf).selectExpr(
         "concat_ws(':', ord2, sec, obj, sz, sz, 0, fd_id, 0) AS value"
     ).write.text(f"{path}/lines")
@@ -143,6 +154,18 @@ def _run_summary(spark: SparkSession, sf: str) -> DataFrame:
     return summary.run_summary(done, mix.missing_members(table, d.headers))
 
 
+#: Transforms whose headers are registered too.
+HEADERS_OF = {
+    "scale_absolute": lambda d: transform.scale(d, 2.0),
+    "scale_to_traffic": lambda d: transform.scale_to_traffic(d, 50.0),
+    "shard": lambda d: transform.shard(d, 3.0),
+    "unshard": lambda d: transform.unshard(d, 2.5),
+    "shard_fraction": lambda d: transform.shard_fraction(d, 3, 7),
+    "stretch_duration": lambda d: transform.stretch_duration(d, 604800),
+    "split_virtual": lambda d: transform.split_virtual(d, 4),
+}
+
+
 def all_queries() -> dict[str, Query]:
     q: dict[str, Query] = {}
     q["mixed_space_curve"] = mixed_space_curve
@@ -163,6 +186,10 @@ def all_queries() -> dict[str, Query]:
         fx.rules(s, fx.SHRUNK), fx.descriptors(s, sf, "lineitem"), collision="merge").rows
     q["mix_in_rule_order"] = lambda s, sf: mix.mix_in_rule_order(
         fx.rules(s, fx.HALF_ALL), fx.descriptors(s, sf, "events")).rows
+    q["mix_order_cancelling"] = lambda s, sf: mix.mix_in_rule_order(
+        fx.rules(s, fx.CANCELLING), fx.descriptors(s, sf, "events")).rows
+    for name, change in HEADERS_OF.items():
+        q[f"{name}_headers"] = _events(lambda d, change=change: change(d).headers)
     q["text_round_trip"] = _round_trip
     q["fd_from_stream"] = _streamed
     q["mix_headers"] = lambda s, sf: _mixed(
@@ -193,7 +220,8 @@ def all_queries() -> dict[str, Query]:
         fx.sharers(s), fx.descriptors(s, sf, "events"), 1000000)
     q["quick_lookup"] = _events(lambda d: quickadd.quick_lookup(d, 500000))
     q["concat"] = _concat_of("rows")
-    q["concat_weighted"] = _concat_of("rows", weigh_by_traffic=True, cmax=1200000)
+    q["concat_weighted"] = _concat_of("rows", weigh_by_traffic=True)
+    q["concat_limited"] = _concat_limited
     q["concat_headers"] = lambda s, sf: concat_headers(
         read_scaled(fx.concat_rules(s), fx.descriptors(s, sf, "events"))[0], min_ghost=2)
     q["curve_lookup"] = _probed(
@@ -209,12 +237,13 @@ def all_queries() -> dict[str, Query]:
     q["split_virtual"] = _events(lambda d: transform.split_virtual(d, 4).rows)
     q["traffic_summary"] = lambda s, sf: summary.traffic_summary(_all_headers(s, sf))
     q["extents"] = _lines(lambda d: summary.extents(d.rows))
-    q["order_fds"] = _lines(lambda d: summary.order_descriptors(d.headers))
-    q["order_curves"] = _lines(lambda d: summary.order_curves(curves.space_curve(d)))
+    q["order_fds"] = _lines(lambda d: _ranked(summary.order_descriptors(d.headers)))
+    q["order_curves"] = _lines(
+        lambda d: _ranked(summary.order_curves(curves.space_curve(d), descending=True)))
     q["validity"] = _events(transform.validity)
     q["customer_map_rules"] = lambda s, sf: rules_from_customer_map(
         fx.customer_map(s, sf)).select("mix_id", "ord", "fd_id", "op", "scale", "scale_type")
     q["rule_binding_missing"] = lambda s, sf: mix.missing_members(
         fx.rules(s, fx.HALF_ALL, fx.MIXED_OPS), fx.descriptors(s, sf, "events").headers)
     q["run_summary"] = _run_summary
-    return q
+    return q | files.all_queries()
