@@ -19,12 +19,10 @@ from spoor.model import HEADER_COLS, ROW_COLS, TRAFFIC_COLS, Descriptors
 from spoor.operators.scan import Running, scan
 from spoor.session import materialize
 
-# An object with more accesses than this has its history cut into stretches of time.
+# An object with more accesses than this has its history cut into stretches of about
+# equally many accesses.
 HOT_ACCESSES = 1_000_000
-# A list of hot objects up to this length is broadcast.
-HOT_BROADCAST = 1_000_000
-# Length of a stretch in units of `sec`.
-STRETCH = 512
+STRETCHES = 256
 # Length of a peak-traffic slot in seconds and bytes per unit of total_mib.
 PEAK_SLOT = 300
 MIB_UNIT = 1000
@@ -39,40 +37,36 @@ def object_totals(log: DataFrame) -> DataFrame:
 
 
 def numbered_accesses(
-    log: DataFrame, objects: DataFrame, hot_accesses: int = HOT_ACCESSES, stretch: int = STRETCH
+    log: DataFrame, objects: DataFrame, hot_accesses: int = HOT_ACCESSES,
+    stretches: int = STRETCHES
 ) -> DataFrame:
     """``log`` with access number ``k`` and inter-arrival time ``iat`` per object.
 
     One object may own a large part of the log.  The history of such hot objects is
-    cut into stretches of time that are numbered on their own; a count and the last
-    access time of each stretch travel along the object.  The list of hot objects is
-    short by its definition, at most one per ``hot_accesses`` log lines; its size is
-    checked all the same before it is broadcast.
+    cut at quantiles of its access times into stretches that are numbered on their own;
+    a count and the last access time of each stretch travel along the object.  The
+    table of hot objects is written out, so its size is known where it is joined.
     """
     key = ["fd_id", "obj"]
+    cuts = ", ".join(str(i / stretches) for i in range(1, stretches))
     hot = materialize(
-        objects.filter(F.col("n") > hot_accesses).selectExpr(*key, f"{stretch} AS _length"),
+        log.join(objects.filter(F.col("n") > hot_accesses).select(*key), key)
+        .groupBy(*key)
+        .agg(*aggregates({"_bounds": f"percentile_approx(ord1, array({cuts}))"})),
         "hot-objects",
     )
-    n_hot = hot.count()
-    if n_hot == 0:
-        inside = "OVER (PARTITION BY fd_id, obj ORDER BY ord1, ord2, sz)"
-        return log.selectExpr(
-            *key, "sec", "sz", f"CAST(row_number() {inside} AS BIGINT) AS k",
-            f"sec - lag(sec) {inside} AS iat",
-        )
-    if n_hot <= HOT_BROADCAST:
-        hot = F.broadcast(hot)
+    # accesses of one time stay together: only a greater time lies behind a bound
+    stretch = "size(filter(_bounds, b -> b < ord1))"
     cut = (
         log.join(hot, key, "left")
-        .selectExpr("*", "CASE WHEN _length IS NOT NULL THEN sec div _length END AS _stretch")
+        .selectExpr("*", f"CASE WHEN _bounds IS NOT NULL THEN {stretch} END AS _stretch")
         # spelled out: if the join shuffled by object, hot ones still have to be spread
         .repartition(*key, "_stretch")
     )
     along = "OVER (PARTITION BY fd_id, obj ORDER BY _stretch"
     carry = (
         log.join(hot, key)
-        .groupBy(*key, F.expr("sec div _length AS _stretch"))
+        .groupBy(*key, F.expr(f"{stretch} AS _stretch"))
         .agg(*aggregates({"n": "count(*)", "last_sec": "max(sec)"}))
         .selectExpr(
             *key,

@@ -111,6 +111,15 @@ def scale_to_traffic(d: Descriptors, target_bps: float, collision: str = "last")
     return Descriptors(_scale_header(heads, "_factor"), _scale_rows(rows, "_factor", collision))
 
 
+def without_rate(d: Descriptors, duration_only: bool = False) -> DataFrame:
+    """The descriptors that :func:`scale_to_traffic` (or, with ``duration_only``,
+    :func:`stretch_duration`) leaves out, with a ``reason``."""
+    reason = "CASE WHEN duration = 0 THEN 'duration 0'"
+    if not duration_only:
+        reason += " WHEN coalesce(total_served_bytes * 8 div duration, 0) = 0 THEN 'no rate'"
+    return d.headers.selectExpr("fd_id", f"{reason} END AS reason").filter("reason IS NOT NULL")
+
+
 def _each(d: Descriptors, change: Callable[[str], str]) -> Descriptors:
     amounts = dict.fromkeys([*VOLUME_COLS, *UNIQUE_COLS, *ROW_COLS[2:]], change)
     return Descriptors(

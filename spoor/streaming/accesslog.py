@@ -23,19 +23,39 @@ CHANGE_SCHEMA = "fd_id string, delta_t bigint, " + ", ".join(f"{c} bigint" for c
 STATE_SCHEMA = "n bigint, last bigint, shortest bigint, size bigint"
 
 
-def parse_lines(lines: DataFrame) -> DataFrame:
-    """Lines ``(value)`` -> accesses ``(fd_id, obj, sec, sz)``; broken lines drop out."""
+ACCESS_COLS = ["fd_id", "obj", "sec", "sz"]
+
+
+def _fields(lines: DataFrame) -> DataFrame:
     words = F.split("value", LINE_SEPARATOR)
 
     def field(name: str):
         return F.get(words, F.lit(LINE_FIELDS.index(name)))
 
     return lines.select(
+        "value",
         field("serial").alias("fd_id"),
         field("md5").alias("obj"),
         field("ts").try_cast("bigint").alias("sec"),
         field("bytes").try_cast("bigint").alias("sz"),
-    ).filter("fd_id IS NOT NULL AND obj IS NOT NULL AND sec IS NOT NULL AND sz IS NOT NULL")
+    )
+
+
+def parse_lines(lines: DataFrame) -> DataFrame:
+    """Lines ``(value)`` -> accesses ``(fd_id, obj, sec, sz)``; broken lines are left to
+    :func:`broken_lines`."""
+    whole = " AND ".join(f"{c} IS NOT NULL" for c in ACCESS_COLS)
+    return _fields(lines).filter(whole).select(ACCESS_COLS)
+
+
+def broken_lines(lines: DataFrame) -> DataFrame:
+    """The lines ``(value)`` that say no access, with a ``reason``; a stream of them can be
+    written beside that of the accesses."""
+    return _fields(lines).selectExpr(
+        "value",
+        "CASE WHEN fd_id IS NULL THEN 'too few fields' WHEN sec IS NULL THEN 'bad time'"
+        " WHEN sz IS NULL THEN 'bad size' END AS reason",
+    ).filter("reason IS NOT NULL")
 
 
 def _changes_of_object():

@@ -52,7 +52,7 @@ def test_rows_with_and_without_hot_objects(spark):
     objects = a.object_totals(df)
     want = by_hand(log)
     assert rows_of(a.rows_from_log(df, objects)) == want
-    split = a.rows_from_log(df, objects, hot_accesses=3, stretch=64)
+    split = a.rows_from_log(df, objects, hot_accesses=3, stretches=8)
     assert rows_of(split) == want
     again = linked(split.select(ROW_COLS))
     cols = [*ROW_COLS, *LINK_COLS]

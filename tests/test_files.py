@@ -84,3 +84,21 @@ def test_concat_job_reports_broken_files_and_cuts(spark, pair, tmp):
                            folders=True)
     got = {r["name"]: r["reason"] for r in done.failures.collect()}
     assert got == {"c": "bad header", "mix": "above the limit of 10 mb: 1 rows, 202 bytes"}
+
+
+def test_left_out_classes_and_lines_are_named(spark):
+    from spoor.operators.transform import scale_to_traffic, stretch_duration, without_rate
+    from spoor.streaming.accesslog import broken_lines, parse_lines
+
+    body = [(1, 5, 1, 10, 100, 1, 1)]
+    d = make(spark, {"a": body, "b": body, "c": body},
+             {"b": {"duration": 0}, "c": {"total_served_bytes": 1, "duration": 100}})
+    kept = {r["fd_id"] for r in scale_to_traffic(d, 50.0).headers.collect()}
+    assert {r["fd_id"]: r["reason"] for r in without_rate(d).collect()} == {"b": "duration 0", "c": "no rate"}
+    assert kept == {"a"}
+    assert [r["fd_id"] for r in without_rate(d, duration_only=True).collect()] == ["b"]
+    assert {r["fd_id"] for r in stretch_duration(d, 50).headers.collect()} == {"a", "c"}
+    lines = spark.createDataFrame(
+        [("k:5:obj:1:2:0:cls:0",), ("k:x:obj:1:2:0:cls:0",), ("k:5:obj:1:y:0:cls:0",), ("short",)], "value string")
+    assert [tuple(r) for r in parse_lines(lines).collect()] == [("cls", "obj", 5, 2)]
+    assert sorted(r["reason"] for r in broken_lines(lines).collect()) == ["bad size", "bad time", "too few fields"]
