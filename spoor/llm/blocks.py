@@ -31,19 +31,23 @@ BLOCK_BYTES = 32_000_000
 
 SCHEMA = "block string, bucket int, payload binary"
 
-_LEVEL = 3
+#: Words go to buckets by their first bytes, so that alike ones lie, and pack, together.
+PREFIX = 6
+
+_LEVEL = 9
 
 
 def _planes(numbers: np.ndarray) -> bytes:
     """Unsigned numbers by sevens of bits: the low bits of all, then the next of those
     that have more, and so on."""
-    rest, out = numbers.astype(np.uint64), []
+    small = numbers.dtype.itemsize <= 4 and numbers.dtype.kind != "i"
+    rest, out = numbers.astype(np.uint32 if small else np.uint64, copy=False), []
     while True:
         more = rest >= 128
-        out.append(((rest & np.uint64(127)) | (more.astype(np.uint64) << np.uint64(7))).astype(np.uint8))
+        out.append((rest & rest.dtype.type(127)).astype(np.uint8) | (more.view(np.uint8) << np.uint8(7)))
         if not more.any():
             return b"".join(p.tobytes() for p in out)
-        rest = rest[more] >> np.uint64(7)
+        rest = rest[more] >> rest.dtype.type(7)
 
 
 def _numbers(data: bytes, n: int) -> np.ndarray:
@@ -104,11 +108,12 @@ class Documents:
         null = np.array([i is None for i in self.ids], bool)
         ids = np.array([0 if i is None else i for i in self.ids], np.int64).view(np.uint64)
         sizes = np.fromiter(map(len, self.tokens), np.int64, len(self.tokens))
-        return pack(null, ids, np.array(self.flags, bool), sizes, np.concatenate(self.tokens), self.buckets)
+        return pack(null, ids, np.array(self.flags, bool), sizes, np.concatenate(self.tokens), self.buckets.astype(np.uint32))
 
     @classmethod
     def unpacked(cls, data: bytes) -> Documents:
         null, ids, flags, sizes, flat, buckets = unpack(data)
+        flat = flat.astype(np.uint32)
         return cls([None if n else i for n, i in zip(null.tolist(), ids.tolist())],
                    (flags > 0).tolist(), np.split(flat, np.cumsum(sizes)[:-1]), buckets)
 
@@ -120,28 +125,32 @@ class _Block:
 
     def add(self, doc_id, flag, size: int, tokens: list[bytes]) -> None:
         number = self.number
-        self.tokens.append(np.fromiter((number.setdefault(t, len(number)) for t in tokens), np.int64,
+        self.tokens.append(np.fromiter((number.setdefault(t, len(number)) for t in tokens), np.uint32,
                                        len(tokens)))
         self.ids.append(doc_id)
         self.flags.append(bool(flag))
         self.size += size
 
     def rows(self, buckets: int, counted: bool):
-        """The documents, with frequent tokens numbered low, then the tokens of each bucket
-        by number; ``counted``: with how often flagged documents hold them."""
-        name, words = uuid.uuid4().hex, list(self.number)
-        flat = np.concatenate(self.tokens)
-        order = np.argsort(-np.bincount(flat, minlength=len(words)), kind="stable")
-        rank = np.empty(len(words), np.int64)
-        rank[order] = np.arange(len(words))
+        """The documents, with tokens numbered by falling frequency, then by themselves, and
+        the tokens of each bucket by number; ``counted``: with how often flagged documents
+        hold them."""
+        name, words = uuid.uuid4().hex, sorted(self.number)
+        numbers = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+        count = np.zeros(len(words), np.int64)
+        for t in self.tokens:
+            np.add.at(count, t, 1)
+        order = np.argsort(-count[numbers], kind="stable")
+        rank = np.empty(len(words), np.uint32)
+        rank[numbers[order]] = np.arange(len(words))
         words = [words[i] for i in order]
-        where = np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % buckets
+        where = np.fromiter((zlib.crc32(w[:PREFIX]) for w in words), np.int64, len(words)) % buckets
         tokens = [rank[t] for t in self.tokens]
         yield name, -1, Documents(self.ids, self.flags, tokens, where).packed()
         more = []
         if counted:
             seen = [t for t, flag in zip(tokens, self.flags) if flag]
-            more = [np.bincount(np.concatenate([np.empty(0, np.int64), *seen]), minlength=len(words))]
+            more = [np.bincount(np.concatenate([np.empty(0, np.uint32), *seen]), minlength=len(words))]
         order = np.argsort(where, kind="stable")
         edges = np.searchsorted(where[order], np.arange(buckets + 1))
         for b in range(buckets):
@@ -235,12 +244,13 @@ class Answers:
             out[self.numbers[b]] = arrays[column]
         return out
 
-    def lists(self, sizes: int, flat: int) -> tuple[np.ndarray, np.ndarray]:
-        """Offsets and numbers, where each word has a list of numbers."""
+    def lists(self, sizes: int, flat: int, kind: str) -> tuple[np.ndarray, np.ndarray]:
+        """Offsets and numbers, where each word has a list of numbers, given as bytes."""
         offsets = np.concatenate([[0], np.cumsum(self.values(sizes))])
-        out = np.zeros(int(offsets[-1]), np.int64)
+        out = np.zeros(int(offsets[-1]), kind)
         for b, arrays in self.parts.items():
             count = arrays[sizes]
             first = np.cumsum(count) - count
-            out[np.repeat(offsets[self.numbers[b]] - first, count) + np.arange(int(count.sum()))] = arrays[flat]
+            at = np.repeat(offsets[self.numbers[b]] - first, count) + np.arange(int(count.sum()))
+            out[at] = np.frombuffer(arrays[flat], kind)
         return offsets, out

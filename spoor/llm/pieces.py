@@ -65,11 +65,13 @@ def _encode(path: str):
 
     def answer(lists, _):
         words, places = blocks.distinct(lists)
-        ids = [x[2:] for x in model(path).encode(["\n" + w.decode() for w in words], num_threads=1)]
+        sp = model(path)
+        ids = [x[2:] for x in sp.encode(["\n" + w.decode() for w in words], num_threads=1)]
         n = np.fromiter(map(len, ids), np.int64, len(ids))
         at = np.concatenate([[0], np.cumsum(n)])
-        flat = np.fromiter((i for x in ids for i in x), np.int64, int(at[-1]))
-        return [blocks.pack(n[p], gathered(at, flat, p)) for p in places]
+        flat = np.fromiter((i for x in ids for i in x), "<u2" if sp.get_piece_size() < 1 << 16 else "<u4",
+                           int(at[-1]))
+        return [blocks.pack(n[p], gathered(at, flat, p).tobytes()) for p in places]
 
     return answer
 
@@ -102,7 +104,7 @@ def _finish(path: str):
     def finish(docs: blocks.Documents, answers: blocks.Answers) -> pa.Table:
         sp = model(path)
         begin, end = np.array([sp.bos_id()]), np.array([sp.eos_id()])
-        id_at, id_flat = answers.lists(0, 1)
+        id_at, id_flat = answers.lists(0, 1, "<u2" if sp.get_piece_size() < 1 << 16 else "<u4")
         text_at, text_flat = piece_texts(path)
         n, packed, texts = [], [], []
         for chunks in docs.tokens:

@@ -65,7 +65,7 @@ def test_packing():
     back = blocks.Documents.unpacked(docs.packed())
     assert (back.ids, back.flags) == (docs.ids, docs.flags)
     assert [t.tolist() for t in back.tokens] == [[0, 2], [], [1]] and back.buckets.tolist() == [3, 0, 3]
-    answers = blocks.Answers(back.buckets, {0: [np.array([2]), np.array([8, 9])], 3: [np.array([1, 0]), np.array([7])]})
+    answers = blocks.Answers(back.buckets, {0: [np.array([2]), bytes([8, 9])], 3: [np.array([1, 0]), bytes([7])]})
     assert answers.values(0).tolist() == [1, 2, 0]
-    offsets, flat = answers.lists(0, 1)
+    offsets, flat = answers.lists(0, 1, "u1")
     assert offsets.tolist() == [0, 1, 3, 3] and flat.tolist() == [7, 8, 9]
