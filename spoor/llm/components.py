@@ -1,13 +1,14 @@
 """Connected components of links, by alternating large and small stars.
 
-Both stars only compare a node's neighbours with their least one, which Spark does as an
-aggregation and a join back, so a node of very many links is no task's own.
+Both stars only compare a node's neighbours with their least one: a window over the edges
+of a node, which holds one number and spills the edges of a node of very many.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from spoor.session import materialize
 
@@ -20,18 +21,15 @@ def components(links: DataFrame) -> DataFrame:
     """(id, component) for every node of ``links(a, b)``: the least node it reaches."""
     edges = materialize(links.where("a <> b").select(
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-    state = _state(edges)
+    state, of_node = _state(edges), Window.partitionBy("a")
     while True:
         # Large star: greater neighbours of a node move to the least of its neighbourhood.
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("low"))
-        low = F.least("low", "a")
-        large = both.join(least, "a").where(F.col("b") > F.col("a")).select(
-            F.col("b").alias("a"), low.alias("b"))
+        low = F.least(F.min("b").over(of_node), "a")
+        large = both.withColumn("low", low).where("b > a").select(
+            F.col("b").alias("a"), F.col("low").alias("b"))
         # Small star: lesser neighbours and the node itself move to the least of them.
-        small = materialize(large.distinct(), "large-star")
-        least = small.groupBy("a").agg(F.min("b").alias("low"))
-        moved = small.join(least, "a").select(
+        moved = large.withColumn("low", F.min("b").over(of_node)).select(
             F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("low").alias("b")),
                               F.struct(F.col("a"), F.col("low").alias("b")))).alias("e"))
         edges = materialize(moved.select("e.a", "e.b").where("a <> b").distinct(), "small-star")

@@ -17,9 +17,9 @@ pigeonhole principle a similar set agrees with it on one of them.
 * A set whose segments aren't worth enough (chance only) probes again with other hashes.
 
 Sets that share a filed segment are candidates.  A bucket is not expanded into all pairs:
-its probes are first compared with one member; what turns out linked forms components,
-and only members of different components are then compared.  Candidates are verified on
-the texts, word by word.
+its probes are first compared with one member, the most central; what turns out linked
+forms components, and only members of different components are then compared, by parity sketches that bound
+their differences from below.  Candidates are verified on the texts, word by word.
 
 Sets are told apart by a 64-bit hash of their shingles' hashes, and their size.
 
@@ -52,8 +52,8 @@ _STEP = U(0x9E3779B97F4A7C15)
 
 #: Shingles handled at once, and every which segment holds one-deletion neighbourhoods.
 CHUNK, DELETION_EVERY = 1_000_000, 32
-#: Roles of an entry.
-DOCUMENT, INDEX, PROBE, SHORT = 0, 1, 2, 4
+#: Roles of an entry; TWICE: a probe whose segment is compared up to one deletion as well.
+DOCUMENT, INDEX, PROBE, SHORT, TWICE = 0, 1, 2, 4, 8
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -208,6 +208,7 @@ def entries(sets: list[np.ndarray], seed: int, probing: np.ndarray):
         short[members[lacking]] = True
         role = np.full(len(s.exact), INDEX if own else 0)
         role[exact] |= PROBE
+        role[double] |= TWICE
         used = np.flatnonzero(role)
         for r in np.unique(role[used]):
             part = used[role[used] == r]
@@ -236,7 +237,28 @@ def entries(sets: list[np.ndarray], seed: int, probing: np.ndarray):
     return out, short
 
 
-_ROWS = "key long, id long, role int, size int, doc_id long, text_hash long"
+_ROWS = "key long, id long, role int, size int, doc_id long, text_hash long, parity array<long>"
+
+#: Longs of a set's parity sketch.
+LONGS = 16
+
+
+def parity(s: np.ndarray) -> np.ndarray:
+    """Which of 64 * LONGS slots hold an odd number of the set's shingles.  Two sets differ in
+    at least as many shingles as slots: a shingle of both changes none."""
+    slots = (mixed(s ^ _STEP) >> U(32)).astype(np.int64) % (64 * LONGS)
+    odd = (np.bincount(slots, minlength=64 * LONGS) & 1).astype(np.uint8)
+    return np.packbits(odd, bitorder="little").view("<i8")
+
+
+def _apart(x: str, y: str) -> Column:
+    """Differences that the sketches of two sets (arrays) show."""
+    return sum((F.bit_count(F.col(x)[i].bitwiseXOR(F.col(y)[i])) for i in range(LONGS)), F.lit(0))
+
+
+def _allowed(x, y) -> Column:
+    """Differences that linked sets of these sizes may have."""
+    return F.floor((x + y) * (100 - PERCENT) / (100 + PERCENT))
 
 
 def set_id(s: np.ndarray) -> int:
@@ -261,7 +283,8 @@ def _emit(sets: dict[int, np.ndarray], seed: int):
     nothing = pa.nulls(n, pa.int64())
     yield pa.RecordBatch.from_arrays(
         [pa.array(key), pa.array(ids[owner]), pa.array(role.astype(np.int32)),
-         pa.nulls(n, pa.int32()), nothing, nothing], [c.split()[0] for c in _ROWS.split(", ")])
+         pa.nulls(n, pa.int32()), nothing, nothing, pa.nulls(n, pa.list_(pa.int64()))],
+        [c.split()[0] for c in _ROWS.split(", ")])
 
 
 def _sets(seed: int):
@@ -273,11 +296,13 @@ def _sets(seed: int):
         for batch in batches:
             held: dict[int, np.ndarray] = {}
             size = 0
-            ids, sizes = [], []
+            ids, sizes, odd = [], [], []
             for text in texts(batch, "text"):
                 s = shingles(text.lower().split(), hashes)
                 ids.append(set_id(s))
                 sizes.append(len(s))
+                if seed == 0:
+                    odd.append(parity(s))
                 if len(s) > 3 and ids[-1] not in held:  # smaller sets link to copies only
                     held[ids[-1]] = s
                     size += len(s)
@@ -291,24 +316,24 @@ def _sets(seed: int):
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("spread"), pa.array(ids, pa.int64()),
                      pa.array(np.full(len(ids), DOCUMENT, np.int32)), pa.array(sizes, pa.int32()),
-                     doc_ids, hashed], [c.split()[0] for c in _ROWS.split(", ")])
+                     doc_ids, hashed, pa.array(odd, pa.list_(pa.int64()))], [c.split()[0] for c in _ROWS.split(", ")])
 
     return run
 
 
 def _shared(docs: DataFrame, seed: int) -> DataFrame:
     """Document rows, and the entries of buckets that hold a probe and another set, with
-    the bucket's first filed set as ``pivot``."""
+    how many filed a set there (``shared_by``)."""
     rows = in_arrow(docs, lambda: _sets(seed), _ROWS)
     w = Window.partitionBy("key")
-    entry = F.when((F.col("role") > 0) & (F.col("role") < SHORT), F.col("id"))
+    entry = F.when(~F.col("role").isin(DOCUMENT, SHORT), F.col("id"))
     filed = F.when(F.col("role").bitwiseAND(INDEX) > 0, F.col("id"))
     rows = rows.select(
-        "*", F.min(filed).over(w).alias("pivot"), F.min(entry).over(w).alias("low"),
+        "*", F.count(filed).over(w).alias("shared_by"), F.min(entry).over(w).alias("low"),
         F.max(entry).over(w).alias("high"),
         F.max(F.col("role").bitwiseAND(PROBE)).over(w).alias("probed"))
     kept = F.col("role").isin(DOCUMENT, SHORT) | (
-        (F.col("low") != F.col("high")) & (F.col("probed") > 0) & F.col("pivot").isNotNull())
+        (F.col("low") != F.col("high")) & (F.col("probed") > 0) & (F.col("shared_by") > 0))
     return materialize(rows.where(kept).drop("low", "high", "probed"), "shared-segments")
 
 
@@ -351,11 +376,13 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFram
     def side(name):
         return classes.select(F.col("id").alias(name), F.col("size").alias(f"size_{name}"),
                               F.col("doc_id").alias(f"doc_{name}"),
+                              F.col("parity").alias(f"parity_{name}"),
                               F.col("text_hash").alias(f"text_hash_{name}"))
 
     known = pairs.join(side("a"), "a").join(side("b"), "b").where(
-        100 * F.least("size_a", "size_b") >= PERCENT * F.greatest("size_a", "size_b"))
-    known = materialize(known.drop("size_a", "size_b"), "candidates")
+        _apart("parity_a", "parity_b") <= _allowed(F.col("size_a"), F.col("size_b")))
+    known = materialize(known.select("a", "b", "doc_a", "doc_b", "text_hash_a", "text_hash_b"),
+                        "candidates")
     hashed = known.select(F.explode(F.array("text_hash_a", "text_hash_b")).alias("text_hash"))
     held = docs.select("doc_id", "text_hash", "text").where(_sieve(hashed))
 
@@ -373,39 +400,94 @@ def _pair(x: str, y: str) -> list[Column]:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
-def _across(shared: DataFrame, parts: DataFrame, done: DataFrame) -> DataFrame:
-    """Probes and filed sets of one bucket that are in different components.
+def _agreeing(met: DataFrame, classes: DataFrame) -> DataFrame:
+    """Pairs (a, b) that agree on enough of the probe's units to be linked.
 
-    Most members of a bucket tend to be of one component: pairs are made of the others
-    with all, so a large group of copies is not compared with itself.
+    ``met(x, y, role)``: probe x met y in a bucket.  Every unit on which they don't agree
+    is a difference at least, so two linked sets agree on all units but H.  That holds
+    where y is not the smaller one (it files all that x may pick).
     """
-    rows = shared.join(parts, "id", "left").select(
-        "key", "id", "role", F.coalesce("component", "id").alias("component"))
+    size = classes.select("id", "size")
+    credit = 1 + (F.col("role").bitwiseAND(TWICE) > 0).cast("int")
+    found = met.groupBy("x", "y").agg(F.sum(credit).alias("agreed"))
+    found = found.join(size.select(F.col("id").alias("x"), F.col("size").alias("size_x")), "x").join(
+        size.select(F.col("id").alias("y"), F.col("size").alias("size_y")), "y")
+
+    def digits(name):
+        return F.greatest(F.length(F.bin(name)), F.lit(Band.FIRST))
+
+    top = F.when(digits("size_x") == digits("size_y"), F.pow(F.lit(2.0), digits("size_x")) - 1)
+    largest = F.least(top, F.floor(F.col("size_x") * 100 / PERCENT))
+    x, y = F.col("size_x"), F.col("size_y")
+    enough = F.col("agreed") >= _allowed(x, largest) + 1 - _allowed(x, y)
+    fits = 100 * F.least("size_x", "size_y") >= PERCENT * F.greatest("size_x", "size_y")
+    return found.where(fits & enough).select(*_pair("x", "y")).distinct()
+
+
+def _mixed(rows: DataFrame, links: DataFrame) -> DataFrame:
+    """The rows of buckets with members of several components, with their component and
+    whether it is the one most of the bucket's members are in (``major``)."""
+    rows = rows.drop("component", "major").join(components(links), "id", "left").withColumn(
+        "component", F.coalesce("component", "id"))
     w = Window.partitionBy("key")
     rows = rows.select("*", F.min("component").over(w).alias("low"), F.max("component").over(w).alias("high"))
-    rows = materialize(rows.where("low <> high").select("key", "id", "role", "component"), "mixed")
+    rows = materialize(rows.where("low <> high").drop("low", "high"), "mixed")
     most = rows.groupBy("key", "component").count().groupBy("key").agg(
         F.max_by("component", F.struct("count", "component")).alias("main"))
-    rows = materialize(rows.join(most, "key").withColumn("major", F.col("component") == F.col("main"))
-                       .drop("main"), "mixed-parts")
-    probes = rows.where(F.col("role").bitwiseAND(PROBE) > 0).select(
-        "key", F.col("id").alias("x"), F.col("component").alias("of_x"), F.col("major").alias("major_x"))
-    filed = rows.where(F.col("role").bitwiseAND(INDEX) > 0).select(
-        "key", F.col("id").alias("y"), F.col("component").alias("of_y"), F.col("major").alias("major_y"))
-    differ = F.col("of_x") != F.col("of_y")
+    rows = rows.join(most, "key").withColumn("major", F.col("component") == F.col("main")).drop("main")
+    return materialize(rows, "mixed-parts")
+
+
+def _star(rows: DataFrame, eligible: Column, classes: DataFrame) -> DataFrame:
+    """Probes with one member of their bucket: of the eligible filed ones the most central,
+    that is, the one that shares its segments with most others.  So a text and its many
+    edited copies meet in the text itself, not in one of the copies."""
+    filed = eligible & (F.col("role").bitwiseAND(INDEX) > 0)
+    best = F.max(F.when(filed, F.struct("score", "id", "component"))).over(Window.partitionBy("key"))
+    met = rows.withColumn("pivot", best).where(
+        (F.col("role").bitwiseAND(PROBE) > 0) & (F.col("component") != F.col("pivot.component")))
+    return materialize(_agreeing(met.select(F.col("id").alias("x"), F.col("pivot.id").alias("y"), "role"),
+                                 classes), "stars")
+
+
+def _across(rows: DataFrame, done: DataFrame, classes: DataFrame) -> DataFrame:
+    """Probes and filed sets of one bucket that are in different components.
+
+    Pairs are made of the members outside the bucket's main component with all, so a large
+    group of copies is not compared with itself; those whose sketches show that they can't
+    be linked are not even made.
+    """
+    rows = rows.join(classes.select("id", "parity"), "id")
+
+    def side(role, name):
+        return rows.where(F.col("role").bitwiseAND(role) > 0).select("key", *[
+            F.col(c).alias(f"{c}_{name}") for c in ("id", "component", "major", "size", "role", "parity")])
+
+    probes, filed = side(PROBE, "x"), side(INDEX, "y")
+    differ = (F.col("component_x") != F.col("component_y")) & (F.col("size_x") <= F.col("size_y")) & (
+        100 * F.col("size_x") >= PERCENT * F.col("size_y")) & (
+        _apart("parity_x", "parity_y") <= _allowed(F.col("size_x"), F.col("size_y")))
     found = probes.where("NOT major_x").join(filed, "key").where(differ).unionByName(
         probes.where("major_x").join(filed.where("NOT major_y"), "key").where(differ))
-    return found.select(*_pair("x", "y")).distinct().join(done, ["a", "b"], "left_anti")
+    met = found.select(F.col("id_x").alias("x"), F.col("id_y").alias("y"), F.col("role_x").alias("role"))
+    return materialize(_agreeing(met, classes).join(done, ["a", "b"], "left_anti"), "across")
 
 
-def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id (the least doc_id reachable by links)."""
+def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+            rounds: int = 0) -> DataFrame:
+    """doc_id, n_shingles, component_id (the least doc_id reachable by links).
+
+    ``rounds``: how often the members outside a bucket's main component are compared with
+    one of theirs before all that are still apart are; the result is the same.  Worth while
+    where groups of copies have no bucket of their own.
+    """
     own = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
                       F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
     own = own.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).withColumn(
         "spread", F.xxhash64("doc_id", "text_hash"))
     rows = _shared(own, 0)
-    documents = rows.where(F.col("role") == DOCUMENT).select("doc_id", "id", "size", "text_hash")
+    documents = rows.where(F.col("role") == DOCUMENT).select(
+        "doc_id", "id", "size", "text_hash", "parity")
     shared, seed = rows.where(F.col("role") != DOCUMENT), 0
     lacking = shared.where(F.col("role") == SHORT).count()
     while lacking:
@@ -413,15 +495,26 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         more = _shared(own, seed)
         lacking = more.where(F.col("role") == SHORT).count()
         shared = shared.unionByName(more)
-    shared = shared.where(F.col("role") < SHORT).select("key", "id", "role", "pivot")
-    first = F.min(F.struct("doc_id", "text_hash"))
+    shared = shared.where(F.col("role") != SHORT).select("key", "id", "role", "shared_by")
+    first = F.min(F.struct("doc_id", "text_hash", "parity"))
     classes = materialize(documents.where("doc_id IS NOT NULL AND size > 0").groupBy("id", "size")
                           .agg(first.alias("first")).select("id", "size", "first.*"), "classes")
-    star = materialize(shared.where((F.col("role").bitwiseAND(PROBE) > 0) & (F.col("id") != F.col("pivot")))
-                       .select(*_pair("id", "pivot")).distinct(), "stars")
-    links = _verified(star, classes, own)
-    across = materialize(_across(shared, components(links), star), "across")
-    links = links.unionByName(_verified(across, classes, own))
+    scores = shared.where(F.col("role").bitwiseAND(INDEX) > 0).groupBy("id").agg(
+        F.sum("shared_by").alias("score")).join(classes.select("id", "size"), "id")
+    rows = shared.drop("shared_by").join(scores, "id").withColumn("component", F.col("id"))
+    done = _star(rows, F.lit(True), classes)
+    links = _verified(done, classes, own)
+    rows = _mixed(rows, links)
+    for _ in range(rounds):
+        if rows.isEmpty():
+            break
+        star = _star(rows, ~F.col("major"), classes).join(done, ["a", "b"], "left_anti")
+        new = _verified(star, classes, own)
+        done, links = done.unionByName(star), links.unionByName(new)
+        if new.isEmpty():
+            break
+        rows = _mixed(rows, links)
+    links = links.unionByName(_verified(_across(rows, done, classes), classes, own))
     parts = components(links)
     named = parts.join(classes.select("id", "doc_id"), "id").groupBy("component").agg(
         F.min("doc_id").alias("component_id"))

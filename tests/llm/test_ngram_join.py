@@ -119,6 +119,28 @@ def test_one_deletion_units_replace_common_segments():
     assert (np.bincount(s.owner[exact], minlength=40) + np.bincount(s.owner[double], minlength=40) == need).all()
 
 
+def test_parity_never_exceeds_the_differences():
+    rng = np.random.default_rng(9)
+    for n, m in ((10, 3), (400, 90), (3000, 900)):
+        a = rng.integers(0, 2**63, n, dtype=np.uint64)
+        b = np.concatenate([a[m:], rng.integers(0, 2**63, m, dtype=np.uint64)])
+        odd = [np.unpackbits(nj.parity(np.unique(x)).view(np.uint8)) for x in (a, b)]
+        assert 0 < (odd[0] ^ odd[1]).sum() <= 2 * m
+
+
+def test_a_text_and_many_edited_copies(spark):
+    """Copies that are linked with the text but not with each other."""
+    rnd = random.Random(4)
+    base = [f"w{i}" for i in range(200)]
+    rows = [(1000, " ".join(base))]
+    for i in range(60):
+        words = list(base)
+        for at in rnd.sample(range(0, 200, 6), 4 if i % 3 else 6):
+            words[at] = f"x{i}_{at}"
+        rows.append((i, " ".join(words)))
+    check(spark.createDataFrame(rows, "doc_id long, text string"))
+
+
 def test_reach_never_falls():
     for number in range(6, 18):
         b = nj.band(number)
