@@ -221,9 +221,10 @@ def searched(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                   text_col: str = "text", **options) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated, longest, matches."""
-    found = searched(docs, benchmark, text_col, **options)
+    own = pick(docs, id=id_col, text=text_col)  # texts go to the tasks once
+    found = searched(own, benchmark, "text", **options)
     return found.select(
-        F.col("row")[id_col].alias("doc_id"), "n_words", "n_hit",
+        F.col("row")["id"].alias("doc_id"), "n_words", "n_hit",
         F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         (F.size("items") > 0).alias("contaminated"),

@@ -28,9 +28,9 @@ from spoor.llm import blocks
 from spoor.llm.common import Batches, in_arrow
 from spoor.session import materialize
 
-STATES, ROUNDS = 4, 3
+STATES, ROUNDS = 4, 5
 #: Most words with a symbol of their own, classes of the others, tokens in a batch.
-SYMBOLS, CLASSES, BATCH_TOKENS = 8192, 16, 2_000_000
+SYMBOLS, CLASSES, BATCH_TOKENS = 8192, 16, 1_000_000
 #: In training a longer text goes as consecutive pieces, so that a task's memory is bounded.
 PIECE_TOKENS = 1_000_000
 
