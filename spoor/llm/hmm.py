@@ -1,14 +1,16 @@
 """Hidden Markov language model of documents.
 
-Words are emitted by latent states.  Frequent words (at least one in ``SYMBOLS`` of the
-training tokens, so at most SYMBOLS of them) are symbols of their own; the others fall
-into classes by length, a class emitting its words by their smoothed counts whatever the
-state.  So the parameters have a fixed size while every word keeps a probability.
-
-Word counts come from all training documents (see ``blocks``).  Baum-Welch runs over
-all of them: tasks run scaled forward and backward recursions and return expected
-counts by symbol, which Spark sums.  The score of a text is the exact likelihood of its
-word sequence, by the scaled forward recursion.
+Words are emitted by latent states, every training word with probabilities of its own.
+Training starts with tied words: frequent ones (at least one in ``SYMBOLS`` of the
+training tokens) are symbols of their own, the others share classes by length, so that
+the sums of a round are small.  From there every training word goes on alone: its expected
+counts by state lie in the bucket of its hash (see ``blocks``), which sums them over the
+blocks and hands each block the probabilities of its own words back.  The classes remain
+as what a rare word's probability is smoothed with, and for words never counted.
+
+Both parts are Baum-Welch over all training documents: tasks run scaled forward and
+backward recursions and return expected counts, which Spark sums.  The score of a text is
+the exact likelihood of its word sequence, by the scaled forward recursion.
 
 Cases: a null or empty text is the end token alone; unknown words have the probability
 of a word never counted; without training documents the model is uniform; repeated rows
@@ -17,10 +19,12 @@ count and are scored each.
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,9 +33,9 @@ from spoor.llm.common import Batches, in_arrow
 from spoor.session import materialize
 
 STATES, ROUNDS = 4, 3
-#: Most words with a symbol of their own, classes of the others, tokens in a batch.
+#: Of the tied words: most with a symbol of their own, classes of the others.  Tokens in a batch.
 SYMBOLS, CLASSES, BATCH_TOKENS = 8192, 16, 1_000_000
-#: In training a longer text goes as consecutive pieces, so that a task's memory is bounded.
+#: Tokens of a longer text that are held at once: its pieces pass on the states between them.
 PIECE_TOKENS = 1_000_000
 
 
@@ -116,42 +120,30 @@ def vocabulary(table: DataFrame, docs: DataFrame, most: int = SYMBOLS) -> Vocabu
                       [-n for n, _ in kept], class_tokens, class_types)
 
 
-_SEQUENCES = ("doc_id long, flag boolean, n_tokens long, n_known long, base_score double, "
-              "rare double, payload binary")
+def _symbols(voc: Vocabulary, found: list[bytes]) -> np.ndarray:
+    first = len(voc.symbol)
+    return np.fromiter((voc.symbol.get(w, first + length_class(w)) for w in found),
+                       np.int64, len(found))
+
+
+_SEQUENCES = "flag boolean, payload binary"
 
 
 def sequences(table: DataFrame, v: Vocabulary) -> DataFrame:
-    """Per document its symbols (with the end token), the base score, and what the rare
-    words' own probabilities add to the score."""
+    """The symbols of each training document (with the end token)."""
     sent = table.sparkSession.sparkContext.broadcast(v)  # SYMBOLS words at most
 
     def answer(lists, arrays):
-        voc = sent.value
-        first = len(voc.symbol)
-        found, places, total = _totals(lists, arrays)
-        symbol = np.fromiter((voc.symbol.get(w, first + length_class(w)) for w in found),
-                             np.int64, len(found))
-        return [blocks.pack(total[p], symbol[p]) for p in places]
+        found, places = blocks.distinct(lists)
+        symbol = _symbols(sent.value, found)
+        return [blocks.pack(symbol[p]) for p in places]
 
     def finish(docs: blocks.Documents, answers: blocks.Answers) -> pa.Table:
-        voc = sent.value
-        count, symbol = answers.values(0), answers.values(1)
-        whole = voc.tokens + voc.types + 1
-        base = np.log10((count + 1) / whole)
-        of_class = symbol - len(voc.symbol)
-        room = np.array(voc.class_tokens) + np.array(voc.class_types) + 1
-        rare = np.where(of_class >= 0, np.log10((count + 1) / room[np.maximum(of_class, 0)]), 0.0)
-        out = {c.split()[0]: [] for c in _SEQUENCES.split(", ")}
-        end_score = np.log10((voc.texts + 1) / whole)
-        for doc_id, flag, at in zip(docs.ids, docs.flags, docs.tokens):
-            row = (doc_id, flag, len(at) + 1, int((count[at] > 0).sum()) + (voc.texts > 0),
-                   float(base[at].sum() + end_score), float(rare[at].sum()),
-                   blocks.pack(np.append(symbol[at], voc.end)))
-            for name, value in zip(out, row):
-                out[name].append(value)
-        kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(),
-                 pa.binary()]
-        return pa.table({n: pa.array(x, k) for (n, x), k in zip(out.items(), kinds)})
+        symbol, end = answers.values(0), sent.value.end
+        payloads = [blocks.pack(np.append(symbol[at], end))
+                    for flag, at in zip(docs.flags, docs.tokens) if flag]
+        return pa.table({"flag": pa.array([True] * len(payloads), pa.bool_()),
+                         "payload": pa.array(payloads, pa.binary())})
 
     return materialize(blocks.finished(table, blocks.answered(table, answer), finish, _SEQUENCES),
                        "sequences")
@@ -178,15 +170,29 @@ def _sorted_batch(texts: list[np.ndarray]):
     return order, flat, starts, running
 
 
+def _steps(m: Model, flat: np.ndarray, starts: np.ndarray, running: np.ndarray):
+    """A function from the number of a step and the scaled forward values before it to its
+    symbols, emissions, scaled forward values and scales; a row per state."""
+    flat, moves = flat.astype(np.intp), np.ascontiguousarray(m.moves.T)
+
+    def step(t: int, a: np.ndarray | None):
+        n = running[t]
+        s = flat.take(starts[:n] + t)
+        e = np.ascontiguousarray(m.emits.take(s, 0).T)
+        a = m.start[:, None] * e if a is None else (moves @ a[:, :n]) * e
+        scale = a.sum(0)
+        a /= scale
+        return s, e, a, scale
+
+    return step
+
+
 def likelihood(m: Model, texts: list[np.ndarray]) -> np.ndarray:
     """Natural log likelihood of each symbol sequence, by the scaled forward recursion."""
     order, flat, starts, running = _sorted_batch(texts)
-    total, a = np.zeros(len(texts)), None
+    total, a, step = np.zeros(len(texts)), None, _steps(m, flat, starts, running)
     for t, n in enumerate(running.tolist()):
-        e = m.emits[flat[starts[:n] + t]]
-        a = m.start * e if a is None else (a[:n] @ m.moves) * e
-        scale = a.sum(1)
-        a /= scale[:, None]
+        _, _, a, scale = step(t, a)
         total[:n] += np.log(scale)
     out = np.empty(len(texts))
     out[order] = total
@@ -194,56 +200,55 @@ def likelihood(m: Model, texts: list[np.ndarray]) -> np.ndarray:
 
 
 def expected(m: Model, texts: list[np.ndarray], symbols: int):
-    """Expected counts of starts, moves and emissions, and the log likelihood."""
+    """Expected counts of starts, moves and emissions, and the log likelihood.
+
+    Steps are held a piece at a time: the forward values on entering each piece are kept,
+    and the pieces are visited backwards, the backward values passing from piece to piece.
+    """
     _, flat, starts, running = _sorted_batch(texts)
-    seen, emitted, forward, scales = [], [], [], []
-    a, loglik = None, 0.0
-    for t, n in enumerate(running.tolist()):
-        s = flat[starts[:n] + t]
-        e = m.emits[s]
-        a = m.start * e if a is None else (a[:n] @ m.moves) * e
-        scale = a.sum(1)
-        a = a / scale[:, None]
-        loglik += float(np.log(scale).sum())
-        for kept, x in ((seen, s), (emitted, e), (forward, a), (scales, scale)):
-            kept.append(x)
-    states = len(m.start)
-    moves, b = np.zeros((states, states)), None
-    for t in range(len(running) - 1, -1, -1):
-        g = forward[t]
-        if b is not None:
-            k = len(b)
-            after = emitted[t + 1] * b / scales[t + 1][:, None]
-            moves += g[:k].T @ after
-            b = np.concatenate([after @ m.moves.T, np.ones((len(g) - k, states))])
-            g = g * b
-        else:
+    step, most = _steps(m, flat, starts, running), len(running)
+    span = most if len(flat) <= BATCH_TOKENS else max(1, PIECE_TOKENS // len(texts))
+    entering, a = [], None
+    for t in range(most):
+        if t % span == 0:
+            entering.append(a)
+            if t + span >= most:
+                break
+        a = step(t, a)[2]
+    states, loglik, after = len(m.start), 0.0, None
+    moves, emits = np.zeros((states, states)), np.zeros((symbols, states))
+    for k in range(len(entering) - 1, -1, -1):
+        held, a = [], entering[k]
+        for t in range(k * span, min((k + 1) * span, most)):
+            held.append(step(t, a))
+            a = held[-1][2]
+            loglik += float(np.log(held[-1][3]).sum())
+        weights = [None] * len(held)
+        for i in range(len(held) - 1, -1, -1):
+            _, e, g, scale = held[i]
             b = np.ones_like(g)
-        emitted[t] = emitted[t] if t else None
-        forward[t] = g
-        if t + 1 < len(running):
-            emitted[t + 1] = scales[t + 1] = None
-    every = np.concatenate(seen)
-    weights = np.concatenate(forward)
-    emits = np.stack([np.bincount(every, weights[:, k], symbols) for k in range(states)], 1)
-    return forward[0].sum(0), moves * m.moves, emits, loglik
-
-
-def _grouped(batches: Batches, piece: int | None = None):
-    """Lists of (row number in its batch, symbols) of bounded size, batch by batch."""
-    for batch in batches:
-        held, size = [], 0
-        for i, data in enumerate(batch.column("payload").to_pylist()):
-            symbols = blocks.unpack(data)[0]
-            for at in range(0, len(symbols), piece or len(symbols)):
-                part = symbols[at : at + piece] if piece else symbols
-                if held and size + len(part) > BATCH_TOKENS:
-                    yield batch, held
-                    held, size = [], 0
-                held.append((i, part))
-                size += len(part)
-        if held:
-            yield batch, held
+            if after is not None:
+                n = after.shape[1]
+                moves += g[:, :n] @ after.T
+                b[:, :n] = m.moves @ after
+            weights[i], after = g * b, e * b / scale
+        every, weight = np.concatenate([x[0] for x in held]), np.concatenate(weights, 1)
+        for j in range(states):
+            emits[:, j] += np.bincount(every, weight[j], symbols)
+    return weights[0].sum(1), moves * m.moves, emits, loglik
+
+
+def _grouped(texts: Iterable[np.ndarray]) -> Iterator[list[np.ndarray]]:
+    """Lists of texts of bounded size (or one text)."""
+    held, size = [], 0
+    for text in texts:
+        if held and size + len(text) > BATCH_TOKENS:
+            yield held
+            held, size = [], 0
+        held.append(text)
+        size += len(text)
+    if held:
+        yield held
 
 
 #: Rows of the counts that are no symbols: starts, log likelihood, moves from state 0 on.
@@ -251,7 +256,7 @@ _START, _LOGLIK, _MOVES = -1, -2, -3
 
 
 def learned(seqs: DataFrame, v: Vocabulary, states: int = STATES, rounds: int = ROUNDS) -> Model:
-    """Baum-Welch over all training sequences."""
+    """Baum-Welch over all training sequences of tied words."""
     m, sc = initial(v, states), seqs.sparkSession.sparkContext
     columns = [f"s{k}" for k in range(states)]
     training = seqs.where("flag").select("payload")
@@ -262,8 +267,9 @@ def learned(seqs: DataFrame, v: Vocabulary, states: int = STATES, rounds: int =
         def run(batches: Batches) -> Batches:
             now, size = sent.value
             start, moves, emits, loglik = 0.0, 0.0, 0.0, 0.0
-            for _, held in _grouped(batches, PIECE_TOKENS):
-                s, mv, e, ll = expected(now, [x for _, x in held], size)
+            payloads = (x for batch in batches for x in batch.column("payload").to_pylist())
+            for held in _grouped(blocks.unpack(x)[0] for x in payloads):
+                s, mv, e, ll = expected(now, held, size)
                 start, moves, emits, loglik = start + s, moves + mv, emits + e, loglik + ll
             if np.ndim(start):
                 keys = np.concatenate([[_START, _LOGLIK], _MOVES - np.arange(states),
@@ -286,6 +292,148 @@ def learned(seqs: DataFrame, v: Vocabulary, states: int = STATES, rounds: int =
     return m
 
 
+@dataclass
+class Words:
+    """A model with emissions for every training word: ``rows`` hold, per block and bucket,
+    the training counts, places and classes (from 1; 0: frequent) of the block's words, and
+    their emissions."""
+
+    start: np.ndarray
+    moves: np.ndarray
+    end: np.ndarray  # emission of the end token
+    rows: DataFrame
+
+
+_ROWS = "block string, bucket int, payload binary, emits binary"
+_COUNTS = "block string, bucket int, payload binary, counts binary, stats array<double>"
+
+
+def _cells(data: bytes, states: int) -> np.ndarray:
+    return np.frombuffer(data, "<f4").reshape(-1, states)
+
+
+def untied(table: DataFrame, v: Vocabulary, m: Model) -> Words:
+    """The model of tied words as one in which every word stands alone."""
+    sent = table.sparkSession.sparkContext.broadcast((v, m))
+
+    def run(t: pa.Table) -> pa.Table:
+        voc, tied = sent.value
+        lists = [blocks.unpack_words(x) for x in t.column("payload").to_pylist()]
+        found, places, total = _totals([w for w, _ in lists], [a for _, a in lists])
+        symbol = _symbols(voc, found)
+        of_class = symbol - len(voc.symbol)
+        room = np.array(voc.class_tokens) + np.array(voc.class_types) + 1
+        share = np.where(of_class >= 0, (total + 1) / room[np.maximum(of_class, 0)], 1.0)
+        emits = (tied.emits[symbol] * share[:, None]).astype("<f4")
+        kind = np.maximum(of_class + 1, 0)
+        return pa.table({"block": t.column("block"), "bucket": t.column("bucket"),
+                         "payload": pa.array([blocks.pack(total[p], p, kind[p]) for p in places], pa.binary()),
+                         "emits": pa.array([emits[p].tobytes() for p in places], pa.binary())})
+
+    rows = materialize(table.where("bucket >= 0").groupBy("bucket").applyInArrow(run, _ROWS), "words")
+    return Words(m.start, m.moves, m.emits[v.end], rows)
+
+
+def _local(docs: blocks.Documents, right: pa.Table, start, moves, end) -> Model:
+    """The model with the emissions of a block's own words, by number, and the end token."""
+    emits = np.empty((len(docs.buckets) + 1, len(start)))
+    numbers = blocks.Answers(docs.buckets, {}).numbers
+    for b, data in zip(right.column("bucket").to_pylist(), right.column("emits").to_pylist()):
+        emits[numbers[b]] = _cells(data, len(start))
+    emits[-1] = end
+    return Model(start, moves, emits)
+
+
+def _answers(docs: blocks.Documents, right: pa.Table) -> blocks.Answers:
+    parts = zip(right.column("bucket").to_pylist(), right.column("payload").to_pylist())
+    return blocks.Answers(docs.buckets, {b: blocks.unpack(x) for b, x in parts})
+
+
+def counted(docs: DataFrame, words: Words) -> DataFrame:
+    """Expected counts of the training documents: a row per block and bucket, and one
+    with the sums of the block: log likelihood, starts, moves, ends, and tokens of frequent
+    words and of each class."""
+    states = len(words.start)
+    sent = docs.sparkSession.sparkContext.broadcast((words.start, words.moves, words.end))
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        held = blocks.Documents.unpacked(left.column("payload")[0].as_py())
+        m, size = _local(held, right, *sent.value), len(held.buckets) + 1
+        kind = _answers(held, right).values(2)
+        start, moves, emits = np.zeros(states), np.zeros((states, states)), np.zeros((size, states))
+        loglik = 0.0
+        texts = (np.append(t, size - 1) for t, flag in zip(held.tokens, held.flags) if flag)
+        for group in _grouped(texts):
+            s, mv, e, ll = expected(m, group, size)
+            start, moves, emits, loglik = start + s, moves + mv, emits + e, loglik + ll
+        classes = np.stack([np.bincount(kind, e, CLASSES + 1) for e in emits[:-1].T], 1)
+        stats = [loglik, *start, *moves.ravel(), *emits[-1], *classes.ravel()]
+        numbers, name = blocks.Answers(held.buckets, {}).numbers, left.column("block")[0].as_py()
+        buckets = right.column("bucket").to_pylist()
+        counts = [emits[numbers[b]].astype("<f4").tobytes() for b in buckets]
+        return pa.table({
+            "block": pa.array([name] * (len(buckets) + 1)), "bucket": pa.array([*buckets, -1], pa.int32()),
+            "payload": pa.array([*right.column("payload").to_pylist(), None], pa.binary()),
+            "counts": pa.array([*counts, None], pa.binary()),
+            "stats": pa.array([None] * len(buckets) + [stats], pa.list_(pa.float64()))})
+
+    found = docs.groupBy("block").cogroup(words.rows.groupBy("block")).applyInArrow(run, _COUNTS)
+    return materialize(found, "expected")
+
+
+def raised(counts: DataFrame, v: Vocabulary, states: int) -> tuple[Words, float]:
+    """The model of the expected counts, and the log likelihood of the one before.
+
+    Frequent words and classes are smoothed by their training counts as tied ones are.  In
+    its class a word counts once more, in a state by the state's part of the class, and a
+    state has as many more tokens as the class has words, dealt by their training counts:
+    so a word never counted has the same probability in its class in every state.
+    """
+    sums = counts.where("bucket < 0").select(F.posexplode("stats")).groupBy("pos").agg(
+        F.sum("col").alias("n"))
+    got = np.array([r["n"] for r in sums.orderBy("pos").collect()])  # states * (states + 19) + 1
+    loglik, start, moves, end, of = np.split(got, np.cumsum([1, states, states**2, states]))
+    of = of.reshape(CLASSES + 1, states)
+    norm = of.sum(0) + end + v.size
+    unigram = v.unigram()
+    held, types = np.array(v.class_tokens), np.array(v.class_types)
+    room, more = held + types + 1, types + 1
+    tied = (of[1:] + v.size * unigram[len(v.symbol) : -1, None]) / norm
+    part = of[1:] / np.maximum(held, 1)[:, None]
+    size, all_tokens = v.size, v.tokens + v.size
+
+    def run(t: pa.Table) -> pa.Table:
+        parts = [blocks.unpack(x) for x in t.column("payload").to_pylist()]
+        n = max(int(p.max()) for _, p, _ in parts) + 1
+        total, kind, emits = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros((n, states))
+        for (count, p, k), data in zip(parts, t.column("counts").to_pylist()):
+            total[p], kind[p] = count, k
+            emits[p] += _cells(data, states)
+        own, c, known = (total + 1)[:, None], np.maximum(kind - 1, 0), more[:, None]
+        rare = tied[c] * (emits + part[c] + known[c] * own / room[c, None]) / (part * room[:, None] + known)[c]
+        emits = np.where(kind[:, None] > 0, rare, (emits + size * own / all_tokens) / norm).astype("<f4")
+        return pa.table({"block": t.column("block"), "bucket": t.column("bucket"),
+                         "payload": t.column("payload"),
+                         "emits": pa.array([emits[p].tobytes() for _, p, _ in parts], pa.binary())})
+
+    rows = counts.where("bucket >= 0").drop("stats").groupBy("bucket").applyInArrow(run, _ROWS)
+    start, moves = start + 0.1, moves.reshape(states, states) + 0.1
+    return Words(start / start.sum(), moves / moves.sum(1, keepdims=True),
+                 (end + size * unigram[-1]) / norm, rows), float(loglik[0])
+
+
+def trained(table: DataFrame, docs: DataFrame, v: Vocabulary, m: Model, rounds: int = ROUNDS) -> Words:
+    """Baum-Welch with every training word alone, from the model of tied words."""
+    words = untied(table, v, m)
+    for _ in range(rounds if v.texts else 0):
+        words, _ = raised(counted(docs, words), v, len(m.start))
+    return words
+
+
+_SCORES = ("doc_id long, flag boolean, n_tokens long, n_known long, base_score double, "
+           "score double")
+
+
 def scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text",
            states: int = STATES, rounds: int = ROUNDS) -> DataFrame:
     """Learns from the documents where ``held_out`` is false and scores all: doc_id,
@@ -293,20 +441,31 @@ def scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col:
     rows = input_rows(docs, held_out, id_col, text_col)
     table = blocks.cut(rows, words, counted=True)
     v = vocabulary(table, rows)
-    seqs = sequences(table, v)
-    sent = docs.sparkSession.sparkContext.broadcast(learned(seqs, v, states, rounds))
-
-    def run(batches: Batches) -> Batches:
-        for batch, held in _grouped(batches):
-            at = [i for i, _ in held]
-            score = likelihood(sent.value, [x for _, x in held]) / np.log(10)
-            part = batch.select(["doc_id", "flag", "n_tokens", "n_known", "base_score"]).take(at)
-            score = score + batch.column("rare").to_numpy(zero_copy_only=False)[at]
-            yield pa.RecordBatch.from_arrays(part.columns + [pa.array(score)],
-                                             part.schema.names + ["score"])
-
-    schema = ("doc_id long, flag boolean, n_tokens long, n_known long, base_score double, "
-              "score double")
-    return in_arrow(seqs, lambda: run, schema).select(
+    tied = learned(sequences(table, v), v, states, rounds)
+    # The documents lie where the emissions of every round come to them.
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    held = table.where("bucket < 0").select("block", "payload").repartition(n, "block").persist(
+        StorageLevel.DISK_ONLY)
+    model = trained(table, held, v, tied, rounds)
+    sent = docs.sparkSession.sparkContext.broadcast((model.start, model.moves, model.end))
+    whole, texts, tokens = v.tokens + v.types + 1, v.texts, v.tokens
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        block = blocks.Documents.unpacked(left.column("payload")[0].as_py())
+        m, end = _local(block, right, *sent.value), len(block.buckets)
+        count = _answers(block, right).values(0)
+        base, end_score = np.log10((count + 1) / whole), np.log10((texts + 1) / whole)
+        score = [likelihood(m, group) / np.log(10)
+                 for group in _grouped(np.append(t, end) for t in block.tokens)]
+        columns = [
+            block.ids, block.flags, [len(t) + 1 for t in block.tokens],
+            [int((count[t] > 0).sum()) + (texts > 0) for t in block.tokens],
+            [float(base[t].sum() + end_score) for t in block.tokens], np.concatenate(score)]
+        kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+        return pa.table({c.split()[0]: pa.array(x, k)
+                         for c, x, k in zip(_SCORES.split(", "), columns, kinds)})
+
+    found = held.groupBy("block").cogroup(model.rows.groupBy("block")).applyInArrow(run, _SCORES)
+    return found.select(
         "doc_id", (~F.col("flag")).alias("held_out"), "n_tokens", "n_known",
-        F.lit(v.tokens).cast("long").alias("train_tokens"), "base_score", "score")
+        F.lit(tokens).cast("long").alias("train_tokens"), "base_score", "score")

@@ -107,3 +107,37 @@ def test_empty_and_untrained(edge, spark):
     assert hmm.scores(edge.limit(0), held()).count() == 0
     got = hmm.scores(edge, F.lit(True)).collect()
     assert {r["train_tokens"] for r in got} == {0} and all(r["n_known"] == 0 for r in got)
+
+
+def test_rare_words_have_emissions_of_their_own(spark):
+    """Words of one length and count, each behind one of two frequent words: a text that
+    keeps to this is likelier than one that doesn't."""
+    word = lambda kind, i: f"{kind}{i:05d}"
+    text = lambda lead, kind, at: " ".join(f"{lead} {word(kind, i)}" for i in range(at, at + 50))
+    rows = [(2 * n + k, text(lead, kind, 50 * (n // 3))) for n in range(300)
+            for k, (lead, kind) in enumerate((("lo", "a"), ("up", "b")))]
+    rows += [(-1, text("lo", "a", 100)), (-2, text("lo", "b", 100))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r for r in hmm.scores(frame, F.col("doc_id") < 0).where("held_out").collect()}
+    assert got[-1]["base_score"] == pytest.approx(got[-2]["base_score"])
+    assert got[-1]["n_known"] == got[-2]["n_known"] == 101
+    assert got[-1]["score"] > got[-2]["score"] + 1
+
+
+def test_probabilities_of_all_words_sum_to_one(docs):
+    rows = hmm.input_rows(docs, held(), "doc_id", "text")
+    table = blocks.cut(rows, hmm.words, counted=True, size=20_000)
+    v = hmm.vocabulary(table, rows, most=256)
+    model = hmm.trained(table, table.where("bucket < 0"), v, hmm.initial(v), rounds=1)
+    lists = {(r["block"], r["bucket"]): blocks.unpack_words(bytes(r["payload"]))[0]
+             for r in table.where("bucket >= 0").collect()}
+    found, unseen = {}, {}
+    for r in model.rows.collect():
+        total = blocks.unpack(bytes(r["payload"]))[0]
+        for w, n, e in zip(lists[r["block"], r["bucket"]], total, hmm._cells(bytes(r["emits"]), hmm.STATES)):
+            seen = (found, w) if n else (unseen, hmm.length_class(w))
+            assert np.allclose(seen[0].setdefault(seen[1], e), e, rtol=1e-6)
+    assert len(found) == v.types - 1
+    rest = [c for c in range(hmm.CLASSES) if c not in unseen]
+    total = sum(found.values()) + sum(unseen.values()) + model.end
+    assert (total < 1 + 1e-4).all() and (total > 0.9).all() and len(rest) < hmm.CLASSES
