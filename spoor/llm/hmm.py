@@ -19,7 +19,7 @@ count and are scored each.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -32,7 +32,9 @@ from spoor.llm import blocks
 from spoor.llm.common import Batches, in_arrow
 from spoor.session import materialize
 
-STATES, ROUNDS = 4, 3
+STATES = 4
+#: Training ends when a round adds less than this to the log likelihood per token (nats).
+LEAST_GAIN = 1e-3
 #: Of the tied words: most with a symbol of their own, classes of the others.  Tokens in a batch.
 SYMBOLS, CLASSES, BATCH_TOKENS = 8192, 16, 1_000_000
 #: Tokens of a longer text that are held at once: its pieces pass on the states between them.
@@ -255,13 +257,23 @@ def _grouped(texts: Iterable[np.ndarray]) -> Iterator[list[np.ndarray]]:
 _START, _LOGLIK, _MOVES = -1, -2, -3
 
 
-def learned(seqs: DataFrame, v: Vocabulary, states: int = STATES, rounds: int = ROUNDS) -> Model:
-    """Baum-Welch over all training sequences of tied words."""
+def _rounds(v: Vocabulary, most: int | None) -> Iterator[Callable[[float], None]]:
+    """Goes on until the log likelihoods told to it gain less than LEAST_GAIN per token,
+    or for ``most`` rounds."""
+    told: list[float] = []
+    while most is None or len(told) < most:
+        yield told.append
+        if len(told) > 1 and told[-1] - told[-2] < LEAST_GAIN * v.tokens:
+            return
+
+
+def learned(seqs: DataFrame, v: Vocabulary, states: int = STATES, rounds: int | None = None) -> Model:
+    """Baum-Welch over all training sequences of tied words, at most ``rounds`` times."""
     m, sc = initial(v, states), seqs.sparkSession.sparkContext
     columns = [f"s{k}" for k in range(states)]
     training = seqs.where("flag").select("payload")
     prior = v.unigram()
-    for _ in range(rounds):
+    for tell in _rounds(v, rounds):
         sent = sc.broadcast((m, v.size))
 
         def run(batches: Batches) -> Batches:
@@ -285,6 +297,7 @@ def learned(seqs: DataFrame, v: Vocabulary, states: int = STATES, rounds: int =
         if not rows:
             return m
         got = {r["symbol"]: np.array([r[c] for c in columns]) for r in rows}  # symbols + states + 2
+        tell(got[_LOGLIK][0])
         moves = np.stack([got[_MOVES - k] for k in range(states)]) + 0.1
         emits = np.stack([got[i] for i in range(v.size)]) + prior[:, None] * v.size
         start = got[_START] + 0.1
@@ -422,11 +435,13 @@ def raised(counts: DataFrame, v: Vocabulary, states: int) -> tuple[Words, float]
                  (end + size * unigram[-1]) / norm, rows), float(loglik[0])
 
 
-def trained(table: DataFrame, docs: DataFrame, v: Vocabulary, m: Model, rounds: int = ROUNDS) -> Words:
+def trained(table: DataFrame, docs: DataFrame, v: Vocabulary, m: Model,
+            rounds: int | None = None) -> Words:
     """Baum-Welch with every training word alone, from the model of tied words."""
     words = untied(table, v, m)
-    for _ in range(rounds if v.texts else 0):
-        words, _ = raised(counted(docs, words), v, len(m.start))
+    for tell in _rounds(v, rounds if v.texts else 0):
+        words, loglik = raised(counted(docs, words), v, len(m.start))
+        tell(loglik)
     return words
 
 
@@ -435,7 +450,7 @@ _SCORES = ("doc_id long, flag boolean, n_tokens long, n_known long, base_score d
 
 
 def scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text",
-           states: int = STATES, rounds: int = ROUNDS) -> DataFrame:
+           states: int = STATES, rounds: int | None = None) -> DataFrame:
     """Learns from the documents where ``held_out`` is false and scores all: doc_id,
     held_out, n_tokens, n_known, train_tokens, base_score, score (log10)."""
     rows = input_rows(docs, held_out, id_col, text_col)

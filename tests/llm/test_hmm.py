@@ -141,3 +141,24 @@ def test_probabilities_of_all_words_sum_to_one(docs):
     rest = [c for c in range(hmm.CLASSES) if c not in unseen]
     total = sum(found.values()) + sum(unseen.values()) + model.end
     assert (total < 1 + 1e-4).all() and (total > 0.9).all() and len(rest) < hmm.CLASSES
+
+
+def test_training_goes_on_until_nothing_is_gained(spark):
+    """Symbols in runs: the states that tell them apart need more than three rounds."""
+    rng = np.random.default_rng(3)
+    texts = [np.append(np.repeat(rng.integers(0, 6, 40), 8), 22) for _ in range(60)]
+    n = sum(map(len, texts))
+    every = np.bincount(np.concatenate(texts), minlength=23)
+    v = hmm.Vocabulary(n, 7, 60, {b"%d" % i: i for i in range(6)}, every[:6].tolist(), [0] * 16, [0] * 16)
+    seqs = spark.createDataFrame([(True, bytearray(blocks.pack(t))) for t in texts], hmm._SEQUENCES)
+    total = lambda **rounds: hmm.likelihood(hmm.learned(seqs, v, **rounds), texts).sum() / n
+    assert total() > total(rounds=3) + hmm.LEAST_GAIN
+
+
+def test_pieces_of_a_long_text_pass_on_their_states(model, monkeypatch):
+    whole = hmm.expected(model, SEQS, 3)
+    monkeypatch.setattr(hmm, "BATCH_TOKENS", 3)
+    for piece in (1, 8, 12):
+        monkeypatch.setattr(hmm, "PIECE_TOKENS", piece)
+        for g, w in zip(hmm.expected(model, SEQS, 3), whole):
+            assert np.allclose(g, w)
