@@ -5,8 +5,9 @@ digested, joined to the cache, and only the distinct contents it doesn't know ar
 encoded and appended.  A content is digested after the normalisation of the tokenizer;
 the digest of the tokenizer is that of its file, so another version starts afresh.
 
-Byte-level BPE files (.json) are encoded from their merge ranks, which gives the counts
-of their library; other files go to their library as they are.
+Byte-level BPE files (.json) are encoded by tiktoken from their merge ranks, which gives
+the counts of their library, tokenizers; texts on which tiktoken fails and other files go
+to their library as they are.
 
 Cases: a null text counts as empty and has no token; repeated rows give a row each and
 are encoded once; an empty table adds nothing to the cache.
@@ -56,20 +57,32 @@ def counter(path: str):
         spec = json.load(f)
     ranked = _ranked(spec)
     if ranked is None:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        library = Tokenizer.from_str(json.dumps(spec))
-        library.no_truncation()
-        library.no_padding()
-        return lambda text: len(library.encode(text, add_special_tokens=False).ids)
+        return _library(json.dumps(spec))
     import tiktoken
 
     ranks, special = ranked
     encoding = tiktoken.Encoding(path, pat_str=PATTERN, mergeable_ranks=ranks,
                                  special_tokens=special)
     names = set(special)
-    return lambda text: len(encoding.encode(text, allowed_special=names, disallowed_special=()))
+
+    def count(text: str) -> int:
+        try:
+            return len(encoding.encode(text, allowed_special=names, disallowed_special=()))
+        except ValueError:  # a run of white space too long for tiktoken's pattern matching
+            return _library(json.dumps(spec))(text)
+
+    return count
+
+
+@lru_cache(maxsize=2)
+def _library(spec: str):
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_str(spec)
+    library.no_truncation()
+    library.no_padding()
+    return lambda text: len(library.encode(text, add_special_tokens=False).ids)
 
 
 def _ranked(spec: dict):

@@ -51,3 +51,10 @@ def test_other_files_go_to_their_library(spark, tmp, name):
 
 def test_empty(edge, tmp):
     assert token_counts.token_counts(edge.limit(0), PATH, f"{tmp}/cache").count() == 0
+
+
+def test_very_long_runs_of_white_space(spark, tmp):
+    texts = ["a" + " " * 1_000_100 + "b", "\n" * 1_000_100, "x y"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["n_tokens"] for r in token_counts.token_counts(frame, PATH, f"{tmp}/c").collect()}
+    assert got == dict(enumerate(library(texts)))
