@@ -31,7 +31,8 @@ HEX = r"[0-9a-f]+"
 KINDS = {"assign": (ASSIGN, 6), "access": (ACCESS, 20), "hex": (HEX, 24)}
 
 # What the method looks at: tokens of base64 and URL-safe base64 characters.
-TOKEN = r"[A-Za-z0-9+/_=-]{20,}"
+TOKEN_CHARS = 20
+TOKEN = rf"[A-Za-z0-9+/_=-]{{{TOKEN_CHARS},}}"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 SYMBOLS = len(ALPHABET) + 1  # and one for any other character
 
@@ -110,13 +111,31 @@ def train(samples: DataFrame, text_col: str = "text", label_col: str = "random")
     return [a - b for a, b in zip(log_rates(counts[True]), log_rates(counts[False]))]
 
 
+def _left(token: Column, base: Column) -> Column:
+    """The runs of a token that no base span covers, of TOKEN_CHARS characters or more."""
+    touching = F.filter(base, lambda b: (b["start"] < token["end"]) & (token["start"] < b["end"]))
+
+    def with_run(acc, end):
+        value = F.substring(token["value"], acc["at"] - token["start"] + 1, end - acc["at"])
+        run = F.struct(acc["at"].alias("start"), token["rank"].alias("rank"), end.alias("end"),
+                       token["kind"].alias("kind"), value.alias("value"))
+        return F.when(end - acc["at"] >= TOKEN_CHARS,
+                      F.concat(acc["spans"], F.array(run))).otherwise(acc["spans"])
+
+    start = F.struct(token["start"].alias("at"), F.array().cast(f"array<{SPAN}>").alias("spans"))
+    return F.when(F.size(touching) == 0, F.array(token)).otherwise(F.aggregate(
+        touching, start,
+        lambda acc, b: F.struct(F.greatest(acc["at"], b["end"]).alias("at"),
+                                with_run(acc, b["start"]).alias("spans")),
+        lambda acc: with_run(acc, token["end"])))
+
+
 def random_spans(text: Column, base: Column, ratios: list[float], least: float) -> Column:
-    """Long tokens apart from the base spans whose mean ratio per character pair is
-    ``least`` or more."""
+    """What the base spans (by start) leave of long tokens, where the mean ratio per
+    character pair is ``least`` or more."""
     table = F.split(F.lit(",".join(f"{x:.6f}" for x in ratios)), ",").cast("array<double>")
-    free = F.filter(
-        _found(text, TOKEN, "random", len(KINDS)),
-        lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
+    free = F.flatten(F.transform(_found(text, TOKEN, "random", len(KINDS)),
+                                 lambda s: _left(s, base)))
     score = lambda s: F.aggregate(
         _pairs(s["value"]), F.lit(0.0), lambda acc, p: acc + F.element_at(table, p + 1)
     ) / (F.length(s["value"]) - 1)
