@@ -24,20 +24,21 @@ from pyspark.sql import functions as F
 
 from spoor.llm.common import Batches, in_arrow
 
-# Elements that start a block, that have no end, whose content is no text,
-# and that end an open element of the same kind.
+# Elements that start a block, that have no end, whose content is no markup,
+# that are empty if they close themselves, and that end an open element of the same kind.
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt "
     "fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html "
     "legend li main menu nav ol optgroup option p pre section select summary table tbody td "
     "tfoot th thead tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = "script|style|title|textarea|noscript|template|iframe|svg|math|object"
+RAW = "script|style|title|textarea"
+SELF_CLOSED = frozenset([*RAW.split("|"), "svg", "math", "object", "iframe"])
 SIBLINGS = {"li": ("li",), "dd": ("dd", "dt"), "dt": ("dd", "dt"), "tr": ("tr", "td", "th"),
             "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 
 _PARTS = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({RAW})\b[^>]*+>.*?(?:</\1\s*+>|\Z)|<[!?][^>]*+>|"
+    rf"<!--.*?(?:-->|\Z)|<({RAW})(?=[\s/>])[^>]*+(?<!/)>.*?(?:</\1(?=[\s/>])[^>]*+>|\Z)|<[!?][^>]*+>|"
     r"<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|"
     r"<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>|([^<]++|<)", re.S | re.I)
 _NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
@@ -60,7 +61,7 @@ def leaves(page: str) -> list[Leaf]:
     found: list[Leaf] = []
     stack: list[tuple[str, tuple[str, ...]]] = []  # open elements, features with all ancestors
     held: list[tuple[str, bool]] = []
-    links = 0
+    links = drawn = 0  # open links, open drawings (svg)
 
     def flush() -> None:
         if not held:
@@ -81,12 +82,24 @@ def leaves(page: str) -> list[Leaf]:
     for m in _PARTS.finditer(page):
         text = m[8]
         if text is not None:
+            if drawn:
+                continue
             held.append((text, links > 0))
             continue
         name = m[3] or m[6]
         if name is None:
             continue
         name, ends = name.lower(), m[2] or m[5]
+        attributes = m[4] if m[3] else m[7]
+        if not ends and name in SELF_CLOSED and attributes.endswith("/"):
+            continue
+        if name == "svg":
+            drawn = max(drawn + (-1 if ends else 1), 0)
+            continue
+        if name in BLOCK:  # ends a drawing that was left open
+            drawn = 0
+        elif drawn:
+            continue
         if name in BLOCK:
             flush()
         elif name == "br":
@@ -112,7 +125,6 @@ def leaves(page: str) -> list[Leaf]:
                     break
                 if stack[i][0] in ("ul", "ol", "dl", "table", "select", "tbody"):
                     break
-        attributes = m[4] if m[3] else m[7]
         before = stack[-1][1] if stack else ()
         own = [f"in:{name}"]
         if attributes and "=" in attributes:

@@ -105,3 +105,24 @@ def test_query_and_edges(spark, small, model):
     assert [r["text"] for r in ht.extracted(frame, model).collect()] == [""] * 4
     assert ht.extracted(frame.limit(0), model).count() == 0
     assert ht.fitted(frame.limit(0)).number
+
+
+@pytest.mark.parametrize("page, want", [
+    ('<article><p>one <svg class="i"/> two</p><p>three</p></article>', ["one two", "three"]),
+    ('<p>one <svg class="i"><title/><text>no</text><svg><g/></svg> no</svg> two</p><p>three', ["one two", "three"]),
+    ("<p>one <svg><path d='x'></p><p>two</p>", ["one", "two"]),
+    ("<p>one <svg-icon name=x></svg-icon> two<p>three<title-bar>four</title-bar><object-view>five", ["one two", "threefourfive"]),
+    ("<p>let <math><mi>x</mi></math> be<p><object data=x>fallback</object><noscript><p>plain</p></noscript>"
+     "<template><p>row</p></template><iframe src=x /><p>end", ["let x be", "fallback", "plain", "row", "end"]),
+    ("<title>no</title><p>a<style media=x>no</style ><textarea>no <p>no</textarea><script src=x />b<p>c", ["ab", "c"]),
+])
+def test_markup_that_hides_no_text(page, want):
+    assert [b.text for b in ht.leaves(page)] == want
+
+
+def test_text_behind_icons_and_in_formulas_is_extracted(model):
+    words = "A paragraph of the article that says quite a lot in many plain words"
+    page = (f"<html><body><nav><a href=/>Home</a></nav><article><h1>The title</h1><p>{words} <svg class='i'/> first.</p>"
+            f"<p>{words} <math><mi>x</mi></math> second.</p><p>{words} <svg-icon></svg-icon> third.</p></article></body></html>")
+    assert model.text(page).split("\n") == [
+        "The title", f"{words} first.", f"{words} x second.", f"{words} third."]
