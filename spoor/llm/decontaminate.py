@@ -12,7 +12,9 @@ each block is sent to the tasks and the documents pass by once per block.
 
 Cases: null or wordless documents and items have no match; an item of fewer words than a
 window is one window; equal windows of several items count for each of them; repeated
-rows give a row each; an empty benchmark leaves every document clean.
+rows give a row each; an empty benchmark leaves every document clean; an item without an
+id is searched as well: its hits count, all such items count as one, and the digest of the
+items leaves them out.
 """
 
 from __future__ import annotations
@@ -45,7 +47,7 @@ def words(text: bytes) -> list[bytes]:
 class Block:
     """Windows of some benchmark items, ready to be looked up."""
 
-    def __init__(self, items: list[tuple[str, bytes]], window: int):
+    def __init__(self, items: list[tuple[str | None, bytes]], window: int):
         self.window = window
         self.number: dict[bytes, int] = {}
         sequences = []
@@ -170,7 +172,7 @@ def _search(block: Block, first: bool):
                 n_words.append(len(doc))
                 n_hit.append(int(hit.sum()))
                 hits.append(np.packbits(hit).tobytes())
-                items.append(sorted(named))
+                items.append(sorted(named, key=lambda x: (x is None, x or "")))
                 spans.append(runs)
             kept = [batch.column("row"), batch.column("text")]
             kinds = pa.list_(pa.struct([("item_id", pa.string()), ("start", pa.int64()),
@@ -187,8 +189,7 @@ def blocks(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "tex
            window: int = WINDOW, most: int = BLOCK_CHARS) -> Iterator[Block]:
     """The benchmark in blocks of at most ``most`` bytes (or one item), one at a time."""
     rows = pick(benchmark, item=item_col, text=text_col).select(
-        F.col("item").cast("string"), F.col("text").cast("string")).where(
-        "item IS NOT NULL AND text IS NOT NULL")
+        F.col("item").cast("string"), F.col("text").cast("string")).where("text IS NOT NULL")
     held, size, any_yet = [], 0, False
     for item, text in rows.toLocalIterator():
         data = text.encode()

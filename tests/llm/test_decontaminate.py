@@ -83,3 +83,14 @@ def test_longest_matches_and_cleaning(spark):
     got = {r["doc_id"]: r for r in decontaminate.contamination(frame, items).collect()}
     assert [tuple(m) for m in got[1]["matches"]] == [("q", 2, 17)] and got[1]["longest"] == 17
     assert [r["doc_id"] for r in decontaminate.cleaned(frame, items).collect()] == [2]
+
+
+def test_items_without_id_are_searched(spark):
+    quoted = "one two three four five six seven eight nine ten eleven"
+    frame = spark.createDataFrame([(1, f"so {quoted} it goes"), (2, "nothing of it")], "doc_id long, text string")
+    items = spark.createDataFrame([(None, quoted), (None, None)], "item_id long, text string")
+    got = {r["doc_id"]: r for r in decontaminate.contamination(frame, items).collect()}
+    assert [got[1][c] for c in ("n_hit", "n_items", "contaminated", "longest")] == [11, 1, True, 11]
+    assert got[1]["items_sha256"] == hashlib.sha256(b"").hexdigest()
+    assert not got[2]["contaminated"]
+    assert [r["doc_id"] for r in decontaminate.cleaned(frame, items).collect()] == [2]
