@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from spoor.llm.common import Batches, in_arrow, texts
 from spoor.session import materialize
@@ -31,8 +32,8 @@ BLOCK_BYTES = 32_000_000
 
 SCHEMA = "block string, bucket int, payload binary"
 
-#: Words go to buckets by their first bytes, so that alike ones lie, and pack, together.
-PREFIX = 6
+#: Bytes of text to a bucket: its lists, which hold less, meet in one call.
+BUCKET_BYTES = 32_000_000
 
 _LEVEL = 9
 
@@ -132,19 +133,19 @@ class _Block:
         self.size += size
 
     def rows(self, buckets: int, counted: bool):
-        """The documents, with tokens numbered by falling frequency, then by themselves, and
-        the tokens of each bucket by number; ``counted``: with how often flagged documents
+        """The documents, with tokens numbered by falling frequency (in powers of two), then
+        by themselves, so that alike ones pack together, and the tokens of each bucket by number; ``counted``: with how often flagged documents
         hold them."""
         name, words = uuid.uuid4().hex, sorted(self.number)
         numbers = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
         count = np.zeros(len(words), np.int64)
         for t in self.tokens:
             np.add.at(count, t, 1)
-        order = np.argsort(-count[numbers], kind="stable")
+        order = np.argsort(-np.frexp(count[numbers])[1], kind="stable")
         rank = np.empty(len(words), np.uint32)
         rank[numbers[order]] = np.arange(len(words))
         words = [words[i] for i in order]
-        where = np.fromiter((zlib.crc32(w[:PREFIX]) for w in words), np.int64, len(words)) % buckets
+        where = np.fromiter((zlib.crc32(w) for w in words), np.int64, len(words)) % buckets
         tokens = [rank[t] for t in self.tokens]
         yield name, -1, Documents(self.ids, self.flags, tokens, where).packed()
         more = []
@@ -169,7 +170,9 @@ def cut(docs: DataFrame, tokens: Callable[[], Callable[[bytes], list[bytes]]],
         counted: bool = False, size: int = BLOCK_BYTES) -> DataFrame:
     """The table of blocks of ``docs(doc_id, flag, text)``; ``tokens`` makes the function
     that parts a text; ``counted``: tokens come with their count in flagged documents."""
-    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")),
+                  -(-total // BUCKET_BYTES))
 
     def make():
         parted = tokens()

@@ -69,3 +69,14 @@ def test_packing():
     assert answers.values(0).tolist() == [1, 2, 0]
     offsets, flat = answers.lists(0, 1, "u1")
     assert offsets.tolist() == [0, 1, 3, 3] and flat.tolist() == [7, 8, 9]
+
+
+def test_alike_chunks_spread_over_many_buckets(spark, monkeypatch):
+    """Chunks with one beginning are no group of their own, and more text has more buckets."""
+    text = "\n".join(f"        https://example.com/{i}" for i in range(4000))
+    frame = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    monkeypatch.setattr(blocks, "BUCKET_BYTES", len(text) // 16)
+    table = blocks.cut(pieces._input(frame, "doc_id", "text"), pieces._chunks(PATH))
+    sizes = [len(blocks.unpack_words(bytes(r["payload"]))[0]) for r in table.where("bucket >= 0").collect()]
+    assert len(sizes) >= 16 and sum(sizes) >= 4000 and max(sizes) < 2 * sum(sizes) / len(sizes)
+    check(frame)
