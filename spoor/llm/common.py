@@ -6,9 +6,11 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from spoor.session import materialize
+
 Batches = Iterator[pa.RecordBatch]
 
 
@@ -73,3 +75,31 @@ def in_arrow(df: DataFrame, make: Callable[[], Callable[[Batches], Batches]], sc
         yield from make()(batches)
 
     return df.mapInArrow(run, schema)
+
+
+def numbered(df: DataFrame, by: list[str | Column], group: tuple[str, ...] = (),
+             name: str = "at") -> DataFrame:
+    """``df`` with the place (long, from 0) of each row in its group, by the order of ``by``.
+
+    Rows are dealt by ranges of the whole order, so a large group lies in many tasks; the
+    places follow from the number of rows per group and range, which is a small table.
+    Rows equal in ``by`` get places in no particular order.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = [*group, *by]
+    stored = materialize(
+        df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+        .withColumn("_row", F.monotonically_increasing_id()), "ordered")
+    stored = stored.withColumn("_range", F.shiftright("_row", 33))
+    keys = [F.col(g).alias(f"_of_{g}") for g in group]
+    runs = stored.groupBy(*keys, F.col("_range").alias("_of_range")).agg(
+        F.min("_row").alias("_first"), F.count("*").alias("_n"))
+    earlier = Window.partitionBy(*[f"_of_{g}" for g in group]).orderBy("_of_range").rowsBetween(
+        Window.unboundedPreceding, -1)
+    runs = materialize(runs.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0))),
+                       "ranges")
+    same = F.col("_range") == F.col("_of_range")
+    for g in group:
+        same = same & F.col(g).eqNullSafe(F.col(f"_of_{g}"))
+    return stored.join(runs, same).select(
+        *df.columns, (F.col("_row") - F.col("_first") + F.col("_before")).alias(name))

@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spoor.llm import (
-    chat, decontaminate, hmm, html_text, ngram_join, pieces, quality, secrets, token_counts, urls,
+    chat, decontaminate, hmm, html_text, manifest, mixture, ngram_join, pieces, quality, repair,
+    secrets, token_counts, urls,
 )
 from spoor.llm.common import table
 
@@ -87,6 +88,39 @@ def op10_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
     return secrets.scan(docs, secrets.trained(docs, table(spark, sf, "labels")))
 
 
+def op11_conversation_repair(spark: SparkSession, sf: str) -> DataFrame:
+    """Repairs the conversations after damage by checksum; conversations without rows left
+    have no fault and nothing to repair."""
+    turns = table(spark, sf, "conversations")
+    found = repair.repaired(repair.damaged(turns))
+    told = repair.told(found.rows)
+    zeros = [F.lit(0).cast("long").alias(f) for f in repair.FAULTS]
+    none = [F.lit(None).cast("string").alias(c) for c in ("audit", "repaired_sha256")]
+    every = found.faults.select("conv_id", *repair.FAULTS, *none).unionByName(
+        told.select("conv_id", *zeros, "audit", "repaired_sha256")).unionByName(
+        turns.select("conv_id", *zeros, *none))
+    return every.groupBy("conv_id").agg(
+        *[F.sum(f).alias(f) for f in repair.FAULTS],
+        F.coalesce(F.max("audit"), F.lit("")).alias("audit"),
+        F.coalesce(F.max("repaired_sha256"), F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    """All documents; where 7 divides the id's checksum the proof meets a leaf whose n_chars
+    is one more."""
+    docs = table(spark, sf, "documents")
+    columns = [F.col(c) for c in manifest.COLUMNS]
+    changed = [c + 1 if name == "n_chars" else c for name, c in zip(manifest.COLUMNS, columns)]
+    hit = (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0) & F.col("n_chars").isNotNull()
+    found = manifest.manifest(docs, more={"seen": F.when(hit, manifest.leaf(changed))})
+    found = manifest.verified(found.withColumn("seen", F.coalesce("seen", "leaf")))
+    return found.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+def op13_mixture(spark: SparkSession, sf: str) -> DataFrame:
+    return mixture.mixed(table(spark, sf, "documents")).drop("times")
+
+
 def all_queries() -> dict[str, Query]:
     return {
         "pipeline": corpus_pipeline.run,
@@ -100,4 +134,7 @@ def all_queries() -> dict[str, Query]:
         "op8_url_filter": op8_url_filter,
         "op9_language_model": op9_language_model,
         "op10_secret_scan": op10_secret_scan,
+        "op11_conversation_repair": op11_conversation_repair,
+        "op12_merkle_manifest": op12_merkle_manifest,
+        "op13_mixture": op13_mixture,
     }

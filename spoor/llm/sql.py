@@ -120,6 +120,190 @@ FROM docs d LEFT JOIN hit h USING (doc_id) LEFT JOIN named m USING (doc_id)
 """
 
 
+
+def _crc_table() -> list[int]:
+    """The table of the checksum CRC-32, byte by byte."""
+    out = []
+    for n in range(256):
+        for _ in range(8):
+            n = n >> 1 ^ (0xEDB88320 if n & 1 else 0)
+        out.append(n)
+    return out
+
+
+_CRC = f"crc AS (SELECT {_crc_table()} AS tab)"
+
+
+def _crc32(text: str) -> str:
+    """The checksum of an ASCII text; needs ``crc`` in scope."""
+    return (f"xor(list_reduce(list_concat([4294967295], list_transform(string_split({text}, ''), "
+            "lambda x: CAST(ascii(x) AS BIGINT))), "
+            "lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295)")
+
+
+_LINE = "chr(10) || m.role || ':' || m.text"
+
+
+def _way(state: str, cost: str, letters: str, lines: str) -> str:
+    return (f"{{'c': p.{state}.c + {cost}, 't': p.{state}.t || '{letters}', 'x': p.{state}.x || {lines}}}")
+
+
+def _turn(state: str, inserted: str, initial: str, role: str) -> str:
+    """A row kept or renamed after ``state``, behind an inserted turn if one is named."""
+    n, first, line = ("5", "I", f"chr(10) || '{inserted}:' || ") if inserted else ("0", "", "")
+    keep = _way(state, f"{n} + cut", first + "K", line + _LINE)
+    name = _way(state, f"{n} + cut + 1", first + "R", f"{line}chr(10) || '{role}:' || m.text")
+    return f"CASE WHEN NOT gone AND initial = '{initial}' THEN {keep} WHEN NOT gone THEN {name} END"
+
+
+_NEVER = "{'c': 1000000000, 't': '', 'x': ''}"
+
+REPAIR = rf"""
+WITH RECURSIVE {_CRC}, src AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {_crc32("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")} % 20 AS f
+  FROM conversations, crc
+), damaged AS (
+  SELECT conv_id, turn, CASE f WHEN 4 THEN 'user' ELSE role END AS role,
+    CASE f WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(range(CASE f WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM src WHERE f <> 0
+), ordered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS n
+  FROM damaged
+), marked AS (
+  SELECT *, left(role, 1) AS initial, NOT regexp_matches(text, '[^ 	-
+]') AS blank,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY n) > 1 AS again,
+    NOT regexp_matches(text, '[.!?][ 	-
+]*$') AS unended,
+    lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY n) AS before FROM ordered
+), rows AS (
+  SELECT *, blank OR again AS gone, CASE WHEN unended THEN 5 ELSE 0 END AS cut FROM marked
+), best AS (
+  SELECT conv_id, 0 AS n, {{'c': 0, 't': '', 'x': ''}} AS e, {_NEVER} AS s, {_NEVER} AS u, {_NEVER} AS a
+  FROM conversations GROUP BY conv_id
+  UNION ALL
+  SELECT p.conv_id, m.n, {_way("e", "2", "D", "''")},
+    list_min([{_way("s", "2", "D", "''")}, CASE WHEN NOT gone AND initial = 's' THEN {_way("e", "cut", "K", _LINE)} END]),
+    list_min([{_way("u", "2", "D", "''")}, {", ".join(_turn(x, "", "u", "user") for x in "esa")},
+      {_turn("u", "assistant", "u", "user")}]),
+    list_min([{_way("a", "2", "D", "''")}, {_turn("u", "", "a", "assistant")},
+      {", ".join(_turn(x, "user", "a", "assistant") for x in "esa")}])
+  FROM best p JOIN rows m ON m.conv_id IS NOT DISTINCT FROM p.conv_id AND m.n = p.n + 1
+), ended AS (
+  SELECT conv_id, list_min([e, a, {{'c': u.c + 5, 't': u.t || 'I', 'x': u.x || chr(10) || 'assistant:'}},
+      {{'c': s.c + 10, 't': s.t || 'II', 'x': s.x || chr(10) || 'user:' || chr(10) || 'assistant:'}}]) AS w
+  FROM (SELECT *, max(n) OVER (PARTITION BY conv_id) AS last FROM best) WHERE n = last
+), faults AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (WHERE blank) AS blank, count(*) FILTER (WHERE again AND NOT blank) AS duplicate,
+    count(*) FILTER (WHERE unended AND NOT gone) AS truncated,
+    count(*) FILTER (WHERE before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM rows GROUP BY conv_id
+)
+SELECT w.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(w.w.c AS BIGINT) AS cost,
+  w.w.t AS audit, sha256(substr(w.w.x, 2)) AS repaired_sha256
+FROM ended w LEFT JOIN faults f ON f.conv_id IS NOT DISTINCT FROM w.conv_id
+"""
+
+
+def _leaf(n_chars: str) -> str:
+    parts = [f"coalesce(CAST(strlen(CAST({c} AS VARCHAR)) AS VARCHAR) || ':' || CAST({c} AS VARCHAR), '-')"
+             for c in ("doc_id", "source", "lang", n_chars, "text")]
+    return f"sha256({' || '.join(parts)})"
+
+
+def _tree(name: str, leaves: str) -> str:
+    """Nodes of the trees over ``leaves(tree, pos, width, h)``; width: nodes on the level."""
+    return f"""{name} AS (
+  SELECT tree, 0 AS level, pos, width, h FROM {leaves}
+  UNION ALL
+  SELECT tree, level + 1, pos // 2, (width + 1) // 2, sha256(string_agg(h, '' ORDER BY pos))
+  FROM {name} WHERE width > 1 GROUP BY tree, level, width, pos // 2
+)"""
+
+
+def _climb(name: str, start: str, nodes: str) -> str:
+    """From ``start(row_id, tree, pos, proof, f)`` up the trees of ``nodes``."""
+    return f"""{name} AS (
+  SELECT row_id, tree, 0 AS level, pos, proof, f FROM {start}
+  UNION ALL
+  SELECT c.row_id, c.tree, c.level + 1, c.pos // 2, c.proof || coalesce(b.h, ''),
+    sha256(CASE WHEN c.pos % 2 = 1 THEN b.h || c.f ELSE c.f || coalesce(b.h, '') END)
+  FROM {name} c JOIN {nodes} o ON o.tree = c.tree AND o.level = c.level AND o.pos = c.pos AND o.width > 1
+  LEFT JOIN {nodes} b ON b.tree = c.tree AND b.level = c.level AND b.pos = xor(c.pos, 1)
+)"""
+
+
+MANIFEST = rf"""
+WITH RECURSIVE {_CRC}, src AS (
+  SELECT row_number() OVER () AS row_id, doc_id, lang, {_leaf("n_chars")} AS h,
+    CASE WHEN {_crc32("CAST(doc_id AS VARCHAR)")} % 7 = 0 THEN {_leaf("(n_chars + 1)")} ELSE {_leaf("n_chars")} END AS seen
+  FROM documents, crc
+), leaves AS (
+  SELECT *, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree, count(*) OVER (PARTITION BY lang) AS width,
+    row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, h) - 1 AS pos FROM src
+), {_tree("nodes", "leaves")}, subroots AS (
+  SELECT -1 AS tree, tree AS pos, count(*) OVER () AS width, h FROM nodes WHERE width = 1
+), {_tree("upper", "subroots")},
+start AS (SELECT row_id, tree, pos, '' AS proof, seen AS f FROM leaves),
+{_climb("own", "start", "nodes")},
+middle AS (
+  SELECT row_id, -1 AS tree, tree AS pos, proof, f
+  FROM (SELECT *, max(level) OVER (PARTITION BY row_id) AS last FROM own) WHERE level = last
+), {_climb("above", "middle", "upper")},
+done AS (SELECT * FROM (SELECT *, max(level) OVER (PARTITION BY row_id) AS last FROM above) WHERE level = last)
+SELECT l.doc_id, l.h AS leaf, s.h AS subroot, r.h AS root, sha256(d.proof) AS proof_sha256,
+  d.f AS folded_root, d.f = r.h AS verified
+FROM leaves l JOIN done d USING (row_id) JOIN subroots s ON s.pos = l.tree
+JOIN (SELECT h FROM upper WHERE width = 1) r ON true
+"""
+
+MIXTURE = r"""
+WITH RECURSIVE sizes AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+')) AS BIGINT) AS size
+  FROM documents
+), hashed AS (
+  SELECT *, CAST(('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '-') || ':' || CAST(size AS VARCHAR)), 1, 15))
+    AS UBIGINT) AS hash FROM sizes
+), sources AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size, CAST(2 * sum(size) AS DOUBLE) AS most,
+    CAST([3, 1, 2][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS DOUBLE) AS weight
+  FROM sizes GROUP BY source
+), every AS (
+  SELECT CAST(150 * sum(source_size) AS DOUBLE) / 100 AS words, sum(weight) AS weights FROM sources
+), levels AS (
+  SELECT 0 AS k, words AS rest, weights AS room FROM every
+  UNION ALL
+  SELECT k + 1, words - held, open FROM (
+    SELECT k, room, sum(CASE WHEN most * room <= weight * rest THEN most ELSE 0 END) AS held,
+      sum(CASE WHEN most * room <= weight * rest THEN 0 ELSE weight END) AS open
+    FROM levels, sources GROUP BY k, rest, room), every
+  WHERE open > 0 AND open <> room
+), targets AS (
+  SELECT source, source_size, CASE WHEN most * room <= weight * rest THEN most ELSE weight * rest / room END AS target
+  FROM sources, (SELECT * FROM levels ORDER BY k DESC LIMIT 1)
+), budgets AS (
+  SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS whole FROM targets
+), running AS (
+  SELECT h.*, source_size, target, whole, target - whole * source_size AS part,
+    sum(size) OVER (PARTITION BY h.source ORDER BY hash) AS upto,
+    sum(size) OVER (PARTITION BY h.source, hash) AS together,
+    row_number() OVER (PARTITION BY h.source, hash) - 1 AS place
+  FROM hashed h JOIN budgets b ON h.source IS NOT DISTINCT FROM b.source
+), placed AS (
+  SELECT *, part - (upto - together) AS room FROM running
+)
+SELECT doc_id, size, source_size, target, CAST(size * (whole + CASE
+    WHEN size = 0 THEN 0 WHEN upto <= part THEN 1 WHEN upto - together > part THEN 0
+    WHEN place < floor(room / size) + CASE WHEN fmod(room, size) * 2 > size THEN 1 ELSE 0 END THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM placed
+"""
+
+
 def statements() -> dict[str, str]:
     return {"op1_chat_format": CHAT, "op2_ngram_join": SIMILAR, "op5_quality_rules": QUALITY,
-            "op7_decontamination": CONTAMINATED}
+            "op7_decontamination": CONTAMINATED, "op11_conversation_repair": REPAIR,
+            "op12_merkle_manifest": MANIFEST, "op13_mixture": MIXTURE}
