@@ -7,6 +7,7 @@ import argparse
 from pyspark.sql import SparkSession
 
 from spoor.plans import jobs
+from spoor.session import run_folder
 
 
 def parser() -> argparse.ArgumentParser:
@@ -17,7 +18,8 @@ def parser() -> argparse.ArgumentParser:
         p = sub.add_parser(name, help=about)
         p.add_argument("--input", required=True, help="descriptor file or folder")
         p.add_argument("--output", required=True)
-        p.add_argument("--form", choices=["parquet", "text"], default="text")
+        p.add_argument("--form", choices=["parquet", "text", "flat"], default="text",
+                       help="flat: one file per descriptor, as native tools read them")
         p.add_argument("--folders", action="store_true", help="a folder per descriptor, as the "
                        "text form is written")
         p.add_argument("--shared", help="folder that all executors share, for intermediate "
@@ -72,9 +74,10 @@ def main() -> None:
     if args.shared:
         spark.conf.set("spark.checkpoint.dir", args.shared)
     try:
-        outcome = run(spark, args)
-        outcome.summary.show()
-        outcome.failures.show(100, truncate=False)
+        with run_folder(spark, f"spoor-{args.job}"):
+            outcome = run(spark, args)
+            outcome.summary.show()
+            outcome.failures.show(100, truncate=False)
     finally:
         spark.stop()
 

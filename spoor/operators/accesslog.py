@@ -5,8 +5,12 @@ the response) and the tie-breakers ``ord1``, ``ord2`` (``ord1`` grows with ``sec
 
 Access number 1 of an object is its cold miss, number 2 is counted as the 1->2
 transition, later ones as regular re-accesses.  The footprint at an inter-arrival
-time is the size (number) of the objects whose shortest inter-arrival time does
-not exceed it.
+time is, by choice, that of
+
+``reached``  the size (number) of the objects whose shortest inter-arrival time does
+             not exceed it,
+``average``  the mean size (number) of the objects accessed in a window of that length,
+             over all windows of the log (:func:`average_footprint`).
 """
 
 from __future__ import annotations
@@ -17,6 +21,7 @@ from pyspark.sql import functions as F
 from spoor.functions.numeric import aggregates, named, sums
 from spoor.model import HEADER_COLS, ROW_COLS, TRAFFIC_COLS, Descriptors
 from spoor.operators.scan import Running, scan
+from spoor.operators.transform import linked
 from spoor.session import materialize
 
 # An object with more accesses than this has its history cut into stretches of about
@@ -144,6 +149,71 @@ def rows_from_traffic(per_iat: DataFrame) -> DataFrame:
     )
 
 
+_WIDE = "DECIMAL(38, 0)"
+
+
+def gaps(numbered: DataFrame, objects: DataFrame) -> DataFrame:
+    """Per class and length: how many stretches without an access of an object are so
+    long, and the sum of the objects' sizes (``n``, ``size``); ``pairs`` of them lie between
+    two accesses.
+
+    A gap is the number of windows of one unit that start in it, plus one: from an access
+    to the next one of the object, from the start of the class's log to the object's first
+    access, and from its last access to the end.  An object is in every window but those
+    that lie in one of its gaps, so the table is all that footprints need: the histogram
+    of reuse times, and a first and a last term for each object.
+    """
+    ends = objects.groupBy("fd_id").agg(*aggregates({"from_sec": "min(t0)", "to_sec": "max(t1)"}))
+    edges = objects.join(ends, "fd_id").selectExpr(
+        "fd_id", "size",
+        "explode(array(t0 - from_sec + 1, to_sec - t1 + 1)) AS gap", "1L AS n", "0L AS pairs")
+    # copies of a reuse time of an object are summed before they meet its size
+    again = numbered.filter("k >= 2").groupBy("fd_id", "obj", "iat").agg(*aggregates({"n": "count(*)"}))
+    between = again.join(objects.select("fd_id", "obj", "size"), ["fd_id", "obj"]).selectExpr(
+        "fd_id", "size * n AS size", "iat AS gap", "n", "n AS pairs")
+    return edges.select(between.columns).unionByName(between).groupBy("fd_id", "gap").agg(
+        *aggregates(sums(["size", "n", "pairs"])))
+
+
+def average_footprint(gap_table: DataFrame, objects: DataFrame) -> DataFrame:
+    """``fd_id, delta_t, mb, objcount``: mean size and number of the objects accessed in a
+    window of ``delta_t``, for every reuse time of a class.
+
+    Of the T - w + 1 windows of length w, an object misses g - w for each of its gaps g > w:
+
+        footprint(w) = whole - sum of (g - w) over gaps g > w / (T - w + 1)
+
+    The sum is the gaps' total less a running total, less w times the same of their
+    number: two running sums along the gaps for the size and two for the number.
+    """
+    totals = objects.groupBy("fd_id").agg(
+        *aggregates({"windows": "max(t1) - min(t0) + 2", "objects": "count(*)", "volume": "sum(size)"}))
+    wide = {"n": "n", "size": "size", "far_n": "gap * n", "far_size": "gap * size"}
+    swept = scan(
+        gap_table.selectExpr("*", *[f"CAST({x} AS {_WIDE}) AS _{c}" for c, x in {
+            "n": "n", "size": "size", "far_n": f"CAST(gap AS {_WIDE}) * n",
+            "far_size": f"CAST(gap AS {_WIDE}) * size"}.items()]),
+        ["fd_id"], ["gap"],
+        {**{f"upto_{c}": Running("sum", f"_{c}") for c in wide},
+         **{f"all_{c}": Running("total", f"_{c}") for c in wide}},
+        beside=totals,
+    )
+
+    def mean(whole: str, c: str) -> str:
+        missed = f"(all_far_{c} - upto_far_{c}) - gap * (all_{c} - upto_{c})"
+        # every window of the log holds an object's part of the mean, cut to a whole number
+        return f"CAST(({whole} * (windows - gap) - ({missed})) div (windows - gap) AS BIGINT)"
+
+    return swept.filter("pairs > 0").selectExpr(
+        "fd_id", "gap AS delta_t", f"{mean('volume', 'size')} AS mb", f"{mean('objects', 'n')} AS objcount")
+
+
+def with_average_footprint(rows: DataFrame, footprint: DataFrame) -> DataFrame:
+    """Descriptor rows whose footprints are those of ``footprint``."""
+    traffic = rows.select("fd_id", "delta_t", *TRAFFIC_COLS)
+    return linked(traffic.join(footprint, ["fd_id", "delta_t"]).select(ROW_COLS))
+
+
 def headers_from_log(
     log: DataFrame, objects: DataFrame, rows: DataFrame, seconds_per_unit: int = 1
 ) -> DataFrame:
@@ -174,9 +244,20 @@ def headers_from_log(
     )
 
 
-def descriptors_from_log(log: DataFrame, seconds_per_unit: int = 1, **options) -> Descriptors:
-    """Descriptors of a log, stored as tables in the shared folder."""
+def descriptors_from_log(
+    log: DataFrame, seconds_per_unit: int = 1, footprint: str = "reached", **options
+) -> Descriptors:
+    """Descriptors of a log, stored as tables in the shared folder; ``footprint`` names
+    what their footprints mean (``reached`` or ``average``)."""
+    if footprint not in ("reached", "average"):
+        raise ValueError(f"no such footprint: {footprint}")
     objects = materialize(object_totals(log), "objects")
-    rows = materialize(rows_from_log(log, objects, **options), "rows")
+    if footprint == "reached":
+        rows = rows_from_log(log, objects, **options)
+    else:
+        numbered = materialize(numbered_accesses(log, objects, **options).filter("k >= 2"), "reuses")
+        mean = average_footprint(materialize(gaps(numbered, objects), "gaps"), objects)
+        rows = with_average_footprint(traffic_by_iat(numbered), mean)
+    rows = materialize(rows, "rows")
     headers = materialize(headers_from_log(log, objects, rows, seconds_per_unit), "headers")
     return Descriptors(headers, rows)

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from spoor.functions.numeric import aggregates, percent
 from spoor.model import TRAFFIC_COLS
@@ -117,25 +117,27 @@ def asof_within(
     lower = _limits(">=", quota.min_mb, quota.min_count, unset_is_zero)
     if upper is None and lower is None:
         return asof(rows, probes)
-    marks = {"_head": Running("first", "delta_t")}
-    if upper is not None:
-        marks["_back"] = Running("last", f"if({upper}, delta_t, NULL)")
-    if lower is not None:
-        marks["_ahead"] = Running("next", f"if({lower}, delta_t, NULL)")
-        marks["_tail"] = Running("most", "delta_t")
-    base = scan(rows.select("fd_id", "delta_t", *_PAYLOAD), ["fd_id"], ["delta_t"], marks)
-    # where the walk back from a row ends: an IAT of the same descriptor
-    back = "coalesce(_back, _head)" if upper is not None else "delta_t"
-    landed = _floor_join(
-        base.selectExpr("fd_id", "delta_t", f"{back} AS _from"), probes, "delta_t", "t", ["_from"]
-    )
-    if lower is not None:
-        onward = base.selectExpr("fd_id", "delta_t AS _from", "coalesce(_ahead, _tail) AS _to")
-        landed = landed.join(onward, ["fd_id", "_from"]).selectExpr("fd_id", "t", "_to AS _from")
-    target = rows.selectExpr("fd_id", "delta_t AS _from", *_PAYLOAD)
-    return landed.select("fd_id", "t", "_from").join(target, ["fd_id", "_from"]).selectExpr(
-        "fd_id", "t", "_from AS delta_t", *_PAYLOAD
-    )
+    columns = ["delta_t", *_PAYLOAD]
+    held = rows.select("fd_id", *columns)
+    if lower is None:
+        ends = {c: c for c in columns}
+    else:
+        # where the walk forward from each row ends
+        held = scan(held, ["fd_id"], ["delta_t"], {
+            **{f"_ahead_{c}": Running("next", f"if({lower}, {c}, NULL)") for c in columns},
+            **{f"_tail_{c}": Running("final", c) for c in columns}})
+        ends = {c: f"coalesce(_ahead_{c}, _tail_{c})" for c in columns}
+    held = held.selectExpr("fd_id", "delta_t AS _at", f"{upper or 'true'} AS _within",
+                           *[f"{e} AS _{c}" for c, e in ends.items()])
+    wanted = {f"_last_{c}": Running("last", f"if(_within, _{c}, NULL)") for c in columns}
+    wanted |= {f"_head_{c}": Running("first", f"_{c}") for c in columns}
+
+    def look_up(asked: DataFrame) -> DataFrame:
+        found = _merged(held, asked, "t", wanted).filter("_head_delta_t IS NOT NULL")
+        return found.selectExpr("fd_id", "_at AS t", *[
+            f"coalesce(_last_{c}, _head_{c}) AS {c}" for c in columns])
+
+    return _answer(probes, "t", look_up)
 
 
 def matching_within(
@@ -167,6 +169,31 @@ def iats_with_mb(rows: DataFrame, probes: DataFrame) -> DataFrame:
     )
 
 
+#: Buckets of a stored index: as many tasks read it at most.
+INDEX_BUCKETS = 64
+
+
+def store_iat_index(rows: DataFrame, name: str, path: str, buckets: int = INDEX_BUCKETS) -> None:
+    """Store the IATs by footprint as table ``name`` below ``path``, bucketed and sorted by
+    class and footprint.  Lookups then read the buckets they need and leave the rows where
+    they are, however many lookups follow."""
+    spark = rows.sparkSession
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    (
+        rows.select("fd_id", "mb", "delta_t")
+        .repartition(buckets, "fd_id", "mb")
+        .write.bucketBy(buckets, "fd_id", "mb").sortBy("fd_id", "mb")
+        .option("path", path).saveAsTable(name)
+    )
+
+
+def iats_in_index(spark: SparkSession, name: str, probes: DataFrame) -> DataFrame:
+    """Probes ``(fd_id, mb)`` -> every IAT with exactly that footprint, from the stored
+    index: only the probes are dealt out, to the buckets."""
+    asked = probes.select("fd_id", "mb").distinct()
+    return spark.table(name).join(asked.hint("merge"), ["fd_id", "mb"]).select("fd_id", "mb", "delta_t")
+
+
 def stack_distances(rows: DataFrame) -> DataFrame:
     """The distinct footprints of each descriptor."""
     return rows.select("fd_id", "mb").distinct()

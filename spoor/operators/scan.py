@@ -47,6 +47,7 @@ class Running:
       ``lag``    value of the previous row (NULL on the key's first row)
       ``lead``   value of the next row (NULL on the key's last row)
       ``first``  value of the key's first non-null row
+      ``final``  value of the key's last non-null row
       ``total``  sum over the whole key
       ``least``  minimum over the whole key
       ``most``   maximum over the whole key
@@ -90,6 +91,8 @@ _KINDS = {
                    "coalesce({here}, {brought})"),
     "first": _Parts(None, "min_by({v}, CASE WHEN ({v}) IS NOT NULL THEN {a} END)",
                     f"first({{s}}) IGNORE NULLS OVER ({{along}} {_ALL})", "{brought}"),
+    "final": _Parts(None, "max_by({v}, CASE WHEN ({v}) IS NOT NULL THEN {a} END)",
+                    f"last({{s}}) IGNORE NULLS OVER ({{along}} {_ALL})", "{brought}"),
     "total": _Parts(None, "sum({v})", f"sum({{s}}) OVER ({{along}} {_ALL})", "{brought}"),
     "least": _Parts(None, "min({v})", f"min({{s}}) OVER ({{along}} {_ALL})", "{brought}"),
     "most": _Parts(None, "max({v})", f"max({{s}}) OVER ({{along}} {_ALL})", "{brought}"),
@@ -106,7 +109,7 @@ def scan(
 ) -> DataFrame:
     """``df`` plus the running ``columns``; ``order[0]`` is the axis.
 
-    Columns of kind ``last``, ``next``, ``lag``, ``lead`` and ``first`` expect at
+    Columns of kind ``last``, ``next``, ``lag``, ``lead``, ``first`` and ``final`` expect at
     most one non-null value per key and axis value.  The other columns in
     ``order`` only break ties between rows of equal axis value.
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from spoor.functions.numeric import aggregates, sums
 from spoor.model import ROW_COLS, TRAFFIC_COLS
@@ -10,54 +11,109 @@ from spoor.operators.scan import Running, scan
 from spoor.session import materialize
 
 
-def _kept_points(pct: float):
-    """Picks the IATs to keep from ``(fd_id, delta_t, mb)`` sorted by descriptor and IAT.
+def _least_step(x: str, pct: float) -> str:
+    """The least whole growth of ``x`` that is ``pct`` percent of it or more."""
+    near = f"CAST(ceil({x} * {pct!r}D / 100D) AS BIGINT)"
 
-    Whether a row is kept depends on the row kept before it, so the points of a
-    descriptor are visited in order.  Batches stream through; between batches only
-    the last kept point of the current descriptor is remembered.
+    def enough(step: str) -> str:
+        return f"({step}) * 100D / {x} >= {pct!r}D"
+
+    return (f"CASE WHEN {x} = 0 THEN 1L WHEN {near} > 1 AND {enough(near + ' - 1')} THEN {near} - 1"
+            f" WHEN {near} > 0 AND {enough(near)} THEN {near} ELSE {near} + 1 END")
+
+
+def _first_from(held: DataFrame, asked: DataFrame) -> DataFrame:
+    """``asked(fd_id, _at, at)`` -> ``fd_id, at, to``: the ``_value`` of the first of
+    ``held(fd_id, _at, _value)`` from ``_at`` on; NULL behind the last."""
+    both = held.selectExpr("fd_id", "_at", "1 AS _kind", "_value", "CAST(NULL AS BIGINT) AS at").unionByName(
+        asked.selectExpr("fd_id", "_at", "0 AS _kind", "CAST(NULL AS BIGINT) AS _value", "at"))
+    found = scan(both, ["fd_id"], ["_at", "_kind"], {"to": Running("next", "_value")})
+    return found.filter("_kind = 0").select("fd_id", "at", "to")
+
+
+def _next_kept(points: DataFrame, pct: float) -> DataFrame:
+    """``fd_id, at, to``: the row kept after each row, if that row is kept; by lookups of
+    the least IAT and the least footprint that are far enough away.
+
+    Footprints must not fall along a descriptor.
     """
+    by_t = _first_from(
+        points.selectExpr("fd_id", "delta_t AS _at", "delta_t AS _value"),
+        points.selectExpr("fd_id", f"delta_t + {_least_step('delta_t', pct)} AS _at", "delta_t AS at"))
+    by_mb = _first_from(
+        points.groupBy("fd_id", F.col("mb").alias("_at")).agg(*aggregates({"_value": "min(delta_t)"})),
+        points.selectExpr("fd_id", f"mb + {_least_step('mb', pct)} AS _at", "delta_t AS at"))
+    return by_t.unionByName(by_mb).groupBy("fd_id", "at").agg(*aggregates({"to": "min(to)"}))
+
+
+def _followed(pointers: DataFrame) -> DataFrame:
+    """``fd_id, delta_t`` of the rows that the pointers lead to from each first row.
+
+    Pointers are doubled: a row's pointer of a round is that of the row it pointed to.  The
+    ways of all rows soon run together, so only rows that are still pointed to are carried
+    on, and the tables of later rounds are short.  Backwards through the rounds, each table
+    then tells the rows half way between those found.
+    """
+    heads = materialize(pointers.groupBy("fd_id").agg(*aggregates({"at": "min(at)"})), "heads")
+    rounds: list[DataFrame] = []
+    now = pointers.filter("to IS NOT NULL")
+    while True:
+        now = materialize(now, "pointers")
+        used = now.selectExpr("fd_id", "to AS at").unionByName(heads).distinct()
+        now = materialize(now.join(used, ["fd_id", "at"], "left_semi"), "pointers-used")
+        rounds.append(now)
+        if now.join(heads, ["fd_id", "at"], "left_semi").isEmpty():
+            break
+        onward = now.selectExpr("fd_id", "at AS to", "to AS onward")
+        now = now.join(onward, ["fd_id", "to"]).selectExpr("fd_id", "at", "onward AS to")
+    found = heads
+    for table in reversed(rounds):
+        found = materialize(found.unionByName(found.join(table, ["fd_id", "at"]).selectExpr("fd_id", "to AS at")),
+                            "kept")
+    return found.withColumnRenamed("at", "delta_t")
+
+
+def _falling(points: DataFrame) -> DataFrame:
+    """Descriptors whose footprint falls somewhere."""
+    before = scan(points, ["fd_id"], ["delta_t"], {"_before": Running("lag", "mb")})
+    return before.filter("mb < _before").select("fd_id").distinct()
+
+
+def _visited(points: DataFrame, pct: float) -> DataFrame:
+    """The rows kept of descriptors whose footprint falls: there the next kept row isn't the
+    first above a threshold, so the points are visited in their order, as a stream of which
+    a task holds one batch."""
 
     def visit(batches):
-        import numpy as np
         import pyarrow as pa
 
-        current, kept_t, kept_mb = None, None, None
+        name, t, mb = None, None, None
         for batch in batches:
-            size = batch.num_rows
-            if size == 0:
-                continue
-            names = batch.column(0).dictionary_encode()
-            code = names.indices.to_numpy(zero_copy_only=False)
-            t, mb = batch.column(1).to_numpy(), batch.column(2).to_numpy()
             keep = []
-            starts = np.flatnonzero(np.r_[True, code[1:] != code[:-1]])
-            for lo, hi in zip(starts, np.r_[starts[1:], size]):
-                name = names.dictionary[code[lo]].as_py()
-                if name != current:
-                    current, kept_t, kept_mb = name, None, None
-                at, look = lo, 32
-                while at < hi:
-                    if kept_t is None:
-                        hit = at if pct <= 100 else hi
-                    else:
-                        end = min(at + look, hi)
-                        with np.errstate(divide="ignore", invalid="ignore"):
-                            moved = (np.abs((t[at:end] - kept_t) * 100.0 / kept_t) >= pct) | (
-                                np.abs((mb[at:end] - kept_mb) * 100.0 / kept_mb) >= pct
-                            )
-                        first = int(moved.argmax())
-                        if not moved[first]:
-                            at, look = end, look * 2
-                            continue
-                        hit = at + first
-                    if hit < hi:
-                        keep.append(hit)
-                        kept_t, kept_mb = t[hit], mb[hit]
-                    at, look = hit + 1, 32
+            for i, (fd, x, y) in enumerate(zip(*(batch.column(c).to_pylist() for c in range(3)))):
+                if fd != name:
+                    far = True
+                else:
+                    far = any(new != old if old == 0 else abs((new - old) * 100.0 / old) >= pct
+                              for new, old in ((x, t), (y, mb)))
+                if far:
+                    name, t, mb = fd, x, y
+                    keep.append(i)
             yield batch.select([0, 1]).take(pa.array(keep, pa.int64()))
 
-    return visit
+    sorted_points = points.repartition("fd_id").sortWithinPartitions("fd_id", "delta_t")
+    return sorted_points.mapInArrow(visit, "fd_id string, delta_t bigint")
+
+
+def _kept(rows: DataFrame, pct: float) -> DataFrame:
+    points = rows.select("fd_id", "delta_t", "mb")
+    if pct > 100:  # nothing is far enough from a start that counts as 100 percent
+        return points.select("fd_id", "delta_t").limit(0)
+    falling = materialize(_falling(points), "falling")
+    kept = _followed(_next_kept(points.join(falling, "fd_id", "left_anti"), pct))
+    if falling.isEmpty():
+        return kept
+    return kept.unionByName(_visited(points.join(falling, "fd_id", "left_semi"), pct))
 
 
 def thin(rows: DataFrame, pct: float) -> DataFrame:
@@ -65,19 +121,14 @@ def thin(rows: DataFrame, pct: float) -> DataFrame:
     footprint; the traffic of the rows between goes to the next kept row.  What is
     left at the end goes to the descriptor's last row if it has any requests.
 
-    Only two numbers per row pass through the ordered visit, which holds one batch at
-    a time; the traffic is then handed out segment by segment.
+    Whether a row is kept depends on the row kept before it.  Every row finds the row that
+    would be kept after it, and the pointers are followed by doubling, so no descriptor is
+    one task; the traffic is then handed out segment by segment.
     """
     rows = rows.select(ROW_COLS)
     if pct <= 0:
         return rows
-    kept = materialize(
-        rows.select("fd_id", "delta_t", "mb")
-        .repartition("fd_id")
-        .sortWithinPartitions("fd_id", "delta_t")
-        .mapInArrow(_kept_points(float(pct)), "fd_id string, delta_t bigint"),
-        "kept",
-    )
+    kept = materialize(_kept(rows, float(pct)), "kept-rows")
     marked = rows.join(kept.selectExpr("*", "true AS _kept"), ["fd_id", "delta_t"], "left")
     ended = (
         scan(marked, ["fd_id"], ["delta_t"], {"_end": Running("next", "if(_kept, delta_t, NULL)")})

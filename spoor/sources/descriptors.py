@@ -8,7 +8,10 @@ header and the body lines; its first header counts and its rows add up.
 
 from __future__ import annotations
 
+import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,9 +20,10 @@ from spoor.functions.numeric import aggregates
 from spoor.model import HEADER_COLS, ROW_COLS, Descriptors
 from spoor.operators.thin import thin
 from spoor.operators.transform import coalesce_rows, validity
-from spoor.session import materialize
+from spoor.session import materialize, removed
 from spoor.sources.lines import (
     DESCRIPTOR_PREFIX,
+    KEY_SUFFIX,
     base_name,
     folder_value,
     integer,
@@ -70,7 +74,7 @@ def read_descriptors(
     """
     glob = None if folders else name_glob
     lines = read_lines(spark, path, glob)
-    seen = listed_files(spark, path, glob)
+    seen = listed_files(spark, path, glob).select("file")
     if folders:
         # the part files of a folder follow each other in number order
         part = r"coalesce(try_cast(regexp_extract(file, '/part-(\\d+)[^/]*$', 1) AS BIGINT), 0)"
@@ -90,42 +94,34 @@ def read_descriptors(
         "file", "pos", "value", F.col("value").startswith("#").alias("is_head"), *body
     )
     whole = " AND ".join(f"{c} IS NOT NULL" for c in BODY_FIELDS)
-    counts = parsed.groupBy("file").agg(
-        *aggregates({
-            "body_rows": "count_if(NOT is_head)",
-            "bad_rows": f"count_if(NOT is_head AND NOT ({whole}))",
-            "first_pos": "min(pos)",
-            "first_head": "min(if(is_head, pos, NULL))",
-        })
-    )
-    # the first line of each file is its header
-    heads = (
-        parsed.filter("is_head")
-        .groupBy("file")
-        .agg(*aggregates({"head": "min_by(value, pos)"}))
-        .select("file", F.transform(tokens(F.regexp_replace("head", "^#", "")), integer)
-                .alias("numbers"))
+    # one pass over the text tells all about a file; its first line is its header
+    numbers = F.transform(tokens(F.regexp_replace("head", "^#", "")), integer)
+    per_file = (
+        parsed.groupBy("file")
+        .agg(
+            *aggregates({
+                "body_rows": "count_if(NOT is_head)",
+                "bad_rows": f"count_if(NOT is_head AND NOT ({whole}))",
+                "first_pos": "min(pos)",
+                "first_head": "min(if(is_head, pos, NULL))",
+                "head": "min_by(value, pos) FILTER (WHERE is_head)",
+            })
+        )
+        .withColumn("numbers", F.coalesce(numbers, F.array().cast("array<bigint>")))
         .selectExpr(
-            "file",
-            "numbers",
+            "*",
             "coalesce(nullif(array_position(transform(numbers, x -> x IS NULL), true), 0) - 1, "
             "size(numbers)) AS given",
         )
         .selectExpr(
             "file",
+            "body_rows",
+            "bad_rows",
+            "coalesce(first_pos = first_head, false) AS marked",
             "given",
-            *[f"if(given > {i}, get(numbers, {i}), 0L) AS {c}"
-              for i, c in enumerate(HEADER_FIELDS)],
+            *[f"if(given > {i}, get(numbers, {i}), 0L) AS {c}" for i, c in enumerate(HEADER_FIELDS)],
         )
     )
-    per_file = counts.join(heads, "file", "left").selectExpr(
-        "file",
-        "body_rows",
-        "bad_rows",
-        "coalesce(first_pos = first_head, false) AS marked",
-        "coalesce(given, 0) AS given",
-        *HEADER_FIELDS,
-    )
     files = (
         seen.withColumn("file_name", named)
         .withColumn("fd_id", F.regexp_replace(strip_key(F.col("file_name")), r"^stdtime\.", ""))
@@ -191,13 +187,15 @@ def writable(d: Descriptors) -> tuple[Descriptors, DataFrame]:
 
 def write_descriptors(
     d: Descriptors, path: str, thin_pct: float = 0.0, form: str = "parquet",
-    mode: str = "errorifexists",
+    mode: str = "errorifexists", key: str | None = None,
 ) -> DataFrame:
     """Write all valid descriptors below ``path``; returns the rejects.
 
     ``parquet`` keeps two tables, ``headers`` and ``rows``.  ``text`` makes a folder
     ``name=stdtime.<class>`` per descriptor; the range partitioning lets several
-    tasks write a long one, its part files follow each other in name order.
+    tasks write a long one, its part files follow each other in name order.  ``flat`` makes
+    one file ``stdtime.<class>`` per descriptor, with ``.key<n>`` behind it if ``key`` is given,
+    as the command-line tools read them.
     """
     fit, rejects = writable(d)
     fit = Descriptors(fit.headers, thin(fit.rows, thin_pct))
@@ -206,6 +204,8 @@ def write_descriptors(
         fit.rows.write.mode(mode).parquet(f"{path}/rows")
     elif form == "text":
         write_lines(descriptor_lines(fit), path, DESCRIPTOR_PREFIX, mode)
+    elif form == "flat":
+        write_flat(descriptor_lines(fit), path, DESCRIPTOR_PREFIX, key)
     else:
         raise ValueError(f"unknown form {form!r}")
     return rejects
@@ -228,6 +228,58 @@ def write_lines(lines: DataFrame, path: str, prefix: str, mode: str) -> None:
     )
 
 
+def write_flat(lines: DataFrame, path: str, prefix: str, key: str | None = None) -> None:
+    """One file per descriptor, straight below ``path``.
+
+    A file has one writer: all lines of a name go to one task, which sorts (and spills) them
+    and streams them out.  The part files are written to a folder beside the target and
+    moved to their names once all of them are there, so a lost executor leaves no half of a
+    file; a move touches names only.  Files of these names that are there are replaced.
+    """
+    spark = lines.sparkSession
+    # not hidden, yet no name that a reader of descriptors looks for
+    staged = f"{path.rstrip('/')}/staged-{uuid.uuid4().hex}"
+    suffix = "" if key is None else f".key{key}"
+    named = lines.select(F.concat(F.lit(prefix), "fd_id").alias("name"), "at", "value")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    with_suffix = F.when(F.col("name").rlike(KEY_SUFFIX), F.col("name")).otherwise(
+        F.concat("name", F.lit(suffix)))
+    (
+        named.withColumn("name", with_suffix)
+        .repartition(parts, "name")
+        .sortWithinPartitions("name", "at")
+        .select("name", "value")
+        .write.option("maxRecordsPerFile", 0)
+        .partitionBy("name")
+        .text(staged)
+    )
+    try:
+        move_parts(spark, staged, path)
+    finally:
+        removed(spark, staged)
+
+
+def move_parts(spark: SparkSession, staged: str, path: str) -> None:
+    """Move ``name=<x>/part-...`` below ``staged`` to ``path/<x>``, several at a time."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    root = hadoop.Path(staged)
+    system = root.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def moved(folder) -> None:
+        name = unquote(folder.getName().split("=", 1)[1])
+        parts = [f.getPath() for f in system.listStatus(folder) if f.getPath().getName().startswith("part-")]
+        if len(parts) != 1:
+            raise ValueError(f"{name} was written in {len(parts)} parts")
+        target = hadoop.Path(path, name)
+        system.delete(target, False)
+        if not system.rename(parts[0], target):
+            raise OSError(f"could not move {name} to {path}")
+
+    folders = [f.getPath() for f in system.listStatus(root) if f.isDirectory()]
+    with ThreadPoolExecutor(16) as pool:
+        list(pool.map(moved, folders))
+
+
 def read_tables(spark: SparkSession, path: str) -> Descriptors:
     """Descriptors written with ``form='parquet'``."""
     return Descriptors(

@@ -74,12 +74,12 @@ def read_lines(
 def listed_files(
     spark: SparkSession, path: str | list[str], name_glob: str | None = None
 ) -> DataFrame:
-    """The names of all files below ``path``, also of empty ones (a listing only)."""
-    reader = spark.read.option("recursiveFileLookup", True)
+    """``(file, length)`` of all files below ``path``, also of empty ones.  Only the listing
+    is read, as a table: names go to the tasks, not through the driver's code."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if name_glob:
         reader = reader.option("pathGlobFilter", name_glob)
-    names = [(f,) for f in reader.text(path).inputFiles()]
-    return spark.createDataFrame(names, "file string").select(decoded(F.col("file")).alias("file"))
+    return reader.load(path).select(decoded(F.col("path")).alias("file"), "length")
 
 
 def tokens(line: Column) -> Column:

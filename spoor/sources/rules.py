@@ -13,11 +13,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from spoor.model import RULE_COLS
-from spoor.sources.lines import base_name, read_lines, strip_key, tokens
+from spoor.sources.lines import base_name, listed_files, read_lines, strip_key, tokens
 
 # Actions of a rule line and the factors of the traffic suffixes.
 ACTIONS = ["add", "sub", "concat"]
 SUFFIX_FACTORS = {"G": 1e9, "M": 1e6, "K": 1e3}
+# Fixed value: the file that names the files of a bundled rule set.
+MANIFEST = "MANIFEST"
 
 
 @dataclass(frozen=True)
@@ -89,9 +91,13 @@ def read_mix_rules(
         name = F.lit(mix_id)
     elif single:
         name = F.regexp_replace(name, r"\.config$", "")
-    lines = lines.filter(base_name(F.col("file")) != "MANIFEST").select(
+    return _latest(lines.filter(base_name(F.col("file")) != MANIFEST).select(
         name.alias("mix_id"), "file", "pos", "value"
-    )
+    ))
+
+
+def _latest(lines: DataFrame) -> Rules:
+    """Lines ``(mix_id, file, pos, value)`` parsed; of files of one name the last by path."""
     files = lines.select("mix_id", "file").distinct()
     latest = files.groupBy("mix_id").agg(F.max("file").alias("latest"))
     older = files.join(latest, "mix_id").filter("file <> latest").select(
@@ -103,6 +109,33 @@ def read_mix_rules(
     return Rules(parsed.rules, parsed.rejects.unionByName(older))
 
 
+@dataclass(frozen=True)
+class Bundle:
+    """Rule files named by a manifest; ``missing``: names it has and the folder hasn't."""
+
+    rules: DataFrame
+    rejects: DataFrame
+    missing: DataFrame
+
+
+def read_bundle(spark: SparkSession, folder: str) -> Bundle:
+    """The rule files below ``folder`` that its ``MANIFEST`` names, one name a line (``#``:
+    a comment).  A file it doesn't name is left alone.
+
+    The listing is joined to the manifest before anything is read; a file without lines
+    is an empty mix, not a missing one.
+    """
+    folder = folder.rstrip("/")
+    named = spark.read.text(f"{folder}/{MANIFEST}").select(F.trim("value").alias("name")).filter(
+        "name <> '' AND name NOT LIKE '#%'").distinct()
+    there = listed_files(spark, folder).select(base_name(F.col("file")).alias("name")).distinct()
+    missing = named.join(there, "name", "left_anti")
+    lines = read_lines(spark, folder).withColumn("name", base_name(F.col("file")))
+    lines = lines.join(named, "name", "left_semi").withColumn("mix_id", strip_key(F.col("name")))
+    parsed = _latest(lines)
+    return Bundle(parsed.rules, parsed.rejects, missing)
+
+
 def write_mix_rules(rules: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """A folder of rules as a table, to be read back with ``spark.read.parquet``."""
     rules.select(RULE_COLS).write.mode(mode).parquet(path)

@@ -81,7 +81,7 @@ def test_headers(spark):
         assert h.peak_bytes_300s == max(map(sum, slots.values()))
 
 
-def test_stream_equals_batch(spark, tmp):
+def test_stream_equals_batch(spark, tmp, monkeypatch):
     rng = random.Random(6)
     lines, log, at = [], [], 0
     for i in range(400):
@@ -93,11 +93,80 @@ def test_stream_equals_batch(spark, tmp):
     for part in range(4):
         spark.createDataFrame([(x,) for x in lines[part * 101:(part + 1) * 101]], "value string") \
             .coalesce(1).write.mode("append").text(f"{tmp}/in")
+    monkeypatch.setattr(live, "COMPACT_AFTER", 2)
     stream = spark.readStream.option("maxFilesPerTrigger", 1).text(f"{tmp}/in")
-    query = live.start(live.parse_lines(stream), f"{tmp}/changes", f"{tmp}/checkpoint")
-    query.awaitTermination()
-    got = rows_of(a.rows_from_traffic(live.finished(spark, f"{tmp}/changes")))
+    live.start(stream, f"{tmp}/table", f"{tmp}/checkpoint", buckets=4).awaitTermination()
+    table = live.LiveTable(spark, f"{tmp}/table", 4)
+    got = rows_of(a.rows_from_traffic(table.finished()))
     df = spark.createDataFrame(log, SCHEMA)
     assert got == rows_of(a.rows_from_log(df, a.object_totals(df)))
-    assert spark.read.parquet(f"{tmp}/changes").select("batch").distinct().count() > 1
+    assert [tuple(r) for r in table.rejects().collect()] == [("not a log line", "too few fields")]
     assert df.agg(F.count("*")).first()[0] == 400
+    # two versions of a bucket at most, and sums in place of old changes
+    assert all(len(v) <= 2 for v in table._versions(99).values())
+    assert len(table._sums()) == 1 and len(table._changes()) < 2
+
+
+def test_late_lines_are_rejected_and_change_nothing(spark, tmp):
+    batches = [["k:10:x:1:5:0:7:0", "k:30:x:1:6:0:7:0"], ["k:20:x:1:7:0:7:0", "k:29:y:1:8:0:7:0"],
+               ["k:30:x:1:9:0:7:0", "k:9:y:1:1:0:7:0", "k:40:y:1:2:0:7:0"]]
+    for part in batches:
+        spark.createDataFrame([(x,) for x in part], "value string").coalesce(1).write.mode("append").text(f"{tmp}/in")
+    stream = spark.readStream.option("maxFilesPerTrigger", 1).text(f"{tmp}/in")
+    live.start(stream, f"{tmp}/table", f"{tmp}/checkpoint", buckets=2).awaitTermination()
+    table = live.LiveTable(spark, f"{tmp}/table", 2)
+    assert sorted(r["value"] for r in table.rejects().collect()) == ["k:20:x:1:7:0:7:0", "k:9:y:1:1:0:7:0"]
+    log = [("7", "x", 10, 0, 0, 5), ("7", "x", 30, 1, 0, 6), ("7", "y", 29, 0, 0, 8), ("7", "x", 30, 2, 0, 9),
+           ("7", "y", 40, 3, 0, 2)]
+    df = spark.createDataFrame(log, SCHEMA)
+    assert rows_of(a.rows_from_traffic(table.finished())) == rows_of(a.rows_from_log(df, a.object_totals(df)))
+
+
+def test_a_batch_that_runs_again_changes_nothing(spark, tmp):
+    table = live.LiveTable(spark, f"{tmp}/table", 2)
+
+    def batch(number, lines):
+        df = spark.createDataFrame([(x,) for x in lines], "value string")
+        live._outcome(live._met(df, table, number)).write.mode("overwrite").partitionBy(
+            "kind", "bucket").parquet(table.folder(number))
+        table.tidy(number)
+
+    parts = [["k:1:x:1:5:0:7:0"], ["k:3:x:1:6:0:7:0"], ["k:4:x:1:6:0:7:0", "k:4:y:1:6:0:7:0"]]
+    for number, lines in enumerate(parts):
+        batch(number, lines)
+        once = sorted(map(tuple, table.finished().collect()))
+        batch(number, lines)
+        assert sorted(map(tuple, table.finished().collect())) == once
+    assert once == [("7", 1, 1, 6, 0, 0, 1, 6), ("7", 2, 0, 0, 6, 1, 0, 0)]
+
+
+def windows_by_hand(log, fd, w):
+    """Mean number and size of the objects in all windows of w units."""
+    mine = [r for r in log if r[0] == fd]
+    start, end = min(r[2] for r in mine), max(r[2] for r in mine)
+    size = {}
+    for r in mine:
+        size[r[1]] = max(size.get(r[1], 0), r[5])
+    number = total = 0
+    starts = range(start, end - w + 2)
+    for x in starts:
+        seen = {r[1] for r in mine if x <= r[2] < x + w}
+        number += len(seen)
+        total += sum(size[o] for o in seen)
+    return total // len(starts), number // len(starts)
+
+
+def test_average_footprint_against_all_windows(spark):
+    rng = random.Random(12)
+    log = [(rng.choice("ab"), f"o{rng.randint(0, 12)}", rng.randint(100, 180), 0, i, rng.randint(1, 900))
+           for i in range(120)]
+    log = [(fd, o, sec, sec, i, sz) for fd, o, sec, _, i, sz in log] + [("c", "one", 5, 5, 0, 3), ("c", "one", 5, 5, 1, 4)]
+    d = a.descriptors_from_log(spark.createDataFrame(log, SCHEMA), footprint="average")
+    rows = d.rows.collect()
+    assert rows and any(r["delta_t"] == 0 for r in rows)
+    for r in rows:
+        assert (r["mb"], r["objcount"]) == windows_by_hand(log, r["fd_id"], r["delta_t"]), r
+    # the traffic is that of the other footprint
+    other = a.descriptors_from_log(spark.createDataFrame(log, SCHEMA))
+    cols = ["fd_id", "delta_t", *ROW_COLS[4:]]
+    assert sorted(map(tuple, d.rows.select(cols).collect())) == sorted(map(tuple, other.rows.select(cols).collect()))

@@ -102,3 +102,49 @@ def test_left_out_classes_and_lines_are_named(spark):
         [("k:5:obj:1:2:0:cls:0",), ("k:x:obj:1:2:0:cls:0",), ("k:5:obj:1:y:0:cls:0",), ("short",)], "value string")
     assert [tuple(r) for r in parse_lines(lines).collect()] == [("cls", "obj", 5, 2)]
     assert sorted(r["reason"] for r in broken_lines(lines).collect()) == ["bad size", "bad time", "too few fields"]
+
+
+def names_below(folder):
+    return sorted(os.path.relpath(os.path.join(d, f), folder) for d, _, names in os.walk(folder) for f in names)
+
+
+def test_a_run_leaves_nothing_behind(spark, tmp):
+    from spoor.session import cleared, materialize, run_folder
+
+    before = spark.conf.get("spark.checkpoint.dir", None)
+    spark.conf.set("spark.checkpoint.dir", f"{tmp}/shared")
+    try:
+        with run_folder(spark, "run"):
+            materialize(spark.range(5), "one")
+            assert names_below(f"{tmp}/shared")
+        assert names_below(f"{tmp}/shared") == []
+        assert materialize(spark.range(5), "two").count() == 5
+        cleared(spark)
+        assert names_below(f"{tmp}/shared") == []
+    finally:
+        spark.conf.set("spark.checkpoint.dir", before)
+
+
+def test_a_job_leaves_only_its_result(spark, tmp, monkeypatch):
+    from spoor import __main__ as command
+    from spoor.sources.descriptors import write_descriptors
+
+    d = make(spark, {"a": [(1, 5, 1, 10, 100, 0, 0), (4, 9, 2, 5, 50, 0, 0)]})
+    write_descriptors(d, f"{tmp}/in", form="flat", key="2")
+    assert [x for x in names_below(f"{tmp}/in") if not x.startswith(".")] == ["stdtime.a.key2"]
+    args = command.parser().parse_args(
+        ["unshard", "--input", f"{tmp}/in", "--output", f"{tmp}/out", "--factor", "2", "--form", "flat"])
+    before = spark.conf.get("spark.checkpoint.dir", None)
+    spark.conf.set("spark.checkpoint.dir", f"{tmp}/shared")
+    try:
+        from spoor.session import run_folder
+
+        with run_folder(spark, "job"):
+            assert command.run(spark, args).failures.count() == 0
+        assert names_below(f"{tmp}/shared") == []
+    finally:
+        spark.conf.set("spark.checkpoint.dir", before)
+    assert [x for x in names_below(f"{tmp}/out") if not x.startswith(".")] == ["stdtime.a"]
+    with open(f"{tmp}/out/stdtime.a") as f:
+        lines = f.read().splitlines()
+    assert lines[0].startswith("# ") and lines[1:] == ["1 10 2 20 200 0 0", "4 18 4 10 100 0 0"]

@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spoor.model import ROW_COLS, Descriptors
+from spoor.model import HEADER_COLS, ROW_COLS, Descriptors
 from spoor.operators import curves, summary
 from spoor.plans import jobs
 from spoor.session import new_path
@@ -20,10 +20,12 @@ from spoor.sources.descriptors import (
     read_descriptors,
     read_tables,
     write_descriptors,
+    write_flat,
     write_lines,
 )
 from spoor.sources.rules import parse_concat_rules, parse_mix_rules
 from workload import fixtures as fx
+from workload.oracle import THIN_PCT
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -115,6 +117,64 @@ def _scale(r: tuple) -> str:
     return f"{r[4] / 1000}K" if r[5] == "traffic" else str(r[4])
 
 
+def _flat(spark: SparkSession, sf: str) -> DataFrame:
+    """One file per descriptor, with a key, beside files of other names; read back by the
+    name's glob."""
+    path, d = new_path(spark, "flat"), fx.descriptors(spark, sf, "lineitem")
+    write_descriptors(d, path, form="flat", key="3")
+    write_flat(descriptor_lines(d), path, "other.")
+    return read_descriptors(spark, path, "stdtime.g1*").descriptors.rows
+
+
+def _networks(spark: SparkSession, sf: str) -> Descriptors:
+    """The events classes as classes of two networks."""
+    d = fx.descriptors(spark, sf, "events")
+    name = "concat(if(fd_id IN ('click', 'view'), 'a', 'b^x'), '^', fd_id) AS fd_id"
+    return Descriptors(d.headers.selectExpr(name, *HEADER_COLS[1:]), d.rows.selectExpr(name, *ROW_COLS[1:]))
+
+
+def _customer_map_job(spark: SparkSession, sf: str) -> DataFrame:
+    """A mix per network, from a map that names a class of it in every line."""
+    path, out, where = new_path(spark, "nets"), new_path(spark, "mix-job"), new_path(spark, "map")
+    write_descriptors(_networks(spark, sf), path, form="flat")
+    names = "array('a^click', 'a^view', 'b^x^error', 'b^x^signup', 'b^x^purchase', 'plain')"
+    lines = fx.table(spark, sf, "nation").selectExpr(
+        f"concat_ws(' ', n_nationkey, n_regionkey, 'x', {names}[n_nationkey % 6]) AS value")
+    lines.write.text(where)
+    jobs.mix_job(spark, path, out, customer_map=where)
+    return read_tables(spark, out).rows.select(ROW_COLS)
+
+
+def _glob_job(spark: SparkSession, sf: str) -> DataFrame:
+    """Rule files by glob, results thinned and written flat; a file of another name is left."""
+    path, out = new_path(spark, "rules"), new_path(spark, "mix-job")
+    lines = [(m, i, f"{c} add {s}") for m, s in (("half.mg", 0.5), ("one.mg", 1.0), ("other", 1.0))
+             for i, c in enumerate(fx.EVENT_CLASSES)]
+    write_flat(spark.createDataFrame(lines, "fd_id string, at int, value string"), path, "")
+    jobs.mix_job(spark, _text(spark, sf, "events"), out, f"{path}/*.mg", thin_pct=THIN_PCT, form="flat",
+                 folders=True)
+    return read_descriptors(spark, out).descriptors.rows
+
+
+def _job_of_many_faults(spark: SparkSession, sf: str) -> DataFrame:
+    """Each reason for which a mix job leaves something out, once."""
+    path, out, rules = (new_path(spark, x) for x in ("faulty", "mix-job", "rules"))
+    events, more = fx.descriptors(spark, sf, "events"), fx.descriptors(spark, sf, "lineitem")
+    write_flat(descriptor_lines(events), f"{path}/b", "stdtime.")
+    write_flat(descriptor_lines(events.named("click")), f"{path}/a", "stdtime.")
+    broken = descriptor_lines(more.named("g0", "g1", "g2", "g3", "g6")).select("fd_id", "at", F.expr(
+        "CASE WHEN fd_id = 'g0' AND at < 0 THEN substring(value, 3, 1000)"
+        " WHEN fd_id = 'g1' AND at < 0 THEN '# 0 0 5'"
+        " WHEN fd_id = 'g2' AND at > 0 THEN substring_index(value, ' ', 6)"
+        " WHEN fd_id = 'g6' AND at < 0 THEN '# 100000000 9 0' ELSE value END").alias("value"))
+    write_flat(broken.filter("at < 0 OR fd_id <> 'g3'"), f"{path}/b", "stdtime.")
+    lines = [("job", i, x) for i, x in enumerate((
+        "click add 2", "absent add 1", "purchase add 0", "g6 add 50K", "error add 0.0000000001"))]
+    lines.append(("bad", 0, "click multiply 2"))
+    write_flat(spark.createDataFrame(lines, "fd_id string, at int, value string"), rules, "")
+    return jobs.mix_job(spark, path, out, rules).failures
+
+
 def _unshard_job(spark: SparkSession, sf: str) -> DataFrame:
     out = new_path(spark, "unshard-job")
     jobs.unshard_job(spark, _text(spark, sf, "events"), out, 2.5, folders=True)
@@ -155,4 +215,8 @@ def all_queries() -> dict[str, Query]:
         "concat_job": _concat_job,
         "mix_job": lambda s, sf: _mix_job(s, sf)[0].rows.select(ROW_COLS),
         "mix_job_failures": lambda s, sf: _mix_job(s, sf)[1].failures,
+        "mix_job_faults": _job_of_many_faults,
+        "mix_job_customer_map": _customer_map_job,
+        "mix_job_glob_thinned": _glob_job,
+        "flat_files": _flat,
     }

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from spoor.model import RULE_SCHEMA, Descriptors
 from spoor.operators.accesslog import descriptors_from_log
+from spoor.session import application_folder
 
 MICROS = "timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', CAST({} AS TIMESTAMP_NTZ))"
 SECONDS_PER_DAY = 86400
@@ -48,7 +49,29 @@ def lineitem_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-LOGS = {"events": (events_log, 1), "lineitem": (lineitem_log, SECONDS_PER_DAY)}
+#: Classes of the bundled rule sets, their groups, and classes of a group more or less.
+BUNDLE_CLASSES, BUNDLE_GROUPS = 2046, 40
+
+
+def parts_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accesses of suppliers (objects) by class of part, in days: as many classes as the
+    bundled rule sets name."""
+    return (
+        table(spark, sf_dir, "lineitem")
+        .withColumn("ord1", F.expr(MICROS.format("l_shipdate")))
+        .selectExpr(
+            f"concat('c', l_partkey % {BUNDLE_CLASSES}) AS fd_id",
+            "l_suppkey AS obj",
+            "ord1 div 86400000000 AS sec",
+            "ord1",
+            "l_orderkey * 10 + l_linenumber AS ord2",
+            "CAST(l_quantity AS BIGINT) AS sz",
+        )
+    )
+
+
+LOGS = {"events": (events_log, 1), "lineitem": (lineitem_log, SECONDS_PER_DAY),
+        "parts": (parts_log, SECONDS_PER_DAY)}
 
 _built: dict[tuple[str, str, str], Descriptors] = {}
 
@@ -60,7 +83,8 @@ def descriptors(spark: SparkSession, sf_dir: str, source: str) -> Descriptors:
     key = (spark.sparkContext.applicationId, sf_dir, source)
     if key not in _built:
         make_log, unit = LOGS[source]
-        _built[key] = descriptors_from_log(make_log(spark, sf_dir), unit)
+        with application_folder():  # they outlive the query that asks for them first
+            _built[key] = descriptors_from_log(make_log(spark, sf_dir), unit)
     return _built[key]
 
 
@@ -92,6 +116,7 @@ CANCELLING = [rule("cancelling", 0, "click"), rule("cancelling", 1, "view"),
               rule("cancelling", 2, "click", "sub"), rule("cancelling", 3, "error", scale=0.5)]
 SUBTRACT = [rule("difference", 0, "click"), rule("difference", 1, "view", "sub", 0.5)]
 PAIR = [rule("pair", 0, "click"), rule("pair", 1, "view")]
+TENTH = [rule("tenth", i, c, scale=0.1, n=3, m=7) for i, c in enumerate(EVENT_CLASSES)]
 CONCAT = [("three", 0, "click", 1.0), ("three", 1, "view", 1.0), ("three", 2, "error", 1.0),
           ("scaled", 0, "click", 2.0), ("scaled", 1, "signup", 1.0),
           ("broken", 0, "click", 1.0), ("broken", 1, "absent", 1.0)]
@@ -131,17 +156,44 @@ def customer_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def iat_probes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """IATs to look up: one per event, spread over the axis."""
+def _spread(spark: SparkSession, sf_dir: str, axis: str, step: int, name: str) -> DataFrame:
+    """One probe per event, spread over the whole axis of its class and a little beyond."""
+    ends = descriptors(spark, sf_dir, "events").rows.groupBy("fd_id").agg(F.max(axis).alias("end"))
     return (
-        table(spark, sf_dir, "events")
-        .selectExpr("event_type AS fd_id", "(event_id * 7919) % 3000000 AS t")
+        table(spark, sf_dir, "events").withColumnRenamed("event_type", "fd_id").join(ends, "fd_id")
+        .selectExpr("fd_id", f"(event_id * {step}) % (end + end div 16 + 2) AS {name}")
     )
 
 
+def iat_probes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """IATs to look up."""
+    return _spread(spark, sf_dir, "delta_t", 7919, "t")
+
+
 def mb_probes(spark: SparkSession, sf_dir: str, name: str = "target_mb") -> DataFrame:
-    """Footprints to look up: one per event, spread over the axis."""
-    return (
-        table(spark, sf_dir, "events")
-        .selectExpr("event_type AS fd_id", f"(event_id * 104729) % 4000000 AS {name}")
-    )
+    """Footprints to look up."""
+    return _spread(spark, sf_dir, "mb", 104729, name)
+
+
+def largest_mb(spark: SparkSession, sf_dir: str) -> int:
+    """The largest footprint of the events classes, which limits and sizes are parts of."""
+    return descriptors(spark, sf_dir, "events").rows.agg(F.max("mb")).first()[0]
+
+
+def bundle_lines(spark: SparkSession) -> DataFrame:
+    """``(fd_id, at, value)``: the lines of rule files shaped like the bundled ones, under
+    the files' names, and of their manifest, which names one file too many."""
+    ids = spark.range(BUNDLE_CLASSES)
+
+    def file(name: str, line: str) -> DataFrame:
+        return ids.selectExpr(f"{name} AS fd_id", "id AS at", f"{line} AS value")
+
+    g = BUNDLE_GROUPS
+    found = file(f"concat('g', id % {g}, '.mg1')", "concat('c', id, ' add 1')")
+    for k in (3, 7):
+        found = found.unionByName(file(f"concat('g', (id * {k} + {k}) % {g}, '.mg2')", "concat('c', id, ' add 0.5')"))
+    flat = spark.range(g).selectExpr("'flat' AS fd_id", "id AS at", "concat('g', id, '.mg1 add 1') AS value")
+    found = found.unionByName(flat)
+    names = found.select("fd_id").distinct().selectExpr("'MANIFEST' AS fd_id", "0L AS at", "fd_id AS value")
+    more = spark.sql("SELECT 'MANIFEST' AS fd_id, 1L AS at, 'gone.mg1' AS value")
+    return found.unionByName(names).unionByName(more)

@@ -17,7 +17,11 @@ LOGS = {
       l_orderkey*10+l_linenumber as ord2, cast(trunc(l_quantity) as bigint) as sz
       from lineitem""",
 }
-UNITS = {"events": 1, "lineitem": fx.SECONDS_PER_DAY}
+LOGS["parts"] = f"""select 'c' || (l_partkey % {fx.BUNDLE_CLASSES}) as fd_id, l_suppkey as obj,
+      epoch_us(l_shipdate)//86400000000 as sec, epoch_us(l_shipdate) as ord1,
+      l_orderkey*10+l_linenumber as ord2, cast(trunc(l_quantity) as bigint) as sz
+      from lineitem"""
+UNITS = {"events": 1, "lineitem": fx.SECONDS_PER_DAY, "parts": fx.SECONDS_PER_DAY}
 TRAFFIC = ["requests", "bytes", "tr_bytes", "tr_requests"]
 VOLUMES = ["total_requests", "total_served_bytes", "total_mib", "peak_requests_300s",
            "peak_bytes_300s"]
@@ -90,12 +94,14 @@ def rule_values(*sets: list[tuple]) -> str:
 
 def mixing(
     rules: str, fd: str = "fd", hd: str = "hd", p: str = "", equalize: bool = False,
-    merge: bool = False,
+    merge: bool = False, single: bool = False,
 ) -> str:
     """CTEs ``mixfd`` and ``mixhd``: each member read off on the full grid of its mix."""
+    real = "float" if single else "double"
+
     def frac(c):
-        one = f"case when m>1 and n<>m then {_cut(f'{c}/cast(m as double)')} else {c} end"
-        return (f"case when m>1 and n<>m and n>1 then {_cut(f'({one})*cast(n as double)')} "
+        one = f"case when m>1 and n<>m then {_cut(f'cast({c} as {real})/cast(m as {real})')} else {c} end"
+        return (f"case when m>1 and n<>m and n>1 then {_cut(f'cast(({one}) as {real})*cast(n as {real})')} "
                 f"else {one} end")
 
     if merge:
@@ -119,7 +125,8 @@ def mixing(
     h.duration, {', '.join(f'{frac("h."+c)} as {c}' for c in both)}
   from {rules} r join {hd} h on r.fd_id=h.fd_id),
 {p}fac as (select *, (case when scale_type='traffic'
-      then scale/cast((total_served_bytes*8)//duration as double) else scale end)
+      then {'cast(scale as float)::double' if single else 'scale'}/cast((total_served_bytes*8)//duration as double)
+      else {'cast(scale as float)::double' if single else 'scale'} end)
       * (case when op='sub' then -1 else 1 end) as f from {p}part),
 {p}mem as (select * from (select mix_id, ord, fd_id, n, m, f, duration,
     {', '.join(f'{_cut(f"{c}*f")} as {c}' for c in VOLUMES)}, {', '.join(UNIQUES)} from {p}fac)
@@ -222,10 +229,15 @@ def per_amount(expr: str, also: str = "") -> str:
 
 
 MIXES = [fx.HALF_ALL, fx.MIXED_OPS]
-IAT_PROBES = """probes as (select event_type as fd_id, (event_id*7919) % 3000000 as t
-  from events)"""
-MB_PROBES = """probes as (select event_type as fd_id,
-  (event_id*104729) % 4000000 as target from events)"""
+
+
+def _spread(axis: str, step: int, name: str) -> str:
+    return f"""probes as (select e.event_type as fd_id, (e.event_id*{step}) % (x.top + x.top//16 + 2) as {name}
+  from events e join (select fd_id, max({axis}) as top from fd group by fd_id) x on x.fd_id=e.event_type)"""
+
+
+IAT_PROBES = _spread("delta_t", 7919, "t")
+MB_PROBES = _spread("mb", 104729, "target")
 
 
 def floor_lookup(rows: str, axis: str, probe: str, payload: list[str]) -> str:
@@ -237,16 +249,25 @@ def floor_lookup(rows: str, axis: str, probe: str, payload: list[str]) -> str:
 
 
 FULL = ["mb", "objcount"] + TRAFFIC
-SIZES = [100000, 200000, 200001, 500000, 1000000, 100000000]
+#: Sizes as parts (n / of, and some more) of the largest footprint, rising.
+PARTS = [(1, 40, 0), (1, 20, 0), (1, 20, 1), (1, 8, 0), (1, 4, 0), (25, 1, 0)]
+_LARGEST = "(select max(mb) from fd)"
+
+
+def _size(n: int, of: int, more: int) -> str:
+    return f"({_LARGEST}*{n}//{of} + {more})"
+
 
+SIZES = [_size(*p) for p in PARTS]
 
-def marker_cte(sizes: list[int]) -> str:
-    """Markers one after the other: each takes the next row above its size."""
+
+def marker_cte(sizes: list[str]) -> str:
+    """Markers one after the other, sizes rising: each takes the next row above its size."""
     ranked = ("rk as (select fd_id, delta_t, mb, row_number() over (partition by fd_id "
               "order by delta_t) as n from fd),\n"
               "ends as (select fd_id, max(n) as n_max from rk group by fd_id)")
     parts, previous = [ranked], None
-    for j, c in enumerate(sorted(sizes)):
+    for j, c in enumerate(sizes):
         after = f"and r.n > coalesce(q.n, 0)" if previous else ""
         join = f"left join {previous} q on q.fd_id=r.fd_id" if previous else ""
         parts.append(
@@ -257,12 +278,12 @@ def marker_cte(sizes: list[int]) -> str:
     union = " union all ".join(
         f"select m.fd_id, cast({c} as bigint) as marker_mb, r.delta_t from mk{j} m "
         f"join ends e on e.fd_id=m.fd_id join rk r on r.fd_id=m.fd_id and "
-        f"r.n=coalesce(m.n, e.n_max)" for j, c in enumerate(sorted(sizes))
+        f"r.n=coalesce(m.n, e.n_max)" for j, c in enumerate(sizes)
     )
     return ",\n".join(parts) + f",\nmk as ({union})"
 
 
-def quick_add_sql(c: int) -> str:
+def quick_add_sql(c: str) -> str:
     groups = values(fx.SHARED_CACHE, ["mix_id", "fd_id"])
     return f"""{EVENTS}, {marker_cte([c])},
 grp as {groups},
@@ -270,7 +291,7 @@ size as (select mix_id, count(*) as members, {_sum('h.total_served_bytes')} as s
     {_sum('h.total_mib')} as mib from grp g join hd h on h.fd_id=g.fd_id group by mix_id),
 cum as (select *, cast(sum(bytes) over (partition by fd_id order by delta_t) as bigint) as cb
   from fd),
-half as (select fd_id, coalesce(max(case when mb <= {c // 2} then delta_t end), min(delta_t))
+half as (select fd_id, coalesce(max(case when mb <= ({c}//2) then delta_t end), min(delta_t))
   as t from fd group by fd_id),
 lim as (select g.mix_id, min(h.t) as lt, min(m.delta_t) as rt from grp g
   join half h on h.fd_id=g.fd_id join mk m on m.fd_id=g.fd_id group by g.mix_id),
@@ -340,15 +361,20 @@ from (select *, {_cut('(whole::double+part)/weights::double')} as delta_t from a
 group by concat_id, delta_t"""
 
 
-def thin_sql(pct: float) -> str:
+def thin_sql(pct: float, base: str = "", fd: str = "fd") -> str:
+    base = base or LINES
     moved = (f"(case when w.pt=0 then x.delta_t<>0 else abs((x.delta_t-w.pt)*100.0::double/w.pt)"
              f">={pct} end or case when w.pm=0 then x.mb<>0 else "
              f"abs((x.mb-w.pm)*100.0::double/w.pm)>={pct} end)")
     s = ", ".join(f"case when {moved} then 0 else w.s_{c}+x.{c} end" for c in TRAFFIC)
     o = ", ".join(f"w.s_{c}+x.{c}" for c in TRAFFIC)
     names = ", ".join([f"s_{c}" for c in TRAFFIC] + [f"o_{c}" for c in TRAFFIC])
-    return f"""{LINES},
-num as (select *, row_number() over (partition by fd_id order by delta_t) as i from fd),
+    if pct > 100:  # no first row is kept, so none after it
+        return f"""{base} select fd_id, max(delta_t) as delta_t, arg_max(mb, delta_t) as mb,
+  arg_max(objcount, delta_t) as objcount, {', '.join(f'{_sum(c)} as {c}' for c in TRAFFIC)}
+from {fd} group by fd_id having sum(requests)>0 and max(delta_t)<>0"""
+    return f"""{base},
+num as (select *, row_number() over (partition by fd_id order by delta_t) as i from {fd}),
 walk(fd_id, i, delta_t, mb, objcount, pt, pm, kept, {names}) as (
   select fd_id, i, delta_t, mb, objcount, delta_t, mb, true, {', '.join(['0::bigint'] * 4)},
     {', '.join(TRAFFIC)} from num where i=1
@@ -363,6 +389,9 @@ from walk w join ends e on e.fd_id=w.fd_id
 where w.kept or (w.i=e.i and w.o_requests>0)"""
 
 
+THIN_PCT = 4.0
+
+
 def file_statements(sql: dict[str, str]) -> dict[str, str]:
     """Statements of the queries in ``workload.files``."""
     doubled = ", ".join(f"2*{c} as {c}" for c in TRAFFIC)
@@ -405,6 +434,19 @@ def file_statements(sql: dict[str, str]) -> dict[str, str]:
         "t2s_job": f"{EVENTS} {curve('mb')}",
         "t2c_job": f"{LINES} {curve('objcount')}",
         "concat_job": f"select * from ({concat_sql(False, '', 1)}) where fd_id = 'three'",
+        "flat_files": f"{LINES} select {ROWS} from fd where fd_id like 'g1%'",
+        "mix_job_faults": "select name, reason from " + values(
+            [("click", "superseded"), ("g0", "bad header"), ("g1", "no traffic"), ("g2", "bad line"),
+             ("g3", "no body"), ("bad", "bad action"), ("job/absent", "no such descriptor"),
+             ("job/purchase", "zero_scale"), ("job/g6", "no_rate"), ("job/error", "empty")], ["name", "reason"]),
+        "mix_job_customer_map": f"""{EVENTS}, names as (select n_nationkey as k,
+  ['click', 'view', 'error', 'signup', 'purchase', null][n_nationkey%6 + 1] as fd_id from nation),
+rl as (select case when fd_id in ('click', 'view') then 'a' else 'b^x' end as mix_id, k as ord, fd_id,
+  'add' as op, cast(1 as double) as scale, 'absolute' as scale_type, 0 as n, 0 as m
+  from names where fd_id is not null), {mixing('rl')} select {ROWS} from mixfd""",
+        "mix_job_glob_thinned": thin_sql(THIN_PCT, f"""{EVENTS}, {mixing(rule_values(*[
+            [fx.rule(m, i, c, scale=x) for i, c in enumerate(fx.EVENT_CLASSES)]
+            for m, x in (("half.mg", 0.5), ("one.mg", 1.0))]))}""", "mixfd"),
         "mix_job": f"{EVENTS}, {mixing(rule_values(fx.JOB_RULES[:-1]))} select {ROWS} from mixfd",
         "mix_job_failures": f"""{EVENTS} select mix_id || '/' || fd_id as name,
   case when fd_id in (select fd_id from hd) then 'zero_scale' else 'no such descriptor' end as reason
@@ -412,12 +454,56 @@ def file_statements(sql: dict[str, str]) -> dict[str, str]:
     }
 
 
-THIN_PCT = 4.0
-QUOTA_WHERE = "mb <= 900000 and objcount >= 3"
-LIMIT = "mb <= 700000"
+QUOTA_WHERE = f"mb <= {_LARGEST}*2//5 and objcount >= 3"
+LIMIT = f"mb <= {_LARGEST}*3//10"
 FLOOR = "objcount >= 5"
 
 
+def quota_sql(limit: str, floor: str) -> str:
+    return f"""{EVENTS}, {IAT_PROBES},
+low as (select *, row_number() over (partition by fd_id order by delta_t) as i from fd),
+spot as ({floor_lookup('low', 'delta_t', 't', ['i'])}),
+ok as (select * from low where {limit}),
+b as (select s.fd_id, s.t, coalesce(o.i, 1) as i from spot s
+  asof left join ok o on s.fd_id=o.fd_id and s.i>=o.i),
+up as (select * from low where {floor}),
+a as (select b.fd_id, b.t, coalesce(u.i, z.i) as i from b
+  asof left join up u on b.fd_id=u.fd_id and b.i<=u.i
+  join (select fd_id, max(i) as i from low group by fd_id) z on z.fd_id=b.fd_id)
+select a.fd_id, a.t, l.delta_t, {', '.join('l.' + c for c in FULL)}
+from a join low l on l.fd_id=a.fd_id and l.i=a.i"""
+
+
+def footprint_sql(name: str) -> str:
+    """Mean footprints from every gap of every object, for every reuse time."""
+    return f"""with recursive {source(name)},
+span as (select fd_id, min(sec) as s0, max(sec) as s1 from log group by fd_id),
+ob as (select fd_id, obj, min(sec) as t0, max(sec) as t1, max(sz) as size from log group by fd_id, obj),
+gap as (select o.fd_id, o.t0-s.s0+1 as g, o.size from ob o join span s on s.fd_id=o.fd_id
+  union all select o.fd_id, s.s1-o.t1+1, o.size from ob o join span s on s.fd_id=o.fd_id
+  union all select q.fd_id, q.iat, o.size from seqd q join ob o on o.fd_id=q.fd_id and o.obj=q.obj where q.k>=2),
+hist as (select fd_id, g, cast(count(*) as hugeint) as n, cast(sum(size) as hugeint) as s from gap group by fd_id, g),
+w as (select distinct fd_id, iat as w from seqd where k>=2),
+miss as (select w.fd_id, w.w, coalesce(sum((h.g-w.w)*h.n), 0) as n, coalesce(sum((h.g-w.w)*h.s), 0) as s
+  from w left join hist h on h.fd_id=w.fd_id and h.g>w.w group by w.fd_id, w.w),
+whole as (select fd_id, count(*) as n, sum(size) as s from ob group by fd_id)
+select m.fd_id, m.w as delta_t,
+  cast((t.s*(p.s1-p.s0+2-m.w) - m.s)//(p.s1-p.s0+2-m.w) as bigint) as mb,
+  cast((t.n*(p.s1-p.s0+2-m.w) - m.n)//(p.s1-p.s0+2-m.w) as bigint) as objcount
+from miss m join whole t on t.fd_id=m.fd_id join span p on p.fd_id=m.fd_id"""
+
+
+def bundle_rules() -> str:
+    """Rules of the bundled shape but for the mix of groups."""
+    g, n = fx.BUNDLE_GROUPS, fx.BUNDLE_CLASSES
+    tail = "'absolute' as scale_type, 0 as n, 0 as m"
+    parts = [f"select 'g' || (i%{g}) || '.mg1' as mix_id, i as ord, 'c' || i as fd_id, 'add' as op, "
+             f"cast(1 as double) as scale, {tail} from range({n}) t(i)"]
+    parts += [f"select 'g' || ((i*{k}+{k})%{g}) || '.mg2', i + {k * n}, 'c' || i, 'add', cast(0.5 as double), {tail} "
+              f"from range({n}) t(i)" for k in (3, 7)]
+    return f"({' union all '.join(parts)})"
+
+
 def statements() -> dict[str, str]:
     sql: dict[str, str] = {}
     sql["fd_from_events"] = f"{EVENTS} select {ROWS} from fd"
@@ -468,6 +554,17 @@ def statements() -> dict[str, str]:
     sql |= file_statements(sql)
     sql["text_round_trip"] = f"{LINES} select {ROWS} from fd"
     sql["fd_from_stream"] = (f"with {source('events', order='sec, sz')} select {ROWS} from fd")
+    sql["footprint_events"], sql["footprint_lineitem"] = footprint_sql("events"), footprint_sql("lineitem")
+    flat = [fx.rule("flat", i, f"g{i}.mg1") for i in range(fx.BUNDLE_GROUPS)]
+    sql["mix_bundle"] = (
+        f"with recursive {source('parts')}, {mixing(bundle_rules(), p='a_')}, "
+        f"{mixing(rule_values(flat), 'a_mixfd', 'a_mixhd', 'b_')} select {ROWS} from a_mixfd "
+        f"union all select {ROWS} from b_mixfd")
+    sql["bundle_missing"] = "select 'gone.mg1' as name"
+    sql["mix_float32"] = (f"{EVENTS}, {mixing(rule_values(fx.TENTH), single=True)} select {ROWS} from mixfd")
+    sql["unshard_float32"] = f"{EVENTS} {per_amount(_cut('cast({c} as float)*2.5::float'))}"
+    sql["mix_equalized_headers"] = (f"{EVENTS}, {mixing(rule_values(fx.ONE_ALL), equalize=True)} "
+                                    f"select {HEADER} from mixhd")
     sql["mix_headers"] = f"{EVENTS}, {mixing(rule_values(*every))} select {HEADER} from mixhd"
     sql["mix_equalized"] = (f"{EVENTS}, {mixing(rule_values(fx.ONE_ALL), equalize=True)} "
                             f"select {ROWS} from mixfd")
@@ -483,6 +580,9 @@ def statements() -> dict[str, str]:
     sql["t2c_icp"] = f"{EVENTS} {curve('objcount', icp=True)}"
     sql["t2s_quota"] = f"{EVENTS} {curve('mb', where=QUOTA_WHERE)}"
     sql["thin"] = thin_sql(THIN_PCT)
+    sql["thin_0"] = f"{LINES} select {ROWS} from fd"
+    sql["thin_100"] = thin_sql(100.0)
+    sql["thin_150"] = thin_sql(150.0)
     sql["cum_bytes"] = (f"{EVENTS} select {ROWS}, cast(sum(bytes) over (partition by fd_id "
                         f"order by delta_t) as bigint) as cum_bytes from fd")
     sql["asof_lookup"] = f"{EVENTS}, {IAT_PROBES} {floor_lookup('fd', 'delta_t', 't', FULL)}"
@@ -492,18 +592,11 @@ def statements() -> dict[str, str]:
         + ", ".join(f"case when t=delta_t then {c} else 0 end as {c}" for c in TRAFFIC)
         + " from found"
     )
-    sql["asof_quota"] = f"""{EVENTS}, {IAT_PROBES},
-low as (select *, row_number() over (partition by fd_id order by delta_t) as i from fd),
-spot as ({floor_lookup('low', 'delta_t', 't', ['i'])}),
-ok as (select * from low where {LIMIT}),
-b as (select s.fd_id, s.t, coalesce(o.i, 1) as i from spot s
-  asof left join ok o on s.fd_id=o.fd_id and s.i>=o.i),
-up as (select * from low where {FLOOR}),
-a as (select b.fd_id, b.t, coalesce(u.i, z.i) as i from b
-  asof left join up u on b.fd_id=u.fd_id and b.i<=u.i
-  join (select fd_id, max(i) as i from low group by fd_id) z on z.fd_id=b.fd_id)
-select a.fd_id, a.t, l.delta_t, {', '.join('l.' + c for c in FULL)}
-from a join low l on l.fd_id=a.fd_id and l.i=a.i"""
+    sql["asof_quota"] = quota_sql(LIMIT, FLOOR)
+    sql["asof_quota_unset_is_zero"] = quota_sql(f"{LIMIT} and objcount <= 0", f"{FLOOR} and mb >= 0")
+    sql["matching_quota"] = "select fd_id, t, delta_t, mb, objcount, " + ", ".join(
+        f"case when t=delta_t then {c} else 0 end as {c}" for c in TRAFFIC
+    ) + f" from ({quota_sql(LIMIT, FLOOR)})"
     sql["stack_distance_at"] = (f"{EVENTS}, {IAT_PROBES} select fd_id, t, mb from "
                                 f"({floor_lookup('fd', 'delta_t', 't', FULL)})")
     sql["iat_for_mb"] = f"""{EVENTS}, {MB_PROBES},
@@ -515,13 +608,15 @@ join (select fd_id, min(delta_t) as delta_t from fd group by fd_id) l on l.fd_id
     sql["iats_with_mb"] = f"""{LINES}, asked as (select distinct 'g' || (p_partkey % 20) as fd_id,
   ((p_partkey*7)//20 % 500)*10 as mb from part)
 select f.fd_id, f.mb, f.delta_t from fd f join asked a on a.fd_id=f.fd_id and a.mb=f.mb"""
+    sql["iats_index"] = sql["iats_with_mb"]
     sql["stack_distances"] = f"{LINES} select distinct fd_id, mb from fd"
     sql["markers"] = f"{EVENTS}, {marker_cte(SIZES)} select * from mk"
-    sql["quick_add"] = quick_add_sql(1000000)
-    sql["quick_lookup"] = f"""{EVENTS}, {marker_cte([500000])},
+    sql["quick_add"] = quick_add_sql(f"({_LARGEST}//3)")
+    fifth = f"({_LARGEST}//5)"
+    sql["quick_lookup"] = f"""{EVENTS}, {marker_cte([fifth])},
 cum as (select *, cast(sum(bytes) over (partition by fd_id order by delta_t) as bigint) as cb
   from fd)
-select m.fd_id, cast(500000 as bigint) as cache_mb, c.cb-h.total_mib as hit_bytes,
+select m.fd_id, cast({fifth} as bigint) as cache_mb, c.cb-h.total_mib as hit_bytes,
   h.total_served_bytes as served_bytes, m.delta_t as iat
 from mk m join cum c on c.fd_id=m.fd_id and c.delta_t=m.delta_t join hd h on h.fd_id=m.fd_id"""
     sql["concat"] = concat_sql(False, "", 1)
@@ -579,6 +674,8 @@ select fd_id, total_requests//duration as avg_hits_per_s,
     sql["validity"] = f"""{EVENTS} select h.fd_id, h.total_requests=0 as is_empty,
   coalesce(n,0)>0 and total_requests>0 and total_served_bytes>0 as is_valid
   from hd h left join (select fd_id, count(*) as n from fd group by fd_id) b on b.fd_id=h.fd_id"""
+    n = "cast(substr(h.fd_id, 2) as integer) % 5"
+    sql["validity_verdicts"] = f"""{LINES} select h.fd_id, {n}=1 as is_empty, {n} not in (1, 2, 3) as is_valid from hd h"""
     sql["customer_map_rules"] = """with m as (select 'n' || c_nationkey || '^' ||
     lower(substr(c_mktsegment,1,1)) as mix_id, c_custkey from customer where c_custkey % 9 <> 0),
 e as (select mix_id, mix_id || '^cls_' || c_custkey as fd_id from m)
