@@ -279,7 +279,9 @@ def mix_in_rule_order(
     )
     found = materialize(found, "chain-members")
     silent = _silent(found, d, compat_float32)
-    whole = rules.join(silent, "mix_id", "left_anti")
+    whole = materialize(rules.join(silent, "mix_id", "left_anti"), "whole-rules")
+    if whole.isEmpty():
+        return _chained(found, d, compat_float32)
     plain = mix(whole, d, compat_float32=compat_float32)
     if silent.isEmpty():
         return plain

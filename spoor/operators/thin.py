@@ -46,37 +46,45 @@ def _next_kept(points: DataFrame, pct: float) -> DataFrame:
     return by_t.unionByName(by_mb).groupBy("fd_id", "at").agg(*aggregates({"to": "min(to)"}))
 
 
+#: Steps that a pointer grows by in a round.
+_STEPS = 4
+
+
 def _followed(pointers: DataFrame) -> DataFrame:
     """``fd_id, delta_t`` of the rows that the pointers lead to from each first row.
 
-    Pointers are doubled: a row's pointer of a round is that of the row it pointed to.  The
-    ways of all rows soon run together, so only rows that are still pointed to are carried
-    on, and the tables of later rounds are short.  Backwards through the rounds, each table
-    then tells the rows half way between those found.
+    In every round a row's pointer becomes that of the row ``_STEPS`` pointers on.  The ways
+    of all rows soon run together, so only rows that are still pointed to are carried on,
+    and the tables of later rounds are short.  Backwards through the rounds, each table
+    then tells the rows between those found.
     """
     heads = materialize(pointers.groupBy("fd_id").agg(*aggregates({"at": "min(at)"})), "heads")
-    rounds: list[DataFrame] = []
-    now = pointers.filter("to IS NOT NULL")
-    while True:
-        now = materialize(now, "pointers")
-        used = now.selectExpr("fd_id", "to AS at").unionByName(heads).distinct()
-        now = materialize(now.join(used, ["fd_id", "at"], "left_semi"), "pointers-used")
+    now = materialize(pointers.filter("to IS NOT NULL"), "pointers")
+    rounds = []
+    while not now.join(heads, ["fd_id", "at"], "left_semi").isEmpty():
         rounds.append(now)
-        if now.join(heads, ["fd_id", "at"], "left_semi").isEmpty():
-            break
+        used = now.selectExpr("fd_id", "to AS at").unionByName(heads).distinct()
         onward = now.selectExpr("fd_id", "at AS to", "to AS onward")
-        now = now.join(onward, ["fd_id", "to"]).selectExpr("fd_id", "at", "onward AS to")
+        far = now.join(used, ["fd_id", "at"], "left_semi")
+        for _ in range(_STEPS - 1):
+            far = far.join(onward, ["fd_id", "to"]).selectExpr("fd_id", "at", "onward AS to")
+        now = materialize(far, "pointers")
     found = heads
     for table in reversed(rounds):
-        found = materialize(found.unionByName(found.join(table, ["fd_id", "at"]).selectExpr("fd_id", "to AS at")),
-                            "kept")
+        every, part = found, found
+        for _ in range(_STEPS - 1):
+            part = part.join(table, ["fd_id", "at"]).selectExpr("fd_id", "to AS at")
+            every = every.unionByName(part)
+        found = materialize(every, "kept")
     return found.withColumnRenamed("at", "delta_t")
 
 
-def _falling(points: DataFrame) -> DataFrame:
+def _falling(rows: DataFrame) -> DataFrame:
     """Descriptors whose footprint falls somewhere."""
-    before = scan(points, ["fd_id"], ["delta_t"], {"_before": Running("lag", "mb")})
-    return before.filter("mb < _before").select("fd_id").distinct()
+    if "prev_mb" not in rows.columns:
+        rows = scan(rows.select("fd_id", "delta_t", "mb"), ["fd_id"], ["delta_t"],
+                    {"prev_mb": Running("lag", "mb")})
+    return rows.filter("mb < prev_mb").select("fd_id").distinct()
 
 
 def _visited(points: DataFrame, pct: float) -> DataFrame:
@@ -109,10 +117,10 @@ def _kept(rows: DataFrame, pct: float) -> DataFrame:
     points = rows.select("fd_id", "delta_t", "mb")
     if pct > 100:  # nothing is far enough from a start that counts as 100 percent
         return points.select("fd_id", "delta_t").limit(0)
-    falling = materialize(_falling(points), "falling")
-    kept = _followed(_next_kept(points.join(falling, "fd_id", "left_anti"), pct))
+    falling = materialize(_falling(rows), "falling")
     if falling.isEmpty():
-        return kept
+        return _followed(_next_kept(points, pct))
+    kept = _followed(_next_kept(points.join(falling, "fd_id", "left_anti"), pct))
     return kept.unionByName(_visited(points.join(falling, "fd_id", "left_semi"), pct))
 
 
@@ -125,10 +133,10 @@ def thin(rows: DataFrame, pct: float) -> DataFrame:
     would be kept after it, and the pointers are followed by doubling, so no descriptor is
     one task; the traffic is then handed out segment by segment.
     """
-    rows = rows.select(ROW_COLS)
     if pct <= 0:
-        return rows
-    kept = materialize(_kept(rows, float(pct)), "kept-rows")
+        return rows.select(ROW_COLS)
+    kept = _kept(rows, float(pct))
+    rows = rows.select(ROW_COLS)
     marked = rows.join(kept.selectExpr("*", "true AS _kept"), ["fd_id", "delta_t"], "left")
     ended = (
         scan(marked, ["fd_id"], ["delta_t"], {"_end": Running("next", "if(_kept, delta_t, NULL)")})

@@ -74,12 +74,24 @@ def read_lines(
 def listed_files(
     spark: SparkSession, path: str | list[str], name_glob: str | None = None
 ) -> DataFrame:
-    """``(file, length)`` of all files below ``path``, also of empty ones.  Only the listing
-    is read, as a table: names go to the tasks, not through the driver's code."""
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
-    if name_glob:
-        reader = reader.option("pathGlobFilter", name_glob)
-    return reader.load(path).select(decoded(F.col("path")).alias("file"), "length")
+    """``(file, length)`` of all files below ``path``, also of empty ones.
+
+    The listing is read as a table, so names go to the tasks, not through the driver's code;
+    it leaves out empty files, so names are fetched only where there are more files than it
+    has.
+    """
+    def reader(form: str):
+        found = spark.read.format(form).option("recursiveFileLookup", True)
+        return found.option("pathGlobFilter", name_glob) if name_glob else found
+
+    listed = reader("binaryFile").load(path).select(
+        decoded(F.col("_metadata.file_path")).alias("file"), F.col("_metadata.file_size").alias("length"))
+    every = reader("text").load(path)
+    if listed.count() == len(every._jdf.inputFiles()):
+        return listed
+    names = spark.createDataFrame([(f,) for f in every.inputFiles()], "name string")
+    named = names.select(decoded(F.col("name")).alias("file"))
+    return named.join(listed, "file", "left").select("file", F.coalesce("length", F.lit(0)).alias("length"))
 
 
 def tokens(line: Column) -> Column:

@@ -188,3 +188,14 @@ def test_thin_across_batches(spark):
     assert got == sorted([("a", *r) for r in thinned(body, 2.0)]
                          + [("b", *r) for r in thinned(body[:1500], 2.0)])
     assert sum(r[4] for r in got if r[0] == "a") == sum(r[3] for r in body)
+
+
+def test_thin_where_the_footprint_falls(spark):
+    rng = random.Random(21)
+    bodies = {}
+    for n in "abc":
+        body = random_body(rng, 80, top=900)
+        bodies[n] = body if n == "b" else [(t, rng.randint(0, 40), *r) for t, _, *r in body]
+    d = make(spark, bodies)
+    want = sorted((n, *r) for n, b in bodies.items() for r in thinned(b, 12.0))
+    assert rows_of(thin(d.rows, 12.0)) == want

@@ -108,43 +108,71 @@ def names_below(folder):
     return sorted(os.path.relpath(os.path.join(d, f), folder) for d, _, names in os.walk(folder) for f in names)
 
 
-def test_a_run_leaves_nothing_behind(spark, tmp):
-    from spoor.session import cleared, materialize, run_folder
-
-    before = spark.conf.get("spark.checkpoint.dir", None)
-    spark.conf.set("spark.checkpoint.dir", f"{tmp}/shared")
-    try:
-        with run_folder(spark, "run"):
-            materialize(spark.range(5), "one")
-            assert names_below(f"{tmp}/shared")
-        assert names_below(f"{tmp}/shared") == []
-        assert materialize(spark.range(5), "two").count() == 5
-        cleared(spark)
-        assert names_below(f"{tmp}/shared") == []
-    finally:
-        spark.conf.set("spark.checkpoint.dir", before)
+def test_a_run_leaves_nothing_behind(spark, tmp, monkeypatch):
+    from spoor import session
+
+    monkeypatch.setattr(session, "shared_folder", lambda _: tmp)
+    monkeypatch.setattr(session, "_application_folder", lambda _: f"{tmp}/application")
+    with session.run_folder(spark, "run"):
+        session.materialize(spark.range(5), "one")
+        assert names_below(tmp)
+        with session.application_folder():
+            kept = session.materialize(spark.range(5), "two")
+    assert {x.split("/")[0] for x in names_below(tmp)} == {"application"} and kept.count() == 5
+    stored = session.store(spark.range(5), "three")
+    stored.drop()
+    assert not any("three" in x for x in names_below(tmp))
+    session.cleared(spark)
+    assert names_below(tmp) == []
 
 
 def test_a_job_leaves_only_its_result(spark, tmp, monkeypatch):
-    from spoor import __main__ as command
+    from spoor import __main__ as command, session
     from spoor.sources.descriptors import write_descriptors
 
+    monkeypatch.setattr(session, "shared_folder", lambda _: f"{tmp}/shared")
+    monkeypatch.setattr(session, "_application_folder", lambda _: f"{tmp}/shared/application")
     d = make(spark, {"a": [(1, 5, 1, 10, 100, 0, 0), (4, 9, 2, 5, 50, 0, 0)]})
-    write_descriptors(d, f"{tmp}/in", form="flat", key="2")
+    with session.run_folder(spark, "input"):
+        write_descriptors(d, f"{tmp}/in", form="flat", key="2")
     assert [x for x in names_below(f"{tmp}/in") if not x.startswith(".")] == ["stdtime.a.key2"]
     args = command.parser().parse_args(
         ["unshard", "--input", f"{tmp}/in", "--output", f"{tmp}/out", "--factor", "2", "--form", "flat"])
-    before = spark.conf.get("spark.checkpoint.dir", None)
-    spark.conf.set("spark.checkpoint.dir", f"{tmp}/shared")
-    try:
-        from spoor.session import run_folder
-
-        with run_folder(spark, "job"):
-            assert command.run(spark, args).failures.count() == 0
-        assert names_below(f"{tmp}/shared") == []
-    finally:
-        spark.conf.set("spark.checkpoint.dir", before)
+    with session.run_folder(spark, "job"):
+        assert command.run(spark, args).failures.count() == 0
+    assert names_below(f"{tmp}/shared") == []
     assert [x for x in names_below(f"{tmp}/out") if not x.startswith(".")] == ["stdtime.a"]
     with open(f"{tmp}/out/stdtime.a") as f:
         lines = f.read().splitlines()
     assert lines[0].startswith("# ") and lines[1:] == ["1 10 2 20 200 0 0", "4 18 4 10 100 0 0"]
+
+
+def test_a_bundle_reads_what_its_manifest_names(spark, tmp):
+    from spoor.sources.rules import read_bundle
+
+    for name, text in {"MANIFEST": "# files\na.mg1\n b.mg1 \ngone.mg1\n\nbad.mg1\n", "a.mg1": "x add 1\ny sub 2\n",
+                       "b.mg1": "", "bad.mg1": "x multiply 1\n", "left.mg1": "z add 1\n"}.items():
+        with open(f"{tmp}/{name}", "w") as f:
+            f.write(text)
+    found = read_bundle(spark, tmp)
+    assert sorted((r.mix_id, r.ord, r.fd_id, r.op) for r in found.rules.collect()) == [
+        ("a.mg1", 0, "x", "add"), ("a.mg1", 1, "y", "sub")]
+    assert [r["name"] for r in found.missing.collect()] == ["gone.mg1"]
+    assert [r.mix_id for r in found.rejects.collect()] == ["bad.mg1"]
+
+
+def test_lookups_in_a_stored_index_leave_it_where_it_is(spark, tmp):
+    from spoor.operators import lookup
+
+    body = [(t, t // 3, 1, 1, 1, 0, 0) for t in range(500)]
+    d = make(spark, {"a": body, "b": body[:200]})
+    lookup.store_iat_index(d.rows, "iats_of_test", f"{tmp}/iats", buckets=4)
+    probes = spark.createDataFrame([("a", 7), ("b", 66), ("b", 150), ("c", 1), ("a", 7)], "fd_id string, mb long")
+    found = lookup.iats_in_index(spark, "iats_of_test", probes)
+    assert sorted(map(tuple, found.collect())) == sorted(
+        [("a", 7, t) for t in (21, 22, 23)] + [("b", 66, t) for t in (198, 199)])
+    plan = found._jdf.queryExecution().executedPlan().toString().split("+- == Initial Plan ==")[0]
+    scan = plan[plan.index("SortMergeJoin"):]
+    left = scan[: scan.index("Exchange")] if "Exchange" in scan else scan
+    assert "Scan parquet" in left and "Bucketed: true" in left
+    spark.sql("DROP TABLE iats_of_test")
