@@ -24,16 +24,16 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spoor.llm.common import Batches, in_arrow, texts
-from spoor.session import materialize
+from spoor.llm.common import Batches, in_arrow, texts, tidied
+from spoor.session import Stored, store
 
 #: Bytes of text in a block (one text at least).
-BLOCK_BYTES = 32_000_000
+BLOCK_BYTES = 16_000_000
 
 SCHEMA = "block string, bucket int, payload binary"
 
 #: Bytes of text to a bucket: its lists, which hold less, meet in one call.
-BUCKET_BYTES = 32_000_000
+BUCKET_BYTES = 16_000_000
 
 _LEVEL = 9
 
@@ -138,9 +138,7 @@ class _Block:
         hold them."""
         name, words = uuid.uuid4().hex, sorted(self.number)
         numbers = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
-        count = np.zeros(len(words), np.int64)
-        for t in self.tokens:
-            np.add.at(count, t, 1)
+        count = np.bincount(np.concatenate(self.tokens), minlength=len(words))
         order = np.argsort(-np.frexp(count[numbers])[1], kind="stable")
         rank = np.empty(len(words), np.uint32)
         rank[numbers[order]] = np.arange(len(words))
@@ -168,6 +166,12 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 def cut(docs: DataFrame, tokens: Callable[[], Callable[[bytes], list[bytes]]],
         counted: bool = False, size: int = BLOCK_BYTES) -> DataFrame:
+    """The table that ``stored`` writes."""
+    return stored(docs, tokens, counted, size).df
+
+
+def stored(docs: DataFrame, tokens: Callable[[], Callable[[bytes], list[bytes]]],
+           counted: bool = False, size: int = BLOCK_BYTES) -> Stored:
     """The table of blocks of ``docs(doc_id, flag, text)``; ``tokens`` makes the function
     that parts a text; ``counted``: tokens come with their count in flagged documents."""
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -192,7 +196,7 @@ def cut(docs: DataFrame, tokens: Callable[[], Callable[[bytes], list[bytes]]],
 
         return run
 
-    return materialize(in_arrow(docs.select("doc_id", "flag", "text"), make, SCHEMA), "blocks")
+    return store(in_arrow(docs.select("doc_id", "flag", "text"), make, SCHEMA), "blocks")
 
 
 def answered(table: DataFrame, answer: Callable[[list[list[bytes]], list[list[np.ndarray]]], list],
@@ -203,6 +207,8 @@ def answered(table: DataFrame, answer: Callable[[list[list[bytes]], list[list[np
     def run(t: pa.Table) -> pa.Table:
         lists = [unpack_words(x) for x in t.column("payload").to_pylist()]
         out = answer([w for w, _ in lists], [a for _, a in lists])
+        del lists
+        tidied()
         return pa.table({"block": t.column("block"), "bucket": t.column("bucket"),
                          "payload": pa.array(out, pa.binary())})
 
@@ -225,6 +231,7 @@ def finished(table: DataFrame, answers: DataFrame,
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         docs = Documents.unpacked(left.column("payload")[0].as_py())
         buckets, payloads = (right.column(c).to_pylist() for c in ("bucket", "payload"))
+        tidied()
         return finish(docs, Answers(docs.buckets, {b: unpack(x) for b, x in zip(buckets, payloads)}))
 
     docs = table.where("bucket < 0").select("block", "payload")

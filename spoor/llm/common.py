@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -73,10 +75,34 @@ def in_arrow(df: DataFrame, make: Callable[[], Callable[[Batches], Batches]], sc
 
     def run(batches: Batches) -> Batches:
         yield from make()(batches)
+        tidied()
 
     return df.mapInArrow(run, schema)
 
 
+def tidied() -> None:
+    """Give memory that a task has freed back to the system: the worker lives on and works
+    for other tasks, beside an executor that has a budget of its own."""
+    pa.default_memory_pool().release_unused()
+    trim = _trim()
+    if trim is not None:
+        trim(0)
+
+
+@lru_cache(maxsize=1)
+def _trim():
+    """glibc's malloc_trim, None where there is no such function."""
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (OSError, AttributeError):
+        return None
+
+
+def inside(batch: pa.RecordBatch, row: str, column: str) -> list[bytes]:
+    """``texts`` of a field of a struct column."""
+    return [x or b"" for x in batch.column(row).field(column).cast(pa.binary()).to_pylist()]
+
+
 def numbered(df: DataFrame, by: list[str | Column], group: tuple[str, ...] = (),
              name: str = "at") -> DataFrame:
     """``df`` with the place (long, from 0) of each row in its group, by the order of ``by``.

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spoor.llm.common import Batches, covered, in_arrow, packed, pick, texts
+from spoor.llm.common import Batches, covered, in_arrow, inside, packed, pick
 from spoor.session import materialize
 
 # Fixed value: words in a window.
@@ -123,64 +123,66 @@ def matches(block: Block, places: np.ndarray, which: np.ndarray) -> list[tuple[i
     return [(item, place, size) for item, _, place, size in runs]
 
 
-def _shards(batches: Batches, block: Block) -> Iterator[tuple[pa.RecordBatch, list, list]]:
-    """Each batch with its documents' word numbers, and the places of windows in each."""
-    for batch in batches:
-        docs = [words(t) for t in texts(batch, "text")]
-        found: list[tuple[np.ndarray, np.ndarray]] = []
-        at = 0
-        while at < len(docs):
-            shard, total = [], 0
-            while at + len(shard) < len(docs) and (not shard or total < SHARD_WORDS):
-                shard.append(block.ids(docs[at + len(shard)]))
-                total += len(shard[-1]) + 1
-            gap = np.zeros(1, np.int64)
-            ids = np.concatenate([x for s in shard for x in (s, gap)])
-            begins = np.cumsum([0] + [len(s) + 1 for s in shard])
-            places, which = block.occurrences(ids)
-            order = np.argsort(places, kind="stable")
-            places, which = places[order], which[order]
-            cut = np.searchsorted(places, begins)
-            for k in range(len(shard)):
-                part = slice(cut[k], cut[k + 1])
-                found.append((places[part] - begins[k], which[part]))
-            at += len(shard)
-        yield batch, docs, found
+def _found(docs: list[bytes], block: Block) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Of each document its number of words and the places of windows in it.
+
+    A shard is the word numbers of some documents, one after the other; the words
+    themselves are held for one document at a time.
+    """
+    shard: list[np.ndarray] = []
+    total = 0
+    for i, text in enumerate(docs):
+        shard.append(block.ids(words(text)))
+        total += len(shard[-1]) + 1
+        if total < SHARD_WORDS and i < len(docs) - 1:
+            continue
+        gap = np.zeros(1, np.int64)
+        begins = np.cumsum([0] + [len(s) + 1 for s in shard])
+        places, which = block.occurrences(np.concatenate([x for s in shard for x in (s, gap)]))
+        order = np.argsort(places, kind="stable")
+        places, which = places[order], which[order]
+        cut = np.searchsorted(places, begins)
+        for k, s in enumerate(shard):
+            part = slice(cut[k], cut[k + 1])
+            yield len(s), places[part] - begins[k], which[part]
+        shard, total = [], 0
 
 
 _STATE = ("n_words long, n_hit long, hit binary, items array<string>, "
           "matches array<struct<item_id: string, start: long, words: long>>")
 
 
-def _search(block: Block, first: bool):
-    """Adds a block's findings to the state columns of the documents."""
+def _search(block: Block, first: bool, column: str):
+    """Adds a block's findings to the state columns of the documents, whose texts are the
+    ``column`` of ``row``."""
 
     def run(batches: Batches) -> Batches:
-        for batch, docs, found in _shards(batches, block):
-            old = [None] * len(docs) if first else zip(*(
+        for batch in batches:
+            size = batch.num_rows
+            old = [None] * size if first else zip(*(
                 batch.column(c).to_pylist() for c in ("hit", "items", "matches")))
             n_words, n_hit, hits, items, spans = [], [], [], [], []
-            for doc, (places, which), before in zip(docs, found, old):
-                hit = covered(places, block.sizes[which], len(doc))
+            docs = inside(batch, "row", column)
+            for (length, places, which), before in zip(_found(docs, block), old):
+                hit = covered(places, block.sizes[which], length)
                 named = {block.item_ids[i] for w in np.unique(which) for i, _ in block.owners[w]}
                 runs = [{"item_id": block.item_ids[i], "start": s, "words": n}
                         for i, s, n in matches(block, places, which)] if len(places) else []
                 if before:
-                    earlier = np.unpackbits(np.frombuffer(before[0], np.uint8))[: len(doc)]
+                    earlier = np.unpackbits(np.frombuffer(before[0], np.uint8))[:length]
                     hit, runs = hit | (earlier > 0), before[2] + runs
                     named |= set(before[1])
-                n_words.append(len(doc))
+                n_words.append(length)
                 n_hit.append(int(hit.sum()))
                 hits.append(np.packbits(hit).tobytes())
                 items.append(sorted(named, key=lambda x: (x is None, x or "")))
                 spans.append(runs)
-            kept = [batch.column("row"), batch.column("text")]
             kinds = pa.list_(pa.struct([("item_id", pa.string()), ("start", pa.int64()),
                                         ("words", pa.int64())]))
             yield pa.RecordBatch.from_arrays(
-                [*kept, pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()),
+                [batch.column("row"), pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()),
                  pa.array(hits, pa.binary()), pa.array(items, pa.list_(pa.string())), pa.array(spans, kinds)],
-                ["row", "text", "n_words", "n_hit", "hit", "items", "matches"])
+                ["row", "n_words", "n_hit", "hit", "items", "matches"])
 
     return run
 
@@ -206,15 +208,16 @@ def searched(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
              item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW,
              block_chars: int = BLOCK_CHARS) -> DataFrame:
     """Each document as ``row`` with n_words, hit (bits), items and matches."""
-    df = docs.select(packed(docs).alias("row"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    schema = f"row {df.schema['row'].dataType.simpleString()}, text string, {_STATE}"
+    own = docs.withColumn(text_col, F.col(f"`{text_col}`").cast("string"))
+    df = own.select(packed(own).alias("row"))
+    schema = f"row {df.schema['row'].dataType.simpleString()}, {_STATE}"
     sc = docs.sparkSession.sparkContext
     first = True
     for block in blocks(benchmark, item_col, item_text_col, window, block_chars):
         if not first:
             df = materialize(df, "decontaminated")
         sent = sc.broadcast(block)  # at most block_chars of text
-        df = in_arrow(df, lambda sent=sent, first=first: _search(sent.value, first), schema)
+        df = in_arrow(df, lambda sent=sent, first=first: _search(sent.value, first, text_col), schema)
         first = False
     return df
 

@@ -51,7 +51,7 @@ U = np.uint64
 _STEP = U(0x9E3779B97F4A7C15)
 
 #: Shingles handled at once, and every which segment holds one-deletion neighbourhoods.
-CHUNK, DELETION_EVERY = 1_000_000, 32
+CHUNK, DELETION_EVERY = 250_000, 32
 #: Roles of an entry; TWICE: a probe whose segment is compared up to one deletion as well.
 DOCUMENT, INDEX, PROBE, SHORT, TWICE = 0, 1, 2, 4, 8
 
@@ -66,7 +66,7 @@ class WordHashes(dict):
     """64-bit hashes of words, remembered up to a bound."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 100_000:
             self.clear()
         value = self[word] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
         return value

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spoor.llm.common import Batches, covered, in_arrow, packed, texts, window_codes
+from spoor.llm.common import Batches, covered, in_arrow, inside, packed, texts, window_codes
 from spoor.session import materialize
 
 # Symbols counted, words in a repeated window, least words of a document,
@@ -65,12 +65,16 @@ def measure(text: bytes) -> tuple[int, int, int, int, int]:
 
 
 def _measured(batches: Batches) -> Batches:
+    """The columns but the last, which is the text, and the measures."""
     for batch in batches:
-        found = np.array([measure(t) for t in texts(batch, "text")], np.int64).reshape(-1, 5)
-        kept = [batch.column(i) for i in range(batch.num_columns - 1)]
-        yield pa.RecordBatch.from_arrays(
-            kept + [pa.array(found[:, i]) for i in range(5)],
-            batch.schema.names[:-1] + list(MEASURES))
+        yield _with_measures(batch, batch.schema.names[:-1], texts(batch, "text"))
+
+
+def _with_measures(batch: pa.RecordBatch, kept: list[str], said: list[bytes]) -> pa.RecordBatch:
+    found = np.array([measure(t) for t in said], np.int64).reshape(-1, 5)
+    return pa.RecordBatch.from_arrays(
+        [batch.column(c) for c in kept] + [pa.array(found[:, i]) for i in range(5)],
+        kept + list(MEASURES))
 
 
 def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -142,11 +146,15 @@ def filtered(docs: DataFrame, rules: HostRules = HostRules(), id_col: str = "doc
     hosts = host_verdicts(measured(docs, id_col, text_col, host_col), rules)
     rejected = materialize(hosts.where("NOT host_kept").select(F.col("host").alias("of_host")),
                            "rejected-hosts")
-    df = docs.select(packed(docs).alias("row"), F.col(f"`{host_col}`").cast("string").alias("host"),
-                     F.col(f"`{text_col}`").cast("string").alias("text"))
+    own = docs.withColumn(text_col, F.col(f"`{text_col}`").cast("string"))
+    df = own.select(packed(own).alias("row"), F.col(f"`{host_col}`").cast("string").alias("host"))
+
+    def run(batches: Batches) -> Batches:
+        for batch in batches:  # the text goes to the task once, in its row
+            yield _with_measures(batch, ["row", "host"], inside(batch, "row", text_col))
+
     row = df.schema["row"].dataType.simpleString()
-    stats = in_arrow(df, lambda: _measured,
-                     f"row {row}, host string, " + ", ".join(f"{m} long" for m in MEASURES))
+    stats = in_arrow(df, lambda: run, f"row {row}, host string, " + ", ".join(f"{m} long" for m in MEASURES))
     kept = judged(stats, rules).where(~F.col("base_failed")).join(
         rejected, F.col("host").eqNullSafe(F.col("of_host")), "left_anti")
     return kept.select(*[F.col("row")[c].alias(c) for c in docs.columns])
