@@ -303,7 +303,72 @@ FROM placed
 """
 
 
+_RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"),
+          ("allow", "org", "/fr/"))
+
+
+def _named(kind: str, values: str) -> str:
+    return f"list_transform({values}, lambda x: '{kind}:' || x)"
+
+
+URLS = rf"""
+WITH RECURSIVE fixed AS (
+  SELECT * FROM (VALUES {", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in _RULES)}) r(verdict, of_host, of_path)
+), cut AS (
+  SELECT row_number() OVER () AS id, page_id, url, coalesce(position('://' IN url) > 0, false) AS ok,
+    substr(url, position('://' IN url) + 3) AS rest FROM pages
+), parsed AS (
+  SELECT id, page_id, ok, url,
+    CASE WHEN ok THEN translate(regexp_extract(rest, '^([^/?#]*)', 1), '{_UPPER}', '{_LOWER}') ELSE '' END AS host,
+    CASE WHEN ok THEN regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) ELSE '' END AS path
+  FROM cut
+), held AS (
+  SELECT id, page_id, host, path, CASE WHEN ok THEN list_filter(list_distinct(list_concat(
+      {_named("host", "string_split(host, '.')")}, {_named("path", "string_split(lower(path), '/')")},
+      {_named("query", "regexp_extract_all(lower(regexp_extract(url, '[?]([^#]*)', 1)), '(?:^|&)([^=&]+)', 1)")})),
+      lambda x: x NOT IN ('host:', 'path:', 'query:')) ELSE [] END AS tokens
+  FROM parsed
+), labelled AS (
+  SELECT row_number() OVER () AS n, h.tokens, l.quality = 0 OR l.toxic = 1 AS block
+  FROM held h JOIN labels l ON l.doc_id = h.page_id WHERE (l.quality = 0 OR l.toxic = 1) IS NOT NULL
+), counted AS (
+  SELECT token, count(*) AS n, count(*) FILTER (WHERE block) AS blocked, string_agg(CAST(n AS VARCHAR), ',' ORDER BY n) AS seen
+  FROM (SELECT n, block, unnest(tokens) AS token FROM labelled) GROUP BY token
+), members AS (
+  SELECT token, min(token) OVER (PARTITION BY seen) AS class, blocked / n AS share FROM counted WHERE blocked >= 20
+), items AS (
+  SELECT n, block, list_slice(list(class ORDER BY share DESC, class DESC), 1, 10) AS has
+  FROM (SELECT DISTINCT t.n, t.block, m.class, m.share
+        FROM (SELECT n, block, unnest(tokens) AS token FROM labelled) t JOIN members m USING (token) WHERE m.share < 0.8)
+  GROUP BY n, block
+), sets AS (
+  SELECT [class] AS s, class AS last, CAST(0 AS DOUBLE) AS confidence FROM (SELECT DISTINCT class FROM members WHERE share < 0.8)
+  UNION ALL
+  SELECT list_append(s, class), class, count(*) FILTER (WHERE block) / count(*)
+  FROM (SELECT s.s, s.last, i.block, unnest(i.has) AS class FROM sets s JOIN items i ON list_has_all(i.has, s.s))
+  WHERE class > last GROUP BY s, class HAVING count(*) FILTER (WHERE block) >= 20
+), strong AS (
+  SELECT s FROM sets WHERE len(s) > 1 AND confidence >= 0.8
+  UNION ALL SELECT DISTINCT [class] FROM members WHERE share >= 0.8
+), sorted AS (
+  SELECT t.id, list(DISTINCT m.class) AS has
+  FROM (SELECT id, unnest(tokens) AS token FROM held) t JOIN members m USING (token) GROUP BY t.id
+), hit AS (
+  SELECT DISTINCT id FROM sorted, strong WHERE list_has_all(has, s)
+), own AS (
+  SELECT id, arg_max(of_host || of_path, length(of_host || of_path)) AS rule,
+    arg_max(verdict, length(of_host || of_path)) AS verdict
+  FROM held JOIN fixed ON (host = of_host OR ends_with(host, '.' || of_host)) AND starts_with(path, of_path)
+  GROUP BY id
+)
+SELECT h.page_id, h.host, h.path, o.rule,
+  coalesce(o.verdict, CASE WHEN hit.id IS NULL THEN 'allow' ELSE 'block' END) AS verdict
+FROM held h LEFT JOIN own o ON o.id = h.id LEFT JOIN hit ON hit.id = h.id
+"""
+
+
 def statements() -> dict[str, str]:
     return {"op1_chat_format": CHAT, "op2_ngram_join": SIMILAR, "op5_quality_rules": QUALITY,
-            "op7_decontamination": CONTAMINATED, "op11_conversation_repair": REPAIR,
+            "op7_decontamination": CONTAMINATED, "op8_url_filter": URLS,
+            "op11_conversation_repair": REPAIR,
             "op12_merkle_manifest": MANIFEST, "op13_mixture": MIXTURE}
