@@ -2,15 +2,17 @@
 
 The cache is a table of (content digest, tokenizer digest, count).  Documents are
 digested, joined to the cache, and only the distinct contents it doesn't know are
-encoded and appended.  A content is digested after the normalisation of the tokenizer;
-the digest of the tokenizer is that of its file, so another version starts afresh.
+encoded and appended.  Contents are normalised only where no tokenizer can tell the
+difference (null is empty), so that a digest stands for one count; the digest of the
+tokenizer is that of its file, so another version starts afresh.
 
 Byte-level BPE files (.json) are encoded by tiktoken from their merge ranks, which gives
 the counts of their library, tokenizers; texts on which tiktoken fails and other files go
 to their library as they are.
 
 Cases: a null text counts as empty and has no token; repeated rows give a row each and
-are encoded once; an empty table adds nothing to the cache.
+are encoded once; an empty table adds nothing to the cache; a digest that several jobs
+appended is one entry; very long texts are counted whole; further columns are left aside.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ import os
 from functools import lru_cache
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spoor.llm.common import Batches, in_arrow
@@ -119,6 +121,13 @@ def _encode(path: str):
     return run
 
 
+def cached(spark: SparkSession, cache: str, version: str) -> DataFrame:
+    """The cache's entries of a tokenizer, one per digest: jobs that ran at the same time
+    may have appended the same misses."""
+    return spark.read.schema(CACHE).parquet(cache).where(F.col("tokenizer") == version).dropDuplicates(
+        ["tokenizer", "digest"])
+
+
 def update_cache(docs: DataFrame, cache: str, path: str, text_col: str = "text",
                  row_col: str = "doc_id") -> DataFrame:
     """Encode the contents the cache (a folder) doesn't know, append them, return the
@@ -129,7 +138,7 @@ def update_cache(docs: DataFrame, cache: str, path: str, text_col: str = "text",
     """
     spark, version = docs.sparkSession, tokenizer_digest(path)
     spark.createDataFrame([], CACHE).write.mode("append").parquet(cache)
-    known = spark.read.schema(CACHE).parquet(cache).where(F.col("tokenizer") == version)
+    known = cached(spark, cache, version)
     held = docs.select(F.xxhash64(F.col(f"`{row_col}`")).alias("row"),
                        F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
     held = held.withColumn("digest", F.sha2("text", 256))
@@ -140,7 +149,7 @@ def update_cache(docs: DataFrame, cache: str, path: str, text_col: str = "text",
                        "digest string, n_tokens long").dropDuplicates(["digest"])
     counted.select("digest", F.lit(version).alias("tokenizer"), "n_tokens").write.mode(
         "append").parquet(cache)
-    return spark.read.schema(CACHE).parquet(cache).where(F.col("tokenizer") == version)
+    return cached(spark, cache, version)
 
 
 def token_counts(docs: DataFrame, path: str, cache: str | None = None, limit: int = 512,

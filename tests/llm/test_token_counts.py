@@ -58,3 +58,13 @@ def test_very_long_runs_of_white_space(spark, tmp):
     frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r["doc_id"]: r["n_tokens"] for r in token_counts.token_counts(frame, PATH, f"{tmp}/c").collect()}
     assert got == dict(enumerate(library(texts)))
+
+
+def test_entries_that_jobs_appended_twice_are_one(spark, tmp):
+    frame = spark.createDataFrame([(1, "a b"), (2, "c")], "doc_id long, text string")
+    for part in ("x", "y"):
+        token_counts.token_counts(frame, PATH, f"{tmp}/{part}")
+        spark.read.parquet(f"{tmp}/{part}").write.mode("append").parquet(f"{tmp}/both")
+    assert spark.read.parquet(f"{tmp}/both").count() == 4
+    got = sorted(map(tuple, token_counts.token_counts(frame, PATH, f"{tmp}/both").collect()))
+    assert got == [(1, 3, 2, False), (2, 1, 1, False)]
