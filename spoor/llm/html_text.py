@@ -7,7 +7,9 @@ over the blocks of a page, trained on labelled pages by its likelihood, tells ma
 from the rest; Viterbi decodes the best sequence.
 
 Cases: a null or empty page has no text; unclosed, misnested and cut-off markup is read
-as far as it goes; repeated rows give a row each; an empty table gives an empty result.
+as far as it goes; very long pages and very deep markup are read whole, in time that grows
+with their length; repeated rows give a row each; an empty table gives an empty result;
+further columns are left aside.
 """
 
 from __future__ import annotations
@@ -15,6 +17,7 @@ from __future__ import annotations
 import html as references
 import random
 import re
+from collections.abc import Container
 from dataclasses import dataclass
 
 import numpy as np
@@ -36,11 +39,14 @@ RAW = "script|style|title|textarea"
 SELF_CLOSED = frozenset([*RAW.split("|"), "svg", "math", "object", "iframe"])
 SIBLINGS = {"li": ("li",), "dd": ("dd", "dt"), "dt": ("dd", "dt"), "tr": ("tr", "td", "th"),
             "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
+# Elements beyond which no sibling is looked for.
+LISTS = ("ul", "ol", "dl", "table", "select", "tbody")
 
 _PARTS = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({RAW})(?=[\s/>])[^>]*+(?<!/)>.*?(?:</\1(?=[\s/>])[^>]*+>|\Z)|<[!?][^>]*+>|"
-    r"<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|"
-    r"<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>|([^<]++|<)", re.S | re.I)
+    rf"<!--.*?(?:-->|(?P<open>\Z))|"
+    rf"<(?P<raw>{RAW})(?=[\s/>])[^>]*+(?<!/)>.*?(?:</(?P=raw)(?=[\s/>])[^>]*+>|(?P<cut>\Z))|<[!?][^>]*+>|"
+    r"<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*+)(?P<more>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|"
+    r"<(?P<end2>/?)(?P<name2>[a-zA-Z][^\s/>]*+)(?P<more2>[^>]*+)>|(?P<text>[^<]++|<)", re.S | re.I)
 _NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _WORDS = re.compile(r"[a-z]+")
 
@@ -56,41 +62,74 @@ class Leaf:
     linked: int
 
 
-def leaves(page: str) -> list[Leaf]:
-    """The leaf blocks of a page in their order."""
+class _Open:
+    """The open elements of a page, found by name or as the innermost block at once."""
+
+    def __init__(self):
+        self.stack: list[tuple[str, tuple[str, ...]]] = []  # with the features of all ancestors
+        self.at: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+        self.links = 0
+
+    def innermost(self, names: tuple[str, ...]) -> int:
+        """Where the innermost open element of these names lies; -1: there is none."""
+        return max((self.at[n][-1] for n in names if self.at.get(n)), default=-1)
+
+    def push(self, name: str, inside: tuple[str, ...]) -> None:
+        self.at.setdefault(name, []).append(len(self.stack))
+        if name in BLOCK:
+            self.blocks.append(len(self.stack))
+        self.links += name == "a"
+        self.stack.append((name, inside))
+
+    def close(self, upto: int) -> None:
+        while len(self.stack) > upto:
+            name, _ = self.stack.pop()
+            self.at[name].pop()
+            if name in BLOCK:
+                self.blocks.pop()
+            self.links -= name == "a"
+
+    @property
+    def block(self) -> int:
+        return self.blocks[-1] if self.blocks else -1
+
+
+def leaves(page: str, known: Container[str] | None = None) -> list[Leaf]:
+    """The leaf blocks of a page in their order; ``known``: the features of ancestors that
+    are wanted (None: all)."""
     found: list[Leaf] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []  # open elements, features with all ancestors
+    open_ = _Open()
     held: list[tuple[str, bool]] = []
-    links = drawn = 0  # open links, open drawings (svg)
+    drawn = 0  # open drawings (svg)
 
     def flush() -> None:
         if not held:
             return
         text = " ".join(references.unescape("".join(t for t, _ in held)).split())
         if text:
-            blocks = [t for t, _ in stack if t in BLOCK]
-            found.append(Leaf(text, stack[-1][1] if stack else (), blocks[-1] if blocks else "",
+            tag = open_.stack[open_.block][0] if open_.blocks else ""
+            found.append(Leaf(text, open_.stack[-1][1] if open_.stack else (), tag,
                               sum(len(t) for t, linked in held if linked)))
         held.clear()
 
-    def close(upto: int) -> None:
-        nonlocal links
-        for tag, _ in stack[upto:]:
-            links -= tag == "a"
-        del stack[upto:]
-
-    for m in _PARTS.finditer(page):
-        text = m[8]
+    # Behind the last ">" there is no tag, however many "<" there are.
+    marked = page.rfind(">") + 1
+    rest = page[marked:].split("<!--", 1)[0]
+    for m in _PARTS.finditer(page, 0, marked):
+        text = m["text"]
+        if m["open"] is not None or m["cut"] is not None:
+            rest = ""  # a comment or script that goes on to the end
         if text is not None:
             if drawn:
                 continue
-            held.append((text, links > 0))
+            held.append((text, open_.links > 0))
             continue
-        name = m[3] or m[6]
+        name = m["name"] or m["name2"]
         if name is None:
             continue
-        name, ends = name.lower(), m[2] or m[5]
-        attributes = m[4] if m[3] else m[7]
+        name, ends = name.lower(), m["end"] or m["end2"]
+        attributes = m["more"] if m["name"] else m["more2"]
         if not ends and name in SELF_CLOSED and attributes.endswith("/"):
             continue
         if name == "svg":
@@ -103,35 +142,30 @@ def leaves(page: str) -> list[Leaf]:
         if name in BLOCK:
             flush()
         elif name == "br":
-            held.append((" ", links > 0))
+            held.append((" ", open_.links > 0))
         if ends:
-            at = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
+            at = open_.innermost((name,))
             # An inline end tag doesn't close the blocks opened since.
-            if at is not None and (name in BLOCK or not any(t in BLOCK for t, _ in stack[at:])):
-                close(at)
+            if at >= 0 and (name in BLOCK or open_.block < at):
+                open_.close(at)
             continue
         if name in VOID:
             continue
         if name in BLOCK:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == "p":
-                    close(i)
-                    break
-                if stack[i][0] in BLOCK:
-                    break
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] in SIBLINGS.get(name, ()):
-                    close(i)
-                    break
-                if stack[i][0] in ("ul", "ol", "dl", "table", "select", "tbody"):
-                    break
-        before = stack[-1][1] if stack else ()
+            if open_.blocks and open_.stack[open_.block][0] == "p":
+                open_.close(open_.block)
+            at = open_.innermost(SIBLINGS.get(name, ()))
+            if at >= 0 and at > open_.innermost(LISTS):
+                open_.close(at)
+        before = open_.stack[-1][1] if open_.stack else ()
         own = [f"in:{name}"]
         if attributes and "=" in attributes:
             for values in _NAMED.findall(attributes):
                 own += [f"is:{w}" for w in _WORDS.findall("".join(values).lower())]
-        stack.append((name, before + tuple(x for x in own if x not in before)))
-        links += name == "a"
+        new = [x for x in dict.fromkeys(own) if (known is None or x in known) and x not in before]
+        open_.push(name, before + tuple(new) if new else before)
+    if not drawn:
+        held.append((rest, open_.links > 0))
     flush()
     return found
 
@@ -193,7 +227,7 @@ class Field:
         return self._cells
 
     def text(self, page: str | None) -> str:
-        blocks = leaves(page or "")
+        blocks = leaves(page or "", self.number)
         labels = self.decode(features(blocks))
         return "\n".join(b.text for b, label in zip(blocks, labels) if label)
 

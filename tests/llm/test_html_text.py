@@ -1,5 +1,6 @@
 import itertools
 import re
+import time
 
 import numpy as np
 import pytest
@@ -126,3 +127,23 @@ def test_text_behind_icons_and_in_formulas_is_extracted(model):
             f"<p>{words} <math><mi>x</mi></math> second.</p><p>{words} <svg-icon></svg-icon> third.</p></article></body></html>")
     assert model.text(page).split("\n") == [
         "The title", f"{words} first.", f"{words} x second.", f"{words} third."]
+
+
+@pytest.mark.parametrize("part, n", [
+    ("<div>x", 100_000), ("<b>x", 100_000), ("<p>x</i>", 100_000), ("<li>x<b>", 50_000), ("<div class=a{i}>x", 50_000),
+    ("<a <", 200_000), ("<!", 200_000), ("<div>x</b></div>", 100_000), ("<ul><li>x", 50_000), ("&am", 200_000)])
+def test_deep_and_unclosed_markup_takes_time_in_proportion(model, part, n):
+    took = []
+    for size in (n // 10, n):
+        page = "".join(part.replace("{i}", str(i)) for i in range(size))
+        start = time.process_time()
+        assert isinstance(model.text(page), str)
+        took.append(time.process_time() - start)
+    assert took[1] < 25 * took[0] + 1
+
+
+@pytest.mark.parametrize("page, want", [
+    ("<p>a<script>x", ["a"]), ("<p>a<!-- b > c", ["a"]), ("<p>a<!-- b", ["a"]), ("<p>a<b", ["a<b"]),
+    ("<p>a</p>b <c", ["a", "b <c"]), ("<p>a<title>t</title>b", ["ab"]), ("a<svg>b", ["a"])])
+def test_pages_cut_off(page, want):
+    assert [b.text for b in ht.leaves(page)] == want
