@@ -9,8 +9,9 @@ Everything runs as DataFrame expressions.  The two chains are tables of counts o
 fixed alphabet, so what reaches the driver is at most ``2 * SYMBOLS ** 2`` numbers.
 
 Cases: a null or empty text has no span; a repeated row gives a row each; without
-labelled samples both chains are uniform and the method adds nothing; further columns
-of the input are left aside (``scan``) or kept as they are (``redact``).
+labelled samples both chains are uniform and the method adds nothing; a very long text, or
+one of very many matches, takes time in proportion; further columns of the input are left
+aside (``scan``) or kept as they are (``redact``), also where their names are used here.
 """
 
 from __future__ import annotations
@@ -40,6 +41,45 @@ SYMBOLS = len(ALPHABET) + 1  # and one for any other character
 SPAN = "struct<start: int, rank: int, end: int, kind: string, value: string>"
 
 
+#: Elements that a fold appends one by one: an array is folded part by part, since every
+#: append copies what is there.  Characters of the parts a long text is cut into twice.
+PART, LONG_PART, SHORT_PART = 256, 65_536, 4_096
+
+
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is worked out once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _running(x: Column, step, first: int = 0) -> Column:
+    """All intermediate values of a fold over an array of ints, in linear time."""
+    none = F.array().cast("array<int>")
+
+    def part(at: Column, values: Column) -> Column:
+        def add(acc, v):
+            return _let(step(acc["at"], v), lambda n: F.struct(
+                n.alias("at"), F.concat(acc["out"], F.array(n)).alias("out")))
+
+        return F.aggregate(values, F.struct(at.alias("at"), none.alias("out")), add)
+
+    def over(acc, values):
+        return _let(part(acc["at"], values), lambda r: F.struct(
+            r["at"].alias("at"), F.concat(acc["out"], F.array(r["out"])).alias("out")))
+
+    def whole(values: Column) -> Column:
+        count = F.floor((F.size(values) - 1) / F.lit(PART)).cast("int")
+        parts = F.transform(F.sequence(F.lit(0), count), lambda c: F.slice(values, c * PART + 1, F.lit(PART)))
+        start = F.struct(F.lit(first).alias("at"), F.array().cast("array<array<int>>").alias("out"))
+        return F.when(F.size(values) > 0, F.flatten(
+            F.aggregate(parts, start, over, lambda acc: acc["out"]))).otherwise(none)
+
+    return _let(x, whole)
+
+
+def _sums(x: Column) -> Column:
+    return _running(x, lambda at, v: at + v)
+
+
 def _found(text: Column, pattern: str, kind: str, rank: int) -> Column:
     """Leftmost non-overlapping matches with code-point offsets.
 
@@ -47,19 +87,15 @@ def _found(text: Column, pattern: str, kind: str, rank: int) -> Column:
     ``regexp_extract_all`` walk over the same matches.
     """
     pieces = F.transform(F.split(text, pattern, -1), F.length)
-    hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPAN}>").alias("spans"))
 
-    def step(acc, x):
-        begin = acc["at"] + x["0"]
-        end = begin + F.length(x["1"])
-        span = F.struct(begin.alias("start"), F.lit(rank).alias("rank"), end.alias("end"),
-                        F.lit(kind).alias("kind"), x["1"].alias("value"))
-        return F.struct(end.alias("at"), F.concat(acc["spans"], F.array(span)).alias("spans"))
+    def spans(hits: Column) -> Column:
+        ends = _sums(F.zip_with(F.slice(pieces, 1, F.size(hits)), hits, lambda n, hit: n + F.length(hit)))
+        return F.zip_with(hits, ends, lambda hit, end: F.struct(
+            (end - F.length(hit)).alias("start"), F.lit(rank).alias("rank"), end.alias("end"),
+            F.lit(kind).alias("kind"), hit.alias("value")))
 
-    both = F.arrays_zip(F.slice(pieces, 1, F.size(hits)).alias("0"), hits.alias("1"))
-    spans = F.aggregate(both, start, step, lambda acc: acc["spans"])
-    return F.when(text.rlike(pattern), spans).otherwise(F.array().cast(f"array<{SPAN}>"))
+    hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    return F.when(text.rlike(pattern), _let(hits, spans)).otherwise(F.array().cast(f"array<{SPAN}>"))
 
 
 def base_spans(text: Column) -> Column:
@@ -111,31 +147,43 @@ def train(samples: DataFrame, text_col: str = "text", label_col: str = "random")
     return [a - b for a, b in zip(log_rates(counts[True]), log_rates(counts[False]))]
 
 
-def _left(token: Column, base: Column) -> Column:
-    """The runs of a token that no base span covers, of TOKEN_CHARS characters or more."""
-    touching = F.filter(base, lambda b: (b["start"] < token["end"]) & (token["start"] < b["end"]))
-
-    def with_run(acc, end):
-        value = F.substring(token["value"], acc["at"] - token["start"] + 1, end - acc["at"])
-        run = F.struct(acc["at"].alias("start"), token["rank"].alias("rank"), end.alias("end"),
-                       token["kind"].alias("kind"), value.alias("value"))
-        return F.when(end - acc["at"] >= TOKEN_CHARS,
-                      F.concat(acc["spans"], F.array(run))).otherwise(acc["spans"])
+def _left(tokens: Column, base: Column) -> Column:
+    """The runs of tokens that no base span covers, of TOKEN_CHARS characters or more.
 
-    start = F.struct(token["start"].alias("at"), F.array().cast(f"array<{SPAN}>").alias("spans"))
-    return F.when(F.size(touching) == 0, F.array(token)).otherwise(F.aggregate(
-        touching, start,
-        lambda acc, b: F.struct(F.greatest(acc["at"], b["end"]).alias("at"),
-                                with_run(acc, b["start"]).alias("spans")),
-        lambda acc: with_run(acc, token["end"])))
+    Starts and ends of both kinds in one order: running counts tell which spans and which
+    token are open between two of them.
+    """
+    def edge(at: Column, span: int, token: int) -> Column:
+        return F.struct(at.alias("at"), F.lit(span).alias("span"), F.lit(token).alias("token"))
+
+    def edges(spans: Column, span: int, token: int) -> Column:
+        return F.concat(F.transform(spans, lambda x: edge(x["start"], span, token)),
+                        F.transform(spans, lambda x: edge(x["end"], -span, -token)))
+
+    def cut(marks: Column) -> Column:
+        after = F.slice(F.transform(marks, lambda m: m["at"]), 2, F.size(marks))
+        between = F.arrays_zip(
+            F.transform(marks, lambda m: m["at"]).alias("at"), after.alias("end"),
+            _sums(F.transform(marks, lambda m: m["span"])).alias("spans"),
+            _sums(F.transform(marks, lambda m: m["token"])).alias("tokens"),
+            _sums(F.transform(marks, lambda m: F.greatest(m["token"], F.lit(0)))).alias("nth"))
+        free = F.filter(between, lambda x: (x["spans"] == 0) & (x["tokens"] == 1) & (
+            x["end"] - x["at"] >= TOKEN_CHARS))
+        return F.transform(free, lambda x: _let(F.element_at(tokens, x["nth"]), lambda token: F.struct(
+            x["at"].alias("start"), token["rank"].alias("rank"), x["end"].alias("end"),
+            token["kind"].alias("kind"),
+            F.substring(token["value"], x["at"] - token["start"] + 1, x["end"] - x["at"]).alias("value"))))
+
+    marks = F.array_sort(F.concat(edges(base, 1, 0), edges(tokens, 0, 1)))
+    return F.when((F.size(base) == 0) | (F.size(tokens) == 0), tokens).otherwise(_let(marks, cut))
 
 
 def random_spans(text: Column, base: Column, ratios: list[float], least: float) -> Column:
     """What the base spans (by start) leave of long tokens, where the mean ratio per
     character pair is ``least`` or more."""
     table = F.split(F.lit(",".join(f"{x:.6f}" for x in ratios)), ",").cast("array<double>")
-    free = F.flatten(F.transform(_found(text, TOKEN, "random", len(KINDS)),
-                                 lambda s: _left(s, base)))
+    free = _let(_found(text, TOKEN, "random", len(KINDS)),
+                lambda t: _let(base, lambda b: _left(t, b)))
     score = lambda s: F.aggregate(
         _pairs(s["value"]), F.lit(0.0), lambda acc, p: acc + F.element_at(table, p + 1)
     ) / (F.length(s["value"]) - 1)
@@ -174,22 +222,45 @@ def scan(docs: DataFrame, ratios: list[float], id_col: str = "doc_id",
                         _joined(F.col("spans")).alias("spans"))
 
 
+def _gaps(text: Column, spans: Column) -> Column:
+    """What lies before, between and behind spans (by start; overlapping ones are one).
+
+    A gap is put together from short parts of the text, as a part of a text is found by
+    walking to it.
+    """
+    upto = _running(F.transform(spans, lambda s: s["end"]), F.greatest)
+
+    def gaps(ends: Column) -> Column:
+        before = F.concat(F.array(F.lit(0)), ends)
+        opened = F.concat(F.transform(spans, lambda s: s["start"]), F.array(F.length(text)))
+        pairs = F.arrays_zip(before.alias("at"), opened.alias("end"))
+        last = F.size(ends)
+        return F.filter(pairs, lambda g, i: (g["end"] >= g["at"]) | (i == last))
+
+    def parts(whole: Column, size: int, length: Column) -> Column:
+        count = F.floor((F.greatest(length, F.lit(1)) - 1) / F.lit(size)).cast("int")
+        return F.transform(F.sequence(F.lit(0), count), lambda k: F.substring(whole, k * size + 1, F.lit(size)))
+
+    def piece(short: Column, gap: Column) -> Column:
+        at, end = gap["at"], gap["end"]
+        which = F.sequence(F.floor(at / F.lit(SHORT_PART)).cast("int"),
+                           F.floor((end - 1) / F.lit(SHORT_PART)).cast("int"))
+        return F.when(end > at, F.array_join(F.transform(which, lambda k: F.substring(
+            F.element_at(short, k + 1), F.greatest(at - k * SHORT_PART, F.lit(0)) + 1,
+            F.least(end, (k + 1) * SHORT_PART) - F.greatest(at, k * SHORT_PART))), "")).otherwise("")
+
+    long = parts(text, LONG_PART, F.length(text))
+    short = F.flatten(F.transform(long, lambda x: parts(x, SHORT_PART, F.length(x))))
+    return _let(upto, lambda ends: _let(short, lambda s: F.transform(gaps(ends), lambda g: piece(s, g))))
+
+
 def redact(docs: DataFrame, ratios: list[float], text_col: str = "text",
            least: float = LEAST_RATIO, mark: str = "<secret>") -> DataFrame:
     """The input with each span (overlapping ones as one) replaced by ``mark``; a null
     text stays null."""
     found = with_spans(docs, ratios, text_col, least)
     text = F.col("text")
-    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
-
-    def step(acc, s):
-        new = F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]),
-                       F.lit(mark))
-        return F.struct(F.when(s["start"] >= acc["at"], new).otherwise(acc["out"]).alias("out"),
-                        F.greatest(acc["at"], s["end"]).alias("at"))
-
-    clean = F.aggregate("spans", start, step, lambda acc: F.concat(
-        acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
+    clean = _let(F.col("spans"), lambda s: F.array_join(_gaps(text, s), mark))
     clean = F.when(F.col("row")[text_col].isNotNull(),
                    F.when(F.size("spans") > 0, clean).otherwise(text))
     return found.select(*[
