@@ -14,7 +14,8 @@ the exact likelihood of its word sequence, by the scaled forward recursion.
 
 Cases: a null or empty text is the end token alone; unknown words have the probability
 of a word never counted; without training documents the model is uniform; repeated rows
-count and are scored each.
+count and are scored each; very long texts are scored whole, piece by piece; an empty table
+gives an empty result; further columns are left aside.
 """
 
 from __future__ import annotations
@@ -30,15 +31,18 @@ from pyspark.sql import functions as F
 
 from spoor.llm import blocks
 from spoor.llm.common import Batches, in_arrow
-from spoor.session import materialize
+from spoor.session import Stored, materialize, store
 
 STATES = 4
 #: Training ends when a round adds less than this to the log likelihood per token (nats).
 LEAST_GAIN = 1e-3
-#: Of the tied words: most with a symbol of their own, classes of the others.  Tokens in a batch.
-SYMBOLS, CLASSES, BATCH_TOKENS = 8192, 16, 1_000_000
-#: Tokens of a longer text that are held at once: its pieces pass on the states between them.
-PIECE_TOKENS = 1_000_000
+#: Of the tied words: most with a symbol of their own, classes of the others.
+SYMBOLS, CLASSES = 8192, 16
+#: Tokens whose recursions are held at once, and tokens of a piece of a text: pieces run side
+#: by side, so a long text costs no more steps than a short one.
+BATCH_TOKENS, SPAN = 250_000, 256
+#: Bytes of text in a block: a round moves four numbers per distinct word of a block.
+BLOCK_BYTES = 32_000_000
 
 
 def words() -> object:
@@ -104,8 +108,9 @@ def vocabulary(table: DataFrame, docs: DataFrame, most: int = SYMBOLS) -> Vocabu
         return pa.table({"word": pa.array([found[i] for i in known], pa.binary()),
                          "n": pa.array(total[known], pa.int64())})
 
-    counts = materialize(table.where("bucket >= 0").select("bucket", "payload").groupBy(
+    stored = store(table.where("bucket >= 0").select("bucket", "payload").groupBy(
         "bucket").applyInArrow(run, "word binary, n long"), "word-counts")
+    counts = stored.df
     texts = docs.where("flag").count()
     row = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     tokens = row["n"] + texts
@@ -118,6 +123,7 @@ def vocabulary(table: DataFrame, docs: DataFrame, most: int = SYMBOLS) -> Vocabu
     class_tokens, class_types = [0] * CLASSES, [0] * CLASSES
     for r in in_class:
         class_tokens[r["c"] - 1], class_types[r["c"] - 1] = r["n"], r["v"]
+    stored.drop()
     return Vocabulary(tokens, row["v"] + (texts > 0), texts, {w: i for i, (_, w) in enumerate(kept)},
                       [-n for n, _ in kept], class_tokens, class_types)
 
@@ -131,7 +137,7 @@ def _symbols(voc: Vocabulary, found: list[bytes]) -> np.ndarray:
 _SEQUENCES = "flag boolean, payload binary"
 
 
-def sequences(table: DataFrame, v: Vocabulary) -> DataFrame:
+def sequences(table: DataFrame, v: Vocabulary) -> Stored:
     """The symbols of each training document (with the end token)."""
     sent = table.sparkSession.sparkContext.broadcast(v)  # SYMBOLS words at most
 
@@ -147,8 +153,8 @@ def sequences(table: DataFrame, v: Vocabulary) -> DataFrame:
         return pa.table({"flag": pa.array([True] * len(payloads), pa.bool_()),
                          "payload": pa.array(payloads, pa.binary())})
 
-    return materialize(blocks.finished(table, blocks.answered(table, answer), finish, _SEQUENCES),
-                       "sequences")
+    return store(blocks.finished(table, blocks.answered(table, answer), finish, _SEQUENCES),
+                 "sequences")
 
 
 def initial(v: Vocabulary, states: int = STATES, seed: int = 7) -> Model:
@@ -160,84 +166,132 @@ def initial(v: Vocabulary, states: int = STATES, seed: int = 7) -> Model:
                  emits / emits.sum(0))
 
 
-def _sorted_batch(texts: list[np.ndarray]):
-    """Texts side by side, longest first: order, their symbols in a row, where each
-    starts, and how many still run at each step."""
-    lengths = np.array([len(t) for t in texts])
-    order = np.argsort(-lengths, kind="stable")
-    lengths = lengths[order]
-    starts = np.cumsum(lengths) - lengths
-    flat = np.concatenate([texts[i] for i in order])
-    running = np.searchsorted(-lengths, -np.arange(lengths[0]), "left")
-    return order, flat, starts, running
-
-
-def _steps(m: Model, flat: np.ndarray, starts: np.ndarray, running: np.ndarray):
-    """A function from the number of a step and the scaled forward values before it to its
-    symbols, emissions, scaled forward values and scales; a row per state."""
-    flat, moves = flat.astype(np.intp), np.ascontiguousarray(m.moves.T)
-
-    def step(t: int, a: np.ndarray | None):
-        n = running[t]
-        s = flat.take(starts[:n] + t)
-        e = np.ascontiguousarray(m.emits.take(s, 0).T)
-        a = m.start[:, None] * e if a is None else (moves @ a[:, :n]) * e
+@dataclass
+class Pieces:
+    """Texts cut into pieces of at most ``SPAN`` tokens: all tokens in a row, and of each
+    piece its text, its number in the text, where it starts and its size."""
+
+    flat: np.ndarray
+    text: np.ndarray
+    nth: np.ndarray
+    start: np.ndarray
+    size: np.ndarray
+
+    @classmethod
+    def of(cls, texts: list[np.ndarray]) -> Pieces:
+        lengths = np.array([len(t) for t in texts])
+        n = -(-lengths // SPAN)
+        text = np.repeat(np.arange(len(texts)), n)
+        nth = np.arange(len(text)) - np.repeat(np.cumsum(n) - n, n)
+        start = (np.cumsum(lengths) - lengths)[text] + nth * SPAN
+        flat = np.concatenate(texts).astype(np.intp)
+        return cls(flat, text, nth, start, np.minimum(SPAN, lengths[text] - nth * SPAN))
+
+    def chunks(self, which: np.ndarray) -> Iterator[np.ndarray]:
+        """Pieces in lists of bounded size, the longest ones first."""
+        which = which[np.argsort(-self.size[which], kind="stable")]
+        cut = np.flatnonzero(np.diff(np.cumsum(self.size[which]) // BATCH_TOKENS)) + 1
+        return (x for x in np.split(which, cut) if len(x))
+
+    def steps(self, chunk: np.ndarray, m: Model):
+        """For each step, how many pieces of the chunk still run, their symbols and
+        emissions (a row per state)."""
+        start, size = self.start[chunk], self.size[chunk]
+        for t, n in enumerate(np.searchsorted(-size, -np.arange(size[0]), "left").tolist()):
+            s = self.flat.take(start[:n] + t)
+            yield n, s, np.ascontiguousarray(m.emits.take(s, 0).T)
+
+
+def _edges(m: Model, p: Pieces) -> tuple[np.ndarray, np.ndarray]:
+    """Of each piece, the probabilities of its first state given all before it, and (scaled)
+    of all behind it given its last state.
+
+    What a piece does to any probabilities that enter it is a matrix; the matrices of all
+    pieces are worked out side by side, and only they are gone through in a row.
+    """
+    states = len(m.start)
+    enter = np.repeat(m.start[:, None], len(p.nth), 1)
+    leave = np.ones((states, len(p.nth)))
+    inner = np.flatnonzero(p.nth > 0)
+    several = np.union1d(inner, inner - 1)
+    if not len(several):
+        return enter, leave
+    moves, through = np.ascontiguousarray(m.moves.T), np.empty((states, states, len(p.nth)))
+    for chunk in p.chunks(several):
+        now = np.zeros((states, states, len(chunk)))
+        for t, (n, _, e) in enumerate(p.steps(chunk, m)):
+            if t == 0:
+                now[np.arange(states), np.arange(states)] = e
+            else:
+                after = (moves @ now[:, :, :n].reshape(states, -1)).reshape(states, states, n)
+                after *= e[:, None]
+                now[:, :, :n] = after / after.sum((0, 1))
+        through[:, :, chunk] = now
+    order = inner[np.argsort(p.nth[inner], kind="stable")]
+    ranks = np.split(order, np.flatnonzero(np.diff(p.nth[order])) + 1)
+    for at in ranks:
+        a = np.einsum("ijn,jn->in", through[:, :, at - 1], enter[:, at - 1])
+        enter[:, at] = moves @ (a / a.sum(0))
+    for at in reversed(ranks):
+        b = m.moves @ np.einsum("ijn,in->jn", through[:, :, at], leave[:, at])
+        leave[:, at - 1] = b / b.sum(0)
+    return enter, leave
+
+
+def _forward(m: Model, p: Pieces, chunk: np.ndarray, enter: np.ndarray):
+    """Per step of a chunk: symbols, emissions, scaled forward values and scales."""
+    moves, a = np.ascontiguousarray(m.moves.T), None
+    for n, s, e in p.steps(chunk, m):
+        a = (enter[:, chunk] if a is None else moves @ a[:, :n]) * e
         scale = a.sum(0)
         a /= scale
-        return s, e, a, scale
-
-    return step
+        yield s, e, a, scale
 
 
 def likelihood(m: Model, texts: list[np.ndarray]) -> np.ndarray:
     """Natural log likelihood of each symbol sequence, by the scaled forward recursion."""
-    order, flat, starts, running = _sorted_batch(texts)
-    total, a, step = np.zeros(len(texts)), None, _steps(m, flat, starts, running)
-    for t, n in enumerate(running.tolist()):
-        _, _, a, scale = step(t, a)
-        total[:n] += np.log(scale)
-    out = np.empty(len(texts))
-    out[order] = total
-    return out
+    p, total = Pieces.of(texts), np.zeros(len(texts))
+    enter, _ = _edges(m, p)
+    for chunk in p.chunks(np.arange(len(p.nth))):
+        of_piece = np.zeros(len(chunk))
+        for _, _, _, scale in _forward(m, p, chunk, enter):
+            of_piece[: len(scale)] += np.log(scale)
+        total += np.bincount(p.text[chunk], of_piece, len(texts))
+    return total
 
 
 def expected(m: Model, texts: list[np.ndarray], symbols: int):
-    """Expected counts of starts, moves and emissions, and the log likelihood.
-
-    Steps are held a piece at a time: the forward values on entering each piece are kept,
-    and the pieces are visited backwards, the backward values passing from piece to piece.
-    """
-    _, flat, starts, running = _sorted_batch(texts)
-    step, most = _steps(m, flat, starts, running), len(running)
-    span = most if len(flat) <= BATCH_TOKENS else max(1, PIECE_TOKENS // len(texts))
-    entering, a = [], None
-    for t in range(most):
-        if t % span == 0:
-            entering.append(a)
-            if t + span >= most:
-                break
-        a = step(t, a)[2]
-    states, loglik, after = len(m.start), 0.0, None
-    moves, emits = np.zeros((states, states)), np.zeros((symbols, states))
-    for k in range(len(entering) - 1, -1, -1):
-        held, a = [], entering[k]
-        for t in range(k * span, min((k + 1) * span, most)):
-            held.append(step(t, a))
-            a = held[-1][2]
-            loglik += float(np.log(held[-1][3]).sum())
-        weights = [None] * len(held)
-        for i in range(len(held) - 1, -1, -1):
-            _, e, g, scale = held[i]
-            b = np.ones_like(g)
+    """Expected counts of starts, moves and emissions, and the log likelihood."""
+    p = Pieces.of(texts)
+    enter, leave = _edges(m, p)
+    states, loglik = len(m.start), 0.0
+    start, moves, emits = np.zeros(states), np.zeros((states, states)), np.zeros((symbols, states))
+    first, last = np.empty_like(enter), np.empty_like(enter)
+    for chunk in p.chunks(np.arange(len(p.nth))):
+        held = list(_forward(m, p, chunk, enter))
+        ends = np.empty((states, len(chunk)))
+        for _, _, a, scale in held:
+            loglik += float(np.log(scale).sum())
+            ends[:, : a.shape[1]] = a
+        behind = leave[:, chunk]
+        behind = behind / (ends * behind).sum(0)
+        weights, after = [None] * len(held), None
+        for t in range(len(held) - 1, -1, -1):
+            _, e, a, scale = held[t]
+            b = behind[:, : a.shape[1]].copy()
             if after is not None:
                 n = after.shape[1]
-                moves += g[:, :n] @ after.T
+                moves += a[:, :n] @ after.T
                 b[:, :n] = m.moves @ after
-            weights[i], after = g * b, e * b / scale
+            weights[t], after = a * b, e * b / scale
+        start += weights[0][:, p.nth[chunk] == 0].sum(1)
+        first[:, chunk], last[:, chunk] = after, ends
         every, weight = np.concatenate([x[0] for x in held]), np.concatenate(weights, 1)
         for j in range(states):
             emits[:, j] += np.bincount(every, weight[j], symbols)
-    return weights[0].sum(1), moves * m.moves, emits, loglik
+    inner = np.flatnonzero(p.nth > 0)
+    moves += last[:, inner - 1] @ first[:, inner].T
+    return start, moves * m.moves, emits, loglik
 
 
 def _grouped(texts: Iterable[np.ndarray]) -> Iterator[list[np.ndarray]]:
@@ -309,12 +363,13 @@ def learned(seqs: DataFrame, v: Vocabulary, states: int = STATES, rounds: int |
 class Words:
     """A model with emissions for every training word: ``rows`` hold, per block and bucket,
     the training counts, places and classes (from 1; 0: frequent) of the block's words, and
-    their emissions."""
+    their emissions; they are worked out from the table ``source``."""
 
     start: np.ndarray
     moves: np.ndarray
     end: np.ndarray  # emission of the end token
     rows: DataFrame
+    source: Stored
 
 
 _ROWS = "block string, bucket int, payload binary, emits binary"
@@ -343,8 +398,8 @@ def untied(table: DataFrame, v: Vocabulary, m: Model) -> Words:
                          "payload": pa.array([blocks.pack(total[p], p, kind[p]) for p in places], pa.binary()),
                          "emits": pa.array([emits[p].tobytes() for p in places], pa.binary())})
 
-    rows = materialize(table.where("bucket >= 0").groupBy("bucket").applyInArrow(run, _ROWS), "words")
-    return Words(m.start, m.moves, m.emits[v.end], rows)
+    rows = store(table.where("bucket >= 0").groupBy("bucket").applyInArrow(run, _ROWS), "words")
+    return Words(m.start, m.moves, m.emits[v.end], rows.df, rows)
 
 
 def _local(docs: blocks.Documents, right: pa.Table, start, moves, end) -> Model:
@@ -362,7 +417,7 @@ def _answers(docs: blocks.Documents, right: pa.Table) -> blocks.Answers:
     return blocks.Answers(docs.buckets, {b: blocks.unpack(x) for b, x in parts})
 
 
-def counted(docs: DataFrame, words: Words) -> DataFrame:
+def counted(docs: DataFrame, words: Words) -> Stored:
     """Expected counts of the training documents: a row per block and bucket, and one
     with the sums of the block: log likelihood, starts, moves, ends, and tokens of frequent
     words and of each class."""
@@ -391,10 +446,10 @@ def counted(docs: DataFrame, words: Words) -> DataFrame:
             "stats": pa.array([None] * len(buckets) + [stats], pa.list_(pa.float64()))})
 
     found = docs.groupBy("block").cogroup(words.rows.groupBy("block")).applyInArrow(run, _COUNTS)
-    return materialize(found, "expected")
+    return store(found, "expected")
 
 
-def raised(counts: DataFrame, v: Vocabulary, states: int) -> tuple[Words, float]:
+def raised(stored: Stored, v: Vocabulary, states: int) -> tuple[Words, float]:
     """The model of the expected counts, and the log likelihood of the one before.
 
     Frequent words and classes are smoothed by their training counts as tied ones are.  In
@@ -402,6 +457,7 @@ def raised(counts: DataFrame, v: Vocabulary, states: int) -> tuple[Words, float]
     state has as many more tokens as the class has words, dealt by their training counts:
     so a word never counted has the same probability in its class in every state.
     """
+    counts = stored.df
     sums = counts.where("bucket < 0").select(F.posexplode("stats")).groupBy("pos").agg(
         F.sum("col").alias("n"))
     got = np.array([r["n"] for r in sums.orderBy("pos").collect()])  # states * (states + 19) + 1
@@ -432,15 +488,18 @@ def raised(counts: DataFrame, v: Vocabulary, states: int) -> tuple[Words, float]
     rows = counts.where("bucket >= 0").drop("stats").groupBy("bucket").applyInArrow(run, _ROWS)
     start, moves = start + 0.1, moves.reshape(states, states) + 0.1
     return Words(start / start.sum(), moves / moves.sum(1, keepdims=True),
-                 (end + size * unigram[-1]) / norm, rows), float(loglik[0])
+                 (end + size * unigram[-1]) / norm, rows, stored), float(loglik[0])
 
 
 def trained(table: DataFrame, docs: DataFrame, v: Vocabulary, m: Model,
             rounds: int | None = None) -> Words:
-    """Baum-Welch with every training word alone, from the model of tied words."""
+    """Baum-Welch with every training word alone, from the model of tied words.  The table
+    of a round goes once that of the next is written."""
     words = untied(table, v, m)
     for tell in _rounds(v, rounds if v.texts else 0):
-        words, loglik = raised(counted(docs, words), v, len(m.start))
+        before, counts = words.source, counted(docs, words)
+        words, loglik = raised(counts, v, len(m.start))
+        before.drop()
         tell(loglik)
     return words
 
@@ -454,9 +513,12 @@ def scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col:
     """Learns from the documents where ``held_out`` is false and scores all: doc_id,
     held_out, n_tokens, n_known, train_tokens, base_score, score (log10)."""
     rows = input_rows(docs, held_out, id_col, text_col)
-    table = blocks.cut(rows, words, counted=True)
+    cut = blocks.stored(rows, words, counted=True, size=BLOCK_BYTES)
+    table = cut.df
     v = vocabulary(table, rows)
-    tied = learned(sequences(table, v), v, states, rounds)
+    seqs = sequences(table, v)
+    tied = learned(seqs.df, v, states, rounds)
+    seqs.drop()
     # The documents lie where the emissions of every round come to them.
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     held = table.where("bucket < 0").select("block", "payload").repartition(n, "block").persist(
@@ -481,6 +543,10 @@ def scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col:
                          for c, x, k in zip(_SCORES.split(", "), columns, kinds)})
 
     found = held.groupBy("block").cogroup(model.rows.groupBy("block")).applyInArrow(run, _SCORES)
-    return found.select(
+    scored = materialize(found, "scores")
+    held.unpersist()
+    for used in (cut, model.source):
+        used.drop()
+    return scored.select(
         "doc_id", (~F.col("flag")).alias("held_out"), "n_tokens", "n_known",
         F.lit(tokens).cast("long").alias("train_tokens"), "base_score", "score")

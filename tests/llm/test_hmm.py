@@ -96,7 +96,7 @@ def test_rounds_raise_the_likelihood(docs):
     rows = hmm.input_rows(docs, held(), "doc_id", "text")
     table = blocks.cut(rows, hmm.words, counted=True)
     v = hmm.vocabulary(table, rows, most=256)
-    seqs = hmm.sequences(table, v)
+    seqs = hmm.sequences(table, v).df
     texts = [blocks.unpack(bytes(r[0]))[0].astype(int) for r in seqs.where("flag").select("payload").collect()]
     found = [hmm.likelihood(hmm.learned(seqs, v, rounds=n), texts).sum() for n in (0, 1, 3)]
     assert found == sorted(found)
@@ -158,7 +158,117 @@ def test_training_goes_on_until_nothing_is_gained(spark):
 def test_pieces_of_a_long_text_pass_on_their_states(model, monkeypatch):
     whole = hmm.expected(model, SEQS, 3)
     monkeypatch.setattr(hmm, "BATCH_TOKENS", 3)
-    for piece in (1, 8, 12):
-        monkeypatch.setattr(hmm, "PIECE_TOKENS", piece)
+    for piece in (1, 2, 3, 5):
+        monkeypatch.setattr(hmm, "SPAN", piece)
         for g, w in zip(hmm.expected(model, SEQS, 3), whole):
             assert np.allclose(g, w)
+        assert hmm.likelihood(model, SEQS) == pytest.approx(
+            [math.log(every_path(model, x)) for x in SEQS])
+
+
+def plain_training(texts, v, rounds):
+    """Baum-Welch as it is written down, a word and a state at a time: first with tied words,
+    then with every word alone, smoothed as the module says."""
+    first, end = len(v.symbol), v.size - 1
+    states = hmm.STATES
+    m = hmm.initial(v)
+    unigram = v.unigram()
+
+    def passed(start, moves, emit, seqs):
+        s0, mv, em, ll = np.zeros(states), np.zeros((states, states)), {}, 0.0
+        for seq in seqs:
+            e = [emit(x) for x in seq]
+            a = [start * e[0]]
+            for x in e[1:]:
+                a.append((a[-1] @ moves) * x)
+            b = [np.ones(states)]
+            for x in reversed(e[1:]):
+                b.insert(0, moves @ (x * b[0]))
+            whole = a[-1].sum()
+            ll += math.log(whole)
+            s0 += a[0] * b[0] / whole
+            for t, x in enumerate(seq):
+                em[x] = em.get(x, 0) + a[t] * b[t] / whole
+                if t:
+                    mv += np.outer(a[t - 1], e[t] * b[t]) * moves / whole
+        return s0, mv, em, ll
+
+    def symbol(w):
+        return end if w is None else v.symbol.get(w, first + hmm.length_class(w))
+
+    def until(step, model):
+        """Rounds until a round gains too little, which is the first that is told so."""
+        before, done = None, 0
+        while rounds is None or done < rounds:
+            model, ll = step(model)
+            done += 1
+            if before is not None and ll - before < hmm.LEAST_GAIN * v.tokens:
+                break
+            before = ll
+        return model
+
+    def tied(now):
+        s0, mv, em, ll = passed(now.start, now.moves, lambda x: now.emits[x],
+                                [[symbol(w) for w in t] for t in texts])
+        s0, mv = s0 + 0.1, mv + 0.1
+        em = np.stack([em.get(i, np.zeros(states)) for i in range(v.size)]) + unigram[:, None] * v.size
+        return hmm.Model(s0 / s0.sum(), mv / mv.sum(1, keepdims=True), em / em.sum(0)), ll
+
+    m = until(tied, m)
+    count = Counter(w for t in texts for w in t if w is not None)
+    held, types = np.array(v.class_tokens), np.array(v.class_types)
+
+    def alone(w):
+        k = symbol(w) - first
+        share = 1.0 if k < 0 else (count[w] + 1) / (held[k] + types[k] + 1)
+        return m.emits[symbol(w)] * share
+
+    words = {w: alone(w) for w in count}
+
+    def untied(now):
+        start, moves, emits, stop = now
+        s0, mv, em, ll = passed(start, moves, lambda w: stop if w is None else emits[w], texts)
+        of = np.zeros((hmm.CLASSES, states))
+        kept = np.zeros(states)
+        for w, e in em.items():
+            if w is not None:
+                k = symbol(w) - first
+                if k < 0:
+                    kept += e
+                else:
+                    of[k] += e
+        norm = kept + of.sum(0) + em[None] + v.size
+        new = {}
+        for w in emits:
+            k = symbol(w) - first
+            if k < 0:
+                new[w] = (em[w] + v.size * (count[w] + 1) / (v.tokens + v.size)) / norm
+            else:
+                room, more = held[k] + types[k] + 1, types[k] + 1
+                whole = (of[k] + v.size * unigram[first + k]) / norm
+                part = of[k] / max(held[k], 1)
+                new[w] = whole * (em[w] + part + more * (count[w] + 1) / room) / (part * room + more)
+        s0, mv = s0 + 0.1, mv + 0.1
+        return (s0 / s0.sum(), mv / mv.sum(1, keepdims=True), new, (em[None] + v.size * unigram[-1]) / norm), ll
+
+    start, moves, words, stop = until(untied, (m.start, m.moves, words, m.emits[end]))
+    return [math.log10((lambda a: a)(forward(start, moves, [stop if w is None else words[w] for w in t])))
+            for t in texts]
+
+
+def forward(start, moves, emits):
+    a = start * emits[0]
+    for e in emits[1:]:
+        a = (a @ moves) * e
+    return a.sum()
+
+
+def test_scores_are_those_of_plain_training(spark):
+    rng = np.random.default_rng(9)
+    texts = [" ".join(rng.choice(["to", "be", "or", "not", f"w{i}", "that", "is"], 12)) for i in range(10)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["score"] for r in hmm.scores(frame, F.lit(False)).collect()}
+    rows = hmm.input_rows(frame, F.lit(False), "doc_id", "text")
+    v = hmm.vocabulary(blocks.cut(rows, hmm.words, counted=True), rows)
+    want = plain_training([[*(w.encode() for w in t.split()), None] for t in texts], v, None)
+    assert [got[i] for i in range(10)] == pytest.approx(want, rel=1e-5)
