@@ -2,6 +2,10 @@
 
 Each stage works on all documents the stage before kept.  The stages but the last return
 the columns of ``documents``; the last returns the ids of every document left.
+
+Cases: a document of null or empty text has too few words and goes in the first stage; of
+documents repeated in all columns one stays; further columns are kept until the last stage;
+an empty table gives an empty result; very long texts are read whole by every stage.
 """
 
 from __future__ import annotations

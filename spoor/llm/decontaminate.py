@@ -14,7 +14,8 @@ Cases: null or wordless documents and items have no match; an item of fewer word
 window is one window; equal windows of several items count for each of them; repeated
 rows give a row each; an empty benchmark leaves every document clean; an item without an
 id is searched as well: its hits count, all such items count as one, and the digest of the
-items leaves them out.
+items leaves them out; very long texts are searched whole; further columns are left aside
+(``contamination``) or kept (``cleaned``), also where their names are used here.
 """
 
 from __future__ import annotations

@@ -25,8 +25,9 @@ Sets are told apart by a 64-bit hash of their shingles' hashes, and their size.
 
 Cases: null, empty and wordless texts have no shingle and are linked with nothing; fewer
 words than a shingle make one shingle; repeated rows and equal sets are copies of one
-set; a document without id is linked only as a copy; an empty table gives an empty
-result.
+set; a document without id is linked only as a copy; very long texts are read whole; an
+empty table gives an empty result; further columns are left aside (``similar``) or kept
+(``one_of_each``), also where their names are used here.
 """
 
 from __future__ import annotations

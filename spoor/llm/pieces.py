@@ -9,7 +9,8 @@ each id gives the decoded text.  For
 models where this doesn't hold, ``encoded`` raises; ``whole_texts`` is there for them.
 
 Cases: a null or empty text has the begin and end ids only; repeated rows give a row
-each; an empty table gives an empty result.
+each; very long texts are encoded whole; an empty table gives an empty result; further
+columns are left aside.
 """
 
 from __future__ import annotations

@@ -7,7 +7,9 @@ verdict is taken from its posterior mean.  The verdict goes back to all its docu
 
 Cases: a null or empty text has no words and fails; documents of null host share one
 host; one host, or hosts of equal rates, give a strong prior around the overall rate; an
-empty table gives an empty result; repeated rows are measured and returned each.
+empty table gives an empty result; repeated rows are measured and returned each; very long
+texts are measured whole; further columns are left aside (``quality``) or kept
+(``filtered``), also where their names are used here.
 """
 
 from __future__ import annotations
