@@ -81,6 +81,37 @@ def test_headers(spark):
         assert h.peak_bytes_300s == max(map(sum, slots.values()))
 
 
+def test_objects_are_counted_only_where_some_may_be_hot(spark):
+    log = random_log(random.Random(14), 300)
+    df = spark.createDataFrame(log, SCHEMA)
+    unread = a.object_totals(df).withColumn("n", F.raise_error(F.lit("looked at")).cast("long"))
+    assert rows_of(a.rows_from_log(df, unread)) == by_hand(log)
+
+
+def test_tasks_grow_with_the_log(spark, monkeypatch):
+    log = random_log(random.Random(15), 950)
+    df = spark.createDataFrame(log, SCHEMA)
+    objects = a.object_totals(df)
+    monkeypatch.setattr(a, "ROWS_PER_TASK", 100)
+    assert a.numbered_accesses(df, objects).rdd.getNumPartitions() == 10
+    assert rows_of(a.rows_from_log(df, objects)) == by_hand(log)
+
+
+def test_headers_of_hot_and_single_objects(spark):
+    """Also of nulls: the headers counted with the rows are those of the objects' totals."""
+    log = random_log(random.Random(16), 400)
+    log += [("a", None, 7, 7, i, 5) for i in range(6)] + [("a", "null size", 9, 9, 0, None), ("c", "once", 1, 1, 0, 8)]
+    log += [(None, "no class", 3, 3, 0, 4), ("a", "null time", None, None, 0, 3), ("a", "null time", None, None, 1, 9)]
+    df = spark.createDataFrame(log, SCHEMA)
+    whole = a.descriptors_from_log(df, 2)
+    split = a.descriptors_from_log(df, 2, hot_accesses=3, stretches=8)
+    key = lambda r: tuple((x is not None, x) for x in r)
+    told = a.headers_from_log(df, a.object_totals(df), whole.rows, 2)
+    every = [sorted((tuple(r) for r in h.collect()), key=key) for h in (whole.headers, split.headers, told)]
+    assert every[0] == every[1] == every[2]
+    assert {r[0]: r[5] for r in every[0]}["a"] == len({r[1] for r in log if r[0] == "a"})
+
+
 def test_stream_equals_batch(spark, tmp, monkeypatch):
     rng = random.Random(6)
     lines, log, at = [], [], 0
