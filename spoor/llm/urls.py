@@ -3,7 +3,8 @@
 Fixed rules name a host and a path prefix; they hold for subdomains and the longest
 fitting one wins.  URLs that no fixed rule judges are judged by mined rules: FP-growth
 finds combinations of URL tokens that go with the label "block"; those of enough support
-and confidence are kept, less those that a shorter rule already covers.  A URL meets
+and confidence are kept, less those that a shorter rule already covers.  Where URLs hold
+more tokens than FP-growth can combine, the same rules are found level by level.  A URL meets
 only the rules filed under one of its tokens (each rule under its rarest), and is
 blocked if it holds all tokens of one.
 
@@ -26,7 +27,7 @@ from spoor.session import materialize
 
 BLOCK, ALLOW = "block", "allow"
 #: Blocked labelled URLs that a rule must hold for, the share of those it holds for that
-#: must be blocked, and classes of a labelled URL that combinations are made of.
+#: must be blocked, and classes of a labelled URL of which FP-growth lists all combinations.
 MIN_ROWS, MIN_CONFIDENCE, MOST_CLASSES = 20, 0.8, 10
 _LABEL = "label:block"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -111,25 +112,72 @@ def classes(labelled: DataFrame, min_rows: int) -> DataFrame:
     return alike.select("class", F.explode("tokens").alias("token"), "share", "blocked")
 
 
-def _combined(items: DataFrame, n: int, min_rows: int, min_confidence: float) -> DataFrame:
-    """Rules of several classes, by FP-growth over ``n`` rows of items."""
-    model = FPGrowth(itemsCol="items", minSupport=(min_rows - 0.5) / n, minConfidence=min_confidence).fit(items)
+def _by_growth(items: DataFrame, n: int, min_rows: int, min_confidence: float) -> DataFrame:
+    """Rules of several classes, by FP-growth over ``n`` rows of items, which lists every
+    combination of what is frequent together."""
+    labelled = items.select(F.when(
+        F.col("block"), F.array_append("held", F.lit(_LABEL))).otherwise(F.col("held")).alias("items"))
+    model = FPGrowth(itemsCol="items", minSupport=(min_rows - 0.5) / n, minConfidence=min_confidence).fit(labelled)
     strong = model.associationRules.where(
         (F.col("consequent") == F.array(F.lit(_LABEL))) & (F.size("antecedent") > 1)
     ).select(F.array_sort("antecedent").alias("classes"), "confidence",
              F.round(F.col("support") * n).cast("long").alias("rows"))
     strong = materialize(strong, "rules")
-    single = model.freqItemsets.where(F.size("items") == 1).select(
-        F.col("items")[0].alias("class"), "freq")
-    rarest = strong.select("classes", F.explode("classes").alias("class")).join(
-        single, "class").groupBy("classes").agg(F.min_by("class", F.struct("freq", "class")).alias("key"))
-    filed = strong.join(rarest, "classes")
     # A rule that holds all classes of a shorter rule says nothing more.
+    filed = _filed(strong, items)
     short, cell = filed.select(F.col("classes").alias("short"), "key"), F.explode("classes").alias("key")
     covered = filed.select("classes", cell).join(short, "key").where(
         (F.size("short") < F.size("classes")) & (F.size(F.array_except("short", "classes")) == 0)
     ).select("classes").distinct()
-    return filed.join(covered, "classes", "left_anti").select("classes", "key", "confidence", "rows")
+    return filed.join(covered, "classes", "left_anti")
+
+
+def _by_level(items: DataFrame, min_rows: int, min_confidence: float) -> DataFrame:
+    """The same rules where rows hold too many classes to list all combinations.
+
+    Combinations of one class more are made of those of a level that may still lead to a
+    rule: they hold for enough blocked rows, are no rule (a longer one would say nothing
+    more) and hold for fewer rows than each of their parts (with as many they would say the
+    same as the part, and so would all that is made of them).  So a level is as long as what
+    the rows tell apart, not as the number of their subsets.
+    """
+    rows = materialize(items.groupBy("held").agg(
+        F.count("*").alias("n"), F.sum(F.col("block").cast("long")).alias("blocked")).withColumn(
+        "id", F.monotonically_increasing_id()), "class-sets")
+    none = F.array().cast("array<string>")
+    holds = materialize(rows.select("id", "n", "blocked", none.alias("head"), F.explode("held").alias("last")), "level")
+    whole = F.array_append("head", F.col("last")).alias("classes")
+    open_sets = holds.groupBy(whole).agg(F.sum("n").alias("n"))
+    strong = None
+    while not open_sets.isEmpty():
+        ahead = holds.select("id", "head", F.col("last").alias("next"))
+        longer = materialize(holds.join(ahead, ["id", "head"]).where("last < next").select(
+            "id", "n", "blocked", whole.alias("head"), F.col("next").alias("last")), "level")
+        found = longer.groupBy(whole).agg(F.sum("n").alias("n"), F.sum("blocked").alias("blocked"))
+        found = found.where(F.col("blocked") >= min_rows)
+        parts = found.select("*", F.explode("classes").alias("out")).select(
+            "classes", "n", "blocked", F.array_remove("classes", F.col("out")).alias("part"))
+        met = parts.join(open_sets.select(F.col("classes").alias("part"), F.col("n").alias("part_n")), "part")
+        told = materialize(met.groupBy("classes", "n", "blocked").agg(
+            F.count("*").alias("parts"), F.min("part_n").alias("least")).where(
+            (F.col("parts") == F.size("classes")) & (F.col("n") < F.col("least"))).select(
+            "classes", "n", "blocked", (F.col("blocked") / F.col("n")).alias("confidence")), "told")
+        rules = told.where(F.col("confidence") >= min_confidence).select(
+            "classes", "confidence", F.col("blocked").alias("rows"))
+        strong = rules if strong is None else strong.unionByName(rules)
+        open_sets = told.where(F.col("confidence") < min_confidence).select("classes", "n")
+        holds = longer.join(open_sets.select(
+            F.slice("classes", F.lit(1), F.size("classes") - 1).alias("head"),
+            F.element_at("classes", -1).alias("last")), ["head", "last"], "left_semi")
+    return _filed(strong, items)
+
+
+def _filed(strong: DataFrame, items: DataFrame) -> DataFrame:
+    """Rules under the rarest of their classes."""
+    single = items.select(F.explode("held").alias("class")).groupBy("class").agg(F.count("*").alias("freq"))
+    rarest = strong.select("classes", F.explode("classes").alias("class")).join(
+        single, "class").groupBy("classes").agg(F.min_by("class", F.struct("freq", "class")).alias("key"))
+    return strong.join(rarest, "classes").select("classes", "key", "confidence", "rows")
 
 
 def mined(labelled: DataFrame, min_rows: int = MIN_ROWS, min_confidence: float = MIN_CONFIDENCE,
@@ -137,9 +185,8 @@ def mined(labelled: DataFrame, min_rows: int = MIN_ROWS, min_confidence: float =
     """Rules from labelled URLs that hold for at least ``min_rows`` blocked ones.
 
     A class that is a rule by itself takes no part in combinations: they would say nothing
-    more.  FP-growth lists every combination of what is frequent together, so the fit reads
-    of a labelled URL the ``most_classes`` other classes of the largest share of blocked rows.
-    The bound is on the fit alone: rules are matched against all tokens of a URL.
+    more.  Of all other classes of a URL rules are made, by FP-growth if no URL holds more
+    than ``most_classes`` of them, else level by level; the rules are the same.
     """
     rows = labelled.where(F.col(block_col).isNotNull()).select(
         tokens(F.col(url_col)).alias("tokens"), F.col(block_col).cast("boolean").alias("block"),
@@ -150,15 +197,15 @@ def mined(labelled: DataFrame, min_rows: int = MIN_ROWS, min_confidence: float =
         F.array("class").alias("classes"), F.col("class").alias("key"), F.col("share").alias("confidence"),
         F.col("blocked").alias("rows")).distinct()
     others = members.where(F.col("share") < min_confidence)
-    best = F.slice(F.sort_array(F.collect_set(F.struct("share", "class")), asc=False), 1, most_classes)
     items = rows.select("row", "block", F.explode("tokens").alias("token")).join(others, "token").groupBy(
-        "row", "block").agg(F.transform(best, lambda x: x["class"]).alias("held"))
-    items = materialize(items.select(F.when(
-        F.col("block"), F.array_append("held", F.lit(_LABEL))).otherwise(F.col("held")).alias("items")), "items")
-    n = items.count()
+        "row", "block").agg(F.array_sort(F.collect_set("class")).alias("held"))
+    items = materialize(items.select("block", "held"), "items")
+    n, widest = items.agg(F.count("*"), F.max(F.size("held"))).first()
     kept = alone
     if n >= min_rows:
-        kept = alone.unionByName(_combined(items, n, min_rows, min_confidence))
+        combined = (_by_growth(items, n, min_rows, min_confidence) if widest <= most_classes
+                    else _by_level(items, min_rows, min_confidence))
+        kept = alone.unionByName(combined)
     kept = materialize(kept, "pruned-rules")
     used = kept.select(F.explode("classes").alias("class")).distinct()
     return Mined(kept, materialize(members.join(used, "class").select("token", "class"), "members"))

@@ -1,4 +1,5 @@
 import itertools
+import random
 import re
 from collections import Counter
 
@@ -113,3 +114,34 @@ def test_urls_of_many_parts(spark):
 def test_few_labels_make_no_rule(spark, labelled):
     few = labelled.limit(urls.MIN_ROWS - 1)
     assert urls.mined(few).rules.count() == 0
+
+
+def test_rules_of_more_classes_than_growth_lists(spark):
+    """URLs of up to 13 classes: all rules, also those of classes that go least with block."""
+    rng = random.Random(8)
+    rows = []
+    for i in range(240):
+        parts = [f"p{k:02}" for k in range(13) if rng.random() < (0.3, 0.8)[k < 6]]
+        if i % 6 == 0:
+            parts = sorted({*parts, "p11", "p12"})
+        bad = {"p11", "p12"} <= set(parts) or rng.random() < 0.45
+        rows.append((f"http://{i}/" + "/".join(parts), bad))
+    labelled = spark.createDataFrame(rows, "url string, block boolean")
+    held = [(r["t"], r["block"]) for r in labelled.select(urls.tokens(F.col("url")).alias("t"), "block").collect()]
+    assert max(len(t) for t, _ in held) > urls.MOST_CLASSES
+    want = brute_rules([([x for x in t if x.startswith("path:")], b) for t, b in held], 20, 0.8)
+    got = urls.mined(labelled).rules.collect()
+    assert {tuple(r["classes"]) for r in got} == want and ("path:p11", "path:p12") in want
+    for bound in (1, 13):
+        rules = urls.mined(labelled, most_classes=bound).rules
+        assert sorted(map(tuple, rules.collect())) == sorted(map(tuple, got))
+
+
+def test_levels_end_where_rows_tell_no_more_apart(spark):
+    """40 parts, each URL holding those of a shorter one, none a rule by itself: every
+    subset of them is frequent."""
+    rows = [("http://deep.org/" + "/".join(f"p{i}" for i in range(n)), b)
+            for n in range(1, 41) for b in (True, False, True, False)]
+    rows += [("http://deep.org/" + "/".join(f"p{i}" for i in range(40)), i % 2 == 0) for i in range(60)]
+    labelled = spark.createDataFrame(rows, "url string, block boolean")
+    assert urls.mined(labelled).rules.count() == 0
