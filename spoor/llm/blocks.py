@@ -62,7 +62,7 @@ def _numbers(data: bytes, n: int) -> np.ndarray:
     return out
 
 
-def pack(*parts: np.ndarray | bytes) -> bytes:
+def pack(*parts: np.ndarray | bytes, level: int = _LEVEL) -> bytes:
     """Arrays of numbers from 0 and byte strings as one compressed string."""
     out = []
     for p in parts:
@@ -71,7 +71,7 @@ def pack(*parts: np.ndarray | bytes) -> bytes:
             out.append(b"n %d %d\n" % (len(p), len(body)) + body)
         else:
             out.append(b"b 0 %d\n" % len(p) + p)
-    return zstandard.ZstdCompressor(level=_LEVEL).compress(b"".join(out))
+    return zstandard.ZstdCompressor(level=level).compress(b"".join(out))
 
 
 def unpack(data: bytes) -> list:
@@ -84,9 +84,9 @@ def unpack(data: bytes) -> list:
     return out
 
 
-def pack_words(words: list[bytes], *more: np.ndarray) -> bytes:
+def pack_words(words: list[bytes], *more: np.ndarray, level: int = _LEVEL) -> bytes:
     sizes = np.fromiter(map(len, words), np.int64, len(words))
-    return pack(sizes, b"".join(words), *more)
+    return pack(sizes, b"".join(words), *more, level=level)
 
 
 def unpack_words(data: bytes) -> tuple[list[bytes], list[np.ndarray]]:
@@ -132,18 +132,19 @@ class _Block:
         self.flags.append(bool(flag))
         self.size += size
 
-    def rows(self, buckets: int, counted: bool):
+    def rows(self, buckets: int, counted: bool, level: int = _LEVEL):
         """The documents, with tokens numbered by falling frequency (in powers of two), then
-        by themselves, so that alike ones pack together, and the tokens of each bucket by number; ``counted``: with how often flagged documents
-        hold them."""
+        by bucket, so that the buckets pack to next to nothing, then by themselves, so that
+        alike ones pack together, and the tokens of each bucket by number; ``counted``: with
+        how often flagged documents hold them."""
         name, words = uuid.uuid4().hex, sorted(self.number)
         numbers = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
         count = np.bincount(np.concatenate(self.tokens), minlength=len(words))
-        order = np.argsort(-np.frexp(count[numbers])[1], kind="stable")
+        where = np.fromiter((zlib.crc32(w) for w in words), np.int64, len(words)) % buckets
+        order = np.lexsort((where, -np.frexp(count[numbers])[1]))
         rank = np.empty(len(words), np.uint32)
         rank[numbers[order]] = np.arange(len(words))
-        words = [words[i] for i in order]
-        where = np.fromiter((zlib.crc32(w) for w in words), np.int64, len(words)) % buckets
+        words, where = [words[i] for i in order], where[order]
         tokens = [rank[t] for t in self.tokens]
         yield name, -1, Documents(self.ids, self.flags, tokens, where).packed()
         more = []
@@ -155,7 +156,7 @@ class _Block:
         for b in range(buckets):
             part = order[edges[b] : edges[b + 1]]
             if len(part):
-                yield name, b, pack_words([words[i] for i in part], *[m[part] for m in more])
+                yield name, b, pack_words([words[i] for i in part], *[m[part] for m in more], level=level)
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -165,15 +166,16 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def cut(docs: DataFrame, tokens: Callable[[], Callable[[bytes], list[bytes]]],
-        counted: bool = False, size: int = BLOCK_BYTES) -> DataFrame:
+        counted: bool = False, size: int = BLOCK_BYTES, level: int = _LEVEL) -> DataFrame:
     """The table that ``stored`` writes."""
-    return stored(docs, tokens, counted, size).df
+    return stored(docs, tokens, counted, size, level).df
 
 
 def stored(docs: DataFrame, tokens: Callable[[], Callable[[bytes], list[bytes]]],
-           counted: bool = False, size: int = BLOCK_BYTES) -> Stored:
+           counted: bool = False, size: int = BLOCK_BYTES, level: int = _LEVEL) -> Stored:
     """The table of blocks of ``docs(doc_id, flag, text)``; ``tokens`` makes the function
-    that parts a text; ``counted``: tokens come with their count in flagged documents."""
+    that parts a text; ``counted``: tokens come with their count in flagged documents;
+    ``level``: that of the tokens' compression."""
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")),
                   -(-total // BUCKET_BYTES))
@@ -189,10 +191,10 @@ def stored(docs: DataFrame, tokens: Callable[[], Callable[[bytes], list[bytes]]]
                 for doc_id, flag, text in zip(ids, flags, texts(batch, "text")):
                     held.add(doc_id, flag, len(text), parted(text))
                     if held.size >= size:
-                        yield _batch(list(held.rows(buckets, counted)))
+                        yield _batch(list(held.rows(buckets, counted, level)))
                         held = _Block()
             if held.ids:
-                yield _batch(list(held.rows(buckets, counted)))
+                yield _batch(list(held.rows(buckets, counted, level)))
 
         return run
 

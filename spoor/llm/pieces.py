@@ -27,6 +27,8 @@ from spoor.llm import blocks
 from spoor.llm.common import Batches, gathered, in_arrow
 
 MARK = "▁"
+#: Compression of distinct chunks and their ids, which are few beside the texts' chunks.
+LEVEL = 15
 _CHUNKS = re.compile(rb"\n| *[^ \n]+| +")
 
 
@@ -72,7 +74,7 @@ def _encode(path: str):
         at = np.concatenate([[0], np.cumsum(n)])
         flat = np.fromiter((i for x in ids for i in x), "<u2" if sp.get_piece_size() < 1 << 16 else "<u4",
                            int(at[-1]))
-        return [blocks.pack(n[p], gathered(at, flat, p).tobytes()) for p in places]
+        return [blocks.pack(n[p], gathered(at, flat, p).tobytes(), level=LEVEL) for p in places]
 
     return answer
 
@@ -125,7 +127,7 @@ def encoded(docs: DataFrame, path: str, id_col: str = "doc_id",
     the text decoded from them."""
     if not chunkable(path):
         raise ValueError("pieces of this model cross whitespace markers: use whole_texts")
-    table = blocks.cut(_input(docs, id_col, text_col), _chunks(path))
+    table = blocks.cut(_input(docs, id_col, text_col), _chunks(path), level=LEVEL)
     return blocks.finished(table, blocks.answered(table, _encode(path)), _finish(path), _OUT)
 
 

@@ -80,3 +80,17 @@ def test_alike_chunks_spread_over_many_buckets(spark, monkeypatch):
     sizes = [len(blocks.unpack_words(bytes(r["payload"]))[0]) for r in table.where("bucket >= 0").collect()]
     assert len(sizes) >= 16 and sum(sizes) >= 4000 and max(sizes) < 2 * sum(sizes) / len(sizes)
     check(frame)
+
+
+def test_the_buckets_of_a_block_pack_to_little():
+    """Numbers rise with the bucket among words of like frequency, and lead back to the words."""
+    block = blocks._Block()
+    texts = [[b"w%d" % (i * 7919 % 6007) for i in range(k, k + 900)] for k in range(0, 9000, 700)]
+    for i, words in enumerate(texts):
+        block.add(i, False, 1, words)
+    (_, _, packed), *lists = block.rows(48, False, 15)
+    docs = blocks.Documents.unpacked(packed)
+    assert len(blocks.pack(docs.buckets.astype(np.uint32))) < len(docs.buckets) // 8
+    numbers = blocks.Answers(docs.buckets, {}).numbers
+    word = {n: w for _, b, x in lists for n, w in zip(numbers[b].tolist(), blocks.unpack_words(x)[0])}
+    assert [[word[n] for n in t.tolist()] for t in docs.tokens] == texts
