@@ -335,7 +335,20 @@ def _shared(docs: DataFrame, seed: int) -> DataFrame:
         F.max(F.col("role").bitwiseAND(PROBE)).over(w).alias("probed"))
     kept = F.col("role").isin(DOCUMENT, SHORT) | (
         (F.col("low") != F.col("high")) & (F.col("probed") > 0) & (F.col("shared_by") > 0))
-    return materialize(rows.where(kept).drop("low", "high", "probed"), "shared-segments")
+    return materialize(_once(rows.where(kept).drop("low", "high", "probed")), "shared-segments")
+
+
+def _once(rows: DataFrame) -> DataFrame:
+    """One entry per bucket and set, with the roles of all: copies that several tasks filed
+    would meet in a bucket as often as their numbers multiplied.  A set then probes all units
+    that any of its copies picked."""
+    every = F.col("role").isin(DOCUMENT, SHORT)
+    of_set = Window.partitionBy("key", "id").orderBy(every, "role")
+    whole = of_set.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    rows = rows.select("*", F.row_number().over(of_set).alias("nth"),
+                       F.bit_or(F.when(~every, F.col("role"))).over(whole).alias("roles"))
+    return rows.where(every | (F.col("nth") == 1)).withColumn(
+        "role", F.when(every, F.col("role")).otherwise(F.col("roles"))).drop("nth", "roles")
 
 
 def linked(a: bytes, b: bytes) -> bool:

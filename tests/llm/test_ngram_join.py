@@ -3,6 +3,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from spoor.llm import ngram_join as nj
 from spoor.llm.components import components
@@ -154,6 +155,36 @@ def test_second_hashes_where_units_lack(spark, monkeypatch):
     check(spark.createDataFrame(rows, "doc_id long, text string"))
 
 
+def test_copies_in_many_tasks_file_once(spark):
+    """Copies of texts that share segments meet once per bucket, however many tasks filed them."""
+    rnd = random.Random(6)
+    base = [f"w{i}" for i in range(300)]
+    texts = []
+    for i in range(4):
+        words = list(base)
+        for at in rnd.sample(range(300), 24):
+            words[at] = f"x{i}_{at}"
+        texts.append(" ".join(words))
+    rows = [(i, t) for i, t in enumerate(texts * 8)] + [(7, texts[3])]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    own = frame.withColumn("text_hash", F.xxhash64("text")).withColumn(
+        "spread", F.xxhash64("doc_id", "text_hash"))
+    shared = nj._shared(own, 0)
+    filed = shared.where(~F.col("role").isin(nj.DOCUMENT, nj.SHORT))
+    assert filed.count() == filed.select("key", "id").distinct().count() > 0
+    assert shared.where(F.col("role") == nj.DOCUMENT).count() == len(rows)
+    check(frame)
+
+
+def test_a_set_keeps_the_roles_of_all_its_entries(spark):
+    rows = [(1, 5, nj.INDEX), (1, 5, nj.INDEX | nj.PROBE), (1, 5, nj.PROBE | nj.TWICE), (1, 6, nj.INDEX),
+            (2, 5, nj.DOCUMENT), (2, 5, nj.DOCUMENT), (2, 5, nj.INDEX), (5, 5, nj.SHORT)]
+    got = nj._once(spark.createDataFrame(rows, "key long, id long, role int")).collect()
+    assert sorted(map(tuple, got)) == [
+        (1, 5, nj.INDEX | nj.PROBE | nj.TWICE), (1, 6, nj.INDEX), (2, 5, nj.DOCUMENT),
+        (2, 5, nj.DOCUMENT), (2, 5, nj.INDEX), (5, 5, nj.SHORT)]
+
+
 def test_components(spark):
     links = [(1, 2), (2, 3), (5, 4), (9, 9), (10, 11), (11, 12), (12, 13), (13, 10), (20, 3)]
     links += [(100 + i, 101 + i) for i in range(40)]
