@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spoor.llm.common import Batches, in_arrow, texts, tidied
+from spoor.llm.common import Batches, in_arrow, sliced, texts, tidied
 from spoor.session import Stored, store
 
 #: Bytes of text in a block (one text at least).
@@ -53,11 +53,12 @@ def _planes(numbers: np.ndarray) -> bytes:
 
 def _numbers(data: bytes, n: int) -> np.ndarray:
     raw = np.frombuffer(data, np.uint8)
-    out, at, which, shift = np.zeros(n, np.int64), 0, np.arange(n), 0
+    out, at, shift = (raw[:n] & 127).astype(np.int64), n, 7
+    which = np.flatnonzero(raw[:n] > 127)
     while len(which):
-        plane = raw[at : at + len(which)].astype(np.int64)
+        plane = raw[at : at + len(which)]
         at += len(which)
-        out[which] |= (plane & 127) << shift
+        out[which] |= (plane & 127).astype(np.int64) << shift
         which, shift = which[plane > 127], shift + 7
     return out
 
@@ -139,13 +140,14 @@ class _Block:
         how often flagged documents hold them."""
         name, words = uuid.uuid4().hex, sorted(self.number)
         numbers = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+        self.number = {}  # the words alone are needed from here on
         count = np.bincount(np.concatenate(self.tokens), minlength=len(words))
         where = np.fromiter((zlib.crc32(w) for w in words), np.int64, len(words)) % buckets
         order = np.lexsort((where, -np.frexp(count[numbers])[1]))
         rank = np.empty(len(words), np.uint32)
         rank[numbers[order]] = np.arange(len(words))
         words, where = [words[i] for i in order], where[order]
-        tokens = [rank[t] for t in self.tokens]
+        tokens = self.tokens = [rank[t] for t in self.tokens]
         yield name, -1, Documents(self.ids, self.flags, tokens, where).packed()
         more = []
         if counted:
@@ -185,7 +187,7 @@ def stored(docs: DataFrame, tokens: Callable[[], Callable[[bytes], list[bytes]]]
 
         def run(batches: Batches) -> Batches:
             held = _Block()
-            for batch in batches:
+            for batch in sliced(batches):
                 ids = batch.column("doc_id").to_pylist()
                 flags = batch.column("flag").to_pylist()
                 for doc_id, flag, text in zip(ids, flags, texts(batch, "text")):

@@ -40,6 +40,13 @@ def texts(batch: pa.RecordBatch, column: str) -> list[bytes]:
     return [x or b"" for x in batch.column(column).cast(pa.binary()).to_pylist()]
 
 
+def sliced(batches: Batches, rows: int = 500) -> Batches:
+    """The same rows in smaller batches: what is made of a batch as a whole stays small."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def window_codes(ids: np.ndarray, k: int) -> np.ndarray:
     """One number per window of k consecutive ids; equal numbers mean equal windows."""
     if len(ids) < k:

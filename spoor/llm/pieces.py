@@ -29,6 +29,8 @@ from spoor.llm.common import Batches, gathered, in_arrow
 MARK = "▁"
 #: Compression of distinct chunks and their ids, which are few beside the texts' chunks.
 LEVEL = 15
+#: Chunks encoded in one call, and bytes of ids and text in a batch of the result.
+AT_ONCE, OUT_BYTES = 10_000, 4_000_000
 _CHUNKS = re.compile(rb"\n| *[^ \n]+| +")
 
 
@@ -69,11 +71,15 @@ def _encode(path: str):
     def answer(lists, _):
         words, places = blocks.distinct(lists)
         sp = model(path)
-        ids = [x[2:] for x in sp.encode(["\n" + w.decode() for w in words], num_threads=1)]
-        n = np.fromiter(map(len, ids), np.int64, len(ids))
+        kind = "<u2" if sp.get_piece_size() < 1 << 16 else "<u4"
+        counts, parts = [np.empty(0, np.int64)], [np.empty(0, kind)]
+        for first in range(0, len(words), AT_ONCE):
+            ids = [x[2:] for x in sp.encode(["\n" + w.decode() for w in words[first : first + AT_ONCE]],
+                                            num_threads=1)]
+            counts.append(np.fromiter(map(len, ids), np.int64, len(ids)))
+            parts.append(np.fromiter((i for x in ids for i in x), kind, int(counts[-1].sum())))
+        n, flat = np.concatenate(counts), np.concatenate(parts)
         at = np.concatenate([[0], np.cumsum(n)])
-        flat = np.fromiter((i for x in ids for i in x), "<u2" if sp.get_piece_size() < 1 << 16 else "<u4",
-                           int(at[-1]))
         return [blocks.pack(n[p], gathered(at, flat, p).tobytes(), level=LEVEL) for p in places]
 
     return answer
@@ -109,14 +115,18 @@ def _finish(path: str):
         begin, end = np.array([sp.bos_id()]), np.array([sp.eos_id()])
         id_at, id_flat = answers.lists(0, 1, "<u2" if sp.get_piece_size() < 1 << 16 else "<u4")
         text_at, text_flat = piece_texts(path)
-        n, packed, texts = [], [], []
-        for chunks in docs.tokens:
+        out, n, packed, texts, first, size = [], [], [], [], 0, 0
+        for at, chunks in enumerate(docs.tokens, 1):
             ids = gathered(id_at, id_flat, chunks)
             text = gathered(text_at, text_flat, ids).tobytes()
             n.append(len(ids) + 2)
             packed.append(np.concatenate([begin, ids, end]).astype("<u4").tobytes())
             texts.append(text[1:] if text[:1] == b" " else text)  # the marker put before it
-        return _rows(docs.ids, n, packed, texts)
+            size += len(packed[-1]) + len(text)
+            if size >= OUT_BYTES or at == len(docs.tokens):
+                out.append(_rows(docs.ids[first:at], n, packed, texts))
+                n, packed, texts, first, size = [], [], [], at, 0
+        return pa.concat_tables(out)
 
     return finish
 

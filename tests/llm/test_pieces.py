@@ -2,9 +2,11 @@ import hashlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import sentencepiece
 
 from spoor.llm import blocks, pieces, queries
+from spoor.llm.common import sliced
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -94,3 +96,30 @@ def test_the_buckets_of_a_block_pack_to_little():
     numbers = blocks.Answers(docs.buckets, {}).numbers
     word = {n: w for _, b, x in lists for n, w in zip(numbers[b].tolist(), blocks.unpack_words(x)[0])}
     assert [[word[n] for n in t.tolist()] for t in docs.tokens] == texts
+
+
+def test_results_of_a_block_come_in_small_batches(monkeypatch):
+    """What a block or a bucket gives is made part by part, and is the same."""
+    monkeypatch.setattr(pieces, "OUT_BYTES", 300)
+    monkeypatch.setattr(pieces, "AT_ONCE", 7)
+    texts = [" ".join(f"word{i * k % 41} é{i}" for i in range(12)) + "\n" for k in range(30)] + [""]
+    block, chunks = blocks._Block(), pieces._chunks(PATH)()
+    for i, text in enumerate(texts):
+        block.add(i, False, len(text), chunks(text.encode()))
+    (_, _, packed), *lists = block.rows(3, False, 15)
+    answers = {b: blocks.unpack(pieces._encode(PATH)([blocks.unpack_words(x)[0]], [[]])[0])
+               for _, b, x in lists}
+    docs = blocks.Documents.unpacked(packed)
+    got = pieces._finish(PATH)(docs, blocks.Answers(docs.buckets, answers))
+    assert len(got.to_batches()) > 5
+    want = pieces.model(PATH).encode(texts, add_bos=True, add_eos=True)
+    assert [np.frombuffer(x, "<u4").tolist() for x in got.column("ids").to_pylist()] == want
+    assert got.column("doc_id").to_pylist() == list(range(31))
+    assert got.column("text").to_pylist() == pieces.model(PATH).decode(want)
+
+
+def test_batches_are_sliced():
+    batch = pa.RecordBatch.from_pydict({"a": list(range(1201))})
+    parts = list(sliced(iter([batch, batch.slice(0, 0)])))
+    assert [p.num_rows for p in parts] == [500, 500, 201]
+    assert [x for p in parts for x in p.column("a").to_pylist()] == list(range(1201))
