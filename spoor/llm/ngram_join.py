@@ -53,6 +53,8 @@ _STEP = U(0x9E3779B97F4A7C15)
 
 #: Shingles handled at once, and every which segment holds one-deletion neighbourhoods.
 CHUNK, DELETION_EVERY = 250_000, 32
+#: Most ids that are sent to all executors, so that the texts stay where they are.
+SENT_IDS = 2_000_000
 #: Roles of an entry; TWICE: a probe whose segment is compared up to one deletion as well.
 DOCUMENT, INDEX, PROBE, SHORT, TWICE = 0, 1, 2, 4, 8
 
@@ -549,7 +551,9 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
     twice = found.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("_twice")).count().where(
         "count > 1").select("_twice")
-    kept = docs.join(gone, ids == gone["_gone"], "left_anti")
+    gone = materialize(gone, "gone")
+    few = gone.count() <= SENT_IDS  # then the texts need no shuffle
+    kept = docs.join(F.broadcast(gone) if few else gone, ids == gone["_gone"], "left_anti")
     if twice.isEmpty():
         return kept
     again = kept[id_col] == twice["_twice"]

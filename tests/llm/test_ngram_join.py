@@ -202,3 +202,19 @@ def test_one_of_each(spark, edge):
         (repr(i), t) for i, t in [(1, text + " x"), (2, "other words"), (None, "no id"), (4, None)])
     assert nj.one_of_each(edge).columns == edge.columns
     assert nj.similar(edge.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("most", [2_000_000, 1])
+def test_texts_stay_where_they_are(spark, monkeypatch, capsys, most):
+    """Up to a bound the ids that go are sent to the texts, whatever Spark's own threshold."""
+    monkeypatch.setattr(nj, "SENT_IDS", most)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = [(i, " ".join(f"w{i % 5}_{k}" for k in range(50))) for i in range(20)] + [(None, "no id")]
+        kept = nj.one_of_each(spark.createDataFrame(rows, "doc_id long, text string"))
+        kept.explain()
+        assert ("BroadcastHashJoin" in capsys.readouterr().out) == (most > 1)
+        assert sorted(repr(r[0]) for r in kept.collect()) == ["0", "1", "2", "3", "4", "None"]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
