@@ -174,13 +174,17 @@ def cut(docs: DataFrame, tokens: Callable[[], Callable[[bytes], list[bytes]]],
 
 
 def stored(docs: DataFrame, tokens: Callable[[], Callable[[bytes], list[bytes]]],
-           counted: bool = False, size: int = BLOCK_BYTES, level: int = _LEVEL) -> Stored:
+           counted: bool = False, size: int = BLOCK_BYTES, level: int = _LEVEL,
+           least: int = 0) -> Stored:
     """The table of blocks of ``docs(doc_id, flag, text)``; ``tokens`` makes the function
     that parts a text; ``counted``: tokens come with their count in flagged documents;
-    ``level``: that of the tokens' compression."""
+    ``level``: that of the tokens' compression; ``least``: bytes of text to a bucket where
+    the session has partitions for more buckets."""
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")),
-                  -(-total // BUCKET_BYTES))
+    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if least:
+        buckets = max(1, min(buckets, -(-total // least)))
+    buckets = max(buckets, -(-total // BUCKET_BYTES))
 
     def make():
         parted = tokens()

@@ -43,6 +43,9 @@ SYMBOLS, CLASSES = 8192, 16
 BATCH_TOKENS, SPAN = 250_000, 256
 #: Bytes of text in a block: a round moves four numbers per distinct word of a block.
 BLOCK_BYTES = 32_000_000
+#: Bytes of text to a bucket at least: a round starts a task per bucket, and with less text
+#: the start takes longer than the work.
+LEAST_BUCKET = 1_000_000
 
 
 def words() -> object:
@@ -417,10 +420,16 @@ def _answers(docs: blocks.Documents, right: pa.Table) -> blocks.Answers:
     return blocks.Answers(docs.buckets, {b: blocks.unpack(x) for b, x in parts})
 
 
-def counted(docs: DataFrame, words: Words) -> Stored:
-    """Expected counts of the training documents: a row per block and bucket, and one
-    with the sums of the block: log likelihood, starts, moves, ends, and tokens of frequent
-    words and of each class."""
+def tasks(table: DataFrame) -> int:
+    """Tasks for all blocks: partitions may be far more than blocks, and those without one
+    take as long to start and to write."""
+    return max(1, 2 * table.where("bucket < 0").count())
+
+
+def counted(docs: DataFrame, words: Words, most: int) -> Stored:
+    """Expected counts of the training documents, in ``most`` tasks at most: a row per block
+    and bucket, and one with the sums of the block: log likelihood, starts, moves, ends, and
+    tokens of frequent words and of each class."""
     states = len(words.start)
     sent = docs.sparkSession.sparkContext.broadcast((words.start, words.moves, words.end))
 
@@ -446,7 +455,7 @@ def counted(docs: DataFrame, words: Words) -> Stored:
             "stats": pa.array([None] * len(buckets) + [stats], pa.list_(pa.float64()))})
 
     found = docs.groupBy("block").cogroup(words.rows.groupBy("block")).applyInArrow(run, _COUNTS)
-    return store(found, "expected")
+    return store(found.coalesce(most), "expected")
 
 
 def raised(stored: Stored, v: Vocabulary, states: int) -> tuple[Words, float]:
@@ -458,10 +467,10 @@ def raised(stored: Stored, v: Vocabulary, states: int) -> tuple[Words, float]:
     so a word never counted has the same probability in its class in every state.
     """
     counts = stored.df
-    sums = counts.where("bucket < 0").select(F.posexplode("stats")).groupBy("pos").agg(
-        F.sum("col").alias("n"))
-    got = np.array([r["n"] for r in sums.orderBy("pos").collect()])  # states * (states + 19) + 1
-    loglik, start, moves, end, of = np.split(got, np.cumsum([1, states, states**2, states]))
+    cuts = np.cumsum([1, states, states**2, states, (CLASSES + 1) * states])
+    got = np.array(counts.where("bucket < 0").agg(
+        *[F.sum(F.col("stats")[i]) for i in range(int(cuts[-1]))]).first())
+    loglik, start, moves, end, of = np.split(got, cuts[:-1])
     of = of.reshape(CLASSES + 1, states)
     norm = of.sum(0) + end + v.size
     unigram = v.unigram()
@@ -495,9 +504,9 @@ def trained(table: DataFrame, docs: DataFrame, v: Vocabulary, m: Model,
             rounds: int | None = None) -> Words:
     """Baum-Welch with every training word alone, from the model of tied words.  The table
     of a round goes once that of the next is written."""
-    words = untied(table, v, m)
+    words, most = untied(table, v, m), tasks(table)
     for tell in _rounds(v, rounds if v.texts else 0):
-        before, counts = words.source, counted(docs, words)
+        before, counts = words.source, counted(docs, words, most)
         words, loglik = raised(counts, v, len(m.start))
         before.drop()
         tell(loglik)
@@ -513,7 +522,7 @@ def scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col:
     """Learns from the documents where ``held_out`` is false and scores all: doc_id,
     held_out, n_tokens, n_known, train_tokens, base_score, score (log10)."""
     rows = input_rows(docs, held_out, id_col, text_col)
-    cut = blocks.stored(rows, words, counted=True, size=BLOCK_BYTES)
+    cut = blocks.stored(rows, words, counted=True, size=BLOCK_BYTES, least=LEAST_BUCKET)
     table = cut.df
     v = vocabulary(table, rows)
     seqs = sequences(table, v)
@@ -543,7 +552,7 @@ def scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col:
                          for c, x, k in zip(_SCORES.split(", "), columns, kinds)})
 
     found = held.groupBy("block").cogroup(model.rows.groupBy("block")).applyInArrow(run, _SCORES)
-    scored = materialize(found, "scores")
+    scored = materialize(found.coalesce(tasks(table)), "scores")
     held.unpersist()
     for used in (cut, model.source):
         used.drop()

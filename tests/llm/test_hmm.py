@@ -155,6 +155,35 @@ def test_training_goes_on_until_nothing_is_gained(spark):
     assert total() > total(rounds=3) + hmm.LEAST_GAIN
 
 
+def test_tasks_of_a_round_follow_the_blocks(spark, docs):
+    """With many partitions and few blocks, a round of tied words and one of single words
+    shuffle three times; the sums, and what is written, have no task per partition."""
+    n, sc = 64, spark.sparkContext
+    many = {"spark.sql.shuffle.partitions": str(n), "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in many}
+
+    def started(rounds):
+        sc.setJobGroup(f"rounds-{rounds}", "")
+        hmm.scores(docs, held(), rounds=rounds)
+        sc._jsc.sc().listenerBus().waitUntilEmpty()
+        told = sc.statusTracker()
+        stages = {s for j in told.getJobIdsForGroup(f"rounds-{rounds}") for s in told.getJobInfo(j).stageIds}
+        return sum(told.getStageInfo(s).numCompletedTasks for s in stages if told.getStageInfo(s))
+
+    try:
+        for k, v in many.items():
+            spark.conf.set(k, v)
+        assert 0 < started(2) - started(1) < 3 * n
+        rows = hmm.input_rows(docs, held(), "doc_id", "text")
+        buckets = lambda least: blocks.stored(rows, hmm.words, least=least).df.where(
+            "bucket >= 0").select("bucket").distinct().count()
+        assert buckets(1_000_000) == 1 and buckets(1) == buckets(0) == n
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_pieces_of_a_long_text_pass_on_their_states(model, monkeypatch):
     whole = hmm.expected(model, SEQS, 3)
     monkeypatch.setattr(hmm, "BATCH_TOKENS", 3)
